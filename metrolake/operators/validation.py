@@ -72,11 +72,54 @@ def _fmt(x: Column, digits: int = 4) -> Column:
     return F.format_string(f"%.{digits}f", x)
 
 
+# ---------------------------------------------------------------------------
+# Shared per-file profile (one aggregation pass for most checks)
+# ---------------------------------------------------------------------------
+
+def file_profile(rows: DataFrame, files: DataFrame, cfg: ValidationConfig = ValidationConfig(),
+                 exact: bool = True, accuracy: int = 100000) -> DataFrame:
+    """One partial-aggregation pass per file: row and timestamp counts, time
+    range, null counts, threshold breaches and deviation statistics
+    (n, mean, sample std, quartiles, min, max).
+
+    Quartiles use ``percentile`` (exact, linear interpolation; its buffer is
+    a value->count map merged map-side, so it grows with the distinct values
+    of a file rather than its rows) or, with ``exact=False``, the
+    fixed-size ``percentile_approx`` sketch. Files without rows get zeros.
+    """
+    dev = F.col("deviation")
+    if exact:
+        q = F.percentile(dev, F.array(F.lit(0.25), F.lit(0.75)))
+    else:
+        q = F.percentile_approx(dev, [0.25, 0.75], accuracy)
+    agg = rows.groupBy("source_file").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count("timestamp").alias("n_ts"),
+        F.min("timestamp").alias("ts_min"), F.max("timestamp").alias("ts_max"),
+        *[F.count_if(F.col(c).isNull()).alias(f"_null_{c}") for c in MEASUREMENT_COLUMNS],
+        F.count_if(F.abs(dev) > cfg.drift_threshold).alias("n_breaches"),
+        F.count(dev).alias("n"), F.avg(dev).alias("mean"), F.stddev_samp(dev).alias("std"),
+        q.alias("_q"), F.min(dev).alias("min"), F.max(dev).alias("max"))
+    zero = F.lit(0).cast("long")
+    return files.select("source_file", "present_cols").join(agg, "source_file", "left").select(
+        "source_file", "present_cols",
+        F.coalesce("n_rows", zero).alias("n_rows"), F.coalesce("n_ts", zero).alias("n_ts"),
+        "ts_min", "ts_max",
+        *[F.when(_has(c), F.coalesce(f"_null_{c}", zero)).otherwise(zero).alias(f"null_{c}")
+          for c in MEASUREMENT_COLUMNS],
+        F.coalesce("n_breaches", zero).alias("n_breaches"), F.coalesce("n", zero).alias("n"),
+        "mean", "std", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("q3"), "min", "max")
+
+
+def _profile(rows, files, cfg, profile):
+    return profile if profile is not None else file_profile(rows, files, cfg)
+
+
 # ---------------------------------------------------------------------------
 # V1 required columns
 # ---------------------------------------------------------------------------
 
-def check_required_columns(rows: DataFrame, files: DataFrame, cfg: ValidationConfig = ValidationConfig()) -> DataFrame:
+def check_required_columns(rows: DataFrame, files: DataFrame, cfg: ValidationConfig = ValidationConfig(),
+                           profile: DataFrame | None = None) -> DataFrame:
     req = F.array(*[F.lit(c) for c in sorted(REQUIRED_COLUMNS)])
     missing = F.array_sort(F.array_except(req, F.col("present_cols")))
     f = files.withColumn("_missing", missing)
@@ -91,15 +134,9 @@ def check_required_columns(rows: DataFrame, files: DataFrame, cfg: ValidationCon
 # V2 row count
 # ---------------------------------------------------------------------------
 
-def file_row_counts(rows: DataFrame, files: DataFrame) -> DataFrame:
-    """Rows per file; a file without rows still gets 0 (left join from files)."""
-    n = rows.groupBy("source_file").agg(F.count(F.lit(1)).alias("n_rows"))
-    return (files.select("source_file", "present_cols").join(n, "source_file", "left")
-            .withColumn("n_rows", F.coalesce("n_rows", F.lit(0).cast("long"))))
-
-
-def check_row_count(rows: DataFrame, files: DataFrame, cfg: ValidationConfig = ValidationConfig()) -> DataFrame:
-    f = file_row_counts(rows, files)
+def check_row_count(rows: DataFrame, files: DataFrame, cfg: ValidationConfig = ValidationConfig(),
+                    profile: DataFrame | None = None) -> DataFrame:
+    f = _profile(rows, files, cfg, profile)
     low = F.col("n_rows") < cfg.min_rows
     status = F.when(low, "fail").otherwise("pass")
     details = F.when(low, F.format_string(f"Only %d row(s); minimum expected is {cfg.min_rows}.", F.col("n_rows"))
@@ -111,28 +148,18 @@ def check_row_count(rows: DataFrame, files: DataFrame, cfg: ValidationConfig = V
 # V3 missing measurements
 # ---------------------------------------------------------------------------
 
-def missing_counts(rows: DataFrame, files: DataFrame) -> DataFrame:
-    """Null count per measurement column per file (0 for absent columns)."""
-    agg = rows.groupBy("source_file").agg(
-        *[F.count_if(F.col(c).isNull()).alias(f"null_{c}") for c in MEASUREMENT_COLUMNS])
-    f = files.join(agg, "source_file", "left")
-    out = [F.when(_has(c), F.coalesce(F.col(f"null_{c}"), F.lit(0))).otherwise(F.lit(0))
-           .cast("long").alias(f"null_{c}") for c in MEASUREMENT_COLUMNS]
-    return f.select("source_file", "present_cols", *out)
-
-
-def check_missing(rows: DataFrame, files: DataFrame, cfg: ValidationConfig = ValidationConfig()) -> DataFrame:
-    f = missing_counts(rows, files)
+def check_missing(rows: DataFrame, files: DataFrame, cfg: ValidationConfig = ValidationConfig(),
+                  profile: DataFrame | None = None) -> DataFrame:
+    f = _profile(rows, files, cfg, profile)
     total = sum((F.col(f"null_{c}") for c in MEASUREMENT_COLUMNS), F.lit(0))
     parts = F.array_compact(F.array(*[
         F.when(F.col(f"null_{c}") > 0, F.format_string(f"{c}: %d null(s)", F.col(f"null_{c}")))
         for c in MEASUREMENT_COLUMNS]))
-    f = f.withColumn("_total", total)
-    status = F.when(F.col("_total") > 0, "warn").otherwise("pass")
-    details = F.when(F.col("_total") > 0, F.concat(
-        F.format_string("%d missing value(s): ", F.col("_total")), F.array_join(parts, "; "))
+    status = F.when(total > 0, "warn").otherwise("pass")
+    details = F.when(total > 0, F.concat(
+        F.format_string("%d missing value(s): ", total), F.array_join(parts, "; "))
     ).otherwise(F.lit("No missing measurement values."))
-    return _result(f, "missing_measurements", status, F.col("_total"), details)
+    return _result(f, "missing_measurements", status, total, details)
 
 
 # ---------------------------------------------------------------------------
@@ -194,23 +221,23 @@ def _timedelta_text(secs: Column) -> Column:
     return F.concat(days.cast("string"), F.lit(" days "), hms, frac_txt)
 
 
-def check_timestamps(rows: DataFrame, files: DataFrame, cfg: ValidationConfig = ValidationConfig()) -> DataFrame:
-    present = files.select("source_file", "present_cols")
-    nn = rows.groupBy("source_file").agg(F.count("timestamp").alias("_n_ts"))
+def check_timestamps(rows: DataFrame, files: DataFrame, cfg: ValidationConfig = ValidationConfig(),
+                     profile: DataFrame | None = None) -> DataFrame:
+    p = _profile(rows, files, cfg, profile).select("source_file", "present_cols", "n_ts")
     order = order_violations(rows)
     gaps = timestamp_gaps(rows, cfg.max_gap_hours)
-    first_w = Window.partitionBy("source_file").orderBy("gap_end")
     k = cfg.max_listed_gaps
-    listed = (gaps.withColumn("_r", F.row_number().over(first_w))
-                  .withColumn("_txt", F.concat(_timedelta_text(F.col("gap_seconds")),
-                                               F.lit(" gap before "), F.col("gap_end").cast("string")))
-                  .groupBy("source_file")
-                  .agg(F.count(F.lit(1)).alias("_n_gaps"),
-                       F.sort_array(F.collect_list(F.when(F.col("_r") <= k, F.struct("_r", "_txt"))))
-                       .alias("_first")))
-    f = (present.join(nn, "source_file", "left").join(order, "source_file", "left")
-                .join(listed, "source_file", "left"))
-    n_ts = F.coalesce("_n_ts", F.lit(0))
+    # First k gaps per file: a limited row_number (partial limit per task).
+    first_w = Window.partitionBy("source_file").orderBy("gap_end")
+    first = (gaps.withColumn("_r", F.row_number().over(first_w)).filter(F.col("_r") <= k)
+                 .groupBy("source_file")
+                 .agg(F.sort_array(F.collect_list(F.struct(
+                     "_r", F.concat(_timedelta_text(F.col("gap_seconds")), F.lit(" gap before "),
+                                    F.col("gap_end").cast("string")).alias("_txt")))).alias("_first")))
+    n_g = gaps.groupBy("source_file").agg(F.count(F.lit(1)).alias("_n_gaps"))
+    f = (p.join(order, "source_file", "left").join(n_g, "source_file", "left")
+          .join(first, "source_file", "left"))
+    n_ts = F.col("n_ts")
     n_gaps = F.coalesce("_n_gaps", F.lit(0))
     unordered = F.coalesce("n_order_violations", F.lit(0)) > 0
     gap_txt = F.concat(F.format_string(f"%d gap(s) > {cfg.max_gap_hours}h: ", n_gaps),
@@ -243,56 +270,56 @@ def duplicate_rows(rows: DataFrame, files: DataFrame) -> DataFrame:
                  .filter(F.col("count") > 1)
                  .groupBy("source_file").agg(F.sum("count").alias("n_dupes")))
     any_key = F.exists(F.col("present_cols"), lambda c: c.isin(DUPLICATE_KEY_COLUMNS))
-    return (files.join(keyed, "source_file", "left")
+    return (files.select("source_file", "present_cols").join(keyed, "source_file", "left")
             .select("source_file", "present_cols",
                     F.when(any_key, F.coalesce("n_dupes", F.lit(0))).otherwise(F.lit(0))
                     .cast("long").alias("n_dupes")))
 
 
-def store_overlap(rows: DataFrame, stored: DataFrame, window_hours: float) -> DataFrame:
+def store_overlap(rows: DataFrame | None, stored: DataFrame, window_hours: float,
+                  ranges: DataFrame | None = None) -> DataFrame:
     """Per file, count of stored measurements with timestamp in
     [min(ts) - w, max(ts) + w] (inclusive).
 
     Exact range count without a nested-loop join: the store is reduced to
     counts per hour, turned into a running total (one row per hour of the
     store's time span), and a file's count is (hours strictly inside its
-    range from the running totals) + (rows of its two edge hours compared
-    exactly). Both lookups are equi-joins.
+    range, from the running totals) + (rows of its two edge hours, compared
+    exactly). Both lookups are equi-joins. ``ranges`` (source_file, ts_min,
+    ts_max) can come from a file profile instead of ``rows``.
     """
     w_us = int(round(window_hours * 3600 * 1_000_000))
     hour_us = 3600 * 1_000_000
     us = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
-    rng = (rows.groupBy("source_file")
-               .agg(F.min("timestamp").alias("_min"), F.max("timestamp").alias("_max"))
-               .filter(F.col("_min").isNotNull())
-               .select("source_file", (us("_min") - w_us).alias("lo"), (us("_max") + w_us).alias("hi"))
-               .withColumn("h_lo", F.floor(F.col("lo") / hour_us))
-               .withColumn("h_hi", F.floor(F.col("hi") / hour_us)))
+    if ranges is None:
+        ranges = rows.groupBy("source_file").agg(F.min("timestamp").alias("ts_min"),
+                                                 F.max("timestamp").alias("ts_max"))
+    rng = (ranges.filter(F.col("ts_min").isNotNull())
+                 .select("source_file", (us("ts_min") - w_us).alias("lo"), (us("ts_max") + w_us).alias("hi"))
+                 .select("source_file", "lo", "hi", F.floor(F.col("lo") / hour_us).alias("h_lo"),
+                         F.floor(F.col("hi") / hour_us).alias("h_hi")))
     st = (stored.filter(F.col("timestamp").isNotNull())
                 .select(us("timestamp").alias("t"))
-                .withColumn("h", F.floor(F.col("t") / hour_us)))
+                .select("t", F.floor(F.col("t") / hour_us).alias("h")))
     hourly = st.groupBy("h").agg(F.count(F.lit(1)).alias("c"))
     # Running total over hours: one row per non-empty hour of the store, a
-    # table bounded by its time span; the window runs in a single task.
-    cum = hourly.withColumn("cum", F.sum("c").over(Window.orderBy("h")))
+    # table bounded by its time span (not its rows); the window is one task.
+    cum = hourly.select("h", F.sum("c").over(Window.orderBy("h")).alias("cum"))
     # Interior = cum(h_hi - 1) - cum(h_lo), where cum(h) is the total of all
     # hours <= h, found by an as-of lookup (last non-empty hour <= h).
     q = (rng.select("source_file", (F.col("h_hi") - 1).alias("_q"), F.lit(1).alias("_sgn"))
             .unionByName(rng.select("source_file", F.col("h_lo").alias("_q"), F.lit(-1).alias("_sgn"))))
     interior = _asof_cumulative(q, cum).groupBy("source_file").agg(
         F.sum(F.col("_sgn") * F.col("_cum")).alias("interior"))
-    interior = rng.join(interior, "source_file", "left").select(
-        "source_file", F.when(F.col("h_hi") > F.col("h_lo") + 1, F.col("interior")).otherwise(0).alias("interior"))
     edges = (rng.select("source_file", "lo", "hi", F.col("h_lo").alias("h"))
                 .unionByName(rng.filter(F.col("h_hi") != F.col("h_lo"))
                              .select("source_file", "lo", "hi", F.col("h_hi").alias("h"))))
     edge_cnt = (edges.join(st, "h")
                      .filter((F.col("t") >= F.col("lo")) & (F.col("t") <= F.col("hi")))
                      .groupBy("source_file").agg(F.count(F.lit(1)).alias("edge")))
-    return (rng.select("source_file").join(interior, "source_file", "left")
-            .join(edge_cnt, "source_file", "left")
-            .select("source_file", (F.coalesce("interior", F.lit(0)) + F.coalesce("edge", F.lit(0)))
-                    .cast("long").alias("n_stored_in_range")))
+    inner = F.when(F.col("h_hi") > F.col("h_lo") + 1, F.coalesce("interior", F.lit(0))).otherwise(0)
+    return (rng.join(interior, "source_file", "left").join(edge_cnt, "source_file", "left")
+            .select("source_file", (inner + F.coalesce("edge", F.lit(0))).cast("long").alias("n_stored_in_range")))
 
 
 def _asof_cumulative(q: DataFrame, cum: DataFrame) -> DataFrame:
@@ -302,39 +329,39 @@ def _asof_cumulative(q: DataFrame, cum: DataFrame) -> DataFrame:
     ordered pass (a window over their union, bounded by the number of
     distinct hours), then joined back on the exact hour.
     """
-    qh = q.select(F.col("_q").alias("h")).distinct().withColumn("_is_q", F.lit(True))
-    ch = cum.select("h", "cum").withColumn("_is_q", F.lit(False))
-    u = qh.withColumn("cum", F.lit(None).cast("long")).unionByName(ch)
+    qh = q.select(F.col("_q").alias("h")).distinct().select(
+        "h", F.lit(None).cast("long").alias("cum"), F.lit(True).alias("_is_q"))
+    u = qh.unionByName(cum.select("h", "cum", F.lit(False).alias("_is_q")))
     w = Window.orderBy("h", "_is_q").rowsBetween(Window.unboundedPreceding, 0)
-    filled = (u.withColumn("_cum", F.coalesce(F.last("cum", ignorenulls=True).over(w), F.lit(0)))
+    filled = (u.select("h", "_is_q", F.coalesce(F.last("cum", ignorenulls=True).over(w), F.lit(0)).alias("_cum"))
                .filter(F.col("_is_q")).select(F.col("h").alias("_q"), "_cum"))
     return q.join(filled, "_q")
 
 
 def check_duplicates(rows: DataFrame, files: DataFrame, cfg: ValidationConfig = ValidationConfig(),
-                     stored: DataFrame | None = None) -> DataFrame:
+                     stored: DataFrame | None = None, profile: DataFrame | None = None) -> DataFrame:
     d = duplicate_rows(rows, files)
     if stored is not None:
-        ov = store_overlap(rows, stored, cfg.duplicate_window_hours)
+        ranges = profile.select("source_file", "ts_min", "ts_max") if profile is not None else None
+        ov = store_overlap(rows, stored, cfg.duplicate_window_hours, ranges=ranges)
         d = d.join(ov, "source_file", "left")
         can = _has("timestamp") & _has("position")
-        n_st = F.when(can, F.coalesce("n_stored_in_range", F.lit(0))).otherwise(0)
+        n_st = F.when(can, F.coalesce("n_stored_in_range", F.lit(0))).otherwise(0).cast("long")
     else:
-        n_st = F.lit(0)
-    d = d.withColumn("_n_st", n_st.cast("long"))
+        n_st = F.lit(0).cast("long")
     keys_txt = F.concat(F.lit("keys: "), _py_list(F.filter(
         F.array(*[F.lit(c) for c in DUPLICATE_KEY_COLUMNS]),
         lambda c: F.array_contains(F.col("present_cols"), c))))
     issues = F.array_compact(F.array(
         F.when(F.col("n_dupes") > 0, F.concat(
             F.format_string("%d duplicate row(s) within file (", F.col("n_dupes")), keys_txt, F.lit(")."))),
-        F.when(F.col("_n_st") > 0, F.format_string(
+        F.when(n_st > 0, F.format_string(
             "Database already contains %d measurement(s) within ±" + str(cfg.duplicate_window_hours)
-            + "h of this file's time range. Possible re-import.", F.col("_n_st")))))
+            + "h of this file's time range. Possible re-import.", n_st))))
     status = F.when(F.size(issues) > 0, "warn").otherwise("pass")
     details = F.when(F.size(issues) > 0, F.array_join(issues, " | ")).otherwise(
         F.lit("No duplicates detected."))
-    return _result(d, "duplicate_detection", status, F.col("n_dupes") + F.col("_n_st"), details)
+    return _result(d, "duplicate_detection", status, F.col("n_dupes") + n_st, details)
 
 
 # ---------------------------------------------------------------------------
@@ -342,44 +369,30 @@ def check_duplicates(rows: DataFrame, files: DataFrame, cfg: ValidationConfig =
 # ---------------------------------------------------------------------------
 
 def outlier_stats(rows: DataFrame, files: DataFrame, cfg: ValidationConfig = ValidationConfig(),
-                  exact: bool = True, accuracy: int = 100000) -> DataFrame:
+                  exact: bool = True, profile: DataFrame | None = None) -> DataFrame:
     """Per file: n, mean, sample std, linear quartiles, min, max of deviation
-    and the z-score / IQR / union outlier counts.
-
-    Quartiles use ``percentile`` (exact; its buffer is a value->count map
-    merged map-side) or, with ``exact=False``, the ``percentile_approx``
-    sketch of fixed size.
-    """
-    d = rows.filter(F.col("deviation").isNotNull()).select("source_file", "deviation")
-    if exact:
-        q = F.percentile("deviation", F.array(F.lit(0.25), F.lit(0.75)))
-    else:
-        q = F.percentile_approx("deviation", [0.25, 0.75], accuracy)
-    st = (d.groupBy("source_file")
-           .agg(F.count(F.lit(1)).alias("n"), F.avg("deviation").alias("mean"),
-                F.stddev_samp("deviation").alias("std"), q.alias("_q"),
-                F.min("deviation").alias("min"), F.max("deviation").alias("max"))
-           .select("source_file", "n", "mean", "std", F.col("_q")[0].alias("q1"),
-                   F.col("_q")[1].alias("q3"), "min", "max"))
+    (from the file profile) and the z-score / IQR / union outlier counts
+    (a second pass that joins the one-row-per-file statistics back)."""
+    p = profile if profile is not None else file_profile(rows, files, cfg, exact)
+    st = p.select("source_file", "present_cols", "n", "mean", "std", "q1", "q3", "min", "max")
     iqr = F.col("q3") - F.col("q1")
     lo = F.col("q1") - cfg.iqr_factor * iqr
     hi = F.col("q3") + cfg.iqr_factor * iqr
     z = F.abs(F.col("deviation") - F.col("mean")) / F.col("std")
     is_z = z > cfg.outlier_z
     is_iqr = (F.col("deviation") < lo) | (F.col("deviation") > hi)
-    # One stats row per file: AQE broadcasts it when small.
+    d = rows.filter(F.col("deviation").isNotNull()).select("source_file", "deviation")
+    # One stats row per file: AQE broadcasts it when its measured size allows.
     flagged = (d.join(st.select("source_file", "mean", "std", "q1", "q3"), "source_file")
                 .groupBy("source_file")
                 .agg(F.count_if(is_z).alias("n_z"), F.count_if(is_iqr).alias("n_iqr"),
                      F.count_if(is_z | is_iqr).alias("n_outliers")))
-    return (files.select("source_file", "present_cols").join(st, "source_file", "left")
-            .join(flagged, "source_file", "left")
-            .withColumn("n", F.coalesce("n", F.lit(0).cast("long"))))
+    return st.join(flagged, "source_file", "left")
 
 
 def check_outliers(rows: DataFrame, files: DataFrame, cfg: ValidationConfig = ValidationConfig(),
-                   exact: bool = True) -> DataFrame:
-    s = outlier_stats(rows, files, cfg, exact)
+                   profile: DataFrame | None = None, exact: bool = True) -> DataFrame:
+    s = outlier_stats(rows, files, cfg, exact, profile)
     pct = 100.0 * F.col("n_outliers") / F.col("n")
     detail = F.concat(
         F.format_string("%d outlier(s) (", F.col("n_outliers")), _fmt(pct, 1),
@@ -406,39 +419,44 @@ def check_outliers(rows: DataFrame, files: DataFrame, cfg: ValidationConfig = Va
 # V7 deviation range
 # ---------------------------------------------------------------------------
 
-def range_breaches(rows: DataFrame, threshold: float, max_listed: int = 10) -> DataFrame:
-    """Per file: rows with |deviation| > threshold and the positions of the
-    first ``max_listed`` of them in row order.
-
-    The row_number filter is planned as a window group limit, so each task
-    forwards at most ``max_listed`` rows per file before the shuffle.
-    """
+def first_breach_positions(rows: DataFrame, threshold: float, max_listed: int = 10) -> DataFrame:
+    """Per file: positions of the first ``max_listed`` rows (row order) with
+    |deviation| > threshold. The row_number filter is planned as a window
+    group limit, so each task forwards at most ``max_listed`` rows per file
+    before the shuffle."""
     b = rows.filter(F.abs(F.col("deviation")) > threshold).select(
         "source_file", "row_block", "row_idx", "position")
-    n = b.groupBy("source_file").agg(F.count(F.lit(1)).alias("n_breaches"))
     w = Window.partitionBy("source_file").orderBy("row_block", "row_idx")
-    first = (b.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= max_listed)
-              .groupBy("source_file")
-              .agg(F.sort_array(F.collect_list(F.struct("_r", "position"))).alias("_l"))
-              .select("source_file", F.transform("_l", lambda s: s["position"]).alias("first_positions")))
-    return n.join(first, "source_file", "left")
+    return (b.withColumn("_r", F.row_number().over(w)).filter(F.col("_r") <= max_listed)
+             .groupBy("source_file")
+             .agg(F.sort_array(F.collect_list(F.struct("_r", "position"))).alias("_l"))
+             .select("source_file", F.transform("_l", lambda s: s["position"]).alias("first_positions")))
 
 
-def check_deviation_range(rows: DataFrame, files: DataFrame, cfg: ValidationConfig = ValidationConfig()) -> DataFrame:
-    br = range_breaches(rows, cfg.drift_threshold, cfg.max_listed_positions)
-    f = files.join(br, "source_file", "left").withColumn(
-        "_n", F.coalesce("n_breaches", F.lit(0).cast("long")))
+def range_breaches(rows: DataFrame, threshold: float, max_listed: int = 10) -> DataFrame:
+    """Per file with breaches: their count and the first positions."""
+    n = (rows.filter(F.abs(F.col("deviation")) > threshold)
+             .groupBy("source_file").agg(F.count(F.lit(1)).alias("n_breaches")))
+    return n.join(first_breach_positions(rows, threshold, max_listed), "source_file", "left")
+
+
+def check_deviation_range(rows: DataFrame, files: DataFrame, cfg: ValidationConfig = ValidationConfig(),
+                          profile: DataFrame | None = None) -> DataFrame:
+    p = _profile(rows, files, cfg, profile).select("source_file", "present_cols", "n_breaches")
+    f = p.join(first_breach_positions(rows, cfg.drift_threshold, cfg.max_listed_positions),
+               "source_file", "left")
+    n = F.col("n_breaches")
     no_col = ~_has("deviation")
     positions = F.when(_has("position"), F.coalesce("first_positions", F.array())).otherwise(
         F.array().cast("array<string>"))
-    more = F.when(_has("position") & (F.col("_n") > cfg.max_listed_positions), "...").otherwise("")
-    status = F.when(no_col, "warn").when(F.col("_n") > 0, "warn").otherwise("pass")
+    more = F.when(_has("position") & (n > cfg.max_listed_positions), "...").otherwise("")
+    status = F.when(no_col, "warn").when(n > 0, "warn").otherwise("pass")
     details = (F.when(no_col, F.lit("No 'deviation' column."))
-                .when(F.col("_n") > 0, F.concat(
-                    F.format_string(f"%d measurement(s) exceed ±{cfg.drift_threshold}: positions=", F.col("_n")),
+                .when(n > 0, F.concat(
+                    F.format_string(f"%d measurement(s) exceed ±{cfg.drift_threshold}: positions=", n),
                     _py_list(positions), more))
                 .otherwise(F.lit(f"All deviations within ±{cfg.drift_threshold}.")))
-    return _result(f, "deviation_range", status, F.when(no_col, 0).otherwise(F.col("_n")), details)
+    return _result(f, "deviation_range", status, F.when(no_col, 0).otherwise(n), details)
 
 
 # ---------------------------------------------------------------------------
@@ -457,15 +475,25 @@ CHECKS: dict[str, Callable[..., DataFrame]] = {
 
 
 def run_checks(rows: DataFrame, files: DataFrame, cfg: ValidationConfig = ValidationConfig(),
-               checks: Sequence[str] = tuple(CHECK_ORDER), stored: DataFrame | None = None) -> DataFrame:
-    """The chosen checks (default: all seven, in suite order)."""
+               checks: Sequence[str] = tuple(CHECK_ORDER), stored: DataFrame | None = None,
+               exact_quartiles: bool = True) -> DataFrame:
+    """The chosen checks (default: all seven, in suite order).
+
+    The per-file profile is computed once and shared by the checks, so the
+    rows are scanned by one aggregation plus the order/gap, duplicate,
+    outlier-count and first-breach passes.
+    """
+    unknown = [c for c in checks if c not in CHECKS]
+    if unknown:
+        raise ValueError(f"unknown checks {unknown}; choose from {list(CHECKS)}")
+    profile = file_profile(rows, files, cfg, exact_quartiles)
     parts = []
     for name in checks:
         fn = CHECKS[name]
         if name == "duplicate_detection":
-            parts.append(fn(rows, files, cfg, stored=stored))
+            parts.append(fn(rows, files, cfg, stored=stored, profile=profile))
         else:
-            parts.append(fn(rows, files, cfg))
+            parts.append(fn(rows, files, cfg, profile=profile))
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)
@@ -474,9 +502,8 @@ def run_checks(rows: DataFrame, files: DataFrame, cfg: ValidationConfig = Valida
 
 def rollup(results: DataFrame) -> DataFrame:
     """V9: pass / warn / fail counts per file."""
-    return (results.groupBy("source_file").pivot("status", ["pass", "warn", "fail"]).count()
-            .na.fill(0, ["pass", "warn", "fail"])
-            .select("source_file", *[F.col(s).cast("long").alias(f"n_{s}") for s in ("pass", "warn", "fail")]))
+    return results.groupBy("source_file").agg(
+        *[F.count_if(F.col("status") == s).alias(f"n_{s}") for s in ("pass", "warn", "fail")])
 
 
 def load_gate(results: DataFrame, force: bool = False) -> DataFrame:
