@@ -155,20 +155,18 @@ def read_documents(spark: SparkSession, paths: list[str]) -> DataFrame:
         F.col("_metadata.file_path").alias("path"), F.col("value").alias("doc"))
 
 
-def _flatten(m: Column, depth: int) -> Column:
-    """Nested JSON objects (kept as text values) become ``a.b`` keys."""
-    for _ in range(depth):
-        obj = lambda v: F.trim(v).startswith("{")
-        leaves = F.map_filter(m, lambda k, v: v.isNull() | ~obj(v))
-        nested = F.map_filter(m, lambda k, v: v.isNotNull() & obj(v))
-        expanded = F.aggregate(
-            F.map_entries(nested), F.create_map().cast("map<string,string>"),
-            lambda acc, e: F.map_concat(acc, F.transform_keys(
-                F.coalesce(F.from_json(e["value"], "map<string,string>"),
-                           F.create_map().cast("map<string,string>")),
-                lambda k, v: F.concat(e["key"], F.lit("."), k))))
-        m = F.map_concat(leaves, expanded)
-    return m
+def _flatten_once(m: Column) -> Column:
+    """One level of nested JSON objects (kept as text values) -> ``a.b`` keys."""
+    obj = lambda v: F.trim(v).startswith("{")
+    leaves = F.map_filter(m, lambda k, v: v.isNull() | ~obj(v))
+    nested = F.map_filter(m, lambda k, v: v.isNotNull() & obj(v))
+    expanded = F.aggregate(
+        F.map_entries(nested), F.create_map().cast("map<string,string>"),
+        lambda acc, e: F.map_concat(acc, F.transform_keys(
+            F.coalesce(F.from_json(e["value"], "map<string,string>"),
+                       F.create_map().cast("map<string,string>")),
+            lambda k, v: F.concat(e["key"], F.lit("."), k))))
+    return F.map_concat(leaves, expanded)
 
 
 def parse_json(docs: DataFrame, depth: int = 4) -> RawBatch:
@@ -176,26 +174,29 @@ def parse_json(docs: DataFrame, depth: int = 4) -> RawBatch:
     data / measurements / records / results holds a list; else the object
     is one record. Nested objects flatten to ``a.b`` (then dots and blanks
     become ``_``); inner lists stay as JSON text; top-level metadata next to
-    the record list is dropped."""
+    the record list is dropped. Each step is its own projection so that the
+    parsed values are referenced, not re-parsed."""
     d = docs.select("path", F.trim("doc").alias("doc"))
-    as_list = F.from_json("doc", "array<string>")
-    top = F.from_json("doc", "map<string,string>")
+    d = d.select("path", "doc", F.from_json("doc", "map<string,string>").alias("_top"))
     picked = F.lit(None).cast("string")
     for key in reversed(JSON_RECORD_KEYS):
-        v = F.element_at(top, F.lit(key))
+        v = F.element_at(F.col("_top"), F.lit(key))
         picked = F.when(F.trim(v).startswith("["), v).otherwise(picked)
-    records = (F.when(F.col("doc").startswith("["), as_list)
-                .when(F.col("doc").startswith("{"),
+    # A document that does not parse gives null records (an extract error).
+    records = (F.when(F.col("doc").startswith("["), F.from_json("doc", "array<string>"))
+                .when(F.col("doc").startswith("{") & F.col("_top").isNotNull(),
                       F.when(picked.isNotNull(), F.from_json(picked, "array<string>"))
                        .otherwise(F.array(F.col("doc")))))
     parsed = d.select("path", records.alias("_recs"))
-    ex = parsed.select("path", F.posexplode_outer("_recs").alias("row_idx", "_rec"))
-    fields = _flatten(F.from_json("_rec", "map<string,string>"), depth)
-    cleaned = F.transform_keys(fields, lambda k, v: F.regexp_replace(F.lower(F.trim(k)), r"[\.\s]+", "_"))
-    rows = (ex.filter(F.col("_rec").isNotNull())
-              .select("path", F.lit(0).cast("long").alias("row_block"), F.col("row_idx").cast("long"),
-                      cleaned.alias("fields"))
-              .filter(F.col("fields").isNotNull()))
+    ex = (parsed.select("path", F.posexplode_outer("_recs").alias("row_idx", "_rec"))
+                .filter(F.col("_rec").isNotNull())
+                .select("path", "row_idx", F.from_json("_rec", "map<string,string>").alias("_m"))
+                .filter(F.col("_m").isNotNull()))
+    for _ in range(depth):
+        ex = ex.select("path", "row_idx", _flatten_once(F.col("_m")).alias("_m"))
+    cleaned = F.transform_keys("_m", lambda k, v: F.regexp_replace(F.lower(F.trim(k)), r"[\.\s]+", "_"))
+    rows = ex.select("path", F.lit(0).cast("long").alias("row_block"), F.col("row_idx").cast("long"),
+                     cleaned.alias("fields"))
     files = _keys_per_file(rows)
     errors = (parsed.filter(F.col("_recs").isNull())
                     .select("path", F.concat(F.lit("Invalid JSON document: "), F.col("path")).alias("message")))
