@@ -20,7 +20,9 @@ from metrolake.operators import analytics as A
 from metrolake.operators import transforms as TR
 from metrolake.operators import validation as V
 from metrolake.plans.runs import build_runs
+from metrolake.sources import parsers as P
 from metrolake.sources import tables as T
+import feeds
 from oracle_queries import oracle_sql as _oracle_sql
 
 AS_OF = "2024-01-31 00:00:00"
@@ -62,6 +64,17 @@ def _checks(df: DataFrame) -> DataFrame:
     return df.select("source_file", "check_order", "check_type", "status", "n_flagged")
 
 
+CANON_OUT = ["source_file", "timestamp", "position", "actual_value", "expected_value", "deviation",
+             "operator", "equipment_id"]
+
+
+def _parsed(batch) -> DataFrame:
+    """Reader output -> full transform chain -> canonical columns."""
+    rows, _ = TR.transform(batch.rows.withColumnRenamed("path", "source_file"),
+                           batch.files.withColumnRenamed("path", "source_file"))
+    return rows
+
+
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: equipment comparison over the sf0.001 events."""
     return _r(A.equipment_comparison(_m(spark, "/root/testdata/sf0.001")))
@@ -123,6 +136,14 @@ def _q() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["load_gate_bulk"] = lambda s, d: V.load_gate(V.run_checks(*_li_files(s, d), VCFG))
     q["v_strict_suite"] = lambda s, d: _checks(V.run_checks(*_ev_files(s, d), STRICT_VALIDATION))
 
+    # ---- readers (S1, S3, S4) and the transform chain (T1-T10) ------------
+    q["log_parse"] = lambda s, d: _r(_parsed(P.parse_log(feeds.log_lines(s, d))).select(*CANON_OUT))
+    q["csv_parse"] = lambda s, d: _r(_parsed(P.parse_csv(feeds.csv_lines(s, d))).select(*CANON_OUT, "axis", "unit"))
+    q["json_parse"] = lambda s, d: _r(_parsed(P.parse_json(feeds.json_documents(s, d))).select(
+        *CANON_OUT, F.element_at("extras", F.lit("meta_data_k")).alias("meta_data_k")))
+    q["log_suite"] = lambda s, d: _checks(V.run_checks(*TR.transform(
+        P.parse_log(feeds.log_lines(s, d)).rows.withColumnRenamed("path", "source_file"),
+        P.parse_log(feeds.log_lines(s, d)).files.withColumnRenamed("path", "source_file"))))
     return q
 
 

@@ -2,13 +2,24 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
 
 
-def map_last_wins(keys: Column, values: Column) -> Column:
-    """``map_from_arrays`` where a repeated key keeps its *last* value,
-    independent of the session's map-key dedup policy."""
+def last_wins_policy(spark: SparkSession) -> bool:
+    return spark.conf.get("spark.sql.mapKeyDedupPolicy", "EXCEPTION").upper() == "LAST_WIN"
+
+
+def map_last_wins(keys: Column, values: Column, session_last_wins: bool = False) -> Column:
+    """``map_from_arrays`` where a repeated key keeps its *last* value.
+
+    With the session policy ``spark.sql.mapKeyDedupPolicy=LAST_WIN`` (set by
+    metrolake's session) the built-in does exactly that; otherwise the
+    duplicates are removed first with array functions (slower: lambdas are
+    interpreted). ``keys`` should be a column reference, not an expression.
+    """
+    if session_last_wins:
+        return F.map_from_arrays(keys, values)
     k, v = keys, values
     keep = F.filter(F.sequence(F.lit(1), F.size(k)),
                     lambda i: ~F.exists(F.slice(k, i + 1, F.size(k)), lambda x: x == F.element_at(k, i)))

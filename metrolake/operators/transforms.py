@@ -176,23 +176,82 @@ def cast_failures(rows: DataFrame) -> DataFrame:
 def transform(raw: DataFrame, raw_files: DataFrame, missing_strategy: str = "flag",
               fill_value: float | None = None, equipment_id: str | None = None,
               operator: str | None = None, drop_blank: bool = False) -> tuple[DataFrame, DataFrame]:
-    """The full chain. Order: alias mapping, timestamps, numbers,
-    deviation, missing values, positions, run metadata."""
+    """The full chain, in the order alias mapping, timestamps, numbers,
+    deviation, missing values, positions, run metadata.
+
+    Fused plan: every per-file decision (alias choice, column presence,
+    whether deviation is derived) is made on the small file frame and joined
+    to the rows once; the column work is a few staged projections; the
+    metadata defaults need per-file non-null counts (one partial
+    aggregation) and a second join. The step functions above give the same
+    results one at a time.
+    """
     if missing_strategy not in MISSING_STRATEGIES:
         raise ValueError(f"missing strategy must be one of {MISSING_STRATEGIES}, got {missing_strategy!r}")
-    rows, files = normalize_columns(raw, raw_files)
+    if missing_strategy == "fill" and fill_value is None:
+        raise ValueError("fill_value must be provided when strategy='fill'.")
+    choice = alias_choice(raw_files)
+    has_raw = lambda c: F.array_contains(F.col("raw_cols"), F.lit(c))
+    present = F.array_compact(F.array(
+        *[F.when(F.col(f"src_{c}").isNotNull(), F.lit(c)) for c in CANONICAL],
+        F.when(has_raw("deviation"), F.lit("deviation"))))
+    derive = (~has_raw("deviation") & F.col("src_actual_value").isNotNull()
+              & F.col("src_expected_value").isNotNull())
+    dec = choice.select(
+        "source_file", *[f"src_{c}" for c in CANONICAL],
+        F.array_compact(F.array(*[F.col(f"src_{c}") for c in CANONICAL])).alias("_chosen"),
+        F.when(derive, F.array_union(present, F.array(F.lit("deviation")))).otherwise(present).alias("_pc"),
+        derive.alias("_derive"))
+    files = choice.select("source_file", "raw_cols").join(
+        dec.select("source_file", F.col("_pc").alias("present_cols")), "source_file")
+
+    # One row per file: AQE broadcasts it when its measured size allows.
+    j = raw.join(dec, "source_file")
+    r = j.select("source_file", "row_block", "row_idx", "_pc", "_derive",
+                 *[F.element_at(F.col("fields"), F.col(f"src_{c}")).alias(c) for c in CANONICAL],
+                 F.element_at(F.col("fields"), F.lit("deviation")).alias("deviation"),
+                 F.map_filter("fields", lambda k, v: ~F.array_contains(F.col("_chosen"), k)).alias("extras"))
     if drop_blank:
-        rows = drop_blank_rows(rows)
-    rows = parse_timestamps(rows)
-    rows = cast_numeric(rows)
-    fails = cast_failures(rows)
-    rows = rows.drop(*[f"_cast_fail_{c}" for c in MEASUREMENT_COLUMNS])
-    rows, files = calculate_deviation(rows, files)
-    rows = handle_missing(rows, files, missing_strategy, fill_value)
-    rows = normalize_positions(rows)
-    rows, files = add_run_metadata(rows, files, equipment_id, operator)
-    files = files.join(fails, "source_file", "left")
-    return rows, files
+        r = drop_blank_rows(r)
+    keep = ["source_file", "row_block", "row_idx", "_pc", "_derive", "position", "operator",
+            "equipment_id", "axis", "unit", "extras"]
+    nums = {c: to_number(c) for c in MEASUREMENT_COLUMNS}
+    r = r.select(*keep, to_timestamp_any("timestamp").alias("timestamp"),
+                 *[nums[c].alias(c) for c in MEASUREMENT_COLUMNS],
+                 *[(F.col(c).isNotNull() & nums[c].isNull()).alias(f"_cast_fail_{c}") for c in MEASUREMENT_COLUMNS])
+    dev = F.when(F.col("_derive"), F.col("actual_value") - F.col("expected_value")).otherwise(F.col("deviation"))
+    r = r.withColumn("deviation", dev)
+    has = lambda c: F.array_contains(F.col("_pc"), F.lit(c))
+    missing_any = F.lit(False)
+    for c in MEASUREMENT_COLUMNS:
+        missing_any = missing_any | (has(c) & F.col(c).isNull())
+    if missing_strategy == "flag":
+        r = r.withColumn("is_missing", missing_any)
+    elif missing_strategy == "drop":
+        r = r.filter(~missing_any)
+    else:
+        r = r.select(*[c for c in r.columns if c not in MEASUREMENT_COLUMNS],
+                     *[F.when(has(c) & F.col(c).isNull(), F.lit(float(fill_value))).otherwise(F.col(c)).alias(c)
+                       for c in MEASUREMENT_COLUMNS])
+    r = r.withColumn("position", F.when(has("position"), normalize_position("position")))
+
+    stats = r.groupBy("source_file").agg(
+        F.count("equipment_id").alias("_n_eq"), F.count("operator").alias("_n_op"),
+        *[F.count_if(F.col(f"_cast_fail_{c}")).cast("long").alias(f"cast_fail_{c}") for c in MEASUREMENT_COLUMNS])
+    r = r.drop(*[f"_cast_fail_{c}" for c in MEASUREMENT_COLUMNS], "_pc", "_derive")
+    r = (r.join(stats.select("source_file", "_n_eq", "_n_op"), "source_file")
+          .withColumn("equipment_id", F.when(F.col("_n_eq") == 0, F.lit(equipment_id or "UNKNOWN"))
+                      .otherwise(F.col("equipment_id")))
+          .withColumn("operator", F.when(F.col("_n_op") == 0, F.lit(operator or "UNKNOWN"))
+                      .otherwise(F.col("operator")))
+          .drop("_n_eq", "_n_op"))
+    files = (files.withColumn("present_cols", F.array_union(
+                 F.col("present_cols"), F.array(F.lit("equipment_id"), F.lit("operator"))))
+             .join(stats.drop("_n_eq", "_n_op"), "source_file", "left")
+             .select("source_file", "raw_cols", "present_cols",
+                     *[F.coalesce(f"cast_fail_{c}", F.lit(0).cast("long")).alias(f"cast_fail_{c}")
+                       for c in MEASUREMENT_COLUMNS]))
+    return r, files
 
 
 # ---------------------------------------------------------------------------

@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from ..config import JSON_RECORD_KEYS
 from ..functions.columns import null_if_token
-from ..functions.maps import fit_to, map_last_wins
+from ..functions.maps import fit_to, last_wins_policy, map_last_wins
 
 RAW_ROW_SCHEMA = "path string, row_block long, row_idx long, fields map<string,string>"
 
@@ -85,20 +85,28 @@ def _mangle_duplicates(names: Column) -> Column:
 def parse_csv(lines: DataFrame) -> RawBatch:
     """Header = first non-blank line of each file; later lines bind to their
     own file's header by name (files with different layouts mix freely).
-    pandas' default null tokens read as null; blank lines are skipped."""
+    pandas' default null tokens read as null; blank lines are skipped.
+
+    Each stage is its own projection: the split line is computed once and
+    then referenced (lambdas would otherwise re-run the split per element).
+    """
     spark = lines.sparkSession
     nb = lines.filter(F.trim("line") != "")
     order = F.struct("row_block", "row_idx")
     head = (nb.groupBy("path")
-              .agg(F.min_by("line", order).alias("_h"), F.min(order).alias("_hkey")))
-    raw_names = _mangle_duplicates(_csv_fields(F.col("_h")))
-    cleaned = F.transform(raw_names, lambda c: F.regexp_replace(F.lower(F.trim(c)), r"\s+", "_"))
-    head = head.select("path", "_hkey", cleaned.alias("_cols"))
+              .agg(F.min_by("line", order).alias("_h"), F.min(order).alias("_hkey"))
+              .select("path", "_hkey", _csv_fields(F.col("_h")).alias("_raw"))
+              .select("path", "_hkey", _mangle_duplicates(F.col("_raw")).alias("_raw"))
+              .select("path", "_hkey", F.transform("_raw", lambda c: F.regexp_replace(
+                  F.lower(F.trim(c)), r"\s+", "_")).alias("_cols")))
     # One header row per file: AQE broadcasts it when its measured size allows.
-    data = nb.join(head, "path").filter(F.struct("row_block", "row_idx") != F.col("_hkey"))
-    vals = F.transform(fit_to(_csv_fields(F.col("line")), F.size("_cols")), lambda v: null_if_token(v))
+    data = (nb.join(head, "path").filter(F.struct("row_block", "row_idx") != F.col("_hkey"))
+              .select("path", "row_block", "row_idx", "_cols", _csv_fields(F.col("line")).alias("_v"))
+              .select("path", "row_block", "row_idx", "_cols",
+                      F.transform(fit_to(F.col("_v"), F.size("_cols")), lambda v: null_if_token(v)).alias("_v")))
+    lw = last_wins_policy(spark)
     rows = data.select("path", "row_block", "row_idx",
-                       map_last_wins(F.col("_cols"), vals).alias("fields"))
+                       map_last_wins(F.col("_cols"), F.col("_v"), lw).alias("fields"))
     files = head.select("path", F.array_distinct("_cols").alias("raw_cols"))
     errors = spark.createDataFrame([], "path string, message string")
     return RawBatch(rows, files, errors)
@@ -131,13 +139,18 @@ def parse_log(lines: DataFrame) -> RawBatch:
     for pat in reversed(LOG_TIMESTAMP_PATTERNS):
         m = F.regexp_extract("line", "(?U)" + pat, 0)
         ts = F.when(m != "", m).otherwise(ts)
-    keys = F.transform(F.regexp_extract_all("line", F.lit("(?U)" + LOG_KV_PATTERN), 1), lambda k: F.lower(k))
-    vals = F.regexp_extract_all("line", F.lit("(?U)" + LOG_KV_PATTERN), 2)
-    kv = map_last_wins(keys, vals)
-    ts_map = F.when(ts.isNotNull() & ~F.array_contains(F.map_keys(kv), F.lit("timestamp")),
-                    F.create_map(F.lit("timestamp"), ts)).otherwise(F.create_map().cast("map<string,string>"))
-    rec = F.map_concat(ts_map, kv)
-    rows = kept.select("path", "row_block", "row_idx", rec.alias("fields")).filter(F.size("fields") >= 2)
+    # Staged projections: each extracted array is computed once, then referenced.
+    staged = kept.select(
+        "path", "row_block", "row_idx", ts.alias("_ts"),
+        F.transform(F.regexp_extract_all("line", F.lit("(?U)" + LOG_KV_PATTERN), 1), lambda k: F.lower(k)).alias("_k"),
+        F.regexp_extract_all("line", F.lit("(?U)" + LOG_KV_PATTERN), 2).alias("_v"))
+    staged = staged.select("path", "row_block", "row_idx", "_ts",
+                           map_last_wins(F.col("_k"), F.col("_v"), last_wins_policy(spark)).alias("_kv"))
+    ts_map = F.when(F.col("_ts").isNotNull() & ~F.array_contains(F.map_keys("_kv"), F.lit("timestamp")),
+                    F.create_map(F.lit("timestamp"), F.col("_ts"))).otherwise(
+        F.create_map().cast("map<string,string>"))
+    rows = (staged.select("path", "row_block", "row_idx", F.map_concat(ts_map, F.col("_kv")).alias("fields"))
+                  .filter(F.size("fields") >= 2))
     files = _keys_per_file(rows)
     listed = lines.select("path").distinct()
     errors = (listed.join(files.select("path"), "path", "left_anti")

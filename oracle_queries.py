@@ -330,4 +330,22 @@ def oracle_sql() -> dict[str, str]:
       SELECT source_file, count(*) AS n_breaches,
              string_agg(position, ',' ORDER BY r) FILTER (WHERE r <= 10) AS first_positions
       FROM b GROUP BY source_file"""
+
+    # ---- readers over Spark-rendered text -------------------------------------
+    canon = ("round(actual_value, 6) + 0.0 AS actual_value, round(expected_value, 6) + 0.0 AS expected_value, "
+             "round(deviation, 6) + 0.0 AS deviation, operator, equipment_id")
+    q["log_parse"] = _with(M) + (
+        "SELECT 'run_' || CAST(run_id AS VARCHAR) || '.log' AS source_file, "
+        "date_trunc('second', \"timestamp\") AS \"timestamp\", position, " + canon + " FROM m")
+    q["csv_parse"] = _with(M) + (
+        "SELECT 'run_' || CAST(run_id AS VARCHAR) || '.csv' AS source_file, \"timestamp\", position, "
+        + canon + ", 'X' AS axis, 'mm' AS unit FROM m")
+    q["json_parse"] = _with(M) + (
+        "SELECT 'ev_' || CAST(measurement_id AS VARCHAR) || '.json' AS source_file, \"timestamp\", position, "
+        + canon + ", CAST(CAST(json_extract(e.props, '$.k') AS BIGINT) AS VARCHAR) AS meta_data_k "
+        "FROM m JOIN events e ON e.event_id = m.measurement_id")
+    flog = """flog AS (SELECT 'run_' || CAST(run_id AS VARCHAR) || '.log' AS source_file, measurement_id AS row_idx,
+               date_trunc('second', "timestamp") AS "timestamp", position, actual_value, expected_value, deviation
+               FROM m)"""
+    q["log_suite"] = _suite([M, flog], "flog", VCFG, False)
     return q

@@ -58,7 +58,7 @@ def test_missing_strategies(spark):
     assert len(dropped) == 1
     filled, _ = _run(spark, data, missing_strategy="fill", fill_value=0.0)
     assert filled[1]["actual_value"] == 0.0
-    assert filled[1]["deviation"] is None      # fill runs after deviation (not recomputed)
+    assert filled[1]["deviation"] == 0.0       # fill runs after deviation: filled, not recomputed
     with pytest.raises(ValueError):
         _run(spark, data, missing_strategy="fill")
     with pytest.raises(ValueError):
