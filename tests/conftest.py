@@ -68,3 +68,60 @@ def fixture_dir():
 @pytest.fixture()
 def store_dir():
     return tempfile.mkdtemp(prefix="metrolake-store-")
+
+
+def write_xlsx(path, header, rows, sheets_before_empty=0, date_cols=()):
+    """Minimal workbook writer for tests (shared strings, numbers, date style)."""
+    import zipfile
+    from xml.sax.saxutils import escape
+    strings: list[str] = []
+
+    def sidx(s):
+        if s not in strings:
+            strings.append(s)
+        return strings.index(s)
+
+    def col(i):
+        out = ""
+        i += 1
+        while i:
+            i, r = divmod(i - 1, 26)
+            out = chr(65 + r) + out
+        return out
+
+    def cell(ci, ri, v):
+        ref = f"{col(ci)}{ri}"
+        if v is None:
+            return ""
+        if ci in date_cols and isinstance(v, float):
+            return f'<c r="{ref}" s="1"><v>{v}</v></c>'
+        if isinstance(v, (int, float)):
+            return f'<c r="{ref}"><v>{v}</v></c>'
+        return f'<c r="{ref}" t="s"><v>{sidx(str(v))}</v></c>'
+
+    def sheet(all_rows):
+        body = "".join(f'<row r="{ri + 1}">' + "".join(cell(ci, ri + 1, v) for ci, v in enumerate(r)) + "</row>"
+                       for ri, r in enumerate(all_rows))
+        return ('<worksheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main">'
+                f"<sheetData>{body}</sheetData></worksheet>")
+
+    sheets = [sheet([]) for _ in range(sheets_before_empty)] + [sheet([header] + rows)]
+    ns = 'xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main" ' \
+         'xmlns:r="http://schemas.openxmlformats.org/officeDocument/2006/relationships"'
+    wb = f"<workbook {ns}><sheets>" + "".join(
+        f'<sheet name="S{i}" sheetId="{i + 1}" r:id="rId{i + 1}"/>' for i in range(len(sheets))) + "</sheets></workbook>"
+    rels = '<Relationships xmlns="http://schemas.openxmlformats.org/package/2006/relationships">' + "".join(
+        f'<Relationship Id="rId{i + 1}" Type="worksheet" Target="worksheets/sheet{i + 1}.xml"/>'
+        for i in range(len(sheets))) + "</Relationships>"
+    sheet_xml = [s for s in sheets]
+    sst = '<sst xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main">' + "".join(
+        f"<si><t>{escape(s)}</t></si>" for s in strings) + "</sst>"
+    styles = ('<styleSheet xmlns="http://schemas.openxmlformats.org/spreadsheetml/2006/main"><cellXfs>'
+              '<xf numFmtId="0"/><xf numFmtId="22"/></cellXfs></styleSheet>')
+    with zipfile.ZipFile(path, "w") as z:
+        z.writestr("xl/workbook.xml", wb)
+        z.writestr("xl/_rels/workbook.xml.rels", rels)
+        for i, s in enumerate(sheet_xml):
+            z.writestr(f"xl/worksheets/sheet{i + 1}.xml", s)
+        z.writestr("xl/sharedStrings.xml", sst)
+        z.writestr("xl/styles.xml", styles)

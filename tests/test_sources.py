@@ -148,3 +148,20 @@ def test_row_order_follows_lines_across_splits(spark):
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
     assert idx == list(range(20000))
+
+
+def test_workbook_first_sheet_with_data(spark):
+    from .conftest import write_xlsx
+    d = tempfile.mkdtemp()
+    header = ["Position", "Actual Value", "expected_value", "Operator", "equipment_id", "Timestamp"]
+    rows = [[f"POS_{i}", 10 + i / 1000, 10.0, "OP004", "TOOL_X3", 45352.5 + i / 1440] for i in range(8)]
+    write_xlsx(os.path.join(d, "cal.xlsx"), header, rows, sheets_before_empty=1, date_cols={5})
+    with open(os.path.join(d, "empty.xlsx"), "wb") as f:
+        f.write(b"not a zip")
+    b = read_raw(spark, list_files(spark, d))
+    got = _rows(b, "cal.xlsx")
+    assert len(got) == 8
+    assert got[0]["fields"]["actual_value"] == "10.0" and got[1]["fields"]["position"] == "POS_1"
+    assert got[0]["fields"]["timestamp"] == "2024-03-01 12:00:00"
+    assert b.files.filter(F.col("path").endswith("cal.xlsx")).first()["raw_cols"][1] == "actual_value"
+    assert any(r["path"].endswith("empty.xlsx") for r in b.errors.collect())
