@@ -157,7 +157,7 @@ def run_variation(m: DataFrame, as_of, lookback_days: int = 30,
                      F.stddev_pop("deviation").alias("std"),
                      (F.max("deviation") - F.min("deviation")).alias("range")))
     cv = F.when(F.col("mean") == 0, F.lit(INF)).otherwise(
-        F.col("std") / F.abs(F.col("mean")) * 100)
+        F.try_divide(F.col("std"), F.abs(F.col("mean"))) * 100)
     summary = summary.withColumn("cv", cv).select("position", "n_runs", "mean", "std", "cv", "range")
     if positions is not None:
         spark = m.sparkSession

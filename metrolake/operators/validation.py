@@ -227,16 +227,16 @@ def check_timestamps(rows: DataFrame, files: DataFrame, cfg: ValidationConfig =
     order = order_violations(rows)
     gaps = timestamp_gaps(rows, cfg.max_gap_hours)
     k = cfg.max_listed_gaps
-    # First k gaps per file: a limited row_number (partial limit per task).
+    # Gaps are few (bounded by a file's time span / max_gap): one window over
+    # them gives both the count and the first k in time order.
     first_w = Window.partitionBy("source_file").orderBy("gap_end")
-    first = (gaps.withColumn("_r", F.row_number().over(first_w)).filter(F.col("_r") <= k)
-                 .groupBy("source_file")
-                 .agg(F.sort_array(F.collect_list(F.struct(
-                     "_r", F.concat(_timedelta_text(F.col("gap_seconds")), F.lit(" gap before "),
-                                    F.col("gap_end").cast("string")).alias("_txt")))).alias("_first")))
-    n_g = gaps.groupBy("source_file").agg(F.count(F.lit(1)).alias("_n_gaps"))
-    f = (p.join(order, "source_file", "left").join(n_g, "source_file", "left")
-          .join(first, "source_file", "left"))
+    txt = F.concat(_timedelta_text(F.col("gap_seconds")), F.lit(" gap before "), F.col("gap_end").cast("string"))
+    listed = (gaps.withColumn("_r", F.row_number().over(first_w))
+                  .groupBy("source_file")
+                  .agg(F.count(F.lit(1)).alias("_n_gaps"),
+                       F.sort_array(F.collect_list(F.when(F.col("_r") <= k, F.struct("_r", txt.alias("_txt")))))
+                       .alias("_first")))
+    f = p.join(order, "source_file", "left").join(listed, "source_file", "left")
     n_ts = F.col("n_ts")
     n_gaps = F.coalesce("_n_gaps", F.lit(0))
     unordered = F.coalesce("n_order_violations", F.lit(0)) > 0
@@ -378,7 +378,8 @@ def outlier_stats(rows: DataFrame, files: DataFrame, cfg: ValidationConfig = Val
     iqr = F.col("q3") - F.col("q1")
     lo = F.col("q1") - cfg.iqr_factor * iqr
     hi = F.col("q3") + cfg.iqr_factor * iqr
-    z = F.abs(F.col("deviation") - F.col("mean")) / F.col("std")
+    # std is 0 for identical values and null for one value: no z-score then.
+    z = F.try_divide(F.abs(F.col("deviation") - F.col("mean")), F.col("std"))
     is_z = z > cfg.outlier_z
     is_iqr = (F.col("deviation") < lo) | (F.col("deviation") > hi)
     d = rows.filter(F.col("deviation").isNotNull()).select("source_file", "deviation")
@@ -393,7 +394,7 @@ def outlier_stats(rows: DataFrame, files: DataFrame, cfg: ValidationConfig = Val
 def check_outliers(rows: DataFrame, files: DataFrame, cfg: ValidationConfig = ValidationConfig(),
                    profile: DataFrame | None = None, exact: bool = True) -> DataFrame:
     s = outlier_stats(rows, files, cfg, exact, profile)
-    pct = 100.0 * F.col("n_outliers") / F.col("n")
+    pct = F.try_divide(100.0 * F.col("n_outliers"), F.col("n"))
     detail = F.concat(
         F.format_string("%d outlier(s) (", F.col("n_outliers")), _fmt(pct, 1),
         F.format_string("%%) detected. Z-score: %d, IQR: %d. ", F.col("n_z"), F.col("n_iqr")),
