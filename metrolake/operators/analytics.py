@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from ..config import AnalysisConfig
 from ..functions.buckets import bucket
 from .ordered import ordered_index
+from .quantiles import group_quantiles
 
 MEASUREMENT_FRAME_COLUMNS = [
     "measurement_id", "run_id", "position", "actual_value", "expected_value",
@@ -302,22 +303,20 @@ def time_trends(m: DataFrame, freq: str = "D") -> DataFrame:
              .orderBy("timestamp"))
 
 
-def equipment_boxplot(m: DataFrame, exact: bool = True, accuracy: int = 10000) -> DataFrame:
-    """Five-number summary of deviation per equipment.
+def equipment_boxplot(m: DataFrame, strategy: str = "auto") -> DataFrame:
+    """Five-number summary (linear quantiles) of deviation per equipment.
 
-    ``exact`` uses ``percentile``, whose buffer is a value->count map that is
-    merged map-side (its size follows the distinct values of a group, not
-    its rows); ``exact=False`` uses the fixed-size ``percentile_approx`` sketch.
+    Equipment ids are few and hot, so the quantiles come from
+    ``group_quantiles``: ``percentile`` while every equipment is below its
+    size bound, exact ranking across tasks above it (``approx`` for the
+    fixed-size sketch).
     """
-    probs = [0.0, 0.25, 0.5, 0.75, 1.0]
-    if exact:
-        q = F.percentile("deviation", F.array(*[F.lit(p) for p in probs]))
-    else:
-        q = F.percentile_approx("deviation", probs, accuracy)
-    r = m.groupBy("equipment_id").agg(q.alias("_q"), F.count("deviation").alias("n"))
     names = ["min", "q1", "median", "q3", "max"]
-    return r.select("equipment_id", "n",
-                    *[F.col("_q")[i].alias(nm) for i, nm in enumerate(names)]).orderBy("equipment_id")
+    q = group_quantiles(m.select("equipment_id", "deviation", "measurement_id"), ["equipment_id"],
+                        "deviation", [0.0, 0.25, 0.5, 0.75, 1.0], names, strategy=strategy,
+                        tie_break=["measurement_id"])
+    n = m.groupBy("equipment_id").agg(F.count("deviation").alias("n"))
+    return n.join(q, "equipment_id", "left").select("equipment_id", "n", *names).orderBy("equipment_id")
 
 
 def deviation_over_time(m: DataFrame) -> DataFrame:

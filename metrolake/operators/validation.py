@@ -34,6 +34,8 @@ from pyspark.sql import functions as F
 
 from ..config import (CHECK_ORDER, DUPLICATE_KEY_COLUMNS, MEASUREMENT_COLUMNS,
                       REQUIRED_COLUMNS, ValidationConfig)
+from .ordered import largest_group
+from .quantiles import DEFAULT_MAX_MAP_ROWS, MAX_MAP_ROWS_CONF, group_quantiles
 
 RESULT_COLUMNS = ["source_file", "check_order", "check_type", "status", "n_flagged", "details"]
 
@@ -77,37 +79,47 @@ def _fmt(x: Column, digits: int = 4) -> Column:
 # ---------------------------------------------------------------------------
 
 def file_profile(rows: DataFrame, files: DataFrame, cfg: ValidationConfig = ValidationConfig(),
-                 exact: bool = True, accuracy: int = 100000) -> DataFrame:
+                 quantiles: str = "auto") -> DataFrame:
     """One partial-aggregation pass per file: row and timestamp counts, time
-    range, null counts, threshold breaches and deviation statistics
-    (n, mean, sample std, quartiles, min, max).
-
-    Quartiles use ``percentile`` (exact, linear interpolation; its buffer is
-    a value->count map merged map-side, so it grows with the distinct values
-    of a file rather than its rows) or, with ``exact=False``, the
-    fixed-size ``percentile_approx`` sketch. Files without rows get zeros.
+    range, null counts, threshold breaches and deviation statistics (n,
+    mean, sample std, min, max), plus the linear quartiles from
+    ``group_quantiles`` (``quantiles``: auto / map / ranked / approx; auto
+    picks ``percentile`` while every file is below a size bound and ranks the
+    values across tasks otherwise). Files without rows get zeros.
     """
     dev = F.col("deviation")
-    if exact:
-        q = F.percentile(dev, F.array(F.lit(0.25), F.lit(0.75)))
-    else:
-        q = F.percentile_approx(dev, [0.25, 0.75], accuracy)
+    if quantiles == "auto":
+        limit = int(rows.sparkSession.conf.get(MAX_MAP_ROWS_CONF, str(DEFAULT_MAX_MAP_ROWS)))
+        quantiles = "map" if largest_group(rows, ["source_file"]) <= limit else "ranked"
+    in_pass = []
+    if quantiles in ("map", "approx"):
+        # Bounded buffers ride along with the other aggregates (one pass).
+        q = (F.percentile(dev, F.array(F.lit(0.25), F.lit(0.75))) if quantiles == "map"
+             else F.percentile_approx(dev, [0.25, 0.75], 100000))
+        in_pass = [q.alias("_q")]
     agg = rows.groupBy("source_file").agg(
         F.count(F.lit(1)).alias("n_rows"), F.count("timestamp").alias("n_ts"),
         F.min("timestamp").alias("ts_min"), F.max("timestamp").alias("ts_max"),
         *[F.count_if(F.col(c).isNull()).alias(f"_null_{c}") for c in MEASUREMENT_COLUMNS],
         F.count_if(F.abs(dev) > cfg.drift_threshold).alias("n_breaches"),
         F.count(dev).alias("n"), F.avg(dev).alias("mean"), F.stddev_samp(dev).alias("std"),
-        q.alias("_q"), F.min(dev).alias("min"), F.max(dev).alias("max"))
+        F.min(dev).alias("min"), F.max(dev).alias("max"), *in_pass)
+    if in_pass:
+        agg = agg.withColumn("q1", F.col("_q")[0]).withColumn("q3", F.col("_q")[1]).drop("_q")
+    else:
+        agg = agg.join(group_quantiles(rows.select("source_file", "deviation", "row_block", "row_idx"),
+                                       ["source_file"], "deviation", [0.25, 0.75], ["q1", "q3"],
+                                       strategy="ranked", tie_break=["row_block", "row_idx"]),
+                       "source_file", "left")
     zero = F.lit(0).cast("long")
-    return files.select("source_file", "present_cols").join(agg, "source_file", "left").select(
+    return (files.select("source_file", "present_cols").join(agg, "source_file", "left").select(
         "source_file", "present_cols",
         F.coalesce("n_rows", zero).alias("n_rows"), F.coalesce("n_ts", zero).alias("n_ts"),
         "ts_min", "ts_max",
         *[F.when(_has(c), F.coalesce(f"_null_{c}", zero)).otherwise(zero).alias(f"null_{c}")
           for c in MEASUREMENT_COLUMNS],
         F.coalesce("n_breaches", zero).alias("n_breaches"), F.coalesce("n", zero).alias("n"),
-        "mean", "std", F.col("_q")[0].alias("q1"), F.col("_q")[1].alias("q3"), "min", "max")
+        "mean", "std", "q1", "q3", "min", "max"))
 
 
 def _profile(rows, files, cfg, profile):
@@ -369,11 +381,11 @@ def check_duplicates(rows: DataFrame, files: DataFrame, cfg: ValidationConfig =
 # ---------------------------------------------------------------------------
 
 def outlier_stats(rows: DataFrame, files: DataFrame, cfg: ValidationConfig = ValidationConfig(),
-                  exact: bool = True, profile: DataFrame | None = None) -> DataFrame:
+                  quantiles: str = "auto", profile: DataFrame | None = None) -> DataFrame:
     """Per file: n, mean, sample std, linear quartiles, min, max of deviation
     (from the file profile) and the z-score / IQR / union outlier counts
     (a second pass that joins the one-row-per-file statistics back)."""
-    p = profile if profile is not None else file_profile(rows, files, cfg, exact)
+    p = profile if profile is not None else file_profile(rows, files, cfg, quantiles)
     st = p.select("source_file", "present_cols", "n", "mean", "std", "q1", "q3", "min", "max")
     iqr = F.col("q3") - F.col("q1")
     lo = F.col("q1") - cfg.iqr_factor * iqr
@@ -392,8 +404,8 @@ def outlier_stats(rows: DataFrame, files: DataFrame, cfg: ValidationConfig = Val
 
 
 def check_outliers(rows: DataFrame, files: DataFrame, cfg: ValidationConfig = ValidationConfig(),
-                   profile: DataFrame | None = None, exact: bool = True) -> DataFrame:
-    s = outlier_stats(rows, files, cfg, exact, profile)
+                   profile: DataFrame | None = None, quantiles: str = "auto") -> DataFrame:
+    s = outlier_stats(rows, files, cfg, quantiles, profile)
     pct = F.try_divide(100.0 * F.col("n_outliers"), F.col("n"))
     detail = F.concat(
         F.format_string("%d outlier(s) (", F.col("n_outliers")), _fmt(pct, 1),
@@ -477,7 +489,7 @@ CHECKS: dict[str, Callable[..., DataFrame]] = {
 
 def run_checks(rows: DataFrame, files: DataFrame, cfg: ValidationConfig = ValidationConfig(),
                checks: Sequence[str] = tuple(CHECK_ORDER), stored: DataFrame | None = None,
-               exact_quartiles: bool = True) -> DataFrame:
+               quantiles: str = "auto") -> DataFrame:
     """The chosen checks (default: all seven, in suite order).
 
     The per-file profile is computed once and shared by the checks, so the
@@ -487,7 +499,7 @@ def run_checks(rows: DataFrame, files: DataFrame, cfg: ValidationConfig = Valida
     unknown = [c for c in checks if c not in CHECKS]
     if unknown:
         raise ValueError(f"unknown checks {unknown}; choose from {list(CHECKS)}")
-    profile = file_profile(rows, files, cfg, exact_quartiles)
+    profile = file_profile(rows, files, cfg, quantiles)
     parts = []
     for name in checks:
         fn = CHECKS[name]

@@ -138,3 +138,32 @@ def test_slope_sorted_strategy_matches(spark):
     w = {r["run_id"]: r["drift_slope"] for r in A.drift_slope(m, strategy="window").collect()}
     s = {r["run_id"]: r["drift_slope"] for r in A.drift_slope(m, strategy="sorted").collect()}
     assert w.keys() == s.keys() and all(w[k] == pytest.approx(s[k]) for k in w)
+
+
+def test_group_quantiles_strategies_match_numpy(spark):
+    import numpy as np
+    from metrolake.operators.quantiles import group_quantiles
+    rnd = random.Random(1)
+    rows = [(rnd.choice(["hot"] * 6 + ["a", "b"]), float(rnd.randint(-50, 50)) / 7 if rnd.random() > 0.02 else None, i)
+            for i in range(3000)] + [("one", 3.5, 10 ** 6), ("two", 1.0, 10 ** 6 + 1), ("two", 2.0, 10 ** 6 + 2)]
+    df = spark.createDataFrame(rows, "g string, v double, id long")
+    probs = [0.0, 0.25, 0.5, 0.75, 1.0]
+    names = ["p0", "p25", "p50", "p75", "p100"]
+    for strategy in ["map", "ranked"]:
+        got = {r["g"]: [r[n] for n in names]
+               for r in group_quantiles(df, ["g"], "v", probs, names, strategy=strategy, tie_break=["id"]).collect()}
+        for g, q in got.items():
+            vals = np.array([v for gg, v, _ in rows if gg == g and v is not None])
+            assert q == pytest.approx(list(np.quantile(vals, probs)), abs=1e-12), (strategy, g)
+
+
+def test_profile_ranked_quartiles_equal_map(spark):
+    from metrolake.operators import validation as V
+    rows = [(f"f{i % 3}", 0, i, dt.datetime(2024, 1, 1), "P", 1.0, 1.0, float((i * 37) % 11) / 3)
+            for i in range(600)]
+    df = spark.createDataFrame(rows, "source_file string, row_block long, row_idx long, timestamp timestamp_ntz, "
+                                     "position string, actual_value double, expected_value double, deviation double")
+    files = V.files_of(df)
+    a = {r["source_file"]: (r["q1"], r["q3"]) for r in V.file_profile(df, files, quantiles="map").collect()}
+    b = {r["source_file"]: (r["q1"], r["q3"]) for r in V.file_profile(df, files, quantiles="ranked").collect()}
+    assert a.keys() == b.keys() and all(a[k] == pytest.approx(b[k]) for k in a)
