@@ -42,9 +42,16 @@ def _ts_lit(as_of) -> Column:
 
 
 def lookback_filter(m: DataFrame, as_of, days: int) -> DataFrame:
-    """Rows with ``timestamp >= as_of - days`` (inclusive; null timestamps out)."""
+    """Rows with ``timestamp >= as_of - days`` (inclusive; null timestamps out).
+
+    When the frame carries the store's ``ts_date`` partition column the same
+    bound is also put on it, so the scan prunes whole date partitions.
+    """
     cutoff = _ts_lit(as_of) - F.make_dt_interval(F.lit(days))
-    return m.filter(F.col("timestamp") >= cutoff)
+    out = m.filter(F.col("timestamp") >= cutoff)
+    if "ts_date" in m.columns:
+        out = out.filter(F.col("ts_date") >= F.to_date(cutoff))
+    return out
 
 
 # ---------------------------------------------------------------------------

@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from ..config import (CHECK_ORDER, DUPLICATE_KEY_COLUMNS, MEASUREMENT_COLUMNS,
                       REQUIRED_COLUMNS, ValidationConfig)
-from .ordered import largest_group
+from .ordered import largest_group, ordered_index
 from .quantiles import DEFAULT_MAX_MAP_ROWS, MAX_MAP_ROWS_CONF, group_quantiles
 
 RESULT_COLUMNS = ["source_file", "check_order", "check_type", "status", "n_flagged", "details"]
@@ -239,15 +239,18 @@ def check_timestamps(rows: DataFrame, files: DataFrame, cfg: ValidationConfig =
     order = order_violations(rows)
     gaps = timestamp_gaps(rows, cfg.max_gap_hours)
     k = cfg.max_listed_gaps
-    # Gaps are few (bounded by a file's time span / max_gap): one window over
-    # them gives both the count and the first k in time order.
+    # Gaps per file are bounded by its time span / max_gap. One window
+    # operator gives each gap's rank and the file's gap count; only the
+    # first k per file go on to the aggregation.
     first_w = Window.partitionBy("source_file").orderBy("gap_end")
+    all_w = Window.partitionBy("source_file")
     txt = F.concat(_timedelta_text(F.col("gap_seconds")), F.lit(" gap before "), F.col("gap_end").cast("string"))
-    listed = (gaps.withColumn("_r", F.row_number().over(first_w))
+    listed = (gaps.select("source_file", "gap_end", "gap_seconds",
+                          F.row_number().over(first_w).alias("_r"), F.count(F.lit(1)).over(all_w).alias("_cnt"))
+                  .filter(F.col("_r") <= k)
                   .groupBy("source_file")
-                  .agg(F.count(F.lit(1)).alias("_n_gaps"),
-                       F.sort_array(F.collect_list(F.when(F.col("_r") <= k, F.struct("_r", txt.alias("_txt")))))
-                       .alias("_first")))
+                  .agg(F.first("_cnt").alias("_n_gaps"),
+                       F.sort_array(F.collect_list(F.struct("_r", txt.alias("_txt")))).alias("_first")))
     f = p.join(order, "source_file", "left").join(listed, "source_file", "left")
     n_ts = F.col("n_ts")
     n_gaps = F.coalesce("_n_gaps", F.lit(0))
@@ -293,12 +296,19 @@ def store_overlap(rows: DataFrame | None, stored: DataFrame, window_hours: float
     """Per file, count of stored measurements with timestamp in
     [min(ts) - w, max(ts) + w] (inclusive).
 
-    Exact range count without a nested-loop join: the store is reduced to
-    counts per hour, turned into a running total (one row per hour of the
-    store's time span), and a file's count is (hours strictly inside its
-    range, from the running totals) + (rows of its two edge hours, compared
-    exactly). Both lookups are equi-joins. ``ranges`` (source_file, ts_min,
-    ts_max) can come from a file profile instead of ``rows``.
+    Exact range count with equi-joins only (no nested loop, no file x row
+    pairs). With hour buckets h_lo / h_hi of the range ends:
+
+    * hours strictly between them: running total of the store's hourly
+      counts (a table bounded by the store's time span);
+    * the two edge hours: how many stored rows of that hour lie before an
+      edge is a rank lookup. The edges are ranked together with the stored
+      rows of the same hour (``ordered_index``: a window for normal hours,
+      range-sorted slices for a hot hour) and the rank among edges alone is
+      subtracted.
+
+    ``ranges`` (source_file, ts_min, ts_max) can come from a file profile
+    instead of ``rows``.
     """
     w_us = int(round(window_hours * 3600 * 1_000_000))
     hour_us = 3600 * 1_000_000
@@ -312,26 +322,41 @@ def store_overlap(rows: DataFrame | None, stored: DataFrame, window_hours: float
                          F.floor(F.col("hi") / hour_us).alias("h_hi")))
     st = (stored.filter(F.col("timestamp").isNotNull())
                 .select(us("timestamp").alias("t"))
-                .select("t", F.floor(F.col("t") / hour_us).alias("h")))
+                .select(F.floor(F.col("t") / hour_us).alias("h"), "t"))
     hourly = st.groupBy("h").agg(F.count(F.lit(1)).alias("c"))
     # Running total over hours: one row per non-empty hour of the store, a
     # table bounded by its time span (not its rows); the window is one task.
     cum = hourly.select("h", F.sum("c").over(Window.orderBy("h")).alias("cum"))
-    # Interior = cum(h_hi - 1) - cum(h_lo), where cum(h) is the total of all
-    # hours <= h, found by an as-of lookup (last non-empty hour <= h).
+    # Interior = cum(h_hi - 1) - cum(h_lo), cum(h) = total of all hours <= h,
+    # found by an as-of lookup (last non-empty hour <= h).
     q = (rng.select("source_file", (F.col("h_hi") - 1).alias("_q"), F.lit(1).alias("_sgn"))
             .unionByName(rng.select("source_file", F.col("h_lo").alias("_q"), F.lit(-1).alias("_sgn"))))
     interior = _asof_cumulative(q, cum).groupBy("source_file").agg(
         F.sum(F.col("_sgn") * F.col("_cum")).alias("interior"))
-    edges = (rng.select("source_file", "lo", "hi", F.col("h_lo").alias("h"))
-                .unionByName(rng.filter(F.col("h_hi") != F.col("h_lo"))
-                             .select("source_file", "lo", "hi", F.col("h_hi").alias("h"))))
-    edge_cnt = (edges.join(st, "h")
-                     .filter((F.col("t") >= F.col("lo")) & (F.col("t") <= F.col("hi")))
-                     .groupBy("source_file").agg(F.count(F.lit(1)).alias("edge")))
+    # Edge points: the lower end counts stored rows strictly before it (kind
+    # 0 sorts before an equal stored time), the upper end rows up to and
+    # including it (kind 2 sorts after).
+    edges = (rng.select("source_file", F.col("h_lo").alias("h"), F.col("lo").alias("t"), F.lit(0).alias("kind"))
+                .unionByName(rng.select("source_file", F.col("h_hi").alias("h"), F.col("hi").alias("t"),
+                                        F.lit(2).alias("kind"))))
+    pts = (st.select("h", "t", F.lit(1).alias("kind"), F.lit(None).cast("string").alias("source_file"))
+             .unionByName(edges.select("h", "t", "kind", "source_file")))
+    order = [F.col("t"), F.col("kind"), F.col("source_file")]
+    all_rank = ordered_index(pts, ["h"], order, name="_all").filter(F.col("kind") != 1)
+    edge_rank = ordered_index(edges, ["h"], order, name="_edges")
+    before = (all_rank.join(edge_rank.select("h", "t", "kind", "source_file", "_edges"),
+                            ["h", "t", "kind", "source_file"])
+                      .select("source_file", "kind", (F.col("_all") - F.col("_edges")).alias("_before")))
+    b = before.groupBy("source_file").agg(
+        F.max(F.when(F.col("kind") == 0, F.col("_before"))).alias("_lo_before"),
+        F.max(F.when(F.col("kind") == 2, F.col("_before"))).alias("_hi_upto"))
+    j = (rng.join(interior, "source_file", "left").join(b, "source_file", "left")
+            .join(hourly.select(F.col("h").alias("h_lo"), F.col("c").alias("_c_lo")), "h_lo", "left"))
+    same = F.col("h_hi") == F.col("h_lo")
     inner = F.when(F.col("h_hi") > F.col("h_lo") + 1, F.coalesce("interior", F.lit(0))).otherwise(0)
-    return (rng.join(interior, "source_file", "left").join(edge_cnt, "source_file", "left")
-            .select("source_file", (inner + F.coalesce("edge", F.lit(0))).cast("long").alias("n_stored_in_range")))
+    edge = F.when(same, F.col("_hi_upto") - F.col("_lo_before")).otherwise(
+        F.coalesce("_c_lo", F.lit(0)) - F.col("_lo_before") + F.col("_hi_upto"))
+    return j.select("source_file", (inner + edge).cast("long").alias("n_stored_in_range"))
 
 
 def _asof_cumulative(q: DataFrame, cum: DataFrame) -> DataFrame:

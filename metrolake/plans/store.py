@@ -65,16 +65,18 @@ class Store:
         return self.table("measurements").join(
             self.committed_runs().select("run_id"), "run_id", "left_semi")
 
-    def measurement_frame(self, run_ids=None) -> DataFrame:
-        """Committed measurements joined to their runs (11 columns)."""
+    def measurement_frame(self, run_ids=None, with_partition: bool = True) -> DataFrame:
+        """Committed measurements joined to their runs (the 11 columns,
+        plus the ``ts_date`` partition column so lookback filters prune)."""
         m = self.table("measurements")
         r = self.committed_runs()
         if run_ids is not None:
             ids = list(run_ids)
             m = m.filter(F.col("run_id").isin(ids))
             r = r.filter(F.col("run_id").isin(ids))
+        cols = MEASUREMENT_FRAME_COLUMNS + (["ts_date"] if with_partition else [])
         return (m.join(r.select("run_id", "equipment_id", "operator"), "run_id")
-                 .select(*MEASUREMENT_FRAME_COLUMNS))
+                 .select(*cols))
 
     def max_id(self, name: str, col: str) -> int:
         """Largest id in a table (0 when empty): one aggregate, one number."""

@@ -59,8 +59,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's checkpoint folder; set a scratch one only if unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder and is used
-    as is. Only when nothing is configured (local tests) a fresh scratch
-    folder is created.
+    as is (and is required). Only in local mode with nothing configured
+    (tests) a fresh scratch folder is created.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
@@ -68,6 +68,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         if not sc.getCheckpointDir():
             sc.setCheckpointDir(current)
         return current
+    if not sc.master.startswith("local"):
+        raise RuntimeError("spark.checkpoint.dir is not set: name a folder shared by the cluster "
+                           "(a machine-local folder would not survive a lost executor).")
     path = tempfile.mkdtemp(prefix="metrolake-ckpt-")
     sc.setCheckpointDir(path)
     return path
