@@ -7,7 +7,9 @@ BY g ORDER BY o)`` does it, but puts each group in one task, which breaks
 down when a single group holds a large share of all rows.
 
 ``ordered_index`` therefore checks the largest group first (one small
-aggregation) and only uses the window when every group is below a bound.
+aggregation; skipped when Catalyst's size estimate of the whole input is
+below a small bound) and only uses the window when every group is below a
+bound.
 Above it, it range-partitions on ``(group, order)`` so that a hot group is
 cut into many sorted slices on many tasks, counts each slice with a
 partial aggregation, turns slice counts into offsets with a window over the
@@ -27,12 +29,33 @@ from pyspark.sql import functions as F
 
 MAX_WINDOW_ROWS_CONF = "metrolake.ordered.maxWindowRows"
 DEFAULT_MAX_WINDOW_ROWS = 2_000_000
+SMALL_INPUT_CONF = "metrolake.smallInputBytes"
+DEFAULT_SMALL_INPUT_BYTES = 64 * 1024 * 1024
 
 
 def _cols(xs) -> list[Column]:
     return [F.col(x) if isinstance(x, str) else x for x in xs]
 
 
+def plan_size_bytes(df: DataFrame) -> int:
+    """Catalyst's size estimate of the optimized plan (no job runs).
+
+    For scans, projections and filters it is an upper bound of the data the
+    plan produces (a filter keeps its input's estimate)."""
+    try:
+        v = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+        return v if isinstance(v, int) else int(v.toString())
+    except Exception:  # noqa: BLE001 - no estimate: treat as large
+        return 1 << 62
+
+
+def is_small_input(df: DataFrame) -> bool:
+    """True when the whole input is below the small-input bound, so no group
+    of it can be large and the per-group fast paths need no size check."""
+    limit = int(df.sparkSession.conf.get(SMALL_INPUT_CONF, str(DEFAULT_SMALL_INPUT_BYTES)))
+    return plan_size_bytes(df) <= limit
+
+
 def largest_group(df: DataFrame, by: Sequence[str]) -> int:
     """Row count of the biggest group (partial aggregation, one number back)."""
     row = df.groupBy(*by).count().agg(F.max("count").alias("m")).first()
@@ -50,7 +73,7 @@ def ordered_index(df: DataFrame, by: Sequence[str], order: Sequence[Column | str
     if strategy == "auto":
         limit = max_window_rows or int(df.sparkSession.conf.get(
             MAX_WINDOW_ROWS_CONF, str(DEFAULT_MAX_WINDOW_ROWS)))
-        strategy = "window" if largest_group(df, by) <= limit else "sorted"
+        strategy = "window" if is_small_input(df) or largest_group(df, by) <= limit else "sorted"
     if strategy == "window":
         w = Window.partitionBy(*by).orderBy(*_cols(order))
         return df.withColumn(name, (F.row_number().over(w) - 1).cast("long"))

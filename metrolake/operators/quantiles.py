@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .ordered import largest_group, ordered_index
+from .ordered import is_small_input, largest_group, ordered_index
 
 MAX_MAP_ROWS_CONF = "metrolake.quantiles.maxMapRows"
 DEFAULT_MAX_MAP_ROWS = 2_000_000
@@ -37,7 +37,7 @@ def group_quantiles(df: DataFrame, by: Sequence[str], value: str, probs: Sequenc
     d = df.filter(F.col(value).isNotNull())
     if strategy == "auto":
         limit = max_map_rows or int(df.sparkSession.conf.get(MAX_MAP_ROWS_CONF, str(DEFAULT_MAX_MAP_ROWS)))
-        strategy = "map" if largest_group(d, by) <= limit else "ranked"
+        strategy = "map" if is_small_input(d) or largest_group(d, by) <= limit else "ranked"
     if strategy == "map":
         q = F.percentile(value, F.array(*[F.lit(float(p)) for p in probs]))
         return d.groupBy(*by).agg(q.alias("_q")).select(
