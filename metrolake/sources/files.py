@@ -40,10 +40,10 @@ def unsupported_message(path: Column | str) -> Column:
     return F.format_string(f"Unsupported file extension '%s'. Supported: [{supported}]", suffix_of(path))
 
 
-def list_files(spark: SparkSession, location: str, recursive: bool = False,
-               single_file: bool = False) -> DataFrame:
-    """Files under ``location`` (or one file) with their mtime and size,
-    oldest first. Only metadata is read."""
+def list_files(spark: SparkSession, location: str, recursive: bool = False) -> DataFrame:
+    """The files under a folder ``location`` (or the one file it names)
+    with their mtime and size. Only metadata is read; order by
+    ``modificationTime`` for oldest first."""
     reader = spark.read.format("binaryFile")
     if recursive:
         reader = reader.option("recursiveFileLookup", "true")

@@ -31,7 +31,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Parquet scan of a driver table; the DataFrame is reused per session so
     that the file listing and footer read happen once."""
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark._jsparkSession), path)
+    key = (spark.sparkContext.applicationId, id(spark._jsparkSession), path)
     df = _READS.get(key)
     if df is None:
         df = _READS[key] = spark.read.parquet(path)

@@ -167,3 +167,25 @@ def test_profile_ranked_quartiles_equal_map(spark):
     a = {r["source_file"]: (r["q1"], r["q3"]) for r in V.file_profile(df, files, quantiles="map").collect()}
     b = {r["source_file"]: (r["q1"], r["q3"]) for r in V.file_profile(df, files, quantiles="ranked").collect()}
     assert a.keys() == b.keys() and all(a[k] == pytest.approx(b[k]) for k in a)
+
+
+def test_report_bundles(loaded):
+    m = loaded[1].measurement_frame()
+    rep = A.summary_report(m)
+    assert set(rep) == {"worst_positions", "equipment_summary", "operator_summary", "daily_trend"}
+    assert rep["daily_trend"].count() == 3
+    full = A.trend_report(m, loaded[1].committed_runs(), AS_OF, equipment="TOOL_X1", position="POS_A1",
+                          row_cap=2)
+    assert full["worst_positions"].count() == 2                       # display cap
+    assert full["stability"].first()["out_of_control"] == 1
+    assert full["run_variation"].first()["n_runs"] == 3
+    assert full["alerts"].count() == 0
+    assert full["recent_run_drift"].select("run_id").distinct().count() == 3
+
+
+def test_single_file_listing_and_ingest(spark, fixture_dir, store_dir):
+    from metrolake.sources.files import list_files
+    one = os.path.join(fixture_dir, "sample_calibration.log")
+    assert [r["file_name"] for r in list_files(spark, one).collect()] == ["sample_calibration.log"]
+    s = ingest_folder(spark, one, store_dir, as_of=AS_OF).first()
+    assert (s["status"], s["rows"]) == ("success", 6)

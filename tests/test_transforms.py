@@ -97,3 +97,13 @@ def test_mixed_files_choose_aliases_per_file(spark):
     got = {x["source_file"]: x["actual_value"] for x in r.collect()}
     assert got == {"f1": 1.0, "f2": 5.0}
     assert F is not None
+
+
+def test_drop_blank_rows_opt_in(spark):
+    data = [{"position": "p", "actual_value": "1", "expected_value": "1"},
+            {"position": None, "actual_value": None, "expected_value": None}]
+    kept, _ = _run(spark, data)
+    assert len(kept) == 2                       # default: the blank row stays (and reads position NAN)
+    assert kept[1]["position"] == "NAN"
+    dropped, _ = _run(spark, data, drop_blank=True)
+    assert len(dropped) == 1
