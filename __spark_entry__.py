@@ -144,6 +144,27 @@ def _q() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["log_suite"] = lambda s, d: _checks(V.run_checks(*TR.transform(
         P.parse_log(feeds.log_lines(s, d)).rows.withColumnRenamed("path", "source_file"),
         P.parse_log(feeds.log_lines(s, d)).files.withColumnRenamed("path", "source_file"))))
+    def blanks(s, d, **kw):
+        b = P.parse_csv(feeds.csv_lines_with_blanks(s, d))
+        return TR.transform(b.rows.withColumnRenamed("path", "source_file"),
+                            b.files.withColumnRenamed("path", "source_file"), **kw)
+
+    q["csv_missing_flag"] = lambda s, d: _r(blanks(s, d)[0].select(
+        "source_file", "row_idx", "actual_value", "deviation", "is_missing"))
+    q["csv_missing_drop"] = lambda s, d: _r(blanks(s, d, missing_strategy="drop")[0].select(
+        "source_file", "row_idx", "actual_value", "deviation"))
+    q["csv_missing_fill"] = lambda s, d: _r(blanks(s, d, missing_strategy="fill", fill_value=0.0)[0].select(
+        "source_file", "row_idx", "actual_value", "deviation"))
+    q["csv_missing_suite"] = lambda s, d: _checks(V.run_checks(*blanks(s, d)))
+
+    def no_equipment(s, d, **kw):
+        b = P.parse_log(feeds.log_lines_without_equipment(s, d))
+        return TR.transform(b.rows.withColumnRenamed("path", "source_file"),
+                            b.files.withColumnRenamed("path", "source_file"), **kw)[0]
+
+    q["log_metadata_default"] = lambda s, d: _r(no_equipment(s, d).select(*CANON_OUT))
+    q["log_metadata_given"] = lambda s, d: _r(no_equipment(s, d, equipment_id="TOOL_LAB").select(
+        "source_file", "timestamp", "equipment_id", "operator"))
     return q
 
 

@@ -66,3 +66,31 @@ def json_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     doc = F.to_json(F.struct(F.lit("events").alias("source"), F.array(rec).alias("records")))
     return e.select(F.concat(F.lit("ev_"), F.col("event_id").cast("string"), F.lit(".json")).alias("path"),
                     doc.alias("doc"))
+
+
+def csv_lines_with_blanks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``csv_lines``, but readings below 1.0 are left blank (a missing
+    value in the file), so the missing-value strategies have work to do."""
+    e = read_table(spark, sf_dir, "events")
+    reading = F.when(F.col("value") < 1.0, F.lit("")).otherwise(F.col("value").cast("string"))
+    data = e.select(
+        _run_file(".csv").alias("path"), F.lit(0).cast("long").alias("row_block"),
+        F.col("event_id").alias("row_idx"),
+        F.concat_ws(",", F.date_format("ts", TS_TEXT_FULL), F.concat(F.lit("pos_"), "event_type"),
+                    reading, F.lit("50.0"), F.col("event_type"),
+                    F.concat(F.lit("TOOL_"), (F.col("user_id") % 10).cast("string")),
+                    F.lit("X"), F.lit("mm")).alias("line"))
+    heads = (data.select("path").distinct()
+                 .select("path", F.lit(0).cast("long").alias("row_block"), F.lit(-1).cast("long").alias("row_idx"),
+                         F.lit(CSV_HEADER).alias("line")))
+    return heads.unionByName(data)
+
+
+def log_lines_without_equipment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log lines that carry no equipment key (the run metadata default applies)."""
+    e = read_table(spark, sf_dir, "events")
+    line = F.format_string("%s pos=%s reading=%s nominal=50.0 tech=%s",
+                           F.date_format("ts", "dd/MM/yyyy HH:mm:ss"), F.col("event_type"),
+                           F.col("value").cast("string"), F.col("event_type"))
+    return e.select(_run_file(".txt").alias("path"), F.lit(0).cast("long").alias("row_block"),
+                    F.col("event_id").alias("row_idx"), line.alias("line"))

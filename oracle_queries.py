@@ -348,4 +348,35 @@ def oracle_sql() -> dict[str, str]:
                date_trunc('second', "timestamp") AS "timestamp", position, actual_value, expected_value, deviation
                FROM m)"""
     q["log_suite"] = _suite([M, flog], "flog", VCFG, False)
+
+    # ---- missing-value strategies and metadata defaults ----------------------
+    blank = """b AS (SELECT 'run_' || CAST(run_id AS VARCHAR) || '.csv' AS source_file, measurement_id AS row_idx,
+                      "timestamp", position, CASE WHEN actual_value < 1.0 THEN NULL ELSE actual_value END AS actual_value,
+                      expected_value FROM m),
+           bd AS (SELECT *, actual_value - expected_value AS deviation FROM b)"""
+    q["csv_missing_flag"] = _with(M, blank) + (
+        "SELECT source_file, row_idx, round(actual_value, 6) + 0.0 AS actual_value, "
+        "round(deviation, 6) + 0.0 AS deviation, (actual_value IS NULL) AS is_missing FROM bd")
+    q["csv_missing_drop"] = _with(M, blank) + (
+        "SELECT source_file, row_idx, round(actual_value, 6) + 0.0 AS actual_value, "
+        "round(deviation, 6) + 0.0 AS deviation FROM bd WHERE actual_value IS NOT NULL")
+    q["csv_missing_fill"] = _with(M, blank) + (
+        "SELECT source_file, row_idx, round(coalesce(actual_value, 0.0), 6) + 0.0 AS actual_value, "
+        "round(coalesce(deviation, 0.0), 6) + 0.0 AS deviation FROM bd")
+    q["csv_missing_suite"] = _suite([M, blank], "bd", VCFG, False)
+    # The log writes dd/MM/yyyy; an ambiguous date (day <= 12) is read month
+    # first, as documented for the timestamp parser.
+    txt = """t0 AS (SELECT *, date_trunc('second', "timestamp") AS ts0 FROM m),
+           t AS (SELECT 'run_' || CAST(run_id AS VARCHAR) || '.txt' AS source_file,
+                        CASE WHEN day(ts0) <= 12
+                             THEN make_timestamp(year(ts0), day(ts0), month(ts0), hour(ts0), minute(ts0),
+                                                 CAST(second(ts0) AS DOUBLE))
+                             ELSE ts0 END AS "timestamp",
+                        upper(operator) AS position, actual_value, expected_value, deviation, operator FROM t0)"""
+    q["log_metadata_default"] = _with(M, txt) + (
+        "SELECT source_file, \"timestamp\", position, round(actual_value, 6) + 0.0 AS actual_value, "
+        "round(expected_value, 6) + 0.0 AS expected_value, round(deviation, 6) + 0.0 AS deviation, operator, "
+        "'UNKNOWN' AS equipment_id FROM t")
+    q["log_metadata_given"] = _with(M, txt) + (
+        "SELECT source_file, \"timestamp\", 'TOOL_LAB' AS equipment_id, operator FROM t")
     return q
