@@ -189,10 +189,11 @@ def control_limits(m: DataFrame, as_of, cfg: AnalysisConfig = AnalysisConfig())
                .withColumn("lcl", F.col("mean") - cfg.sigma * F.col("std")))
 
 
-def control_chart_points(m: DataFrame, as_of, cfg: AnalysisConfig = AnalysisConfig()) -> DataFrame:
+def control_chart_points(m: DataFrame, as_of, cfg: AnalysisConfig = AnalysisConfig(),
+                         limits: DataFrame | None = None) -> DataFrame:
     """A4e: every point in the lookback with its equipment's limits and flag."""
     w = lookback_filter(m, as_of, cfg.lookback_days)
-    lim = control_limits(m, as_of, cfg).select("equipment_id", "ucl", "lcl")
+    lim = (limits if limits is not None else control_limits(m, as_of, cfg)).select("equipment_id", "ucl", "lcl")
     # One row per equipment: AQE broadcasts it from its measured size.
     pts = w.select("equipment_id", "run_id", "measurement_id", "timestamp", "deviation").join(
         lim, "equipment_id")
@@ -209,21 +210,21 @@ def stability(m: DataFrame, as_of, cfg: AnalysisConfig = AnalysisConfig(),
     """
     if equipment is not None:
         m = m.filter(F.col("equipment_id").isin(list(equipment)))
-    pts = control_chart_points(m, as_of, cfg)
-    ooc = (pts.groupBy("equipment_id")
-              .agg(F.count_if(F.col("out_of_control")).alias("out_of_control")))
-    ix = ordered_index(
-        pts.select("equipment_id", "measurement_id", "timestamp", "deviation"),
-        ["equipment_id"], [F.col("timestamp").asc_nulls_last(), F.col("measurement_id")],
-        name="ix", strategy=strategy)
     lim = control_limits(m, as_of, cfg)
+    pts = lookback_filter(m, as_of, cfg.lookback_days).select(
+        "equipment_id", "measurement_id", "timestamp", "deviation")
+    ix = ordered_index(pts, ["equipment_id"], [F.col("timestamp").asc_nulls_last(), F.col("measurement_id")],
+                       name="ix", strategy=strategy)
+    # Limits and counts are one row per equipment (broadcast by AQE); one pass
+    # over the points counts the out-of-control ones and averages each half.
     half = F.floor(F.col("n") / 2)
-    halves = (ix.join(lim.select("equipment_id", "n"), "equipment_id")
+    outside = (F.col("deviation") > F.col("ucl")) | (F.col("deviation") < F.col("lcl"))
+    per_eq = (ix.join(lim.select("equipment_id", "n", "ucl", "lcl"), "equipment_id")
                 .groupBy("equipment_id")
-                .agg(F.first("n").alias("_n"),
+                .agg(F.count_if(outside).alias("out_of_control"),
                      F.avg(F.when(F.col("ix") < half, F.col("deviation"))).alias("first_mean"),
                      F.avg(F.when(F.col("ix") >= half, F.col("deviation"))).alias("second_mean")))
-    res = lim.join(ooc, "equipment_id", "left").join(halves, "equipment_id", "left")
+    res = lim.join(per_eq, "equipment_id", "left")
     mid = F.floor(F.col("n") / 2)
     delta = F.when(mid >= 2, F.col("second_mean") - F.col("first_mean"))
     trend = (F.when(mid < 2, F.lit("insufficient data"))
