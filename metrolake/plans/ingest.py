@@ -23,7 +23,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import MEASUREMENT_COLUMNS, REQUIRED_COLUMNS, ValidationConfig
@@ -146,9 +146,9 @@ def ingest_listing(spark: SparkSession, listing: DataFrame, store_root: str,
     # ---- ids ------------------------------------------------------------------------
     ok_files = summary_new.filter(F.col("_status") == "success")
     run_base = store.max_id("runs", "run_id")
-    by_age = Window.orderBy("modificationTime", "path")  # one row per loaded file
-    run_ids = ok_files.select("path", (F.lit(run_base) + F.row_number().over(by_age)).cast("long").alias("run_id"))
-    run_ids = run_ids.checkpoint()
+    # Ids follow file age; ordered_index keeps a huge batch off a single task.
+    run_ids = ordered_index(ok_files.select("path", "modificationTime"), [], ["modificationTime", "path"], "_k")
+    run_ids = run_ids.select("path", (F.lit(run_base + 1) + F.col("_k")).cast("long").alias("run_id")).checkpoint()
 
     ok_rows = rows.join(run_ids.withColumnRenamed("path", "source_file"), "source_file")
     ok_rows = ordered_index(ok_rows, ["source_file"], ["row_block", "row_idx"], name="_pos")
@@ -169,9 +169,8 @@ def ingest_listing(spark: SparkSession, listing: DataFrame, store_root: str,
 
     file_base = store.max_id("file_imports", "file_id")
     all_files = summary_new.unionByName(skip_rows).join(run_ids, "path", "left")
-    all_files = all_files.withColumn(
-        "file_id", (F.lit(file_base) + F.row_number().over(Window.orderBy("modificationTime", "path"))).cast("long")
-    ).checkpoint()
+    all_files = ordered_index(all_files, [], ["modificationTime", "path"], "_k")
+    all_files = all_files.withColumn("file_id", (F.lit(file_base + 1) + F.col("_k")).cast("long")).drop("_k").checkpoint()
     vrows = (results.join(all_files.select(F.col("path").alias("source_file"), "file_id", "run_id",
                                            "file_name", "file_hash"), "source_file")
                     .select((F.col("file_id") * 16 + F.col("check_order")).alias("validation_id"),

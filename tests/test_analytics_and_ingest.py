@@ -189,3 +189,10 @@ def test_single_file_listing_and_ingest(spark, fixture_dir, store_dir):
     assert [r["file_name"] for r in list_files(spark, one).collect()] == ["sample_calibration.log"]
     s = ingest_folder(spark, one, store_dir, as_of=AS_OF).first()
     assert (s["status"], s["rows"]) == ("success", 6)
+
+
+def test_ordered_index_without_groups(spark):
+    df = spark.range(0, 3000).selectExpr("id", "cast(id % 97 as long) as t")
+    a = {r["id"]: r["ix"] for r in ordered_index(df, [], ["t", "id"], "ix", strategy="window").collect()}
+    b = {r["id"]: r["ix"] for r in ordered_index(df, [], ["t", "id"], "ix", strategy="sorted").collect()}
+    assert a == b and sorted(b.values()) == list(range(3000))
