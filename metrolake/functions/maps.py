@@ -29,6 +29,10 @@ def map_last_wins(keys: Column, values: Column, session_last_wins: bool = False)
 
 
 def fit_to(values: Column, n: Column) -> Column:
-    """Pad with nulls / cut ``values`` to length ``n``."""
-    return F.transform(F.sequence(F.lit(1), F.greatest(n, F.lit(1))),
-                       lambda i: F.try_element_at(values, i))
+    """Pad with nulls / cut ``values`` to length ``n``.
+
+    Built from array functions without a lambda: an array expression used
+    inside a lambda would be re-evaluated for every element once Catalyst
+    inlines it."""
+    pad = F.array_repeat(F.lit(None).cast("string"), F.greatest(n - F.size(values), F.lit(0)))
+    return F.slice(F.concat(values, pad), 1, F.greatest(n, F.lit(1)))

@@ -87,8 +87,10 @@ def parse_csv(lines: DataFrame) -> RawBatch:
     own file's header by name (files with different layouts mix freely).
     pandas' default null tokens read as null; blank lines are skipped.
 
-    Each stage is its own projection: the split line is computed once and
-    then referenced (lambdas would otherwise re-run the split per element).
+    Data lines go through Spark's CSV parser (``from_csv``, RFC 4180 quotes)
+    with a schema as wide as the widest header (one number read from the
+    small per-file header table); no per-element lambdas, so the projection
+    stays in whole-stage codegen.
     """
     spark = lines.sparkSession
     nb = lines.filter(F.trim("line") != "")
@@ -98,15 +100,22 @@ def parse_csv(lines: DataFrame) -> RawBatch:
               .select("path", "_hkey", _csv_fields(F.col("_h")).alias("_raw"))
               .select("path", "_hkey", _mangle_duplicates(F.col("_raw")).alias("_raw"))
               .select("path", "_hkey", F.transform("_raw", lambda c: F.regexp_replace(
-                  F.lower(F.trim(c)), r"\s+", "_")).alias("_cols")))
+                  F.lower(F.trim(c)), r"\s+", "_")).alias("_cols"))).persist()
+    width = int(head.agg(F.max(F.size("_cols"))).first()[0] or 0)
+    if width == 0:
+        head.unpersist()
+        return RawBatch(spark.createDataFrame([], RAW_ROW_SCHEMA),
+                        head.select("path", F.col("_cols").alias("raw_cols")),
+                        spark.createDataFrame([], "path string, message string"))
+    schema = ", ".join(f"c{i} string" for i in range(width))
+    parsed = F.from_csv(F.col("line"), schema, {"escape": '"', "mode": "PERMISSIVE"})
     # One header row per file: AQE broadcasts it when its measured size allows.
     data = (nb.join(head, "path").filter(F.struct("row_block", "row_idx") != F.col("_hkey"))
-              .select("path", "row_block", "row_idx", "_cols", _csv_fields(F.col("line")).alias("_v"))
-              .select("path", "row_block", "row_idx", "_cols",
-                      F.transform(fit_to(F.col("_v"), F.size("_cols")), lambda v: null_if_token(v)).alias("_v")))
+              .select("path", "row_block", "row_idx", "_cols", parsed.alias("_p")))
+    vals = F.array(*[null_if_token(F.col("_p").getField(f"c{i}")) for i in range(width)])
     lw = last_wins_policy(spark)
     rows = data.select("path", "row_block", "row_idx",
-                       map_last_wins(F.col("_cols"), F.col("_v"), lw).alias("fields"))
+                       map_last_wins(F.col("_cols"), fit_to(vals, F.size("_cols")), lw).alias("fields"))
     files = head.select("path", F.array_distinct("_cols").alias("raw_cols"))
     errors = spark.createDataFrame([], "path string, message string")
     return RawBatch(rows, files, errors)
@@ -135,14 +144,16 @@ def parse_log(lines: DataFrame) -> RawBatch:
     t = F.trim("line")
     kept = lines.filter((t != "") & ~t.startswith("#")).select(
         "path", "row_block", "row_idx", t.alias("line"))
-    ts = F.lit(None).cast("string")
-    for pat in reversed(LOG_TIMESTAMP_PATTERNS):
-        m = F.regexp_extract("line", "(?U)" + pat, 0)
-        ts = F.when(m != "", m).otherwise(ts)
+    # First shape that occurs: coalesce stops at the first match, so each
+    # pattern runs at most once per line.
+    ts = F.coalesce(*[F.nullif(F.regexp_extract("line", "(?U)" + pat, 0), F.lit(""))
+                      for pat in LOG_TIMESTAMP_PATTERNS])
     # Staged projections: each extracted array is computed once, then referenced.
+    # Keys come from the lower-cased line (lower-casing keeps the match
+    # structure), values from the line itself: no per-element lambda.
     staged = kept.select(
         "path", "row_block", "row_idx", ts.alias("_ts"),
-        F.transform(F.regexp_extract_all("line", F.lit("(?U)" + LOG_KV_PATTERN), 1), lambda k: F.lower(k)).alias("_k"),
+        F.regexp_extract_all(F.lower("line"), F.lit("(?U)" + LOG_KV_PATTERN), 1).alias("_k"),
         F.regexp_extract_all("line", F.lit("(?U)" + LOG_KV_PATTERN), 2).alias("_v"))
     staged = staged.select("path", "row_block", "row_idx", "_ts",
                            map_last_wins(F.col("_k"), F.col("_v"), last_wins_policy(spark)).alias("_kv"))
