@@ -127,54 +127,6 @@ def _profile(rows, files, cfg, profile):
     return profile if profile is not None else file_profile(rows, files, cfg)
 
 
-# ---------------------------------------------------------------------------
-# V1 required columns
-# ---------------------------------------------------------------------------
-
-def check_required_columns(rows: DataFrame, files: DataFrame, cfg: ValidationConfig = ValidationConfig(),
-                           profile: DataFrame | None = None) -> DataFrame:
-    req = F.array(*[F.lit(c) for c in sorted(REQUIRED_COLUMNS)])
-    missing = F.array_sort(F.array_except(req, F.col("present_cols")))
-    f = files.withColumn("_missing", missing)
-    status = F.when(F.size("_missing") > 0, "fail").otherwise("pass")
-    details = F.when(F.size("_missing") > 0,
-                     F.concat(F.lit("Missing columns: "), _py_list(F.col("_missing")))
-                     ).otherwise(F.concat(F.lit("All required columns present: "), _py_list(req)))
-    return _result(f, "required_columns", status, F.size("_missing"), details)
-
-
-# ---------------------------------------------------------------------------
-# V2 row count
-# ---------------------------------------------------------------------------
-
-def check_row_count(rows: DataFrame, files: DataFrame, cfg: ValidationConfig = ValidationConfig(),
-                    profile: DataFrame | None = None) -> DataFrame:
-    f = _profile(rows, files, cfg, profile)
-    low = F.col("n_rows") < cfg.min_rows
-    status = F.when(low, "fail").otherwise("pass")
-    details = F.when(low, F.format_string(f"Only %d row(s); minimum expected is {cfg.min_rows}.", F.col("n_rows"))
-                     ).otherwise(F.format_string("%d rows present.", F.col("n_rows")))
-    return _result(f, "row_count", status, F.col("n_rows"), details)
-
-
-# ---------------------------------------------------------------------------
-# V3 missing measurements
-# ---------------------------------------------------------------------------
-
-def check_missing(rows: DataFrame, files: DataFrame, cfg: ValidationConfig = ValidationConfig(),
-                  profile: DataFrame | None = None) -> DataFrame:
-    f = _profile(rows, files, cfg, profile)
-    total = sum((F.col(f"null_{c}") for c in MEASUREMENT_COLUMNS), F.lit(0))
-    parts = F.array_compact(F.array(*[
-        F.when(F.col(f"null_{c}") > 0, F.format_string(f"{c}: %d null(s)", F.col(f"null_{c}")))
-        for c in MEASUREMENT_COLUMNS]))
-    status = F.when(total > 0, "warn").otherwise("pass")
-    details = F.when(total > 0, F.concat(
-        F.format_string("%d missing value(s): ", total), F.array_join(parts, "; "))
-    ).otherwise(F.lit("No missing measurement values."))
-    return _result(f, "missing_measurements", status, total, details)
-
-
 # ---------------------------------------------------------------------------
 # V4 timestamp order and gaps
 # ---------------------------------------------------------------------------
@@ -234,62 +186,28 @@ def _timedelta_text(secs: Column) -> Column:
     return F.concat(days.cast("string"), F.lit(" days "), hms, frac_txt)
 
 
-def check_timestamps(rows: DataFrame, files: DataFrame, cfg: ValidationConfig = ValidationConfig(),
-                     profile: DataFrame | None = None) -> DataFrame:
-    p = _profile(rows, files, cfg, profile).select("source_file", "present_cols", "n_ts")
-    order = order_violations(rows)
-    gaps = timestamp_gaps(rows, cfg.max_gap_hours)
-    k = cfg.max_listed_gaps
-    # Gaps per file are bounded by its time span / max_gap. One window
-    # operator gives each gap's rank and the file's gap count; only the
-    # first k per file go on to the aggregation.
-    first_w = Window.partitionBy("source_file").orderBy("gap_end")
-    all_w = Window.partitionBy("source_file")
-    txt = F.concat(_timedelta_text(F.col("gap_seconds")), F.lit(" gap before "), F.col("gap_end").cast("string"))
-    listed = (gaps.select("source_file", "gap_end", "gap_seconds",
-                          F.row_number().over(first_w).alias("_r"), F.count(F.lit(1)).over(all_w).alias("_cnt"))
-                  .filter(F.col("_r") <= k)
-                  .groupBy("source_file")
-                  .agg(F.first("_cnt").alias("_n_gaps"),
-                       F.sort_array(F.collect_list(F.struct("_r", txt.alias("_txt")))).alias("_first")))
-    f = p.join(order, "source_file", "left").join(listed, "source_file", "left")
-    n_ts = F.col("n_ts")
-    n_gaps = F.coalesce("_n_gaps", F.lit(0))
-    unordered = F.coalesce("n_order_violations", F.lit(0)) > 0
-    gap_txt = F.concat(F.format_string(f"%d gap(s) > {cfg.max_gap_hours}h: ", n_gaps),
-                       _py_list(F.transform(F.coalesce("_first", F.array()), lambda s: s["_txt"])))
-    issues = F.array_compact(F.array(
-        F.when(unordered, F.lit("Timestamps are not in chronological order.")),
-        F.when(n_gaps > 0, gap_txt)))
-    no_col = ~_has("timestamp")
-    all_null = n_ts == 0
-    status = (F.when(no_col | all_null, "warn")
-               .when(F.size(issues) > 0, "warn").otherwise("pass"))
-    details = (F.when(no_col, F.lit("No 'timestamp' column found."))
-                .when(all_null, F.lit("All timestamps are null."))
-                .when(F.size(issues) > 0, F.array_join(issues, " | "))
-                .otherwise(F.format_string("%d timestamps are consistent.", n_ts)))
-    flagged = F.when(no_col | all_null, 0).otherwise(
-        n_gaps + F.when(unordered, 1).otherwise(0))
-    return _result(f, "timestamp_consistency", status, flagged, details)
-
-
 # ---------------------------------------------------------------------------
 # V5 duplicates (in file, and against the store)
 # ---------------------------------------------------------------------------
 
-def duplicate_rows(rows: DataFrame, files: DataFrame) -> DataFrame:
+def _dupe_counts(rows: DataFrame) -> DataFrame:
     """Rows sharing (timestamp, position, actual_value) within a file, all
     members counted; nulls are equal. Absent key columns are null in every
     row of the file and so drop out of the key by themselves."""
-    keyed = (rows.groupBy("source_file", *DUPLICATE_KEY_COLUMNS).count()
-                 .filter(F.col("count") > 1)
-                 .groupBy("source_file").agg(F.sum("count").alias("n_dupes")))
+    return (rows.groupBy("source_file", *DUPLICATE_KEY_COLUMNS).count()
+                .filter(F.col("count") > 1)
+                .groupBy("source_file").agg(F.sum("count").cast("long").alias("_n_dupes_raw")))
+
+
+def _n_dupes() -> Column:
     any_key = F.exists(F.col("present_cols"), lambda c: c.isin(DUPLICATE_KEY_COLUMNS))
-    return (files.select("source_file", "present_cols").join(keyed, "source_file", "left")
-            .select("source_file", "present_cols",
-                    F.when(any_key, F.coalesce("n_dupes", F.lit(0))).otherwise(F.lit(0))
-                    .cast("long").alias("n_dupes")))
+    return F.when(any_key, F.coalesce("_n_dupes_raw", F.lit(0))).otherwise(F.lit(0)).cast("long")
+
+
+def duplicate_rows(rows: DataFrame, files: DataFrame) -> DataFrame:
+    """Per file: number of rows in duplicate groups (0 when no key column)."""
+    return (files.select("source_file", "present_cols").join(_dupe_counts(rows), "source_file", "left")
+            .select("source_file", "present_cols", _n_dupes().alias("n_dupes")))
 
 
 def store_overlap(rows: DataFrame | None, stored: DataFrame, window_hours: float,
@@ -376,43 +294,14 @@ def _asof_cumulative(q: DataFrame, cum: DataFrame) -> DataFrame:
     return q.join(filled, "_q")
 
 
-def check_duplicates(rows: DataFrame, files: DataFrame, cfg: ValidationConfig = ValidationConfig(),
-                     stored: DataFrame | None = None, profile: DataFrame | None = None) -> DataFrame:
-    d = duplicate_rows(rows, files)
-    if stored is not None:
-        ranges = profile.select("source_file", "ts_min", "ts_max") if profile is not None else None
-        ov = store_overlap(rows, stored, cfg.duplicate_window_hours, ranges=ranges)
-        d = d.join(ov, "source_file", "left")
-        can = _has("timestamp") & _has("position")
-        n_st = F.when(can, F.coalesce("n_stored_in_range", F.lit(0))).otherwise(0).cast("long")
-    else:
-        n_st = F.lit(0).cast("long")
-    keys_txt = F.concat(F.lit("keys: "), _py_list(F.filter(
-        F.array(*[F.lit(c) for c in DUPLICATE_KEY_COLUMNS]),
-        lambda c: F.array_contains(F.col("present_cols"), c))))
-    issues = F.array_compact(F.array(
-        F.when(F.col("n_dupes") > 0, F.concat(
-            F.format_string("%d duplicate row(s) within file (", F.col("n_dupes")), keys_txt, F.lit(")."))),
-        F.when(n_st > 0, F.format_string(
-            "Database already contains %d measurement(s) within ±" + str(cfg.duplicate_window_hours)
-            + "h of this file's time range. Possible re-import.", n_st))))
-    status = F.when(F.size(issues) > 0, "warn").otherwise("pass")
-    details = F.when(F.size(issues) > 0, F.array_join(issues, " | ")).otherwise(
-        F.lit("No duplicates detected."))
-    return _result(d, "duplicate_detection", status, F.col("n_dupes") + n_st, details)
-
-
 # ---------------------------------------------------------------------------
 # V6 outliers
 # ---------------------------------------------------------------------------
 
-def outlier_stats(rows: DataFrame, files: DataFrame, cfg: ValidationConfig = ValidationConfig(),
-                  quantiles: str = "auto", profile: DataFrame | None = None) -> DataFrame:
-    """Per file: n, mean, sample std, linear quartiles, min, max of deviation
-    (from the file profile) and the z-score / IQR / union outlier counts
-    (a second pass that joins the one-row-per-file statistics back)."""
-    p = profile if profile is not None else file_profile(rows, files, cfg, quantiles)
-    st = p.select("source_file", "present_cols", "n", "mean", "std", "q1", "q3", "min", "max")
+def _outlier_counts(rows: DataFrame, profile: DataFrame, cfg: ValidationConfig) -> DataFrame:
+    """Second pass: z-score / IQR / union outlier counts per file, with the
+    one-row-per-file statistics joined back (AQE broadcasts them when small)."""
+    st = profile.select("source_file", "mean", "std", "q1", "q3")
     iqr = F.col("q3") - F.col("q1")
     lo = F.col("q1") - cfg.iqr_factor * iqr
     hi = F.col("q3") + cfg.iqr_factor * iqr
@@ -421,37 +310,18 @@ def outlier_stats(rows: DataFrame, files: DataFrame, cfg: ValidationConfig = Val
     is_z = z > cfg.outlier_z
     is_iqr = (F.col("deviation") < lo) | (F.col("deviation") > hi)
     d = rows.filter(F.col("deviation").isNotNull()).select("source_file", "deviation")
-    # One stats row per file: AQE broadcasts it when its measured size allows.
-    flagged = (d.join(st.select("source_file", "mean", "std", "q1", "q3"), "source_file")
-                .groupBy("source_file")
-                .agg(F.count_if(is_z).alias("n_z"), F.count_if(is_iqr).alias("n_iqr"),
-                     F.count_if(is_z | is_iqr).alias("n_outliers")))
-    return st.join(flagged, "source_file", "left")
+    return (d.join(st, "source_file").groupBy("source_file")
+             .agg(F.count_if(is_z).alias("n_z"), F.count_if(is_iqr).alias("n_iqr"),
+                  F.count_if(is_z | is_iqr).alias("n_outliers")))
 
 
-def check_outliers(rows: DataFrame, files: DataFrame, cfg: ValidationConfig = ValidationConfig(),
-                   profile: DataFrame | None = None, quantiles: str = "auto") -> DataFrame:
-    s = outlier_stats(rows, files, cfg, quantiles, profile)
-    pct = F.try_divide(100.0 * F.col("n_outliers"), F.col("n"))
-    detail = F.concat(
-        F.format_string("%d outlier(s) (", F.col("n_outliers")), _fmt(pct, 1),
-        F.format_string("%%) detected. Z-score: %d, IQR: %d. ", F.col("n_z"), F.col("n_iqr")),
-        F.lit("Deviation stats: mean="), _fmt(F.col("mean")), F.lit(", std="), _fmt(F.col("std")),
-        F.lit(", range=["), _fmt(F.col("min")), F.lit(", "), _fmt(F.col("max")), F.lit("]."))
-    no_col = ~_has("deviation")
-    few = F.col("n") < cfg.min_outlier_points
-    same = F.col("min") == F.col("max")
-    status = (F.when(no_col | few, "warn").when(same, "pass")
-               .when(F.col("n_outliers") == 0, "pass")
-               .when(pct > cfg.outlier_fail_pct, "fail").otherwise("warn"))
-    details = (F.when(no_col, F.lit("No 'deviation' column to check."))
-                .when(few, F.lit("Too few data points for outlier detection."))
-                .when(same, F.lit("All deviations identical — no outliers."))
-                .when(F.col("n_outliers") == 0, F.concat(F.lit("No outliers. "), detail))
-                .when(pct > cfg.outlier_fail_pct, F.concat(F.lit("High outlier rate. "), detail))
-                .otherwise(detail))
-    flagged = F.when(no_col | few | same, 0).otherwise(F.col("n_outliers"))
-    return _result(s, "outlier_detection", status, flagged, details)
+def outlier_stats(rows: DataFrame, files: DataFrame, cfg: ValidationConfig = ValidationConfig(),
+                  quantiles: str = "auto", profile: DataFrame | None = None) -> DataFrame:
+    """Per file: n, mean, sample std, linear quartiles, min, max of deviation
+    (from the file profile) and the z-score / IQR / union outlier counts."""
+    p = profile if profile is not None else file_profile(rows, files, cfg, quantiles)
+    st = p.select("source_file", "present_cols", "n", "mean", "std", "q1", "q3", "min", "max")
+    return st.join(_outlier_counts(rows, p, cfg), "source_file", "left")
 
 
 # ---------------------------------------------------------------------------
@@ -479,23 +349,200 @@ def range_breaches(rows: DataFrame, threshold: float, max_listed: int = 10) -> D
     return n.join(first_breach_positions(rows, threshold, max_listed), "source_file", "left")
 
 
+# ---------------------------------------------------------------------------
+# Check results: per-check parts joined once, result columns as expressions
+# ---------------------------------------------------------------------------
+
+def _gap_listing(rows: DataFrame, cfg: ValidationConfig) -> DataFrame:
+    """Per file: number of long gaps and the first ``max_listed_gaps`` as text.
+
+    Gaps per file are bounded by its time span / max_gap. One window
+    operator gives each gap's rank and the file's gap count; only the first
+    k per file go on to the aggregation."""
+    gaps = timestamp_gaps(rows, cfg.max_gap_hours)
+    first_w = Window.partitionBy("source_file").orderBy("gap_end")
+    all_w = Window.partitionBy("source_file")
+    txt = F.concat(_timedelta_text(F.col("gap_seconds")), F.lit(" gap before "), F.col("gap_end").cast("string"))
+    return (gaps.select("source_file", "gap_end", "gap_seconds",
+                        F.row_number().over(first_w).alias("_r"), F.count(F.lit(1)).over(all_w).alias("_cnt"))
+                .filter(F.col("_r") <= cfg.max_listed_gaps)
+                .groupBy("source_file")
+                .agg(F.first("_cnt").alias("_n_gaps"),
+                     F.sort_array(F.collect_list(F.struct("_r", txt.alias("_txt")))).alias("_first")))
+
+
+def _parts(name: str, rows: DataFrame, profile: DataFrame, cfg: ValidationConfig,
+           stored: DataFrame | None) -> list[DataFrame]:
+    """The per-file tables a check needs beyond the profile (one row per file)."""
+    if name == "timestamp_consistency":
+        return [order_violations(rows), _gap_listing(rows, cfg)]
+    if name == "duplicate_detection":
+        parts = [_dupe_counts(rows)]
+        if stored is not None:
+            parts.append(store_overlap(None, stored, cfg.duplicate_window_hours,
+                                       ranges=profile.select("source_file", "ts_min", "ts_max")))
+        return parts
+    if name == "outlier_detection":
+        return [_outlier_counts(rows, profile, cfg)]
+    if name == "deviation_range":
+        return [first_breach_positions(rows, cfg.drift_threshold, cfg.max_listed_positions)]
+    return []
+
+
+def _exprs(name: str, cfg: ValidationConfig, with_store: bool) -> tuple[Column, Column, Column]:
+    """(status, n_flagged, details) of a check over the wide per-file table."""
+    if name == "required_columns":
+        req = F.array(*[F.lit(c) for c in sorted(REQUIRED_COLUMNS)])
+        missing = F.array_sort(F.array_except(req, F.col("present_cols")))
+        bad = F.size(missing) > 0
+        return (F.when(bad, "fail").otherwise("pass"), F.size(missing),
+                F.when(bad, F.concat(F.lit("Missing columns: "), _py_list(missing)))
+                 .otherwise(F.concat(F.lit("All required columns present: "), _py_list(req))))
+    if name == "row_count":
+        low = F.col("n_rows") < cfg.min_rows
+        return (F.when(low, "fail").otherwise("pass"), F.col("n_rows"),
+                F.when(low, F.format_string(f"Only %d row(s); minimum expected is {cfg.min_rows}.",
+                                            F.col("n_rows")))
+                 .otherwise(F.format_string("%d rows present.", F.col("n_rows"))))
+    if name == "missing_measurements":
+        total = sum((F.col(f"null_{c}") for c in MEASUREMENT_COLUMNS), F.lit(0))
+        parts = F.array_compact(F.array(*[
+            F.when(F.col(f"null_{c}") > 0, F.format_string(f"{c}: %d null(s)", F.col(f"null_{c}")))
+            for c in MEASUREMENT_COLUMNS]))
+        return (F.when(total > 0, "warn").otherwise("pass"), total,
+                F.when(total > 0, F.concat(F.format_string("%d missing value(s): ", total),
+                                           F.array_join(parts, "; ")))
+                 .otherwise(F.lit("No missing measurement values.")))
+    if name == "timestamp_consistency":
+        n_ts = F.col("n_ts")
+        n_gaps = F.coalesce("_n_gaps", F.lit(0))
+        unordered = F.coalesce("n_order_violations", F.lit(0)) > 0
+        gap_txt = F.concat(F.format_string(f"%d gap(s) > {cfg.max_gap_hours}h: ", n_gaps),
+                           _py_list(F.transform(F.coalesce("_first", F.array()), lambda x: x["_txt"])))
+        issues = F.array_compact(F.array(
+            F.when(unordered, F.lit("Timestamps are not in chronological order.")),
+            F.when(n_gaps > 0, gap_txt)))
+        no_col = ~_has("timestamp")
+        all_null = n_ts == 0
+        return (F.when(no_col | all_null, "warn").when(F.size(issues) > 0, "warn").otherwise("pass"),
+                F.when(no_col | all_null, 0).otherwise(n_gaps + F.when(unordered, 1).otherwise(0)),
+                F.when(no_col, F.lit("No 'timestamp' column found."))
+                 .when(all_null, F.lit("All timestamps are null."))
+                 .when(F.size(issues) > 0, F.array_join(issues, " | "))
+                 .otherwise(F.format_string("%d timestamps are consistent.", n_ts)))
+    if name == "duplicate_detection":
+        n_d = _n_dupes()
+        if with_store:
+            can = _has("timestamp") & _has("position")
+            n_st = F.when(can, F.coalesce("n_stored_in_range", F.lit(0))).otherwise(0).cast("long")
+        else:
+            n_st = F.lit(0).cast("long")
+        keys_txt = F.concat(F.lit("keys: "), _py_list(F.filter(
+            F.array(*[F.lit(c) for c in DUPLICATE_KEY_COLUMNS]),
+            lambda c: F.array_contains(F.col("present_cols"), c))))
+        issues = F.array_compact(F.array(
+            F.when(n_d > 0, F.concat(F.format_string("%d duplicate row(s) within file (", n_d),
+                                     keys_txt, F.lit(")."))),
+            F.when(n_st > 0, F.format_string(
+                "Database already contains %d measurement(s) within ±" + str(cfg.duplicate_window_hours)
+                + "h of this file's time range. Possible re-import.", n_st))))
+        return (F.when(F.size(issues) > 0, "warn").otherwise("pass"), n_d + n_st,
+                F.when(F.size(issues) > 0, F.array_join(issues, " | ")).otherwise(
+                    F.lit("No duplicates detected.")))
+    if name == "outlier_detection":
+        pct = F.try_divide(100.0 * F.col("n_outliers"), F.col("n"))
+        detail = F.concat(
+            F.format_string("%d outlier(s) (", F.col("n_outliers")), _fmt(pct, 1),
+            F.format_string("%%) detected. Z-score: %d, IQR: %d. ", F.col("n_z"), F.col("n_iqr")),
+            F.lit("Deviation stats: mean="), _fmt(F.col("mean")), F.lit(", std="), _fmt(F.col("std")),
+            F.lit(", range=["), _fmt(F.col("min")), F.lit(", "), _fmt(F.col("max")), F.lit("]."))
+        no_col = ~_has("deviation")
+        few = F.col("n") < cfg.min_outlier_points
+        same = F.col("min") == F.col("max")
+        return ((F.when(no_col | few, "warn").when(same, "pass").when(F.col("n_outliers") == 0, "pass")
+                  .when(pct > cfg.outlier_fail_pct, "fail").otherwise("warn")),
+                F.when(no_col | few | same, 0).otherwise(F.col("n_outliers")),
+                (F.when(no_col, F.lit("No 'deviation' column to check."))
+                  .when(few, F.lit("Too few data points for outlier detection."))
+                  .when(same, F.lit("All deviations identical — no outliers."))
+                  .when(F.col("n_outliers") == 0, F.concat(F.lit("No outliers. "), detail))
+                  .when(pct > cfg.outlier_fail_pct, F.concat(F.lit("High outlier rate. "), detail))
+                  .otherwise(detail)))
+    if name == "deviation_range":
+        n = F.col("n_breaches")
+        no_col = ~_has("deviation")
+        positions = F.when(_has("position"), F.coalesce("first_positions", F.array())).otherwise(
+            F.array().cast("array<string>"))
+        more = F.when(_has("position") & (n > cfg.max_listed_positions), "...").otherwise("")
+        return (F.when(no_col, "warn").when(n > 0, "warn").otherwise("pass"),
+                F.when(no_col, 0).otherwise(n),
+                (F.when(no_col, F.lit("No 'deviation' column."))
+                  .when(n > 0, F.concat(
+                      F.format_string(f"%d measurement(s) exceed ±{cfg.drift_threshold}: positions=", n),
+                      _py_list(positions), more))
+                  .otherwise(F.lit(f"All deviations within ±{cfg.drift_threshold}."))))
+    raise ValueError(f"unknown check {name!r}")
+
+
+def _wide(rows: DataFrame, files: DataFrame, cfg: ValidationConfig, names: Sequence[str],
+          stored: DataFrame | None, profile: DataFrame | None) -> DataFrame:
+    """The profile with every needed per-file part joined once (left joins of
+    one-row-per-file tables)."""
+    p = _profile(rows, files, cfg, profile)
+    w = p
+    for name in names:
+        for part in _parts(name, rows, p, cfg, stored):
+            w = w.join(part, "source_file", "left")
+    return w
+
+
+def _single(name: str, rows: DataFrame, files: DataFrame, cfg: ValidationConfig,
+            profile: DataFrame | None, stored: DataFrame | None = None) -> DataFrame:
+    w = _wide(rows, files, cfg, [name], stored, profile)
+    return _result(w, name, *_exprs(name, cfg, stored is not None))
+
+
+def check_required_columns(rows: DataFrame, files: DataFrame, cfg: ValidationConfig = ValidationConfig(),
+                           profile: DataFrame | None = None) -> DataFrame:
+    """V1: position, actual_value, expected_value, deviation present, else fail."""
+    return _single("required_columns", rows, files, cfg, profile)
+
+
+def check_row_count(rows: DataFrame, files: DataFrame, cfg: ValidationConfig = ValidationConfig(),
+                    profile: DataFrame | None = None) -> DataFrame:
+    """V2: fewer than ``min_rows`` rows fails (a file without rows included)."""
+    return _single("row_count", rows, files, cfg, profile)
+
+
+def check_missing(rows: DataFrame, files: DataFrame, cfg: ValidationConfig = ValidationConfig(),
+                  profile: DataFrame | None = None) -> DataFrame:
+    """V3: nulls in present measurement columns warn, counted per column."""
+    return _single("missing_measurements", rows, files, cfg, profile)
+
+
+def check_timestamps(rows: DataFrame, files: DataFrame, cfg: ValidationConfig = ValidationConfig(),
+                     profile: DataFrame | None = None) -> DataFrame:
+    """V4: no/all-null timestamps, out-of-order rows, gaps > max_gap warn."""
+    return _single("timestamp_consistency", rows, files, cfg, profile)
+
+
+def check_duplicates(rows: DataFrame, files: DataFrame, cfg: ValidationConfig = ValidationConfig(),
+                     stored: DataFrame | None = None, profile: DataFrame | None = None) -> DataFrame:
+    """V5: in-file duplicate rows and stored measurements in the file's
+    padded time range (with ``stored``) warn."""
+    return _single("duplicate_detection", rows, files, cfg, profile, stored)
+
+
+def check_outliers(rows: DataFrame, files: DataFrame, cfg: ValidationConfig = ValidationConfig(),
+                   profile: DataFrame | None = None) -> DataFrame:
+    """V6: z-score / IQR outliers warn; more than ``outlier_fail_pct`` % fails."""
+    return _single("outlier_detection", rows, files, cfg, profile)
+
+
 def check_deviation_range(rows: DataFrame, files: DataFrame, cfg: ValidationConfig = ValidationConfig(),
                           profile: DataFrame | None = None) -> DataFrame:
-    p = _profile(rows, files, cfg, profile).select("source_file", "present_cols", "n_breaches")
-    f = p.join(first_breach_positions(rows, cfg.drift_threshold, cfg.max_listed_positions),
-               "source_file", "left")
-    n = F.col("n_breaches")
-    no_col = ~_has("deviation")
-    positions = F.when(_has("position"), F.coalesce("first_positions", F.array())).otherwise(
-        F.array().cast("array<string>"))
-    more = F.when(_has("position") & (n > cfg.max_listed_positions), "...").otherwise("")
-    status = F.when(no_col, "warn").when(n > 0, "warn").otherwise("pass")
-    details = (F.when(no_col, F.lit("No 'deviation' column."))
-                .when(n > 0, F.concat(
-                    F.format_string(f"%d measurement(s) exceed ±{cfg.drift_threshold}: positions=", n),
-                    _py_list(positions), more))
-                .otherwise(F.lit(f"All deviations within ±{cfg.drift_threshold}.")))
-    return _result(f, "deviation_range", status, F.when(no_col, 0).otherwise(n), details)
+    """V7: |deviation| above the threshold warns, first positions listed."""
+    return _single("deviation_range", rows, files, cfg, profile)
 
 
 # ---------------------------------------------------------------------------
@@ -518,25 +565,26 @@ def run_checks(rows: DataFrame, files: DataFrame, cfg: ValidationConfig = Valida
                quantiles: str = "auto") -> DataFrame:
     """The chosen checks (default: all seven, in suite order).
 
-    The per-file profile is computed once and shared by the checks, so the
-    rows are scanned by one aggregation plus the order/gap, duplicate,
-    outlier-count and first-breach passes.
+    One wide per-file table (the profile plus each check's parts, each
+    joined once) and one ``explode`` of a struct per check give all result
+    rows: no per-check joins, no unions. The rows are scanned by the profile
+    pass plus the order/gap, duplicate, outlier-count and first-breach passes.
     """
+    checks = list(checks)
     unknown = [c for c in checks if c not in CHECKS]
     if unknown:
         raise ValueError(f"unknown checks {unknown}; choose from {list(CHECKS)}")
     profile = file_profile(rows, files, cfg, quantiles)
-    parts = []
+    w = _wide(rows, files, cfg, checks, stored, profile)
+    structs = []
     for name in checks:
-        fn = CHECKS[name]
-        if name == "duplicate_detection":
-            parts.append(fn(rows, files, cfg, stored=stored, profile=profile))
-        else:
-            parts.append(fn(rows, files, cfg, profile=profile))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+        status, flagged, details = _exprs(name, cfg, stored is not None)
+        structs.append(F.struct(F.lit(CHECK_ORDER.index(name)).alias("check_order"), F.lit(name).alias("check_type"),
+                                status.alias("status"), flagged.cast("long").alias("n_flagged"),
+                                details.alias("details")))
+    return (w.select("source_file", F.explode(F.array(*structs)).alias("_c"))
+             .select("source_file", "_c.check_order", "_c.check_type", "_c.status", "_c.n_flagged",
+                     "_c.details"))
 
 
 def rollup(results: DataFrame) -> DataFrame:
