@@ -145,7 +145,7 @@ def _q() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         *CANON_OUT, F.element_at("extras", F.lit("meta_data_k")).alias("meta_data_k")))
     q["log_suite"] = lambda s, d: _checks(V.run_checks(*TR.transform(
         P.parse_log(feeds.log_lines(s, d)).rows.withColumnRenamed("path", "source_file"),
-        P.parse_log(feeds.log_lines(s, d)).files.withColumnRenamed("path", "source_file"))))
+        P.parse_log(feeds.log_lines(s, d)).files.withColumnRenamed("path", "source_file")), materialize=True))
     def blanks(s, d, **kw):
         b = P.parse_csv(feeds.csv_lines_with_blanks(s, d))
         return TR.transform(b.rows.withColumnRenamed("path", "source_file"),
@@ -157,7 +157,7 @@ def _q() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "source_file", "row_idx", "actual_value", "deviation"))
     q["csv_missing_fill"] = lambda s, d: _r(blanks(s, d, missing_strategy="fill", fill_value=0.0)[0].select(
         "source_file", "row_idx", "actual_value", "deviation"))
-    q["csv_missing_suite"] = lambda s, d: _checks(V.run_checks(*blanks(s, d)))
+    q["csv_missing_suite"] = lambda s, d: _checks(V.run_checks(*blanks(s, d), materialize=True))
 
     def no_equipment(s, d, **kw):
         b = P.parse_log(feeds.log_lines_without_equipment(s, d))
