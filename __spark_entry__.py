@@ -9,8 +9,15 @@ last-bit summation differences do not show.
 
 from __future__ import annotations
 
+import os
+import sys
 from collections.abc import Callable
 
+# The package and the helper modules live next to this file.
+_HERE = os.path.dirname(os.path.abspath(__file__))
+if _HERE not in sys.path:
+    sys.path.insert(0, _HERE)
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
