@@ -1,4 +1,4 @@
-"""Run and measurement records built from accepted rows.
+"""Run records built from accepted rows.
 
 One run per file (or per any grouping key): its timestamp is the earliest
 measurement time (or ``as_of`` when a file has none), its equipment and
@@ -13,8 +13,6 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..config import REQUIRED_COLUMNS
-
 
 def _first_non_null(col: str, order: Column) -> Column:
     # min_by skips rows whose ordering value is null: null it where col is null.
@@ -41,24 +39,3 @@ def build_runs(rows: DataFrame, key: str = "source_file",
         F.col("operator").cast("string").alias("operator"),
         *([c for c in ["source_file"] if c in r.columns and c != key]),
     )
-
-
-def build_measurements(rows: DataFrame, runs: DataFrame, key: str = "source_file") -> DataFrame:
-    """Measurement records of accepted rows, keyed by their run.
-
-    ``runs`` has one row per file with its ``run_id``; AQE broadcasts it
-    when its measured size allows and shuffles otherwise.
-    """
-    missing = [c for c in REQUIRED_COLUMNS if c not in rows.columns]
-    if missing:
-        raise ValueError(f"rows missing required columns: {sorted(missing)}")
-    return (rows.join(runs.select(key, "run_id"), key)
-            .select(
-                "run_id", "row_block", "row_idx",
-                F.col("position").cast("string").alias("position"),
-                F.col("actual_value").cast("double").alias("actual_value"),
-                F.col("expected_value").cast("double").alias("expected_value"),
-                F.col("deviation").cast("double").alias("deviation"),
-                F.col("timestamp").cast("timestamp_ntz").alias("timestamp"),
-                F.col("axis").cast("string").alias("axis"),
-                F.col("unit").cast("string").alias("unit")))

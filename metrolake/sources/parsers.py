@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 from ..config import JSON_RECORD_KEYS
 from ..functions.columns import null_if_token
 from ..functions.maps import fit_to, last_wins_policy, map_last_wins
+from ..operators.transforms import clean_keys
 
 RAW_ROW_SCHEMA = "path string, row_block long, row_idx long, fields map<string,string>"
 
@@ -218,7 +219,7 @@ def parse_json(docs: DataFrame, depth: int = 4) -> RawBatch:
                 .filter(F.col("_m").isNotNull()))
     for _ in range(depth):
         ex = ex.select("path", "row_idx", _flatten_once(F.col("_m")).alias("_m"))
-    cleaned = F.transform_keys("_m", lambda k, v: F.regexp_replace(F.lower(F.trim(k)), r"[\.\s]+", "_"))
+    cleaned = clean_keys(F.col("_m"), json_style=True)
     rows = ex.select("path", F.lit(0).cast("long").alias("row_block"), F.col("row_idx").cast("long"),
                      cleaned.alias("fields"))
     files = _keys_per_file(rows)

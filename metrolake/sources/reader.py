@@ -8,7 +8,6 @@ matching reader; no file content passes through the driver.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from . import parsers
 from .files import describe_listing, unsupported_message
