@@ -196,3 +196,17 @@ def test_ordered_index_without_groups(spark):
     a = {r["id"]: r["ix"] for r in ordered_index(df, [], ["t", "id"], "ix", strategy="window").collect()}
     b = {r["id"]: r["ix"] for r in ordered_index(df, [], ["t", "id"], "ix", strategy="sorted").collect()}
     assert a == b and sorted(b.values()) == list(range(3000))
+
+
+def test_workbook_ingest_end_to_end(spark, store_dir):
+    from .conftest import write_xlsx
+    d = tempfile.mkdtemp()
+    header = ["Position", "Actual", "Nominal", "Operator", "Tool", "Time"]
+    rows = [[f"POS_{i}", 10 + (i % 3) / 1000, 10.0, "OP004", "TOOL_X3", 45352.5 + i / 1440] for i in range(8)]
+    write_xlsx(os.path.join(d, "cal.xlsx"), header, rows, date_cols={5})
+    s = ingest_folder(spark, d, store_dir, as_of=AS_OF).first()
+    assert (s["status"], s["rows"]) == ("success", 8)
+    m = Store(spark, store_dir).measurement_frame()
+    eq = A.equipment_snapshot(m).first()
+    assert (eq["equipment_id"], eq["n"]) == ("TOOL_X3", 8)
+    assert m.agg(F.min("timestamp")).first()[0] == dt.datetime(2024, 3, 1, 12, 0)
