@@ -210,3 +210,15 @@ def test_workbook_ingest_end_to_end(spark, store_dir):
     eq = A.equipment_snapshot(m).first()
     assert (eq["equipment_id"], eq["n"]) == ("TOOL_X3", 8)
     assert m.agg(F.min("timestamp")).first()[0] == dt.datetime(2024, 3, 1, 12, 0)
+
+
+def test_lookback_prunes_date_partitions(loaded):
+    m = loaded[1].measurement_frame()
+    plan = A.control_limits(m, AS_OF, A.AnalysisConfig().with_(lookback_days=8))._jdf.queryExecution() \
+        .executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(ts_date" in plan and "ts_date" in plan.split("PartitionFilters")[1]
+    scan = [ln for ln in plan.split("\n") if "FileScan parquet" in ln and "measurements" in ln][0]
+    assert "ReadSchema: struct<run_id:bigint,deviation:double,timestamp:timestamp_ntz>" in scan
+    # Cutoff 2024-03-02 00:00: the 03-01 run (10 rows of TOOL_X1) falls out, 03-02 and 03-03 stay.
+    assert {r["equipment_id"]: r["n"] for r in A.control_limits(
+        m, AS_OF, A.AnalysisConfig().with_(lookback_days=8)).collect()} == {"TOOL_X1": 6, "TOOL_X2": 6}
