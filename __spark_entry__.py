@@ -117,6 +117,8 @@ def _q() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         _m(s, d).drop("equipment_id", "operator"), _runs(s, d)))
     q["run_variation_series"] = lambda s, d: _r(A.run_variation_series(_m(s, d), AS_OF, CFG.lookback_days))
     q["run_variation"] = lambda s, d: _r(A.run_variation(_m(s, d), AS_OF, CFG.lookback_days))
+    q["run_variation_10d"] = lambda s, d: _r(A.run_variation(_m(s, d), AS_OF, 10))
+    q["stability_10d"] = lambda s, d: _r(A.stability(_m(s, d), AS_OF, CFG.with_(lookback_days=10)))
     q["control_limits"] = lambda s, d: _r(A.control_limits(_m(s, d), AS_OF, CFG))
     q["control_chart_points"] = lambda s, d: _r(A.control_chart_points(_m(s, d), AS_OF, CFG))
     q["stability"] = lambda s, d: _r(A.stability(_m(s, d), AS_OF, CFG))

@@ -13,6 +13,7 @@ from metrolake.config import STRICT_VALIDATION, AnalysisConfig, ValidationConfig
 CFG = AnalysisConfig()
 VCFG = ValidationConfig()
 CUTOFF = "TIMESTAMP '2024-01-01 00:00:00'"  # as_of 2024-01-31 minus 30 days
+CUTOFF_10D = "TIMESTAMP '2024-01-21 00:00:00'"  # as_of 2024-01-31 minus 10 days
 
 M = """m AS (
   SELECT event_id AS measurement_id,
@@ -88,8 +89,8 @@ SLOPE_SELECT = """SELECT run_id, n_measurements,
        WHEN s < 0 THEN 'negative' ELSE 'flat' END AS drift_direction FROM sl"""
 
 
-def _limits(sigma: float) -> str:
-    return f"""w AS (SELECT * FROM m WHERE "timestamp" >= {CUTOFF}),
+def _limits(sigma: float, cutoff: str = CUTOFF) -> str:
+    return f"""w AS (SELECT * FROM m WHERE "timestamp" >= {cutoff}),
   lim AS (SELECT equipment_id, count(*) AS n, avg(deviation) AS mean, stddev_pop(deviation) AS std,
                  avg(deviation) + {sigma} * stddev_pop(deviation) AS ucl,
                  avg(deviation) - {sigma} * stddev_pop(deviation) AS lcl
@@ -239,17 +240,20 @@ def oracle_sql() -> dict[str, str]:
              round(m.expected_value, 6) + 0.0 AS expected_value, round(m.deviation, 6) + 0.0 AS deviation, m."timestamp",
              m.axis, m.unit, r.equipment_id, r.operator
       FROM m JOIN runs r USING (run_id)"""
-    series = f"""s AS (SELECT position, run_id, avg(deviation) AS deviation, min("timestamp") AS "timestamp"
-                FROM m WHERE "timestamp" >= {CUTOFF} GROUP BY position, run_id)"""
-    q["run_variation_series"] = _with(M, series) + (
-        "SELECT position, run_id, round(deviation, 6) + 0.0 AS deviation, \"timestamp\" FROM s")
-    q["run_variation"] = _with(M, series) + """
+    def series(cutoff: str) -> str:
+        return f"""s AS (SELECT position, run_id, avg(deviation) AS deviation, min("timestamp") AS "timestamp"
+                FROM m WHERE "timestamp" >= {cutoff} GROUP BY position, run_id)"""
+    variation = """
       SELECT position, count(*) AS n_runs, round(avg(deviation), 6) + 0.0 AS mean,
              round(stddev_pop(deviation), 6) + 0.0 AS std,
              round(CASE WHEN avg(deviation) = 0 THEN CAST('inf' AS DOUBLE)
                         ELSE stddev_pop(deviation) / abs(avg(deviation)) * 100 END, 6) + 0.0 AS cv,
              round(max(deviation) - min(deviation), 6) + 0.0 AS range
       FROM s GROUP BY position"""
+    q["run_variation_series"] = _with(M, series(CUTOFF)) + (
+        "SELECT position, run_id, round(deviation, 6) + 0.0 AS deviation, \"timestamp\" FROM s")
+    q["run_variation"] = _with(M, series(CUTOFF)) + variation
+    q["run_variation_10d"] = _with(M, series(CUTOFF_10D)) + variation
     lim = _limits(CFG.sigma)
     q["control_limits"] = _with(M, lim) + (
         "SELECT equipment_id, n, round(mean, 6) + 0.0 AS mean, round(std, 6) + 0.0 AS std, round(ucl, 6) + 0.0 AS ucl, "
@@ -259,17 +263,19 @@ def oracle_sql() -> dict[str, str]:
              round(lim.ucl, 6) + 0.0 AS ucl, round(lim.lcl, 6) + 0.0 AS lcl,
              (w.deviation > lim.ucl OR w.deviation < lim.lcl) AS out_of_control
       FROM w JOIN lim USING (equipment_id)"""
-    q["stability"] = _with(M, lim, """ix AS (
+    def stability_sql(lim_cte: str) -> str:
+        return _with(M, lim_cte, """ix AS (
         SELECT w.equipment_id, w.deviation, lim.n, lim.ucl, lim.lcl,
                row_number() OVER (PARTITION BY w.equipment_id ORDER BY w."timestamp" ASC NULLS LAST, w.measurement_id) - 1 AS ix
-        FROM w JOIN lim USING (equipment_id))""", f"""agg AS (
+        FROM w JOIN lim USING (equipment_id))""", """agg AS (
         SELECT equipment_id,
                count(*) FILTER (WHERE deviation > ucl OR deviation < lcl) AS ooc,
                avg(deviation) FILTER (WHERE ix < floor(n / 2)) AS first_mean,
                avg(deviation) FILTER (WHERE ix >= floor(n / 2)) AS second_mean
         FROM ix GROUP BY equipment_id)""") + f"""
       SELECT lim.equipment_id, lim.n, round(lim.mean, 6) + 0.0 AS mean, round(lim.std, 6) + 0.0 AS std,
-             round(lim.ucl, 6) + 0.0 AS ucl, round(lim.lcl, 6) + 0.0 AS lcl, CAST(coalesce(agg.ooc, 0) AS BIGINT) AS out_of_control,
+             round(lim.ucl, 6) + 0.0 AS ucl, round(lim.lcl, 6) + 0.0 AS lcl,
+             CAST(coalesce(agg.ooc, 0) AS BIGINT) AS out_of_control,
              round(CASE WHEN floor(lim.n / 2) >= 2 THEN agg.second_mean - agg.first_mean END, 6) + 0.0 AS trend_delta,
              CASE WHEN floor(lim.n / 2) < 2 THEN 'insufficient data'
                   WHEN agg.second_mean - agg.first_mean > {CFG.trend_delta} THEN 'degrading'
@@ -277,6 +283,8 @@ def oracle_sql() -> dict[str, str]:
                   ELSE 'stable' END AS trend,
              (abs(lim.mean) > {CFG.alert_threshold} OR coalesce(agg.ooc, 0) > 0) AS alert
       FROM lim LEFT JOIN agg USING (equipment_id)"""
+    q["stability"] = stability_sql(lim)
+    q["stability_10d"] = stability_sql(_limits(CFG.sigma, CUTOFF_10D))
     q["equipment_boxplot"] = _with(M) + """
       SELECT equipment_id, count(deviation) AS n,
              round(quantile_cont(deviation, 0.0), 6) + 0.0 AS min, round(quantile_cont(deviation, 0.25), 6) + 0.0 AS q1,
