@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from metrolake.llm import line_dedup, simhash
+from metrolake.llm import bpe, decontaminate, line_dedup, simhash
 
 
 def queries() -> dict:
     return {
+        "op2_decontaminate": decontaminate.op2_decontaminate,
+        "op6_bpe": bpe.op6_bpe,
         "op8_simhash": simhash.op8_simhash,
         "op9_line_dedup": line_dedup.op9_line_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op9_line_dedup": line_dedup.ORACLE_SQL}
+    return {"op2_decontaminate": decontaminate.ORACLE_SQL,
+            "op9_line_dedup": line_dedup.ORACLE_SQL}
