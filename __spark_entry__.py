@@ -36,8 +36,8 @@ from oracle_queries import oracle_sql as _oracle_sql
 # The training-data operators (subpackage llm, with corpus_pipeline.py) are an optional part.
 try:
     from metrolake.llm import registry as _llm
-except ModuleNotFoundError as e:
-    if e.name not in ("metrolake.llm", "corpus_pipeline"):
+except ImportError as e:
+    if e.name not in ("metrolake.llm", "metrolake.llm.registry", "corpus_pipeline"):
         raise
     _llm = None
 
