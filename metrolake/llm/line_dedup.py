@@ -174,6 +174,7 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", t
             out.append(("\n".join(kept), len(lines), len(lines) - len(kept)))
         return pd.DataFrame(out, columns=["kept", "n_lines", "n_dropped"])
 
+    docs = docs.drop("_kept", "_n_lines", "_n_dropped", "_id", "_h", "_doc", "_rk", "_bits", "_bitmap", "_cut")
     d = docs.withColumn("_id", F.col(id_col).cast("long")).withColumn("_h", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
     j = d.join(b, (F.col("_id") == F.col("_doc")) & (F.col("_h") == F.col("_rk")), "left")
     j = j.withColumn("_cut", cut_lines(F.col(text_col), F.col("_bits"), F.col("_bitmap")))
@@ -181,6 +182,13 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", t
                     F.col("_cut.n_lines").alias("_n_lines"), F.col("_cut.n_dropped").alias("_n_dropped"))
 
 
+def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **params) -> DataFrame:
+    """``docs`` with repeated lines taken out of the text, same rows and columns; a null text stays null."""
+    out = apply_bitmaps(docs, keep_bitmaps(docs, id_col, text_col, **params), id_col, text_col)
+    return out.select(*[F.when(F.col(text_col).isNotNull(), F.col("_kept")).alias(c) if c == text_col else F.col(c)
+                        for c in out.columns if not c.startswith("_") or c in docs.columns])
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     out = apply_bitmaps(docs, keep_bitmaps(docs))

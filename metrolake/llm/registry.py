@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
-from metrolake.llm import bpe, decontaminate, line_dedup, simhash
+import corpus_pipeline
+from metrolake.llm import bpe, decontaminate, line_dedup, quality, simhash
 
 
 def queries() -> dict:
     return {
+        "pipeline": corpus_pipeline.run,
         "op2_decontaminate": decontaminate.op2_decontaminate,
+        "op5_quality": quality.op5_quality,
         "op6_bpe": bpe.op6_bpe,
         "op8_simhash": simhash.op8_simhash,
         "op9_line_dedup": line_dedup.op9_line_dedup,

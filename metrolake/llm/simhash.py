@@ -71,14 +71,19 @@ def fingerprint(text: bytes, shingle: int, seed: int = SEED) -> int:
     return int(np.packbits(votes * 2 > m).view(">u8").astype(np.uint64).view(np.int64)[0])
 
 
-def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int, out_id: str = "doc_id") -> DataFrame:
-    """(``out_id``, fp) for every row."""
+def fingerprints(docs: DataFrame, id_col: str, text_col: str, shingle: int) -> DataFrame:
+    """(doc_id, h, fp) for every row; h is the hash of the text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fp = pa.array([fingerprint(t, shingle) for t in text_bytes(b.column(1))], pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column(0), fp], names=[out_id, "fp"])
-    return (docs.select(F.col(id_col).cast("long").alias(out_id), F.col(text_col).cast("string").alias("t"))
-            .mapInArrow(run, f"{out_id} long, fp long"))
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), fp], names=["doc_id", "h", "fp"])
+    return (docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("t"),
+                        text_hash(text_col).alias("h"))
+            .mapInArrow(run, "doc_id long, h long, fp long"))
+
+
+def text_hash(text_col: str):
+    return F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
 
 
 def _gray_rank(x):
@@ -207,7 +212,7 @@ def fingerprint_links(fps: DataFrame, max_bits: int, segments: int, block_rows:
 
 def simhash_components(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 4,
                        max_bits: int = 4, segments: int | None = None, block_rows: int = 4096) -> DataFrame:
-    """(doc_id, fp, component_id) for every row: the fingerprint and the smallest id reachable by links.
+    """(doc_id, h, fp, component_id) for every row: the fingerprint and the smallest id reachable by links.
 
     ``segments`` defaults to ``max_bits + 1`` (five tables for four bits);
     more segments give more, finer keys, and the same links.
@@ -224,7 +229,24 @@ def _label(own: DataFrame, comp: DataFrame) -> DataFrame:
         "fp", "least", F.coalesce("comp", "fp").alias("comp"))
     of = fps.groupBy("comp").agg(F.min("least").alias("component_id"))
     by_fp = fps.join(of, "comp").select("fp", "component_id")
-    return own.join(by_fp, "fp").select("doc_id", "fp", "component_id")
+    return own.join(by_fp, "fp").select("doc_id", "h", "fp", "component_id")
+
+
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **params) -> DataFrame:
+    """One row of each component, same columns: that of the least id, of equal ids that of the least text hash.
+
+    Null ids come last, so a component of null ids keeps one row as well.
+    """
+    c = simhash_components(docs, id_col, text_col, **params)
+    none = F.lit(1 << 62).cast("long")
+    group = F.coalesce(F.col("component_id"), F.col("fp"))  # without an id: equal fingerprints
+    best = (c.groupBy(F.col("component_id").isNull(), group)
+            .agg(F.min(F.struct(F.coalesce("doc_id", none).alias("i"), F.col("h"))).alias("b"))
+            .select(F.col("b.i").alias("__bi"), F.col("b.h").alias("__bh")))
+    own = docs.select(*[F.col(x) for x in docs.columns], F.coalesce(F.col(id_col).cast("long"), none).alias("__i"),
+                      text_hash(text_col).alias("__h"))
+    kept = own.join(best, (F.col("__i") == F.col("__bi")) & (F.col("__h") == F.col("__bh")), "left_semi")
+    return kept.dropDuplicates(["__i", "__h"]).select(*docs.columns)
 
 
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
