@@ -162,16 +162,16 @@ def _hit(spans: list[list[int]], a: int, b: int) -> None:
 
 
 def annotate(docs: DataFrame, items: DataFrame, text_col: str = "text", item_id: str = "item_id",
-             item_text: str = "text", window: int = 10, block_bytes: int = 32 << 20) -> DataFrame:
+             item_text: str = "text", window: int = 10, block_bytes: int = 32 << 20,
+             out_cols: tuple[str, str, str] = ("n_words", "spans", "items")) -> DataFrame:
     """``docs`` plus n_words, spans (hit words, [start, end)) and items (ids with occurring windows)."""
     spark = docs.sparkSession
     it = (items.select(F.col(item_id).cast("long").alias("i"), F.col(item_text).cast("string").alias("t"))
           .filter("i is not null and t is not null"))
     size = it.agg(F.sum(F.octet_length("t"))).first()[0] or 0
     blocks = max(1, -(-size // block_bytes))
-    out = docs.drop("n_words", "spans", "items").withColumns({
-        "n_words": F.lit(0).cast("long"), "spans": F.lit(None).cast(SPAN),
-        "items": F.lit(None).cast("array<long>")})
+    out = docs.drop(*out_cols).withColumns(dict(zip(out_cols, (
+        F.lit(0).cast("long"), F.lit(None).cast(SPAN), F.lit(None).cast("array<long>")), strict=True)))
     for k in range(blocks):
         # A block of block_bytes at most, but for hashing's unevenness.
         mine = it.filter(F.pmod(F.xxhash64("i"), F.lit(blocks)) == k).collect()
@@ -184,8 +184,8 @@ def _pass(docs: DataFrame, text_col: str, auto) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             n, spans, ids = [], [], []
-            for text, old, found in zip(text_bytes(b.column(text_col)), b.column("spans").to_pylist(),
-                                        b.column("items").to_pylist(), strict=True):
+            for text, old, found in zip(text_bytes(b.column(text_col)), b.column(-2).to_pylist(),
+                                        b.column(-1).to_pylist(), strict=True):
                 total, got, hit = match(auto.value, text)
                 n.append(total)
                 merged: list[list[int]] = []
@@ -193,7 +193,7 @@ def _pass(docs: DataFrame, text_col: str, auto) -> DataFrame:
                     _hit(merged, x, y)
                 spans.append([{"start": x, "end": y} for x, y in merged])
                 ids.append(sorted(hit.union(found or ())))
-            keep = [b.column(c) for c in b.schema.names[:-3]]
+            keep = b.columns[:-3]
             yield pa.RecordBatch.from_arrays(
                 [*keep, pa.array(n, pa.int64()), pa.array(spans, _SPAN), pa.array(ids, pa.list_(pa.int64()))],
                 names=b.schema.names)
@@ -218,13 +218,12 @@ def decontaminate(docs: DataFrame, items: DataFrame, text_col: str = "text", win
     Spans of ``window`` words or more (or whole shorter items) are cut out of
     the text; a document of which they cover more than ``max_coverage`` goes.
     """
-    a = annotate(docs, items, text_col, window=window, **names)
-    covered = F.aggregate("spans", F.lit(0), lambda x, s: x + s["end"] - s["start"])
+    a = annotate(docs, items, text_col, window=window, out_cols=("__words", "__spans", "__items"), **names)
+    covered = F.aggregate("__spans", F.lit(0), lambda x, s: x + s["end"] - s["start"])
     clean = F.udf(lambda t, s: cut_spans(t, s) if s else t, "string")
-    kept = a.filter(covered <= F.col("n_words") * max_coverage)
-    return kept.select(*[
-        F.when(F.size("spans") > 0, clean(F.col(text_col), F.col("spans"))).otherwise(F.col(text_col)).alias(c)
-        if c == text_col else kept[c] if c in kept.columns else F.lit(None).alias(c) for c in docs.columns])
+    text = F.when(F.size("__spans") > 0, clean(F.col(text_col), F.col("__spans"))).otherwise(F.col(text_col))
+    return a.filter(covered <= F.col("__words") * max_coverage).select(
+        *[text.alias(c) if c == text_col else F.col(c) for c in docs.columns])
 
 
 def op2_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
