@@ -152,19 +152,21 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
 
 
 def running_total(df: DataFrame, part: list[str], order: list[Column], weight: Column,
-                  name: str, rows_per_bucket: int = 20_000, salt: Column | None = None) -> DataFrame:
+                  name: str, rows_per_bucket: int = 20_000, lead: Column | None = None) -> DataFrame:
     """Add ``name``: the sum of ``weight`` over the rows before this one inside ``part``.
 
     Rows are first cut into hash buckets of about ``rows_per_bucket`` rows; the
-    order is (bucket, ``order``). Only a bucket is ever sorted in one task; a
-    part's bucket totals (one row a bucket) give the offsets. So a part may
-    hold any share of all rows. ``salt`` says what is hashed.
+    order is (``lead``, a small class; bucket; ``order``). Only a bucket is ever
+    sorted in one task; a part's bucket totals (one row a bucket) give the
+    offsets. So a part may hold any share of all rows. ``df`` is read twice
+    and must not change between reads: give a materialised frame.
     """
-    spark = df.sparkSession
     n = df.count()
     buckets = max(1, -(-n // rows_per_bucket))
-    salt = F.xxhash64(*order) if salt is None else salt
-    d = df.withColumn("_bk", F.pmod(salt, F.lit(buckets)).cast("int")).withColumn("_wt", weight.cast("long"))
+    bucket = F.pmod(F.xxhash64(*order), F.lit(buckets))
+    if lead is not None:
+        bucket = lead.cast("long") * buckets + bucket
+    d = df.withColumn("_bk", bucket.cast("long")).withColumn("_wt", weight.cast("long"))
     w = Window.partitionBy(*part, "_bk").orderBy(*order)
     inner = F.sum("_wt").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_wt")
     tot = d.groupBy(*part, "_bk").agg(F.sum("_wt").alias("_tot"))

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from metrolake.llm import bpe, decontaminate, line_dedup, quality, simhash
+from metrolake.llm import bpe, decontaminate, line_dedup, quality, sharding, simhash
 
 
 def queries() -> dict:
     return {
         "pipeline": corpus_pipeline.run,
         "op2_decontaminate": decontaminate.op2_decontaminate,
+        "op4_sharding": sharding.op4_sharding,
         "op5_quality": quality.op5_quality,
         "op6_bpe": bpe.op6_bpe,
         "op8_simhash": simhash.op8_simhash,
