@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from metrolake.llm import bpe, decontaminate, line_dedup, quality, sharding, simhash
+from metrolake.llm import bpe, decontaminate, langid, line_dedup, lm, quality, sharding, simhash
 
 
 def queries() -> dict:
@@ -13,8 +13,10 @@ def queries() -> dict:
         "op4_sharding": sharding.op4_sharding,
         "op5_quality": quality.op5_quality,
         "op6_bpe": bpe.op6_bpe,
+        "op7_langid": langid.op7_langid,
         "op8_simhash": simhash.op8_simhash,
         "op9_line_dedup": line_dedup.op9_line_dedup,
+        "op10_lm": lm.op10_lm,
     }
 
 
