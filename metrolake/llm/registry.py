@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from metrolake.llm import bpe, decontaminate, langid, line_dedup, lm, quality, sharding, simhash
+from metrolake.llm import bpe, decontaminate, langid, line_dedup, lm, pivots, quality, sharding, simhash
 
 
 def queries() -> dict:
     return {
         "pipeline": corpus_pipeline.run,
+        "op1_embeddings": pivots.op1_embeddings,
         "op2_decontaminate": decontaminate.op2_decontaminate,
         "op4_sharding": sharding.op4_sharding,
         "op5_quality": quality.op5_quality,
@@ -21,5 +22,6 @@ def queries() -> dict:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_decontaminate": decontaminate.ORACLE_SQL,
+    return {"op1_embeddings": pivots.ORACLE_SQL,
+            "op2_decontaminate": decontaminate.ORACLE_SQL,
             "op9_line_dedup": line_dedup.ORACLE_SQL}
