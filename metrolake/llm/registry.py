@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from metrolake.llm import bpe, decontaminate, langid, line_dedup, lm, pivots, quality, sharding, simhash
+from metrolake.llm import bpe, decontaminate, htmltext, langid, line_dedup, lm, pivots, quality, sharding, simhash
 
 
 def queries() -> dict:
@@ -11,6 +11,7 @@ def queries() -> dict:
         "pipeline": corpus_pipeline.run,
         "op1_embeddings": pivots.op1_embeddings,
         "op2_decontaminate": decontaminate.op2_decontaminate,
+        "op3_html": htmltext.op3_html,
         "op4_sharding": sharding.op4_sharding,
         "op5_quality": quality.op5_quality,
         "op6_bpe": bpe.op6_bpe,
