@@ -40,8 +40,8 @@ def normal(text: str) -> bytes:
     return b" " + b" ".join(text.lower().encode().translate(_NORM).split()) + b" "
 
 
-def _hashes(raw: np.ndarray, row: np.ndarray) -> Iterator[np.ndarray]:
-    """Bucket of the subword at each byte, for each size; BUCKETS where it would run into the next row."""
+def _hashes(raw: np.ndarray, row: np.ndarray, own: np.ndarray) -> Iterator[np.ndarray]:
+    """Bucket of the subword at each byte, for each size; BUCKETS where it runs into the next row or isn't ``own``."""
     x = raw.astype(np.uint32)
     h = np.full(len(x), 2166136261, np.uint32)
     for n in range(1, SIZES[-1] + 1):
@@ -51,33 +51,41 @@ def _hashes(raw: np.ndarray, row: np.ndarray) -> Iterator[np.ndarray]:
         if n in SIZES:
             out = ((h ^ np.uint32(n)) * np.uint32(2654435761) >> np.uint32(18)).astype(np.int64)
             inside = np.zeros(len(x), bool)
-            inside[:len(x) - n + 1] = row[:len(x) - n + 1] == row[n - 1:]
+            inside[:len(x) - n + 1] = own[:len(x) - n + 1] & (row[:len(x) - n + 1] == row[n - 1:])
             out[~inside] = BUCKETS
             yield out
 
 
-def _pieces(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """(bytes, row of each) of about BLOCK bytes; a longer text in pieces that overlap by a subword less one."""
-    raw, row, size = [], [], 0
+def _pieces(texts: list[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """(bytes, row of each, whether a subword may start there) of about BLOCK bytes.
+
+    A longer text comes in pieces that overlap, so that each subword starts in one of them.
+    """
+    out: list[tuple[bytes, int, int]] = []
+
+    def joined() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        size = np.array([len(p) for p, *_ in out])
+        at = np.arange(size.sum()) - np.repeat(np.cumsum(size) - size, size)
+        return (np.frombuffer(b"".join(p for p, *_ in out), np.uint8), np.repeat([i for _, i, _ in out], size),
+                at < np.repeat([n for *_, n in out], size))
+
+    total = 0
     for i, t in enumerate(texts):
-        step = BLOCK
-        for a in range(0, max(1, len(t) - SIZES[-1] + 1), step):
-            part = t[a:a + step + SIZES[-1] - 1]
-            raw.append(np.frombuffer(part, np.uint8))
-            row.append((i, len(part)))
-            size += len(part)
-            if size >= BLOCK or len(t) > step:
-                yield np.concatenate(raw), np.repeat(*np.array(row).T)
-                raw, row, size = [], [], 0
-    if raw:
-        yield np.concatenate(raw), np.repeat(*np.array(row).T)
+        for a in range(0, max(1, len(t)), BLOCK):
+            out.append((t[a:a + BLOCK + SIZES[-1] - 1], i, BLOCK))
+            total += len(out[-1][0])
+            if total >= BLOCK:
+                yield joined()
+                out, total = [], 0
+    if out:
+        yield joined()
 
 
 def subword_counts(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Distinct buckets of a text and how often each occurs."""
     total = np.zeros(BUCKETS + 1, np.int64)
-    for raw, row in _pieces([normal(text)]):
-        for h in _hashes(raw, row):
+    for raw, row, own in _pieces([normal(text)]):
+        for h in _hashes(raw, row, own):
             total += np.bincount(h, minlength=BUCKETS + 1)
     at = np.flatnonzero(total[:BUCKETS])
     return at, total[at]
@@ -185,9 +193,9 @@ def predict(docs: DataFrame, model: dict, text_col: str = "text") -> DataFrame:
             texts = b.column(text_col).to_pylist()
             known = [i for i, t in enumerate(texts) if langs and t and _LETTER.search(t)]
             total, n = np.zeros((len(known), len(langs))), np.zeros(len(known))
-            for raw, row in _pieces([normal(texts[i]) for i in known]):
+            for raw, row, own in _pieces([normal(texts[i]) for i in known]):
                 first = np.flatnonzero(np.diff(row, prepend=-1))
-                for h in _hashes(raw, row):
+                for h in _hashes(raw, row, own):
                     total[row[first]] += np.add.reduceat(m["score"][h], first, axis=0, dtype=np.float64)
                     n[row[first]] += np.add.reduceat((h < BUCKETS).astype(np.int64), first)
             lang, score, ok = ["und"] * len(texts), [0.0] * len(texts), [False] * len(texts)
