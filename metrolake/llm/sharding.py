@@ -9,8 +9,8 @@ gain in uncut edges are let in first, by a distributed running total against
 the room.
 
 The law is ``rows``: in the end shard sizes differ by one row at most. Rows
-over a shard's share (smallest groups first) and unlinked documents fill the
-shards that lack rows.
+over a shard's share (smallest groups first) go, group by group, to shards
+that lack rows, and unlinked documents fill the rest.
 
 Cases: a null text counts as the empty text, one byte of size, CRC 0; null ids
 are placed like others; repeated rows are separate rows of one group; an empty
@@ -51,15 +51,21 @@ def propagate(state: DataFrame, quota: list[int], rounds: int, slack: float = 0.
     """Rounds of moves on ``state(g, shard, n)``; loads stay near ``quota`` (within ``slack``)."""
     shards = len(quota)
     for _ in range(rounds):
-        best = state.groupBy("g").agg(F.max(F.struct("n", F.xxhash64("g", "shard").alias("tie"), "shard")).alias("b"))
-        movers = cut(state.join(best.select(F.col("g").alias("bg"), F.col("b.n").alias("there"),
-                                            F.col("b.shard").alias("to")), F.col("g") == F.col("bg"))
-                     .filter("shard <> to").select("g", "shard", "to", "n", (F.col("there") - F.col("n")).alias("gain")))
-        load, leaving = _sums(state, "shard", shards), _sums(movers, "shard", shards)
+        load = _sums(state, "shard", shards)
+        free = [int(q * (1 + slack)) + 1 - x for q, x in zip(quota, load, strict=True)]
+        # The shard with most of the group that is not full; the group's rows in other shards want there, those
+        # of a fuller part only if the whole group has room there.
+        open_ = F.when(_of_shard(free, F.col("shard")) > 0, F.struct("n", F.xxhash64("g", "shard").alias("tie"), "shard"))
+        best = state.groupBy("g").agg(F.max(open_).alias("b"), F.sum("n").alias("all")).filter("b is not null").select(
+            F.col("g").alias("bg"), "all", F.col("b.n").alias("there"), F.col("b.shard").alias("to"))
+        movers = cut(state.join(best, F.col("g") == F.col("bg")).filter("shard <> to").filter(
+            (F.col("there") >= F.col("n")) | (F.col("all") - F.col("there") <= _of_shard(free, F.col("to"))))
+            .select("g", "shard", "to", "n", F.greatest(F.lit(0), F.col("there") - F.col("n")).alias("gain")))
+        leaving = _sums(movers, "shard", shards)
         if not any(leaving):
             break
         # Half of those who want to leave will have left.
-        room = [int(q * (1 + slack)) + 1 - x + y // 2 for q, x, y in zip(quota, load, leaving, strict=True)]
+        room = [x + y // 2 for x, y in zip(free, leaving, strict=True)]
         ranked = running_total(movers, ["to"], [F.col("g"), F.col("shard")], F.col("n"), "before",
                                lead=F.lit(63) - F.floor(F.log2(F.col("gain") + 1)))
         moved = cut(ranked.select("g", "shard", "to", _clip(_of_shard(room, F.col("to"))).alias("n")).filter("n > 0"))
@@ -88,30 +94,40 @@ def shard_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     state = cut(linked.groupBy("g", start.alias("shard")).agg(F.count(F.lit(1)).alias("n")))
     state = propagate(state, quota, rounds)
 
-    # Rows over a shard's share leave, those of small groups first.
-    over = [max(0, x - q) for x, q in zip(_sums(state, "shard", shards), quota, strict=True)]
+    # Rows over a shard's share leave, those of small groups first, and go where rows lack, a group together.
+    load = _sums(state, "shard", shards)
+    over = [max(0, x - q) for x, q in zip(load, quota, strict=True)]
+    lack = [max(0, q - x) for x, q in zip(load, quota, strict=True)]
     if any(over):
         ranked = running_total(state, ["shard"], [F.col("g")], F.col("n"), "before",
                                lead=F.floor(F.log2(F.col("n"))))
-        state = cut(ranked.select("g", "shard", (F.col("n") - _clip(_of_shard(over, F.col("shard")))).alias("n"))
-                    .filter("n > 0"))
+        parted = cut(ranked.select("g", "shard", "n", _clip(_of_shard(over, F.col("shard"))).alias("out")))
+        leave = cut(parted.groupBy("g").agg(F.sum("out").alias("n")).filter("n > 0"))
+        ends = [sum(lack[:s + 1]) for s in range(shards)]
+        into = F.explode(F.array(*[
+            F.struct(F.lit(s).alias("shard"), F.greatest(F.lit(0).cast("long"), F.least(
+                F.col("before") + F.col("n"), F.lit(ends[s])) - F.greatest(F.col("before"), F.lit(ends[s] - lack[s])))
+                     .alias("n")) for s in range(shards)]))
+        come = running_total(leave, [], [F.col("g")], F.col("n"), "before").select("g", into.alias("x")).select(
+            "g", "x.shard", "x.n")
+        state = cut(parted.select("g", "shard", (F.col("n") - F.col("out")).alias("n")).unionByName(come)
+                    .groupBy("g", "shard").agg(F.sum("n").alias("n")).filter("n > 0"))
+        load = _sums(state, "shard", shards)
     # A group's rows in order take its places shard by shard (a row a shard and group).
     w = Window.partitionBy("g").orderBy("shard").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     place = state.withColumn("hi", F.sum("n").over(w)).select(
         F.col("g").alias("pg"), (F.col("hi") - F.col("n")).alias("lo"), "hi", F.col("shard").alias("pshard"))
     ranked = running_total(linked, ["g"], [F.col("doc_id")], F.lit(1), "rank")
-    placed = cut(ranked.join(place, (F.col("g") == F.col("pg")) & (F.col("rank") >= F.col("lo"))
-                             & (F.col("rank") < F.col("hi")), "left")
-                 .select("doc_id", "size", "text_crc32", "g", F.col("pshard").alias("shard")))
-    # The rest fills what the shards lack.
-    rest = cut(own.join(groups, F.col("g") == F.col("lg"), "left_anti").unionByName(
-        placed.filter("shard is null").drop("shard")))
-    lack = [q - x for q, x in zip(quota, _sums(state, "shard", shards), strict=True)]
-    ends = [sum(lack[:s + 1]) for s in range(shards)]
+    placed = (ranked.join(place, (F.col("g") == F.col("pg")) & (F.col("rank") >= F.col("lo"))
+                          & (F.col("rank") < F.col("hi")))
+              .select("doc_id", "size", "text_crc32", "g", F.col("pshard").alias("shard")))
+    # Unlinked rows fill what the shards lack.
+    rest = cut(own.join(groups, F.col("g") == F.col("lg"), "left_anti"))
+    ends = [sum(quota[:s + 1]) - sum(load[:s + 1]) for s in range(shards)]
     ranked = running_total(rest, [], [F.col("doc_id"), F.col("g")], F.lit(1), "rank")
     into = reduce(lambda c, s: F.when(F.col("rank") < ends[s], s).otherwise(c), reversed(range(shards - 1)),
                   F.lit(shards - 1))
-    return placed.filter("shard is not null").unionByName(ranked.select(
+    return placed.unionByName(ranked.select(
         "doc_id", "size", "text_crc32", "g", into.cast("int").alias("shard")))
 
 
