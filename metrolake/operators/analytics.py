@@ -91,7 +91,7 @@ def drift_per_position(m: DataFrame) -> DataFrame:
              .orderBy("run_id", F.desc("mean_dev"), "position"))
 
 
-def drift_slope(m: DataFrame, strategy: str = "auto") -> DataFrame:
+def drift_slope(m: DataFrame, buckets: int | None = None) -> DataFrame:
     """Least-squares slope of deviation on the time-ordered row index.
 
     x = 0..n-1 in (timestamp asc nulls last, measurement_id) order per run.
@@ -99,8 +99,7 @@ def drift_slope(m: DataFrame, strategy: str = "auto") -> DataFrame:
     """
     x = ordered_index(
         m.select("run_id", "measurement_id", "timestamp", "deviation"),
-        ["run_id"], [F.col("timestamp").asc_nulls_last(), F.col("measurement_id")],
-        name="x", strategy=strategy)
+        ["run_id"], ["timestamp", "measurement_id"], name="x", buckets=buckets)
     agg = (x.groupBy("run_id")
              .agg(F.count(F.lit(1)).alias("n_measurements"),
                   F.regr_slope(F.col("deviation"), F.col("x").cast("double")).alias("slope")))
@@ -119,7 +118,7 @@ def recent_runs(runs: DataFrame, n: int = 5) -> DataFrame:
 
 
 def recent_run_drift(m: DataFrame, runs: DataFrame, n: int = 5,
-                     strategy: str = "auto") -> DataFrame:
+                     buckets: int | None = None) -> DataFrame:
     """A10: per-position drift and run slope for the ``n`` latest runs.
 
     The top-n run list is tiny; a semi join restricts the measurement frame
@@ -129,7 +128,7 @@ def recent_run_drift(m: DataFrame, runs: DataFrame, n: int = 5,
                                       "equipment_id")
     sub = m.join(top.select("run_id"), "run_id", "left_semi")
     per_pos = drift_per_position(sub)
-    slopes = drift_slope(sub, strategy=strategy).select("run_id", "drift_slope", "drift_direction")
+    slopes = drift_slope(sub, buckets).select("run_id", "drift_slope", "drift_direction")
     return (per_pos.join(top, "run_id").join(slopes, "run_id", "left")
             .select("run_id", "run_timestamp", "equipment_id", "drift_slope",
                     "drift_direction", "position", "mean_dev", "n_measurements")
@@ -143,12 +142,15 @@ def recent_run_drift(m: DataFrame, runs: DataFrame, n: int = 5,
 def run_variation_series(m: DataFrame, as_of, lookback_days: int = 30,
                          positions: Sequence[str] | None = None) -> DataFrame:
     """Per (position, run) mean deviation and first timestamp."""
+    return _variation_series(m, as_of, lookback_days, positions).orderBy("position", "timestamp", "run_id")
+
+
+def _variation_series(m: DataFrame, as_of, lookback_days: int, positions: Sequence[str] | None) -> DataFrame:
     if positions is not None:
         m = m.filter(F.col("position").isin([p.upper() for p in positions]))
     m = lookback_filter(m, as_of, lookback_days)
     return (m.groupBy("position", "run_id")
-             .agg(F.avg("deviation").alias("deviation"), F.min("timestamp").alias("timestamp"))
-             .orderBy("position", "timestamp", "run_id"))
+             .agg(F.avg("deviation").alias("deviation"), F.min("timestamp").alias("timestamp")))
 
 
 def run_variation(m: DataFrame, as_of, lookback_days: int = 30,
@@ -158,7 +160,7 @@ def run_variation(m: DataFrame, as_of, lookback_days: int = 30,
     With ``positions`` given, a requested position without data comes back
     with ``n_runs = 0`` and null statistics.
     """
-    s = run_variation_series(m, as_of, lookback_days, positions)
+    s = _variation_series(m, as_of, lookback_days, positions)
     mean = F.avg("deviation")
     summary = (s.groupBy("position")
                 .agg(F.count(F.lit(1)).alias("n_runs"), mean.alias("mean"),
@@ -202,7 +204,7 @@ def control_chart_points(m: DataFrame, as_of, cfg: AnalysisConfig = AnalysisConf
 
 
 def stability(m: DataFrame, as_of, cfg: AnalysisConfig = AnalysisConfig(),
-              equipment: Sequence[str] | None = None, strategy: str = "auto") -> DataFrame:
+              equipment: Sequence[str] | None = None, buckets: int | None = None) -> DataFrame:
     """A4a-d/f: Shewhart X-bar assessment per equipment.
 
     Columns: equipment_id, n, mean, std, ucl, lcl, out_of_control, trend_delta,
@@ -213,8 +215,7 @@ def stability(m: DataFrame, as_of, cfg: AnalysisConfig = AnalysisConfig(),
     lim = control_limits(m, as_of, cfg)
     pts = lookback_filter(m, as_of, cfg.lookback_days).select(
         "equipment_id", "measurement_id", "timestamp", "deviation")
-    ix = ordered_index(pts, ["equipment_id"], [F.col("timestamp").asc_nulls_last(), F.col("measurement_id")],
-                       name="ix", strategy=strategy)
+    ix = ordered_index(pts, ["equipment_id"], ["timestamp", "measurement_id"], name="ix", buckets=buckets)
     # Limits and counts are one row per equipment (broadcast by AQE); one pass
     # over the points counts the out-of-control ones and averages each half.
     half = F.floor(F.col("n") / 2)

@@ -6,18 +6,16 @@ means, first N rows in file order). A window ``row_number() OVER (PARTITION
 BY g ORDER BY o)`` does it, but puts each group in one task, which breaks
 down when a single group holds a large share of all rows.
 
-``ordered_index`` therefore checks the largest group first (one small
-aggregation; skipped when Catalyst's size estimate of the whole input is
-below a small bound) and only uses the window when every group is below a
-bound.
-Above it, it range-partitions on ``(group, order)`` so that a hot group is
-cut into many sorted slices on many tasks, counts each slice with a
-partial aggregation, turns slice counts into offsets with a window over the
-(small) slice table, and joins the offsets back. No group is ever gathered
-into one task and nothing passes through the driver.
+``ordered_index`` therefore cuts the rows into order buckets by value: the
+cut points are rows of a sample in (group, order), known as literals, so a
+row's bucket depends on the row alone and is the same wherever it is
+computed. A window ranks only inside (group, bucket); bucket counts (one row
+per group and bucket) give the offsets. The number of buckets follows the
+input's size and changes the work, never the positions; with one bucket the
+offsets vanish from the plan.
 
 The order must be total (end it with a unique key) so that a recomputed
-task reproduces the same positions.
+task reproduces the same positions. Nulls come last.
 """
 
 from __future__ import annotations
@@ -27,21 +25,17 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-MAX_WINDOW_ROWS_CONF = "metrolake.ordered.maxWindowRows"
-DEFAULT_MAX_WINDOW_ROWS = 2_000_000
-SMALL_INPUT_CONF = "metrolake.smallInputBytes"
-DEFAULT_SMALL_INPUT_BYTES = 64 * 1024 * 1024
-
-
-def _cols(xs) -> list[Column]:
-    return [F.col(x) if isinstance(x, str) else x for x in xs]
+BUCKET_BYTES_CONF = "metrolake.ordered.bucketBytes"
+DEFAULT_BUCKET_BYTES = 64 * 1024 * 1024
+MAX_BUCKETS = 256
+SAMPLES_PER_BUCKET = 50
 
 
 def plan_size_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate of the optimized plan (no job runs).
 
-    For scans, projections and filters it is an upper bound of the data the
-    plan produces (a filter keeps its input's estimate)."""
+    An estimate: compressed sources hold more. It only chooses how finely
+    work is cut, never what is computed."""
     try:
         v = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
         return v if isinstance(v, int) else int(v.toString())
@@ -49,11 +43,69 @@ def plan_size_bytes(df: DataFrame) -> int:
         return 1 << 62
 
 
-def is_small_input(df: DataFrame) -> bool:
-    """True when the whole input is below the small-input bound, so no group
-    of it can be large and the per-group fast paths need no size check."""
-    limit = int(df.sparkSession.conf.get(SMALL_INPUT_CONF, str(DEFAULT_SMALL_INPUT_BYTES)))
-    return plan_size_bytes(df) <= limit
+def bucket_count(df: DataFrame) -> int:
+    size = int(df.sparkSession.conf.get(BUCKET_BYTES_CONF, str(DEFAULT_BUCKET_BYTES)))
+    return max(1, min(MAX_BUCKETS, -(-plan_size_bytes(df) // size)))
+
+
+def _key(cols: Sequence[str]) -> Column:
+    """Comparable in the order of ``cols`` ascending, nulls last."""
+    return F.struct(*[x.alias(f"k{2 * i + j}") for i, c in enumerate(cols)
+                      for j, x in enumerate((F.col(c).isNull(), F.col(c)))])
+
+
+def cut_points(df: DataFrame, cols: Sequence[str], buckets: int) -> list[Column]:
+    """Up to ``buckets`` - 1 rows' keys, ascending, as literals (a bounded sample comes to the driver)."""
+    want = buckets * SAMPLES_PER_BUCKET
+    share = min(1.0, 1.2 * want / max(1, df.count()))
+    got = df.select(_key(cols).alias("k")).sample(share, seed=11).orderBy("k").limit(2 * want).collect()
+    picked = got[len(got) // buckets::max(1, len(got) // buckets)] if got else []
+    types = [f.dataType for c in cols for f in [df.schema[c]]]
+    out, last = [], None
+    for r in picked[:buckets - 1]:
+        vals = list(r["k"])
+        if vals == last:
+            continue
+        last = vals
+        parts = []
+        for i, t in enumerate(types):
+            null, v = vals[2 * i], vals[2 * i + 1]
+            parts += [F.lit(null).alias(f"k{2 * i}"),
+                      (F.lit(None) if null else F.lit(str(v))).cast(t).alias(f"k{2 * i + 1}")]
+        out.append(F.struct(*parts))
+    return out
+
+
+def _bucket(key: Column, cuts: list[Column], lo: int = 0) -> Column:
+    """Number of cut points at or below ``key``: a balanced tree of comparisons."""
+    if not cuts:
+        return F.lit(lo)
+    m = len(cuts) // 2
+    return F.when(key < cuts[m], _bucket(key, cuts[:m], lo)).otherwise(_bucket(key, cuts[m + 1:], lo + m + 1))
+
+
+def ordered_index(df: DataFrame, by: Sequence[str], order: Sequence[str], name: str = "_ix",
+                  buckets: int | None = None) -> DataFrame:
+    """Add ``name``: the 0-based position of each row inside its ``by`` group,
+    by the columns ``order`` ascending, nulls last."""
+    by, order = list(by), list(order)
+    buckets = bucket_count(df) if buckets is None else buckets
+    cuts = cut_points(df, [*by, *order], buckets) if buckets > 1 else []
+    asc = [F.col(c).asc_nulls_last() for c in order]
+    if not cuts:
+        w = Window.partitionBy(*by).orderBy(*asc)
+        return df.withColumn(name, (F.row_number().over(w) - 1).cast("long"))
+    d = df.withColumn("_ob", _bucket(_key([*by, *order]), cuts))
+    seg = d.groupBy(*by, "_ob").agg(F.count(F.lit(1)).alias("_on"))
+    before = Window.partitionBy(*by).orderBy("_ob").rowsBetween(Window.unboundedPreceding, -1)
+    # One row per group and bucket it has rows in: at most groups + buckets.
+    seg = seg.select(F.col("_ob").alias("_sb"), *[F.col(b).alias(f"_s{i}") for i, b in enumerate(by)],
+                     F.coalesce(F.sum("_on").over(before), F.lit(0)).alias("_off"))
+    cond = [F.col("_ob") == F.col("_sb")] + [F.col(b).eqNullSafe(F.col(f"_s{i}")) for i, b in enumerate(by)]
+    w = Window.partitionBy(*by, "_ob").orderBy(*asc)
+    out = d.withColumn("_in", F.row_number().over(w) - 1).join(seg, cond, "inner").withColumn(
+        name, (F.col("_off") + F.col("_in")).cast("long"))
+    return out.drop("_ob", "_sb", "_in", "_off", *[f"_s{i}" for i in range(len(by))])
 
 
 def largest_group(df: DataFrame, by: Sequence[str]) -> int:
@@ -62,52 +114,6 @@ def largest_group(df: DataFrame, by: Sequence[str]) -> int:
     return int(row["m"] or 0) if row else 0
 
 
-def ordered_index(df: DataFrame, by: Sequence[str], order: Sequence[Column | str],
-                  name: str = "_ix", strategy: str = "auto",
-                  max_window_rows: int | None = None) -> DataFrame:
-    """Add ``name``: the 0-based position of each row inside its ``by`` group.
-
-    strategy: ``auto`` (size check), ``window`` or ``sorted``.
-    """
-    by = list(by)
-    if strategy == "auto":
-        limit = max_window_rows or int(df.sparkSession.conf.get(
-            MAX_WINDOW_ROWS_CONF, str(DEFAULT_MAX_WINDOW_ROWS)))
-        strategy = "window" if is_small_input(df) or largest_group(df, by) <= limit else "sorted"
-    if strategy == "window":
-        w = Window.partitionBy(*by).orderBy(*_cols(order))
-        return df.withColumn(name, (F.row_number().over(w) - 1).cast("long"))
-    if strategy == "sorted":
-        return _sorted_index(df, by, _cols(order), name)
-    raise ValueError(f"unknown strategy {strategy!r}")
-
-
-def _sorted_index(df: DataFrame, by: list[str], order: list[Column], name: str) -> DataFrame:
-    spark = df.sparkSession
-    n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = _cols(by) + order
-    # Range partitioning on (group, order): a hot group spans many partitions,
-    # each holding one contiguous, sorted slice of it.
-    s = (df.repartitionByRange(n_parts, *keys)
-           .sortWithinPartitions(*keys)
-           .withColumn("_seg_p", F.spark_partition_id())
-           # monotonically_increasing_id = partition << 33 | row number in the
-           # partition; keep the row number.
-           .withColumn("_seg_l", F.monotonically_increasing_id()
-                       - F.shiftleft(F.col("_seg_p").cast("long"), 33)))
-    seg = (s.groupBy("_seg_p", *by)
-             .agg(F.count(F.lit(1)).alias("_seg_n"), F.min("_seg_l").alias("_seg_l0")))
-    # One row per (partition, group) slice: at most partitions + groups rows.
-    before = Window.partitionBy(*by).orderBy("_seg_p").rowsBetween(Window.unboundedPreceding, -1)
-    seg = seg.withColumn("_seg_off", F.coalesce(F.sum("_seg_n").over(before), F.lit(0)))
-    g = seg.select(F.col("_seg_p").alias("_g_p"),
-                   *[F.col(b).alias(f"_g_{i}") for i, b in enumerate(by)],
-                   "_seg_off", "_seg_l0")
-    cond = [F.col("_seg_p") == F.col("_g_p")] + [
-        F.col(b).eqNullSafe(F.col(f"_g_{i}")) for i, b in enumerate(by)]
-    # The slice table is small, AQE turns this into a broadcast join when its
-    # measured size allows and keeps a shuffle join otherwise.
-    out = s.join(g, cond, "inner").withColumn(
-        name, (F.col("_seg_off") + F.col("_seg_l") - F.col("_seg_l0")).cast("long"))
-    drop = ["_seg_p", "_seg_l", "_g_p", "_seg_off", "_seg_l0"] + [f"_g_{i}" for i in range(len(by))]
-    return out.drop(*drop)
+def is_small_input(df: DataFrame) -> bool:
+    """True when the estimated input fits one bucket."""
+    return bucket_count(df) == 1

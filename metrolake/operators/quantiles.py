@@ -4,11 +4,12 @@
 its size is bounded by the group's row count. ``group_quantiles`` therefore
 checks the largest group first (one aggregation): when every group is
 below ``max_map_rows`` it uses ``percentile``; otherwise it ranks the values
-of each group with ``ordered_index`` (a hot group is range-sorted across
-many tasks) and reads the two values around each quantile position
-``h = (n - 1) * p`` directly: ``q = v[floor(h)] + (h - floor(h)) *
-(v[floor(h) + 1] - v[floor(h)])``. Both give the same exact result; neither
-collects a group into one task. ``approx`` uses the fixed-size
+of each group with ``ordered_index`` (a hot group is cut by value into many
+tasks) and reads the two values around each quantile position
+``h = (n - 1) * p`` directly, mixed as ``percentile`` mixes them:
+``q = (1 - f) * v[floor(h)] + f * v[floor(h) + 1]`` with ``f = h - floor(h)``.
+Both give the same result to the last bit; neither collects a group into
+one task. ``approx`` uses the fixed-size
 ``percentile_approx`` sketch instead.
 """
 
@@ -49,8 +50,7 @@ def group_quantiles(df: DataFrame, by: Sequence[str], value: str, probs: Sequenc
     if strategy != "ranked":
         raise ValueError(f"unknown strategy {strategy!r}")
     counts = d.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"))
-    ranked = ordered_index(d.select(*by, value, *tie_break), by, [F.col(value), *tie_break],
-                           name="_ix", strategy="sorted")
+    ranked = ordered_index(d.select(*by, value, *tie_break), by, [value, *tie_break], name="_ix")
     # Keep only the rows at the interpolation points (at most 2 per quantile).
     j = ranked.join(counts, by)
     hs = [(F.col("_n") - 1) * float(p) for p in probs]
@@ -67,5 +67,5 @@ def group_quantiles(df: DataFrame, by: Sequence[str], value: str, probs: Sequenc
     out = []
     for i, n in enumerate(names):
         lo, hi, fr = F.col(f"_lo{i}"), F.col(f"_hi{i}"), F.col(f"_fr{i}")
-        out.append(F.when(hi.isNull() | (fr == 0), lo).otherwise(lo + fr * (hi - lo)).alias(n))
+        out.append(F.when(hi.isNull() | (fr == 0), lo).otherwise((1 - fr) * lo + fr * hi).alias(n))
     return got.select(*by, *out)

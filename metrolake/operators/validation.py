@@ -305,8 +305,8 @@ def store_overlap(rows: DataFrame | None, stored: DataFrame, window_hours: float
       counts (a table bounded by the store's time span);
     * the two edge hours: how many stored rows of that hour lie before an
       edge is a rank lookup. The edges are ranked together with the stored
-      rows of the same hour (``ordered_index``: a window for normal hours,
-      range-sorted slices for a hot hour) and the rank among edges alone is
+      rows of the same hour (``ordered_index``, which
+      cuts a hot hour into buckets) and the rank among edges alone is
       subtracted.
 
     ``ranges`` (source_file, ts_min, ts_max) can come from a file profile
@@ -343,7 +343,7 @@ def store_overlap(rows: DataFrame | None, stored: DataFrame, window_hours: float
                                         F.lit(2).alias("kind"))))
     pts = (st.select("h", "t", F.lit(1).alias("kind"), F.lit(None).cast("string").alias("source_file"))
              .unionByName(edges.select("h", "t", "kind", "source_file")))
-    order = [F.col("t"), F.col("kind"), F.col("source_file")]
+    order = ["t", "kind", "source_file"]
     all_rank = ordered_index(pts, ["h"], order, name="_all").filter(F.col("kind") != 1)
     edge_rank = ordered_index(edges, ["h"], order, name="_edges")
     before = (all_rank.join(edge_rank.select("h", "t", "kind", "source_file", "_edges"),

@@ -124,19 +124,38 @@ def test_ordered_index_sorted_equals_window(spark):
     rnd = random.Random(5)
     rows = [(rnd.choice(["hot"] * 8 + ["a", "b", None]), rnd.randint(0, 50), i) for i in range(3000)]
     df = spark.createDataFrame(rows, "g string, t int, id long")
-    a = ordered_index(df, ["g"], ["t", "id"], "ix", strategy="window")
-    b = ordered_index(df, ["g"], ["t", "id"], "ix", strategy="sorted")
+    a = ordered_index(df, ["g"], ["t", "id"], "ix", buckets=1)
+    b = ordered_index(df, ["g"], ["t", "id"], "ix", buckets=9)
     key = lambda r: r["id"]
     assert sorted(a.collect(), key=key) == sorted(b.collect(), key=key)
     assert b.filter(F.col("g") == "hot").agg(F.max("ix")).first()[0] == b.filter(F.col("g") == "hot").count() - 1
 
 
+def test_ordered_index_with_payload_and_a_hot_group(spark):
+    """Positions carry all columns, no row is lost, and buckets never change them."""
+    df = (spark.range(0, 120_000, numPartitions=8).selectExpr(
+        "case when id % 10 < 8 then 'hot' else concat('g', id % 7) end as g",
+        "cast((id * 7919) % 5003 as int) as t", "id", "sqrt(id) as payload", "cast(id as string) as note")
+        .withColumn("t", F.when(F.col("id") % 1001 == 0, None).otherwise(F.col("t"))))
+    a = ordered_index(df, ["g"], ["t", "id"], "ix", buckets=1)
+    b = ordered_index(df, ["g"], ["t", "id"], "ix", buckets=16)
+    assert b.count() == 120_000
+    assert a.exceptAll(b).count() == 0
+    assert b.select("g", "ix").distinct().count() == 120_000
+    m = df.select(F.when(F.col("g") == "hot", 1).otherwise(2).cast("long").alias("run_id"),
+                  F.col("id").alias("measurement_id"), F.timestamp_seconds("t").cast("timestamp_ntz").alias("timestamp"),
+                  F.col("payload").alias("deviation"), F.lit("E").alias("equipment_id"))
+    one = {r["run_id"]: r["drift_slope"] for r in A.drift_slope(m, buckets=1).collect()}
+    many = {r["run_id"]: r["drift_slope"] for r in A.drift_slope(m, buckets=12).collect()}
+    assert one.keys() == many.keys() and all(one[k] == pytest.approx(many[k], rel=1e-9) for k in one)
+
+
 def test_slope_sorted_strategy_matches(spark):
     rows = [(i % 3, i, dt.datetime(2024, 1, 1) + dt.timedelta(minutes=i), float(i % 7) * 0.01 * (i % 3))
             for i in range(300)]
     m = spark.createDataFrame(rows, "run_id long, measurement_id long, timestamp timestamp_ntz, deviation double")
-    w = {r["run_id"]: r["drift_slope"] for r in A.drift_slope(m, strategy="window").collect()}
-    s = {r["run_id"]: r["drift_slope"] for r in A.drift_slope(m, strategy="sorted").collect()}
+    w = {r["run_id"]: r["drift_slope"] for r in A.drift_slope(m, buckets=1).collect()}
+    s = {r["run_id"]: r["drift_slope"] for r in A.drift_slope(m, buckets=5).collect()}
     assert w.keys() == s.keys() and all(w[k] == pytest.approx(s[k]) for k in w)
 
 
@@ -193,8 +212,8 @@ def test_single_file_listing_and_ingest(spark, fixture_dir, store_dir):
 
 def test_ordered_index_without_groups(spark):
     df = spark.range(0, 3000).selectExpr("id", "cast(id % 97 as long) as t")
-    a = {r["id"]: r["ix"] for r in ordered_index(df, [], ["t", "id"], "ix", strategy="window").collect()}
-    b = {r["id"]: r["ix"] for r in ordered_index(df, [], ["t", "id"], "ix", strategy="sorted").collect()}
+    a = {r["id"]: r["ix"] for r in ordered_index(df, [], ["t", "id"], "ix", buckets=1).collect()}
+    b = {r["id"]: r["ix"] for r in ordered_index(df, [], ["t", "id"], "ix", buckets=9).collect()}
     assert a == b and sorted(b.values()) == list(range(3000))
 
 
