@@ -39,8 +39,10 @@ from pyspark.sql import functions as F
 from metrolake.llm.common import Scratch, cut, table, text_bytes, whole_keys
 from metrolake.llm.langid import fold
 
-BLOCK_TOKENS = 2_500_000
-SHARD_TOKENS = 3_000_000
+#: What a task holds at once. Packets between blocks and shards number tokens**2 / (one * other): for corpora
+#: far over 100 GB raise both with the executors' memory.
+BLOCK_TOKENS = 1_000_000
+SHARD_TOKENS = 1_200_000
 #: Words hold no white space, so these are no words.
 END, START = b" ", b"  "
 PAIR_BITS = 56
