@@ -111,6 +111,8 @@ def _q() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["equipment_snapshot_bulk"] = lambda s, d: _r(A.equipment_snapshot(_ml(s, d), CFG.alert_threshold))
     q["trend_hourly"] = lambda s, d: _r(A.time_trends(_m(s, d), "h"))
     q["trend_daily"] = lambda s, d: _r(A.time_trends(_m(s, d), "D"))
+    q["trend_6h"] = lambda s, d: _r(A.time_trends(_m(s, d), "6h"))
+    q["trend_2d"] = lambda s, d: _r(A.time_trends(_m(s, d), "2D"))
     q["trend_weekly"] = lambda s, d: _r(A.time_trends(_m(s, d), "W"))
     q["trend_monthly"] = lambda s, d: _r(A.time_trends(_m(s, d), "ME"))
     q["trend_month_start_bulk"] = lambda s, d: _r(A.time_trends(_ml(s, d), "MS"))

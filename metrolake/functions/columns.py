@@ -19,17 +19,26 @@ from ..config import NULL_TOKENS
 # becomes null.
 NUMERIC_TEXT = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$|^[+-]?(inf|infinity)$"
 
-# Fixed value: timestamp text layouts tried in order (month-first wins over
-# day-first for ambiguous dates like 03/04/2024).
+# Timestamp text layouts tried in order after ISO forms
+# (month-first wins over day-first for ambiguous dates like 03/04/2024).
 TIMESTAMP_LAYOUTS = [
-    "MM/dd/yyyy HH:mm:ss",
-    "MM/dd/yyyy",
-    "dd/MM/yyyy HH:mm:ss",
-    "dd/MM/yyyy",
-    "dd-MMM-yyyy HH:mm:ss",
-    "dd-MMM-yyyy",
+    "M/d/yyyy[ H:mm[:ss[.SSSSSS]]]",
+    "M/d/yyyy h:mm[:ss] a",
+    "d/M/yyyy[ H:mm[:ss[.SSSSSS]]]",
+    "yyyy/M/d[ H:mm[:ss[.SSSSSS]]]",
+    "M.d.yyyy[ H:mm[:ss[.SSSSSS]]]",
+    "d.M.yyyy[ H:mm[:ss[.SSSSSS]]]",
+    "d-MMM-yyyy[ H:mm[:ss]]",
     "yyyyMMdd",
 ]
+# Text of so many digits is a count of nanoseconds since 1970.
+EPOCH_NS = r"^\d{12,19}$"
+
+
+def strip(c: Column | str) -> Column:
+    """Without white space of any kind (tabs too) at both ends."""
+    c = F.col(c) if isinstance(c, str) else c
+    return F.trim(c, F.lit(" \t\n\r\x0b\x0c"))
 
 
 def clean_header(name: str, json_style: bool = False) -> str:
@@ -58,7 +67,7 @@ def to_number(c: Column | str) -> Column:
     Bad text gives null; NaN gives null so that it can not poison averages.
     """
     c = F.col(c) if isinstance(c, str) else c
-    t = F.trim(c.cast("string"))
+    t = strip(c.cast("string"))
     ok = t.rlike("(?i)" + NUMERIC_TEXT)
     return nan_to_null(F.when(ok, t.try_cast("double")))
 
@@ -68,14 +77,18 @@ def to_timestamp_any(c: Column | str) -> Column:
 
     ISO forms (``2024-03-01 08:00:00``, ``2024-03-01T08:00:00``, dates) go
     through the default parser, then the fixed layouts are tried in order.
+    A text with an offset (``+02:00``, ``Z``) is shifted to UTC; one of 12 to
+    19 digits is nanoseconds since 1970.
     """
     c = F.col(c) if isinstance(c, str) else c
-    t = F.trim(c.cast("string"))
-    tries = [F.try_to_timestamp(t)] + [F.try_to_timestamp(t, F.lit(p)) for p in TIMESTAMP_LAYOUTS]
+    t = strip(c.cast("string"))
+    epoch = F.when(t.rlike(EPOCH_NS), F.timestamp_micros(F.floor(t.try_cast("decimal(19,0)") / 1000).cast("long")))
+    iso = F.when(~t.rlike(EPOCH_NS), F.try_to_timestamp(t))
+    tries = [iso, epoch] + [F.try_to_timestamp(t, F.lit(p)) for p in TIMESTAMP_LAYOUTS]
     return F.coalesce(*tries).cast("timestamp_ntz")
 
 
 def normalize_position(c: Column | str) -> Column:
     """Upper-case trimmed text; a missing position reads ``NAN``."""
     c = F.col(c) if isinstance(c, str) else c
-    return F.coalesce(F.upper(F.trim(c.cast("string"))), F.lit("NAN"))
+    return F.coalesce(F.upper(strip(c.cast("string"))), F.lit("NAN"))

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import AnalysisConfig
-from ..functions.buckets import bucket
+from ..functions.buckets import bucket, bucket_from, multiple
 from .ordered import ordered_index
 from .quantiles import group_quantiles
 
@@ -38,7 +38,7 @@ def _ts_lit(as_of) -> Column:
         as_of = _dt.datetime.fromisoformat(as_of)
     if isinstance(as_of, _dt.date) and not isinstance(as_of, _dt.datetime):
         as_of = _dt.datetime(as_of.year, as_of.month, as_of.day)
-    return F.lit(as_of.strftime("%Y-%m-%d %H:%M:%S")).cast("timestamp_ntz")
+    return F.lit(as_of.strftime("%Y-%m-%d %H:%M:%S.%f")).cast("timestamp_ntz")
 
 
 def lookback_filter(m: DataFrame, as_of, days: int) -> DataFrame:
@@ -301,10 +301,18 @@ def equipment_snapshot(m: DataFrame, threshold: float = 0.5) -> DataFrame:
 def time_trends(m: DataFrame, freq: str = "D") -> DataFrame:
     """Mean, sample std, count of deviation per calendar bucket.
 
-    Null timestamps are dropped; empty buckets never appear.
+    Null timestamps are dropped; empty buckets never appear. A multiple
+    (``6h``, ``2D``) counts its buckets from midnight of the earliest row.
     """
-    return (m.filter(F.col("timestamp").isNotNull())
-             .groupBy(bucket("timestamp", freq).alias("timestamp"))
+    m = m.filter(F.col("timestamp").isNotNull())
+    if multiple(freq):
+        # The origin is one row of one partial aggregation.
+        first = m.agg(F.min("timestamp").alias("_origin"))
+        m = m.select("timestamp", "deviation").join(F.broadcast(first))  # one row
+        by = bucket_from("timestamp", freq, F.col("_origin"))
+    else:
+        by = bucket("timestamp", freq)
+    return (m.groupBy(by.alias("timestamp"))
              .agg(F.avg("deviation").alias("mean_dev"),
                   F.stddev_samp("deviation").alias("std_dev"),
                   F.count("deviation").alias("n_measurements"))

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import COLUMN_ALIASES, MEASUREMENT_COLUMNS
-from ..functions.columns import normalize_position, to_number, to_timestamp_any
+from ..functions.columns import normalize_position, strip, to_number, to_timestamp_any
 
 CANONICAL = list(COLUMN_ALIASES)
 MISSING_STRATEGIES = ("flag", "drop", "fill")
@@ -32,7 +32,7 @@ MISSING_STRATEGIES = ("flag", "drop", "fill")
 def clean_keys(fields: Column, json_style: bool = False) -> Column:
     """T1 on map keys: strip, lower, blank runs (and dots for JSON) -> ``_``."""
     pat = r"[\.\s]+" if json_style else r"\s+"
-    return F.transform_keys(fields, lambda k, v: F.regexp_replace(F.lower(F.trim(k)), pat, "_"))
+    return F.transform_keys(fields, lambda k, v: F.regexp_replace(F.lower(strip(k)), pat, "_"))
 
 
 # ---------------------------------------------------------------------------

@@ -211,7 +211,7 @@ def timestamp_gaps(rows: DataFrame, max_gap_hours: float) -> DataFrame:
     next, so only bucket extremes are compared. The bucket table grows with
     a file's time span, not with its rows.
     """
-    width = int(round(max_gap_hours * 3600 * 1_000_000))
+    width = max(1, int(round(max_gap_hours * 3600 * 1_000_000)))  # a bound of 0: every step between times
     us = F.unix_micros(F.col("timestamp").cast("timestamp"))
     b = (rows.filter(F.col("timestamp").isNotNull())
              .groupBy("source_file", F.floor(us / F.lit(width)).alias("_b"))

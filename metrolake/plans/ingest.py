@@ -5,13 +5,15 @@ loop): read per format, transform, validate, gate, then append to the
 store in the order measurements, runs, validation results, ledger (S8-S17).
 
 * Hash skip (S12): a file whose SHA-256 already has a ``success`` ledger row
-  is skipped unless ``force``.
+  is skipped unless ``force``; of equal files in one listing the oldest is
+  processed, and if it loads the others are skipped, else they share its fate.
 * Gate (V10, S13): a file with a failed check is not loaded unless
   ``force``; a file that can not be stored (missing required column, a null
   measurement value after the missing-value strategy) fails even with
   ``force``.
 * Ids are deterministic (run ids follow file mtime/path order after the
-  store's current maximum; measurement ids pack run id and row position),
+  largest id that any table holds, so rows that an interrupted load left
+  behind never share an id with a later one and stay invisible; measurement ids pack run id and row position),
   so a recomputed task writes the same rows.
 * The transformed rows are checkpointed once (reliable checkpoint in the
   session's ``spark.checkpoint.dir``) so the checks and the four writes do
@@ -23,7 +25,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import MEASUREMENT_COLUMNS, REQUIRED_COLUMNS, ValidationConfig
@@ -31,7 +33,7 @@ from ..operators.ordered import ordered_index
 from ..operators.transforms import transform
 from ..operators.validation import load_gate, run_checks
 from ..session import ensure_checkpoint_dir
-from ..sources.files import describe_listing, file_hashes, list_files
+from ..sources.files import MAX_BYTES, describe_listing, file_hashes, list_files
 from ..sources.reader import read_raw
 from .runs import build_runs
 from .store import Store
@@ -64,7 +66,8 @@ def ingest_listing(spark: SparkSession, listing: DataFrame, store_root: str,
     ensure_checkpoint_dir(spark)
     store = Store(spark, store_root)
     now = _now_lit(as_of)
-    lst = describe_listing(listing).persist()
+    lst = describe_listing(listing).withColumn(
+        "format", F.when(F.col("length") < MAX_BYTES, F.col("format"))).persist()
 
     # ---- S6/S12: hashes and the already-imported skip ------------------------
     supported = [r["path"] for r in lst.filter(F.col("format").isNotNull()).select("path").toLocalIterator()]
@@ -75,7 +78,12 @@ def ingest_listing(spark: SparkSession, listing: DataFrame, store_root: str,
         skipped = files.limit(0)
     else:
         skipped = files.join(done, "file_hash", "left_semi")
-    todo = files.join(skipped.select("path"), "path", "left_anti").persist()
+    todo = files.join(skipped.select("path"), "path", "left_anti")
+    # Equal files in one listing: the oldest stands for all (one row a file here).
+    same = Window.partitionBy(F.coalesce("file_hash", "path")).orderBy("modificationTime", "path")
+    todo = todo.withColumn("_first", F.col("path") if force else F.first("path").over(same)).persist()
+    twins = todo.filter(F.col("_first") != F.col("path"))
+    todo = todo.filter(F.col("_first") == F.col("path")).drop("_first")
 
     groups: dict = {}
     for r in todo.select("path", "format").toLocalIterator():
@@ -115,11 +123,14 @@ def ingest_listing(spark: SparkSession, listing: DataFrame, store_root: str,
         F.when(blocked, F.format_string("%d validation failure(s) prevented load.", F.col("n_fail")))
          .otherwise(load_err).alias("_message"))
 
-    meta = todo.select("path", "file_name", "file_hash", "modificationTime")
-    summary_new = (meta.join(fstate, meta.path == fstate.source_file, "inner").drop("source_file"))
+    meta = todo.select("path", "file_name", "file_hash", "modificationTime", "length")
+    summary_new = (meta.drop("length").join(fstate, F.col("path") == F.col("source_file"), "inner").drop("source_file"))
     errors = (raw.errors.join(meta, "path")
                  .select("path", "file_name", "file_hash", "modificationTime", F.lit(0).cast("long").alias("n_rows"),
-                         F.lit("extract_error").alias("_status"), F.col("message").alias("_message")))
+                         F.lit("extract_error").alias("_status"),
+                         F.when(F.col("length") >= MAX_BYTES, F.format_string(
+                             "File of %d bytes is too large to hash (limit 2 GB)", F.col("length")))
+                          .otherwise(F.col("message")).alias("_message")))
     # A supported file that yielded neither columns nor a reader error (an
     # empty file) has nothing to parse.
     empty = (meta.join(fstate.select(F.col("source_file").alias("path")), "path", "left_anti")
@@ -129,9 +140,15 @@ def ingest_listing(spark: SparkSession, listing: DataFrame, store_root: str,
                          F.lit("extract_error").alias("_status"),
                          F.lit("No columns to parse from file").alias("_message")))
     summary_new = summary_new.unionByName(errors).unionByName(empty)
+    of = summary_new.select(F.col("path").alias("_first"), "n_rows", "_status", "_message")
+    loaded = F.col("_status") == "success"
+    twin_rows = twins.join(of, "_first").select(
+        "path", "file_name", "file_hash", "modificationTime",
+        F.when(loaded, F.lit(0).cast("long")).otherwise(F.col("n_rows")).alias("n_rows"),
+        F.when(loaded, "skipped_duplicate").otherwise(F.col("_status")).alias("_status"), "_message")
     skip_rows = skipped.select("path", "file_name", "file_hash", "modificationTime",
                                F.lit(0).cast("long").alias("n_rows"), F.lit("skipped_duplicate").alias("_status"),
-                               F.lit(None).cast("string").alias("_message"))
+                               F.lit(None).cast("string").alias("_message")).unionByName(twin_rows)
 
     if dry_run:
         out = summary_new.select(
@@ -145,7 +162,8 @@ def ingest_listing(spark: SparkSession, listing: DataFrame, store_root: str,
 
     # ---- ids ------------------------------------------------------------------------
     ok_files = summary_new.filter(F.col("_status") == "success")
-    run_base = store.max_id("runs", "run_id")
+    # An interrupted load may have left measurements without their run.
+    run_base = max(store.max_id("runs", "run_id"), store.max_id("measurements", "run_id"))
     # Ids follow file age; ordered_index keeps a huge batch off a single task.
     run_ids = ordered_index(ok_files.select("path", "modificationTime"), [], ["modificationTime", "path"], "_k")
     run_ids = run_ids.select("path", (F.lit(run_base + 1) + F.col("_k")).cast("long").alias("run_id")).checkpoint()
@@ -167,7 +185,7 @@ def ingest_listing(spark: SparkSession, listing: DataFrame, store_root: str,
                         now.alias("created_at"), "file_hash"))
     store.append("runs", runs)
 
-    file_base = store.max_id("file_imports", "file_id")
+    file_base = max(store.max_id("file_imports", "file_id"), store.max_id("validation_results", "validation_id") // 16)
     all_files = summary_new.unionByName(skip_rows).join(run_ids, "path", "left")
     all_files = ordered_index(all_files, [], ["modificationTime", "path"], "_k")
     all_files = all_files.withColumn("file_id", (F.lit(file_base + 1) + F.col("_k")).cast("long")).drop("_k").checkpoint()

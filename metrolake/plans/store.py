@@ -3,7 +3,8 @@
 Writes are appends. A load writes measurements, runs and validation rows
 first and its ledger rows (``file_imports``) last; readers only see runs
 whose ledger row says ``success`` (S13). A load interrupted before its
-ledger rows is therefore invisible and is simply redone by the next run.
+ledger rows is therefore invisible and is simply redone by the next run,
+under ids that no row of the broken load has. One load runs at a time.
 
 ``measurements`` is partitioned by the measurement date, so the lookback
 filters of the analytics prune whole partitions.
@@ -61,6 +62,12 @@ class Store:
         ok = self.ledger().filter(F.col("status") == "success").select("run_id").distinct()
         return self.table("runs").join(ok, "run_id", "left_semi")
 
+    def validation_results(self) -> DataFrame:
+        """Check results of files that the ledger knows."""
+        known = self.ledger().select(F.col("file_id").alias("_fid"))
+        v = self.table("validation_results")
+        return v.join(known, F.floor(v.validation_id / 16) == F.col("_fid"), "left_semi")
+
     def measurements(self) -> DataFrame:
         return self.table("measurements").join(
             self.committed_runs().select("run_id"), "run_id", "left_semi")

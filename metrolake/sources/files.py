@@ -8,12 +8,28 @@ metadata columns does not read file contents; hashing reads each file once
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import SUPPORTED_SUFFIXES
 
 
+#: The ``binaryFile`` source, which hashes files, reads none of this size or more.
+MAX_BYTES = (1 << 31) - 1
+
+
+def literal_path(path: str) -> str:
+    """``path`` for a reader that would take brackets, braces, ``*`` and ``?`` as a pattern."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
+def plain_path(c: Column) -> Column:
+    """A scan's file path (a URI with escapes) as listings spell it."""
+    return F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
+
+
 def suffix_of(path: Column | str) -> Column:
     """Lower-case suffix including the dot (``.csv``), or '' when none."""
     p = F.col(path) if isinstance(path, str) else path
@@ -66,5 +82,5 @@ def file_hashes(spark: SparkSession, paths: list[str]) -> DataFrame:
     """
     if not paths:
         return spark.createDataFrame([], "path string, file_hash string")
-    return (spark.read.format("binaryFile").load(paths)
+    return (spark.read.format("binaryFile").load([literal_path(p) for p in paths])
             .select("path", F.sha2(F.col("content"), 256).alias("file_hash")))

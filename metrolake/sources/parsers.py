@@ -17,13 +17,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import JSON_RECORD_KEYS
-from ..functions.columns import null_if_token
+from ..functions.columns import null_if_token, strip
 from ..functions.maps import fit_to, last_wins_policy, map_last_wins
 from ..operators.transforms import clean_keys
+from .files import literal_path, plain_path
 
 RAW_ROW_SCHEMA = "path string, row_block long, row_idx long, fields map<string,string>"
 
@@ -47,8 +48,8 @@ def empty_batch(spark: SparkSession) -> RawBatch:
 
 def read_lines(spark: SparkSession, paths: list[str]) -> DataFrame:
     """path, row_block, row_idx, line — ids attached directly after the scan."""
-    return spark.read.text(paths).select(
-        F.col("_metadata.file_path").alias("path"),
+    return spark.read.text([literal_path(p) for p in paths]).select(
+        plain_path(F.col("_metadata.file_path")).alias("path"),
         F.col("_metadata.file_block_start").alias("row_block"),
         F.monotonically_increasing_id().alias("row_idx"),
         F.col("value").alias("line"))
@@ -83,42 +84,76 @@ def _mangle_duplicates(names: Column) -> Column:
         (i == 0) | (seen(x, i) == 0), x).otherwise(F.concat(x, F.lit("."), seen(x, i).cast("string"))))
 
 
+def _whole_records(lines: DataFrame) -> DataFrame:
+    """Join the lines of records with a line break inside quotes.
+
+    Only files that hold a line with an odd number of quotes are touched:
+    their lines are put in order and each record's lines are joined; other
+    files keep one record a line and need no order."""
+    odd = (F.size(F.split("line", '"')) % 2 == 0)
+    torn = lines.filter(odd).select("path").distinct()
+    if not torn.take(1):
+        return lines
+    w = Window.partitionBy("path").orderBy("row_block", "row_idx")
+    part = lines.join(torn, "path", "left_semi")
+    part = part.withColumn("_open", F.coalesce(F.sum(odd.cast("int")).over(
+        w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) % 2)
+    part = part.withColumn("_rec", F.sum((F.col("_open") == 0).cast("int")).over(
+        w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    at = F.struct("row_block", "row_idx")
+    joined = part.groupBy("path", "_rec").agg(
+        F.min(at).alias("_at"), F.array_sort(F.collect_list(F.struct("row_block", "row_idx", "line"))).alias("_ls"))
+    joined = joined.select("path", "_at.row_block", "_at.row_idx",
+                           F.array_join(F.transform("_ls", lambda x: x["line"]), "\n").alias("line"))
+    return lines.join(torn, "path", "left_anti").select("path", "row_block", "row_idx", "line").unionByName(joined)
+
+
 def parse_csv(lines: DataFrame) -> RawBatch:
     """Header = first non-blank line of each file; later lines bind to their
     own file's header by name (files with different layouts mix freely).
-    pandas' default null tokens read as null; blank lines are skipped.
+    pandas' default null tokens read as null; blank lines are skipped; a line
+    break inside quotes belongs to its field. A file with a record wider than
+    its header is an error.
 
     Data lines go through Spark's CSV parser (``from_csv``, RFC 4180 quotes)
-    with a schema as wide as the widest header (one number read from the
+    with a schema one wider than the widest header (one number read from the
     small per-file header table); no per-element lambdas, so the projection
     stays in whole-stage codegen.
     """
     spark = lines.sparkSession
-    nb = lines.filter(F.trim("line") != "")
+    nb = _whole_records(lines).filter(strip("line") != "")
     order = F.struct("row_block", "row_idx")
     head = (nb.groupBy("path")
               .agg(F.min_by("line", order).alias("_h"), F.min(order).alias("_hkey"))
               .select("path", "_hkey", _csv_fields(F.col("_h")).alias("_raw"))
               .select("path", "_hkey", _mangle_duplicates(F.col("_raw")).alias("_raw"))
               .select("path", "_hkey", F.transform("_raw", lambda c: F.regexp_replace(
-                  F.lower(F.trim(c)), r"\s+", "_")).alias("_cols"))).persist()
+                  F.lower(strip(c)), r"\s+", "_")).alias("_cols"))).persist()
     width = int(head.agg(F.max(F.size("_cols"))).first()[0] or 0)
     if width == 0:
         head.unpersist()
         return RawBatch(spark.createDataFrame([], RAW_ROW_SCHEMA),
                         head.select("path", F.col("_cols").alias("raw_cols")),
                         spark.createDataFrame([], "path string, message string"))
-    schema = ", ".join(f"c{i} string" for i in range(width))
-    parsed = F.from_csv(F.col("line"), schema, {"escape": '"', "mode": "PERMISSIVE"})
+    schema = ", ".join(f"c{i} string" for i in range(width + 1))
+    parsed = F.from_csv(F.col("line"), schema, {"escape": '"', "mode": "PERMISSIVE", "multiLine": "true",
+                                                "maxCharsPerColumn": "-1"})
     # One header row per file: AQE broadcasts it when its measured size allows.
     data = (nb.join(head, "path").filter(F.struct("row_block", "row_idx") != F.col("_hkey"))
               .select("path", "row_block", "row_idx", "_cols", parsed.alias("_p")))
     vals = F.array(*[null_if_token(F.col("_p").getField(f"c{i}")) for i in range(width)])
     lw = last_wins_policy(spark)
+    # The field after the file's own last column must be absent.
+    over = F.get(F.array(*[F.col("_p").getField(f"c{i}") for i in range(width + 1)]), F.size("_cols")).isNotNull()
+    wide = data.filter(over).groupBy("path").agg(F.count(F.lit(1)).alias("_n"))
+    errors = wide.select("path", F.format_string("Error tokenizing data: %d row(s) with more fields than the header",
+                                                 F.col("_n")).alias("message"))
+    bad = wide.select("path")
+    if wide.take(1):
+        data, head = data.join(bad, "path", "left_anti"), head.join(bad, "path", "left_anti")
     rows = data.select("path", "row_block", "row_idx",
                        map_last_wins(F.col("_cols"), fit_to(vals, F.size("_cols")), lw).alias("fields"))
     files = head.select("path", F.array_distinct("_cols").alias("raw_cols"))
-    errors = spark.createDataFrame([], "path string, message string")
     return RawBatch(rows, files, errors)
 
 
@@ -142,7 +177,7 @@ def parse_log(lines: DataFrame) -> RawBatch:
     ``timestamp=`` beats the found one); records with fewer than two fields
     are dropped. A file without records is an error."""
     spark = lines.sparkSession
-    t = F.trim("line")
+    t = strip("line")
     kept = lines.filter((t != "") & ~t.startswith("#")).select(
         "path", "row_block", "row_idx", t.alias("line"))
     # First shape that occurs: coalesce stops at the first match, so each
@@ -176,48 +211,65 @@ def parse_log(lines: DataFrame) -> RawBatch:
 
 def read_documents(spark: SparkSession, paths: list[str]) -> DataFrame:
     """path, doc — one whole document per file."""
-    return spark.read.text(paths, wholetext=True).select(
-        F.col("_metadata.file_path").alias("path"), F.col("value").alias("doc"))
+    return spark.read.text([literal_path(p) for p in paths], wholetext=True).select(
+        plain_path(F.col("_metadata.file_path")).alias("path"), F.col("value").alias("doc"))
+
+
+def _is_object(v: Column) -> Column:
+    """Text of a JSON object: it starts like one and parses as one (the text ``{A1}`` does not)."""
+    return strip(v).startswith("{") & F.from_json(v, "map<string,string>").isNotNull()
 
 
 def _flatten_once(m: Column) -> Column:
     """One level of nested JSON objects (kept as text values) -> ``a.b`` keys."""
-    obj = lambda v: F.trim(v).startswith("{")
-    leaves = F.map_filter(m, lambda k, v: v.isNull() | ~obj(v))
-    nested = F.map_filter(m, lambda k, v: v.isNotNull() & obj(v))
+    leaves = F.map_filter(m, lambda k, v: v.isNull() | ~_is_object(v))
+    nested = F.map_filter(m, lambda k, v: v.isNotNull() & _is_object(v))
     expanded = F.aggregate(
         F.map_entries(nested), F.create_map().cast("map<string,string>"),
         lambda acc, e: F.map_concat(acc, F.transform_keys(
-            F.coalesce(F.from_json(e["value"], "map<string,string>"),
-                       F.create_map().cast("map<string,string>")),
-            lambda k, v: F.concat(e["key"], F.lit("."), k))))
+            F.from_json(e["value"], "map<string,string>"), lambda k, v: F.concat(e["key"], F.lit("."), k))))
     return F.map_concat(leaves, expanded)
 
 
-def parse_json(docs: DataFrame, depth: int = 4) -> RawBatch:
+def _nesting(docs: DataFrame) -> int:
+    """Most objects inside each other in any document: one pass over the braces outside of strings."""
+    braces = F.regexp_replace(F.regexp_replace("doc", r'"(?:[^"\\]|\\.)*+"', ""), r"[^{}]", "")
+    zero = F.struct(F.lit(0).alias("now"), F.lit(0).alias("most"))
+
+    def step(acc: Column, c: Column) -> Column:
+        now = acc["now"] + F.when(c == "{", 1).otherwise(-1)
+        return F.struct(now.alias("now"), F.greatest(acc["most"], now).alias("most"))
+    deep = F.aggregate(F.filter(F.split(braces, ""), lambda c: c != ""), zero, step)["most"]
+    return docs.agg(F.max(deep)).first()[0] or 0
+
+
+def parse_json(docs: DataFrame) -> RawBatch:
     """A list of objects; or an object whose first key among
     data / measurements / records / results holds a list; else the object
-    is one record. Nested objects flatten to ``a.b`` (then dots and blanks
-    become ``_``); inner lists stay as JSON text; top-level metadata next to
-    the record list is dropped. Each step is its own projection so that the
+    is one record. Nested objects of any depth flatten to ``a.b`` (then dots
+    and blanks become ``_``); inner lists stay as JSON text; top-level metadata
+    next to the record list is dropped. A list with an element that is no
+    object makes its file an error. Each step is its own projection so that the
     parsed values are referenced, not re-parsed."""
-    d = docs.select("path", F.trim("doc").alias("doc"))
+    d = docs.select("path", strip("doc").alias("doc"))
     d = d.select("path", "doc", F.from_json("doc", "map<string,string>").alias("_top"))
     picked = F.lit(None).cast("string")
     for key in reversed(JSON_RECORD_KEYS):
         v = F.element_at(F.col("_top"), F.lit(key))
-        picked = F.when(F.trim(v).startswith("["), v).otherwise(picked)
+        picked = F.when(strip(v).startswith("["), v).otherwise(picked)
     # A document that does not parse gives null records (an extract error).
     records = (F.when(F.col("doc").startswith("["), F.from_json("doc", "array<string>"))
                 .when(F.col("doc").startswith("{") & F.col("_top").isNotNull(),
                       F.when(picked.isNotNull(), F.from_json(picked, "array<string>"))
                        .otherwise(F.array(F.col("doc")))))
     parsed = d.select("path", records.alias("_recs"))
+    whole = ~F.exists("_recs", lambda r: r.isNull() | ~_is_object(r))
+    parsed = parsed.select("path", F.when(whole, F.col("_recs")).alias("_recs"))
     ex = (parsed.select("path", F.posexplode_outer("_recs").alias("row_idx", "_rec"))
                 .filter(F.col("_rec").isNotNull())
                 .select("path", "row_idx", F.from_json("_rec", "map<string,string>").alias("_m"))
                 .filter(F.col("_m").isNotNull()))
-    for _ in range(depth):
+    for _ in range(max(0, _nesting(d) - 1)):
         ex = ex.select("path", "row_idx", _flatten_once(F.col("_m")).alias("_m"))
     cleaned = clean_keys(F.col("_m"), json_style=True)
     rows = ex.select("path", F.lit(0).cast("long").alias("row_block"), F.col("row_idx").cast("long"),

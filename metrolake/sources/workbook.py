@@ -21,7 +21,8 @@ import pandas as pd
 from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.columns import null_if_token
+from ..functions.columns import null_if_token, strip
+from .files import literal_path
 from ..functions.maps import fit_to, last_wins_policy, map_last_wins
 from .parsers import RawBatch
 
@@ -62,7 +63,8 @@ def _date_styles(z: zipfile.ZipFile) -> set[int]:
     return out
 
 
-def _sheet_rows(z: zipfile.ZipFile, target: str, shared: list[str], dates: set[int]) -> list[list]:
+def _sheet_rows(z: zipfile.ZipFile, target: str, shared: list[str], dates: set[int],
+                date1904: bool = False) -> list[list]:
     root = ET.fromstring(z.read(target))
     rows = []
     for r in root.iter(f"{{{_NS['m']}}}row"):
@@ -81,7 +83,9 @@ def _sheet_rows(z: zipfile.ZipFile, target: str, shared: list[str], dates: set[i
             elif t in ("str", "e"):
                 val = v.text
             elif s in dates:
-                val = (_EXCEL_EPOCH + _dt.timedelta(days=float(v.text))).strftime("%Y-%m-%d %H:%M:%S")
+                ms = round(float(v.text) * 86_400_000)  # a day fraction is exact to about a microsecond
+                at = (_EXCEL_EPOCH if not date1904 else _dt.datetime(1904, 1, 1)) + _dt.timedelta(milliseconds=ms)
+                val = at.strftime("%Y-%m-%d %H:%M:%S") + (f".{ms % 1000:03d}" if ms % 1000 else "")
             else:
                 val = v.text
             cells[_col_index(c.get("r"))] = val
@@ -99,10 +103,13 @@ def decode_workbook(data: bytes) -> list[list]:
         shared = [_text(si) for si in ET.fromstring(z.read("xl/sharedStrings.xml")).findall("m:si", _NS)]
     rels = {r.get("Id"): r.get("Target") for r in ET.fromstring(z.read("xl/_rels/workbook.xml.rels"))}
     dates = _date_styles(z)
-    for sh in ET.fromstring(z.read("xl/workbook.xml")).iter(f"{{{_NS['m']}}}sheet"):
+    book = ET.fromstring(z.read("xl/workbook.xml"))
+    props = book.find("m:workbookPr", _NS)
+    date1904 = props is not None and props.get("date1904") in ("1", "true")
+    for sh in book.iter(f"{{{_NS['m']}}}sheet"):
         target = rels[sh.get(f"{{{_NS['r']}}}id")].lstrip("/")
         target = target if target.startswith("xl/") else "xl/" + target
-        rows = _sheet_rows(z, target, shared, dates)
+        rows = _sheet_rows(z, target, shared, dates, date1904)
         if len(rows) > 1:
             return rows
     raise ValueError("No non-empty sheet found")
@@ -110,8 +117,8 @@ def decode_workbook(data: bytes) -> list[list]:
 
 def _decode_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for pdf in batches:
-        out = []
         for path, content in zip(pdf["path"], pdf["content"]):
+            out = []  # one workbook at a time
             try:
                 if str(path).lower().endswith(".xls"):
                     raise ValueError("binary .xls workbooks are not supported")
@@ -121,14 +128,14 @@ def _decode_batches(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                     out.append((path, i, header, [None if v is None else str(v) for v in r], None))
             except Exception as exc:  # noqa: BLE001 - any decode problem is the file's extract error
                 out.append((path, -1, None, None, f"{type(exc).__name__}: {exc} in {path}"))
-        yield pd.DataFrame(out, columns=["path", "row_idx", "header", "cells", "error"])
+            yield pd.DataFrame(out, columns=["path", "row_idx", "header", "cells", "error"])
 
 
 def parse_workbooks(spark: SparkSession, paths: list[str]) -> RawBatch:
-    decoded = (spark.read.format("binaryFile").load(paths).select("path", "content")
+    decoded = (spark.read.format("binaryFile").load([literal_path(p) for p in paths]).select("path", "content")
                .mapInPandas(_decode_batches, OUT_SCHEMA))
     ok = decoded.filter(F.col("error").isNull())
-    cols = F.transform("header", lambda c: F.regexp_replace(F.lower(F.trim(c)), r"\s+", "_"))
+    cols = F.transform("header", lambda c: F.regexp_replace(F.lower(strip(c)), r"\s+", "_"))
     staged = ok.select("path", "row_idx", cols.alias("_cols"), "cells")
     staged = staged.select("path", "row_idx", "_cols",
                            F.transform(fit_to(F.col("cells"), F.size("_cols")), lambda v: null_if_token(v)).alias("_v"))

@@ -208,6 +208,9 @@ def oracle_sql() -> dict[str, str]:
             f"abs(avg(deviation)) > {CFG.alert_threshold} AS alert FROM {view} GROUP BY equipment_id")
     q["trend_hourly"] = _with(M) + _trend("m", "date_trunc('hour', \"timestamp\")")
     q["trend_daily"] = _with(M) + _trend("m", "date_trunc('day', \"timestamp\")")
+    for name, step in (("trend_6h", "6 HOUR"), ("trend_2d", "2 DAY")):
+        q[name] = _with(M) + _trend("m", f"time_bucket(INTERVAL {step}, \"timestamp\", "
+                                         "(SELECT date_trunc('day', min(\"timestamp\")) FROM m)::TIMESTAMP)")
     q["trend_weekly"] = _with(M) + _trend("m", "CAST(date_trunc('week', \"timestamp\") AS DATE) + 6")
     q["trend_monthly"] = _with(M) + _trend("m", "last_day(\"timestamp\")")
     q["trend_month_start_bulk"] = _with(ML) + _trend("ml", "date_trunc('month', \"timestamp\")")
