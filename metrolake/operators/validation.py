@@ -519,9 +519,9 @@ def run_checks(rows: DataFrame, files: DataFrame, cfg: ValidationConfig = Valida
                quantiles: str = "auto", materialize: bool = False) -> DataFrame:
     """The chosen checks (default: all seven, in suite order).
 
-    The per-file profile is computed once and shared by the checks, so the
-    rows are scanned by one aggregation plus the order/gap, duplicate,
-    outlier-count and first-breach passes. When ``rows`` is an expensive
+    The per-file profile is computed and checkpointed once (one row a file)
+    and shared by the checks, so the rows are scanned by one aggregation plus
+    the order/gap, duplicate, outlier-count and first-breach passes. When ``rows`` is an expensive
     plan (parsed and transformed files), ``materialize=True`` checkpoints it
     once (into the session's checkpoint folder) so those passes do not each
     re-parse the files; a stored Parquet frame is cheaper to re-scan.
@@ -534,7 +534,10 @@ def run_checks(rows: DataFrame, files: DataFrame, cfg: ValidationConfig = Valida
     if materialize:
         ensure_checkpoint_dir(rows.sparkSession)
         rows, files = rows.checkpoint(), files.checkpoint()
-    profile = file_profile(rows, files, cfg, quantiles)
+    # One row a file. Left lazy, each check would prune other columns from it and the rows would be
+    # aggregated once a check.
+    ensure_checkpoint_dir(rows.sparkSession)
+    profile = file_profile(rows, files, cfg, quantiles).checkpoint()
     parts = []
     for name in checks:
         fn = CHECKS[name]
