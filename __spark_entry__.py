@@ -26,10 +26,12 @@ from metrolake.config import STRICT_VALIDATION, AnalysisConfig, ValidationConfig
 from metrolake.operators import analytics as A
 from metrolake.operators import transforms as TR
 from metrolake.operators import validation as V
+from metrolake.plans import ingest
 from metrolake.plans.runs import build_runs
 from metrolake.session import apply_conf
 from metrolake.sources import parsers as P
 from metrolake.sources import tables as T
+from metrolake.sources.files import content_hash
 import feeds
 from oracle_queries import oracle_sql as _oracle_sql
 
@@ -138,6 +140,35 @@ def _q() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["threshold_breaches"] = lambda s, d: _r(
         TR.threshold_breaches(_m(s, d), 100.0).select("measurement_id", "position", "deviation"))
 
+    q["run_variation_positions"] = lambda s, d: _r(A.run_variation(
+        _m(s, d), AS_OF, CFG.lookback_days, positions=["pos_view", "POS_ERROR", "POS_NOWHERE"]))
+    q["stability_equipment"] = lambda s, d: _r(A.stability(
+        _m(s, d), AS_OF, CFG, equipment=["TOOL_1", "TOOL_7", "TOOL_NOWHERE"]))
+
+    # ---- the ingest's own frames (S6, S8, S9, S12, S16) over the given tables --
+    def text_files(s, d):
+        """Every document plays a file: its id the path and age, its text the content."""
+        return T.read_table(s, d, "documents").select(
+            F.col("doc_id").cast("string").alias("path"), F.timestamp_seconds("doc_id").alias("modificationTime"),
+            content_hash(F.coalesce("text", F.lit("")).cast("binary")).alias("file_hash"), "source")
+
+    def known(s, d):
+        f = text_files(s, d)
+        return ingest.split_known(f.drop("source"), f.filter("source = 'src1'").select("file_hash"))
+
+    q["file_hashes"] = lambda s, d: text_files(s, d).select("path", "file_hash")
+    q["known_files"] = lambda s, d: known(s, d).select("path", F.col("_first").alias("first_path"),
+                                                       F.col("_action").alias("action"))
+    q["known_file_counts"] = lambda s, d: ingest.outcome_counts(known(s, d).select(
+        F.col("_action").alias("status"), F.lit(1).cast("long").alias("rows")))
+
+    def stored(s, d):
+        rows, files = _ev_files(s, d)
+        listing = files.select(F.col("source_file").alias("path"), F.lit(0).alias("modificationTime"))
+        return ingest.stored_measurements(ingest.measurement_rows(rows, ingest.assign_run_ids(listing, 40)))
+
+    q["stored_measurements"] = lambda s, d: _r(stored(s, d))
+
     # ---- per-file quality checks (V1-V11); a run plays one file ---------
     q["v_required_columns"] = lambda s, d: _checks(V.check_required_columns(*_ev_files(s, d), VCFG))
     q["v_row_count"] = lambda s, d: _checks(V.check_row_count(*_ev_files(s, d), VCFG))

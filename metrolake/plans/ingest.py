@@ -46,6 +46,44 @@ def _now_lit(as_of: str | None):
     return F.lit(ts).cast("timestamp_ntz")
 
 
+def split_known(files: DataFrame, done: DataFrame, force: bool = False) -> DataFrame:
+    """``files`` plus ``_first`` and ``_action``.
+
+    ``_action``: ``skip`` if the hash is in ``done(file_hash)``; ``twin`` for a
+    file equal to an older one of the listing (``_first`` is that one's path);
+    else ``process``. With ``force`` every file is processed.
+    """
+    if force:
+        return files.withColumns({"_first": F.col("path"), "_action": F.lit("process")})
+    known = done.select(F.col("file_hash").alias("_done")).distinct()
+    f = files.join(known, F.col("file_hash") == F.col("_done"), "left")
+    # One row a file here; files without a hash stand alone.
+    same = Window.partitionBy(F.coalesce("file_hash", "path")).orderBy("modificationTime", "path")
+    f = f.withColumn("_first", F.first("path").over(same))
+    action = (F.when(F.col("_done").isNotNull(), "skip").when(F.col("_first") != F.col("path"), "twin")
+               .otherwise("process"))
+    return f.withColumn("_action", action).drop("_done")
+
+
+def assign_run_ids(files: DataFrame, base: int) -> DataFrame:
+    """(path, run_id), ids after ``base`` in file age order; ordered_index keeps a huge batch off one task."""
+    k = ordered_index(files.select("path", "modificationTime"), [], ["modificationTime", "path"], "_k")
+    return k.select("path", (F.lit(base + 1) + F.col("_k")).cast("long").alias("run_id"))
+
+
+def measurement_rows(rows: DataFrame, run_ids: DataFrame) -> DataFrame:
+    """Accepted rows with their run id and ``_pos``, the place in their file."""
+    r = rows.join(run_ids.withColumnRenamed("path", "source_file"), "source_file")
+    return ordered_index(r, ["source_file"], ["row_block", "row_idx"], name="_pos")
+
+
+def stored_measurements(ok_rows: DataFrame) -> DataFrame:
+    """What the store keeps of ``measurement_rows``."""
+    return ok_rows.select(
+        (F.shiftleft(F.col("run_id"), ROW_BITS) + F.col("_pos")).alias("measurement_id"), "run_id",
+        "position", *MEASUREMENT_COLUMNS, "timestamp", "axis", "unit", F.to_date("timestamp").alias("ts_date"))
+
+
 def ingest_folder(spark: SparkSession, location: str, store_root: str, **kw) -> DataFrame:
     """Process every file in ``location`` (oldest first) into the store."""
     return ingest_listing(spark, list_files(spark, location), store_root, **kw)
@@ -74,16 +112,10 @@ def ingest_listing(spark: SparkSession, listing: DataFrame, store_root: str,
     hashes = file_hashes(spark, supported)
     files = lst.join(hashes, "path", "left")
     done = store.ledger().filter(F.col("status") == "success").select("file_hash").distinct()
-    if force:
-        skipped = files.limit(0)
-    else:
-        skipped = files.join(done, "file_hash", "left_semi")
-    todo = files.join(skipped.select("path"), "path", "left_anti")
-    # Equal files in one listing: the oldest stands for all (one row a file here).
-    same = Window.partitionBy(F.coalesce("file_hash", "path")).orderBy("modificationTime", "path")
-    todo = todo.withColumn("_first", F.col("path") if force else F.first("path").over(same)).persist()
-    twins = todo.filter(F.col("_first") != F.col("path"))
-    todo = todo.filter(F.col("_first") == F.col("path")).drop("_first")
+    files = split_known(files, done, force).persist()
+    skipped = files.filter("_action = 'skip'").drop("_first", "_action")
+    twins = files.filter("_action = 'twin'").drop("_action")
+    todo = files.filter("_action = 'process'").drop("_first", "_action")
 
     groups: dict = {}
     for r in todo.select("path", "format").toLocalIterator():
@@ -158,24 +190,17 @@ def ingest_listing(spark: SparkSession, listing: DataFrame, store_root: str,
             F.lit(None).cast("long").alias("run_id"), F.col("_message").alias("message"),
             (F.col("_status") == "success").alias("accepted"))
         res = out.unionByName(_summary(skip_rows, None))
-        return _finish(res, [lst, todo])
+        return _finish(res, [lst, files])
 
     # ---- ids ------------------------------------------------------------------------
     ok_files = summary_new.filter(F.col("_status") == "success")
     # An interrupted load may have left measurements without their run.
     run_base = max(store.max_id("runs", "run_id"), store.max_id("measurements", "run_id"))
-    # Ids follow file age; ordered_index keeps a huge batch off a single task.
-    run_ids = ordered_index(ok_files.select("path", "modificationTime"), [], ["modificationTime", "path"], "_k")
-    run_ids = run_ids.select("path", (F.lit(run_base + 1) + F.col("_k")).cast("long").alias("run_id")).checkpoint()
-
-    ok_rows = rows.join(run_ids.withColumnRenamed("path", "source_file"), "source_file")
-    ok_rows = ordered_index(ok_rows, ["source_file"], ["row_block", "row_idx"], name="_pos")
+    run_ids = assign_run_ids(ok_files, run_base).checkpoint()
+    ok_rows = measurement_rows(rows, run_ids)
 
     # ---- S9 measurements, S8 runs, S10 validation rows, S11 ledger (last) --------
-    meas = ok_rows.select(
-        (F.shiftleft(F.col("run_id"), ROW_BITS) + F.col("_pos")).alias("measurement_id"), "run_id",
-        "position", *MEASUREMENT_COLUMNS, "timestamp", "axis", "unit",
-        F.to_date("timestamp").alias("ts_date"))
+    meas = stored_measurements(ok_rows)
     store.append("measurements", meas)
 
     runs = build_runs(ok_rows, key="run_id", order=("row_block", "row_idx"), as_of=as_of)
@@ -204,7 +229,7 @@ def ingest_listing(spark: SparkSession, listing: DataFrame, store_root: str,
     store.append("file_imports", ledger)
 
     res = _summary(all_files.drop("file_id"), "run_id")
-    return _finish(res, [lst, todo])
+    return _finish(res, [lst, files])
 
 
 def _summary(df: DataFrame, run_col: str | None) -> DataFrame:

@@ -75,6 +75,11 @@ def describe_listing(listing: DataFrame) -> DataFrame:
         format_of("path").alias("format"))
 
 
+def content_hash(content: Column) -> Column:
+    """SHA-256 (hex) of a file's bytes."""
+    return F.sha2(content, 256)
+
+
 def file_hashes(spark: SparkSession, paths: list[str]) -> DataFrame:
     """``path, file_hash`` (SHA-256 hex of the file bytes).
 
@@ -83,4 +88,4 @@ def file_hashes(spark: SparkSession, paths: list[str]) -> DataFrame:
     if not paths:
         return spark.createDataFrame([], "path string, file_hash string")
     return (spark.read.format("binaryFile").load([literal_path(p) for p in paths])
-            .select("path", F.sha2(F.col("content"), 256).alias("file_hash")))
+            .select("path", content_hash(F.col("content")).alias("file_hash")))

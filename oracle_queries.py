@@ -257,6 +257,9 @@ def oracle_sql() -> dict[str, str]:
         "SELECT position, run_id, round(deviation, 6) + 0.0 AS deviation, \"timestamp\" FROM s")
     q["run_variation"] = _with(M, series(CUTOFF)) + variation
     q["run_variation_10d"] = _with(M, series(CUTOFF_10D)) + variation
+    q["run_variation_positions"] = _with(M, series(CUTOFF), f"v AS ({variation})") + """
+      SELECT p.position, coalesce(v.n_runs, 0) AS n_runs, v.mean, v.std, v.cv, v.range
+      FROM (VALUES ('POS_VIEW'), ('POS_ERROR'), ('POS_NOWHERE')) p(position) LEFT JOIN v USING (position)"""
     lim = _limits(CFG.sigma)
     q["control_limits"] = _with(M, lim) + (
         "SELECT equipment_id, n, round(mean, 6) + 0.0 AS mean, round(std, 6) + 0.0 AS std, round(ucl, 6) + 0.0 AS ucl, "
@@ -288,6 +291,30 @@ def oracle_sql() -> dict[str, str]:
       FROM lim LEFT JOIN agg USING (equipment_id)"""
     q["stability"] = stability_sql(lim)
     q["stability_10d"] = stability_sql(_limits(CFG.sigma, CUTOFF_10D))
+    # Every equipment is judged by itself, so the filter may follow.
+    q["stability_equipment"] = f"""
+      SELECT e.equipment_id, s.n, s.mean, s.std, s.ucl, s.lcl, s.out_of_control, s.trend_delta, s.trend,
+             coalesce(s.alert, false) AS alert
+      FROM (VALUES ('TOOL_1'), ('TOOL_7'), ('TOOL_NOWHERE')) e(equipment_id)
+      LEFT JOIN ({stability_sql(lim)}) s USING (equipment_id)"""
+    files = """files AS (SELECT CAST(doc_id AS VARCHAR) AS path, doc_id AS age,
+        sha256(coalesce(text, '')) AS file_hash, source FROM documents)"""
+    acts = """acts AS (SELECT path, first_value(path) OVER (PARTITION BY file_hash ORDER BY age, path) AS first_path,
+        CASE WHEN file_hash IN (SELECT file_hash FROM files WHERE source = 'src1') THEN 'skip'
+             WHEN row_number() OVER (PARTITION BY file_hash ORDER BY age, path) > 1 THEN 'twin'
+             ELSE 'process' END AS action FROM files)"""
+    q["file_hashes"] = _with(files) + "SELECT path, file_hash FROM files"
+    q["known_files"] = _with(files, acts) + "SELECT path, first_path, action FROM acts"
+    q["known_file_counts"] = _with(files, acts) + (
+        "SELECT action AS status, count(*) AS files, count(*) AS rows FROM acts GROUP BY action")
+    q["stored_measurements"] = _with(M, """f AS (SELECT 'run_' || CAST(run_id AS VARCHAR) AS source_file,
+        measurement_id AS row_idx, * EXCLUDE (run_id, measurement_id) FROM m)""") + """
+      SELECT (40 + dense_rank() OVER (ORDER BY source_file)) * 4294967296
+               + row_number() OVER (PARTITION BY source_file ORDER BY row_idx) - 1 AS measurement_id,
+             40 + dense_rank() OVER (ORDER BY source_file) AS run_id, position,
+             round(actual_value, 6) + 0.0 AS actual_value, round(expected_value, 6) + 0.0 AS expected_value,
+             round(deviation, 6) + 0.0 AS deviation, "timestamp", axis, unit, CAST("timestamp" AS DATE) AS ts_date
+      FROM f"""
     q["equipment_boxplot"] = _with(M) + """
       SELECT equipment_id, count(deviation) AS n,
              round(quantile_cont(deviation, 0.0), 6) + 0.0 AS min, round(quantile_cont(deviation, 0.25), 6) + 0.0 AS q1,
