@@ -31,8 +31,9 @@ from pyspark.sql import functions as F
 from metrolake.llm.common import table
 
 MAX_ROW = 256
-CELLS = 1 << 21
-CACHE = 400_000
+CELLS = 1 << 19
+CACHE = 200_000
+PART = 1 << 20
 NONE = np.int32(2**31 - 1)
 MULT = np.uint64(0x9E3779B97F4A7C15)
 #: White space as Unicode's White_Space property has it, and letters of ASCII to Latin Extended-B.
@@ -180,6 +181,20 @@ def splitter(pattern: str):
     return lambda t: (full if other.search(t) else fast).findall(t)
 
 
+def _parts(texts: pa.Array) -> Iterator[list[str | None]]:
+    """The texts of a batch in runs of about PART characters, so that only a run's pieces are held at once."""
+    run, size = [], 0
+    for t in texts:
+        t = t.as_py()
+        run.append(t)
+        size += len(t or "")
+        if size >= PART:
+            yield run
+            run, size = [], 0
+    if run:
+        yield run
+
+
 def encode(docs: DataFrame, text_col: str = "text", ids_col: str = "token_ids", path: str | None = None,
            pattern: str = public_tokenizers.PATTERN) -> DataFrame:
     """``docs`` plus ``ids_col``: the text's token ids (array of int). ``path``: a file of ranks."""
@@ -191,12 +206,14 @@ def encode(docs: DataFrame, text_col: str = "text", ids_col: str = "token_ids",
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         merges, cut, cache = Merges(shared.value), splitter(pattern), {}
         for b in batches:
-            texts = [cut(t) if t else [] for t in b.column(text_col).to_pylist()]
-            if len(cache) > CACHE:
-                cache.clear()
-            new = list(set().union(*texts).difference(cache)) if texts else []
-            cache.update(zip(new, merges.encode([p.encode() for p in new]), strict=True))
-            ids = [np.fromiter(chain.from_iterable(map(cache.__getitem__, t)), np.int32) for t in texts]
+            ids = []
+            for part in _parts(b.column(text_col)):
+                texts = [cut(t) if t else [] for t in part]
+                if len(cache) > CACHE:
+                    cache.clear()
+                new = list(set().union(*texts).difference(cache))
+                cache.update(zip(new, merges.encode([p.encode() for p in new]), strict=True))
+                ids += [np.fromiter(chain.from_iterable(map(cache.__getitem__, t)), np.int32) for t in texts]
             ends = np.cumsum([0, *map(len, ids)])
             flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
             yield pa.RecordBatch.from_arrays(
