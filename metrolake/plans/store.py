@@ -49,10 +49,13 @@ class Store:
         return self.spark.createDataFrame([], sch)
 
     def append(self, name: str, df: DataFrame) -> None:
-        w = df.select(*[F.col(f.name).cast(f.dataType) for f in S.TABLES[name].fields]).write.mode("append")
+        df = df.select(*[F.col(f.name).cast(f.dataType) for f in S.TABLES[name].fields])
         if name == "measurements":
-            w = w.partitionBy("ts_date")
-        w.parquet(self.path(name))
+            # Rows of a date meet before the write, so that a date gets few files; AQE splits large dates
+            # and merges small ones by measured size.
+            df.hint("rebalance", F.col("ts_date")).write.mode("append").partitionBy("ts_date").parquet(self.path(name))
+        else:
+            df.write.mode("append").parquet(self.path(name))
 
     # ---- committed views ---------------------------------------------------
     def ledger(self) -> DataFrame:

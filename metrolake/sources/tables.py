@@ -24,18 +24,9 @@ LINE_ORDER = ["l_linenumber", "l_partkey", "l_suppkey", "l_shipdate", "l_extende
               "l_quantity", "l_discount", "l_tax", "l_returnflag", "l_linestatus"]
 
 
-_READS: dict[tuple, DataFrame] = {}
-
-
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Parquet scan of a driver table; the DataFrame is reused per session so
-    that the file listing and footer read happen once."""
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (spark.sparkContext.applicationId, id(spark._jsparkSession), path)
-    df = _READS.get(key)
-    if df is None:
-        df = _READS[key] = spark.read.parquet(path)
-    return df
+    """Parquet scan of a driver table, listed anew each time."""
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 def events_measurements(spark: SparkSession, sf_dir: str) -> DataFrame:

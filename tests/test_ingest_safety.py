@@ -64,6 +64,16 @@ def test_equal_files_and_odd_names_in_one_batch(spark, tmp_path):
     assert Store(spark, root).measurements().count() == 24
 
 
+def test_store_writes_few_files_a_date(spark, tmp_path):
+    m = spark.range(0, 6000, numPartitions=8).selectExpr(
+        "id AS measurement_id", "1L AS run_id", "'P' AS position", "1.0 AS actual_value", "1.0 AS expected_value",
+        "0.0 AS deviation", "timestamp_ntz'2024-03-01 00:00:00' + make_dt_interval(cast(id % 5 as int)) AS timestamp",
+        "'X' AS axis", "'mm' AS unit").withColumn("ts_date", F.to_date("timestamp"))
+    Store(spark, str(tmp_path)).append("measurements", m)
+    files = [f for d, _, names in os.walk(tmp_path) for f in names if f.endswith(".parquet")]
+    assert len(files) <= 10 and Store(spark, str(tmp_path)).table("measurements").count() == 6000
+
+
 def test_csv_quoted_line_breaks_and_wide_rows(spark):
     b = P.parse_csv(lines(spark, [("a", "x,y"), ("a", '1,"two'), ("a", 'lines"'), ("a", "3,4"), ("b", "x,y,z"),
                                   ("b", "1,2"), ("c", "x"), ("c", "1,2"), ("d", "\t "), ("d", "q"), ("d", '"a""b"')]))
