@@ -28,11 +28,11 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from metrolake.llm.common import table
+from metrolake.llm.common import short_batches, table
 
 MAX_ROW = 256
 CELLS = 1 << 19
-CACHE = 200_000
+CACHE = 100_000
 PART = 1 << 20
 NONE = np.int32(2**31 - 1)
 MULT = np.uint64(0x9E3779B97F4A7C15)
@@ -200,6 +200,7 @@ def encode(docs: DataFrame, text_col: str = "text", ids_col: str = "token_ids",
     """``docs`` plus ``ids_col``: the text's token ids (array of int). ``path``: a file of ranks."""
     tokens = load_ranks(path or public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     shared = docs.sparkSession.sparkContext.broadcast(tokens)  # a vocabulary file, below 2**20 tokens
+    short_batches(docs.sparkSession)
     out = docs.drop(ids_col)
     names = out.columns
 
@@ -227,6 +228,7 @@ def decode(docs: DataFrame, ids_col: str = "token_ids", out_col: str = "decoded"
     """``docs`` plus ``out_col``: the bytes that the token ids stand for."""
     tokens = load_ranks(path or public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
     shared = docs.sparkSession.sparkContext.broadcast(tokens)
+    short_batches(docs.sparkSession)
     out = docs.drop(out_col)
     names = out.columns
 

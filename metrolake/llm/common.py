@@ -59,6 +59,13 @@ class Scratch:
             self._delete(self.root)
 
 
+def short_batches(spark: SparkSession, rows: int = 1000) -> None:
+    """Send texts to Python in batches of ``rows`` at most: a few MB, not tens, in each worker of an executor."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, str(rows))
+
+
 def text_bytes(col: pa.ChunkedArray | pa.Array) -> list[bytes]:
     """UTF-8 bytes of a string column; null is empty."""
     return [b or b"" for b in col.cast(pa.binary()).to_pylist()]
