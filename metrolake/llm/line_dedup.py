@@ -120,7 +120,8 @@ def dropped_lines(docs: DataFrame, min_chars: int, min_docs: int, scratch: Scrat
     keys = (open_.select("h1", "h2", "doc").distinct().groupBy("h1", "h2")
             .agg(F.count(F.lit(1)).alias("n"), F.max("doc").alias("top"))
             .filter(F.col("n") >= min_docs).drop("n"))
-    late = (said.filter(F.col("kind") == OPEN).join(F.broadcast(keys), ["h1", "h2"])  # two keys a partition at most.filter("doc < top")
+    # Two keys a partition at most.
+    late = (said.filter(F.col("kind") == OPEN).join(F.broadcast(keys), ["h1", "h2"]).filter("doc < top")
             .select("doc", "rk", "pos"))
     return said.filter(F.col("kind") == DROP).select("doc", "rk", "pos").unionByName(late)
 

@@ -54,6 +54,16 @@ def test_line_dedup_equals_brute_force(spark, many_partitions):
     assert [(a, b, d) for a, b, _, d in got] == sorted(((a, b, d) for a, b, _, d in want), key=str)
 
 
+def test_line_dedup_keeps_one_line_of_keys_at_partition_edges(spark, many_partitions):
+    # Few keys on many partitions: most keys begin or end a partition and are settled late.
+    docs = [(i, f"a line that every document holds, number {i % k}") for k in (1, 2, 3) for i in range(k * 20, k * 20 + 20)]
+    df = frame(spark, docs).repartition(5)
+    out = line_dedup.apply_bitmaps(df, line_dedup.keep_bitmaps(df)).collect()
+    want = {i: k for i, _, k in brute.line_dedup(docs)}
+    assert {r.doc_id: r["_kept"] for r in out} == want
+    assert {t for _, t in docs} == {k for k in want.values() if k}
+
+
 def test_line_dedup_stage_keeps_columns_and_empty_table(spark):
     df = frame(spark, some_docs()).selectExpr("doc_id", "text", "1 AS _kept", "'x' AS kind", "2 AS pos")
     out = line_dedup.drop_lines(df.drop("_kept"))
