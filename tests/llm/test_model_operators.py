@@ -254,6 +254,21 @@ def test_embedding_components_recall(spark, params):
     assert all(r.n_links == 0 and r.kept for r in out if (r.vec_id or 0) >= 5000)
 
 
+def test_embedding_recall_where_a_third_are_near_copies(spark):
+    rng = np.random.default_rng(8)
+    unit = lambda x: x / np.linalg.norm(x, axis=1)[:, None]
+    n, m, dim = 10_000, 3_333, 64
+    centre, noise = unit(rng.normal(size=(1, dim))), rng.normal(size=(m, dim))
+    noise = unit(noise - noise @ centre.T * centre)
+    x = np.r_[0.97 * centre + math.sqrt(1 - 0.97 ** 2) * noise, unit(rng.normal(size=(n - m, dim)))]  # cosines near 0.94
+    want = np.concatenate([(x[a:a + 1000] @ x.T >= 0.9).sum(axis=1) - 1 for a in range(0, n, 1000)])
+    df = spark.createDataFrame(enumerate(x.tolist()), "vec_id long, embedding array<double>").repartition(4)
+    out = {r.vec_id: r for r in pivots.embedding_components(df).collect()}
+    got = np.array([out[k].n_links for k in range(n)])
+    assert (got <= want).all() and got.sum() >= 0.99 * want.sum(), got.sum() / want.sum()
+    assert {out[k].component_id for k in range(m)} == {0}
+
+
 def test_embeddings_of_nothing(spark):
     df = spark.createDataFrame([(1, None)], "vec_id long, embedding array<float>")
     assert [tuple(r) for r in pivots.embedding_components(df).collect()] == [(1, 0, 1, True)]
