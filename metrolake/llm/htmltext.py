@@ -254,11 +254,12 @@ def subtree_rows(pages: DataFrame) -> DataFrame:
             .select("page", "host", "html").mapInArrow(run, "page long, host long, hash long, main long"))
 
 
-def extract(pages: DataFrame, min_pages: int = 3, min_share: float = 0.1) -> DataFrame:
+def extract(pages: DataFrame, min_pages: int = 3, min_share: float = 0.1, many_pages: int = 10) -> DataFrame:
     """``pages(page_id, url, html)`` as (page_id, url, text).
 
     A subtree is template if it is on at least ``min_pages`` different pages
-    of its host and on ``min_share`` of them.
+    of its host and on ``min_share`` of them, or on ``many_pages``, however
+    large the host is.
     """
     scratch = Scratch(pages.sparkSession)
     pages = pages.select(F.col("page_id"), F.col("url").cast("string").alias("url"),
@@ -267,7 +268,7 @@ def extract(pages: DataFrame, min_pages: int = 3, min_share: float = 0.1) -> Dat
     sites = rows.select("host", "main").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("all"))
     often = (rows.select("host", "hash", "main").distinct().groupBy("host", "hash").agg(F.count(F.lit(1)).alias("n"))
              .filter(F.col("n") >= min_pages).join(sites, "host")
-             .filter(F.col("n") >= F.col("all") * min_share).select("host", "hash"))
+             .filter(F.col("n") >= F.least(F.col("all") * min_share, F.lit(float(many_pages)))).select("host", "hash"))
     # A page's own subtrees bound its set.
     template = (rows.join(often, ["host", "hash"]).groupBy("page").agg(F.collect_set("hash").alias("template"))
                 .withColumnRenamed("page", "tp"))
