@@ -57,6 +57,31 @@ def test_quality_separates_labelled_junk(spark):
     assert n[0, False] / (n[0, False] + n.get((0, True), 0)) > 0.7
 
 
+def test_quality_of_a_script_with_thousands_of_characters(spark):
+    rng = random.Random(6)
+    chars = [chr(0x4E00 + k) for k in rng.sample(range(20_000), 3000)] + [chr(0x20000 + k) for k in range(100)]
+    lexicon = [a + b for a, b in zip(chars[::2], chars[1::2], strict=True)]
+    follow = [rng.sample(range(len(lexicon)), 4) for _ in lexicon]  # four words may follow a word, or sometimes any
+
+    def text(odd):
+        w = [rng.randrange(len(lexicon))]
+        for _ in range(199):
+            w.append(rng.randrange(len(lexicon)) if rng.random() < odd else rng.choice(follow[w[-1]]))
+        return "".join(lexicon[k] for k in w)
+    good = [text(0.3 * rng.random()) for _ in range(160)]
+    junk = ["".join(rng.choices(chars, k=400)) for _ in range(40)]
+    latin = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz ", k=1000)) for _ in range(60)]
+    docs = [(k, t, "zh" if t[0] > "z" else "en") for k, t in enumerate([*good[:120], *latin, *good[120:], *junk])]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string").repartition(3)
+    labels = spark.createDataFrame([(k, 1) for k in range(180)], "doc_id long, quality int")
+    out = {r.doc: r for r in quality.classify(df, labels).collect()}
+    model = brute.kneser_ney([t for k, t, _ in docs if k < 180], alphabet=1 << 20, base=4096)
+    for k, t, _ in docs[::7]:
+        assert out[k].log_prob == pytest.approx(model(t), rel=1e-9)
+    assert [out[k].kept for k in range(180, 220)].count(True) >= 38
+    assert [out[k].kept for k in range(220, 260)].count(True) == 0
+
+
 def test_quality_without_trust_or_rows(spark):
     df = spark.createDataFrame([(1, "abc", "en", 5), (2, None, None, 6)], "doc_id long, text string, lang string, h int")
     none = spark.createDataFrame([], "doc_id long, quality int")
