@@ -3,7 +3,20 @@
 from __future__ import annotations
 
 import corpus_pipeline
-from metrolake.llm import bpe, decontaminate, htmltext, langid, line_dedup, lm, pivots, quality, sharding, simhash
+from metrolake.llm import (
+    bpe,
+    content_sort,
+    decontaminate,
+    fim,
+    htmltext,
+    langid,
+    line_dedup,
+    lm,
+    pivots,
+    quality,
+    sharding,
+    simhash,
+)
 
 
 def queries() -> dict:
@@ -19,10 +32,14 @@ def queries() -> dict:
         "op8_simhash": simhash.op8_simhash,
         "op9_line_dedup": line_dedup.op9_line_dedup,
         "op10_lm": lm.op10_lm,
+        "op11_fim": fim.op11_fim,
+        "op13_exact_dedup": content_sort.op13_exact_dedup,
     }
 
 
 def oracle_sql() -> dict[str, str]:
     return {"op1_embeddings": pivots.ORACLE_SQL,
             "op2_decontaminate": decontaminate.ORACLE_SQL,
-            "op9_line_dedup": line_dedup.ORACLE_SQL}
+            "op9_line_dedup": line_dedup.ORACLE_SQL,
+            "op11_fim": fim.ORACLE_SQL,
+            "op13_exact_dedup": content_sort.ORACLE_SQL}
