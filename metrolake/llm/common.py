@@ -10,6 +10,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -107,6 +108,46 @@ def whole_keys(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[p
         yield pa.Table.from_batches(held).combine_chunks()
 
 
+def pack_counts(rows: np.ndarray, grams: np.ndarray, counts: np.ndarray) -> bytes:
+    """Distinct grams of a block in ascending order, how many rows hold each, which (16 bits), and how often."""
+    first = np.flatnonzero(np.diff(grams, prepend=-1))
+    parts = [np.diff(np.r_[0, grams[first]]).astype("<u8"), np.diff(np.r_[first, len(grams)]).astype("<u4"),
+             rows.astype("<u2"), counts.astype("<u4")]
+    head = np.array([len(first), len(grams)], "<u4").tobytes()
+    # Byte planes: the high bytes are mostly zero.
+    body = b"".join(p.view(np.uint8).reshape(len(p), p.itemsize).T.tobytes() for p in parts)
+    return head + zstandard.ZstdCompressor(level=1).compress(body)
+
+
+def unpack_counts(blob: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(grams, rows of each, row numbers, counts) of a packet."""
+    n, m = np.frombuffer(blob[:8], "<u4").tolist()
+    body, at, out = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob[8:]), np.uint8), 0, []
+    for size, kind in ((n, "<u8"), (n, "<u4"), (m, "<u2"), (m, "<u4")):
+        w = np.dtype(kind).itemsize
+        out.append(np.ascontiguousarray(body[at:at + size * w].reshape(w, size).T).view(kind).ravel().astype(np.int64))
+        at += size * w
+    return np.cumsum(out[0]), out[1], out[2], out[3]
+
+
+def deal(packets: DataFrame, model: DataFrame) -> DataFrame:
+    """``packets(shard, block, ...)`` next to their shard's ``model``: it comes first, with null in the other columns.
+
+    A model shard goes once to each of a few lanes and the packets are dealt over them, so no shard's packets
+    gather in one task.
+    """
+    n = int(packets.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    shards = model.count()
+    lanes = max(1, -(-n // max(1, shards)))
+    kind = model.schema["model"].dataType
+    null = [F.lit(None).cast(f.dataType).alias(f.name) for f in packets.schema.fields if f.name not in ("shard", "block")]
+    m = model.select("shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(lanes - 1).cast("long"))).alias("lane"),
+                     F.lit(-1).cast("long").alias("block"), *null, "model")
+    p = packets.select("shard", F.pmod("block", F.lit(lanes)).alias("lane"), *packets.columns[1:],
+                       F.lit(None).cast(kind).alias("model"))
+    return m.unionByName(p).repartition(n, "shard", "lane").sortWithinPartitions("shard", "lane", "block")
+
+
 def forest(n: int, i: np.ndarray, j: np.ndarray, lab: np.ndarray | None = None) -> np.ndarray:
     """Component label (smallest member) of nodes 0..n-1 under links i-j; ``lab`` continues earlier labels."""
     lab = np.arange(n) if lab is None else lab

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import corpus_pipeline
 from metrolake.llm import (
+    alignment,
     bpe,
     content_sort,
     decontaminate,
@@ -33,6 +34,7 @@ def queries() -> dict:
         "op9_line_dedup": line_dedup.op9_line_dedup,
         "op10_lm": lm.op10_lm,
         "op11_fim": fim.op11_fim,
+        "op12_alignment": alignment.op12_alignment,
         "op13_exact_dedup": content_sort.op13_exact_dedup,
     }
 
@@ -42,4 +44,5 @@ def oracle_sql() -> dict[str, str]:
             "op2_decontaminate": decontaminate.ORACLE_SQL,
             "op9_line_dedup": line_dedup.ORACLE_SQL,
             "op11_fim": fim.ORACLE_SQL,
-            "op13_exact_dedup": content_sort.ORACLE_SQL}
+            "op12_alignment": alignment.op12_alignment,
+        "op13_exact_dedup": content_sort.ORACLE_SQL}
