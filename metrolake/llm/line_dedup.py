@@ -16,6 +16,8 @@ them. Cases:
 * null id: the document keeps all lines and is counted for no key;
 * repeated rows: equal ids are one document, each row gets its own bitmap by
   (id, hash of the text), and all copies of the kept id keep their lines;
+* very long texts: lines are hashed one by one, one batch of texts is in memory;
+* input columns of any name are kept;
 * empty table: no rows.
 """
 
@@ -156,11 +158,8 @@ def keep_bitmaps(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return per_doc.mapInPandas(pack, "doc long, rk long, n_bits int, bitmap binary")
 
 
-def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``docs`` plus ``_kept`` (text without dropped lines), ``_n_lines`` and ``_n_dropped``."""
-    b = bitmaps.select(F.col("doc").alias("_doc"), F.col("rk").alias("_rk"), F.col("n_bits").alias("_bits"),
-                       F.col("bitmap").alias("_bitmap"))
-
+def _cut(docs: DataFrame, bitmaps: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(row, cut): the columns of ``docs`` by position, and the text without dropped lines with both counts."""
     @F.pandas_udf("kept string, n_lines long, n_dropped long")
     def cut_lines(text: pd.Series, bits: pd.Series, bitmap: pd.Series) -> pd.DataFrame:
         out = []
@@ -175,19 +174,32 @@ def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", t
             out.append(("\n".join(kept), len(lines), len(lines) - len(kept)))
         return pd.DataFrame(out, columns=["kept", "n_lines", "n_dropped"])
 
-    docs = docs.drop("_kept", "_n_lines", "_n_dropped", "_id", "_h", "_doc", "_rk", "_bits", "_bitmap", "_cut")
-    d = docs.withColumn("_id", F.col(id_col).cast("long")).withColumn("_h", F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
-    j = d.join(b, (F.col("_id") == F.col("_doc")) & (F.col("_h") == F.col("_rk")), "left")
-    j = j.withColumn("_cut", cut_lines(F.col(text_col), F.col("_bits"), F.col("_bitmap")))
-    return j.select(*[j[c] for c in docs.columns], F.col("_cut.kept").alias("_kept"),
-                    F.col("_cut.n_lines").alias("_n_lines"), F.col("_cut.n_dropped").alias("_n_dropped"))
+    # The input's columns travel in a struct, so none of them can clash with these.
+    d = docs.select(F.struct(*[F.col(c).alias(f"c{k}") for k, c in enumerate(docs.columns)]).alias("row"),
+                    F.col(text_col).alias("text"), F.col(id_col).cast("long").alias("id"),
+                    F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("h"))
+    j = d.join(bitmaps, (F.col("id") == F.col("doc")) & (F.col("h") == F.col("rk")), "left")
+    return j.select("row", cut_lines("text", "n_bits", "bitmap").alias("cut"))
+
+
+def apply_bitmaps(docs: DataFrame, bitmaps: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs`` plus ``_kept`` (text without dropped lines), ``_n_lines`` and ``_n_dropped``.
+
+    Columns of the input with one of these three names are replaced.
+    """
+    new = {"_kept": "kept", "_n_lines": "n_lines", "_n_dropped": "n_dropped"}
+    return _cut(docs, bitmaps, id_col, text_col).select(
+        *[F.col("row")[f"c{k}"].alias(c) for k, c in enumerate(docs.columns) if c not in new],
+        *[F.col("cut")[f].alias(c) for c, f in new.items()])
 
 
 def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **params) -> DataFrame:
     """``docs`` with repeated lines taken out of the text, same rows and columns; a null text stays null."""
-    out = apply_bitmaps(docs, keep_bitmaps(docs, id_col, text_col, **params), id_col, text_col)
-    return out.select(*[F.when(F.col(text_col).isNotNull(), F.col("_kept")).alias(c) if c == text_col else F.col(c)
-                        for c in out.columns if not c.startswith("_") or c in docs.columns])
+    out = _cut(docs, keep_bitmaps(docs, id_col, text_col, **params), id_col, text_col)
+    own = [F.col("row")[f"c{k}"].alias(c) for k, c in enumerate(docs.columns)]
+    at = docs.columns.index(text_col)
+    own[at] = F.when(F.col("row")[f"c{at}"].isNotNull(), F.col("cut")["kept"]).alias(text_col)
+    return out.select(*own)
 
 
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -73,6 +73,18 @@ def test_line_dedup_stage_keeps_columns_and_empty_table(spark):
     assert line_dedup.drop_lines(none).count() == 0
 
 
+def test_line_dedup_stage_keeps_columns_named_like_its_own(spark):
+    names = ["_id", "_h", "_doc", "_rk", "_bits", "_bitmap", "_cut", "_kept", "_n_lines", "_n_dropped", "row", "cut",
+             "id", "h", "doc", "rk", "n_bits", "bitmap"]
+    df = frame(spark, some_docs()).selectExpr("doc_id", "text", *[f"{k} AS {c}" for k, c in enumerate(names)])
+    out = line_dedup.drop_lines(df)
+    assert out.columns == df.columns
+    got, want = out.collect(), brute.line_dedup(some_docs())
+    assert all([r[c] for c in names] == list(range(len(names))) for r in got)
+    assert len(got) == len(want) and {r.text for r in got if r.text is not None} == {
+        k for (_, t), (*_, k) in zip(some_docs(), want, strict=True) if t is not None}
+
+
 def test_bitmap_round_trip():
     keep = line_dedup.unpack_bitmap(line_dedup.pack_bitmap(19, np.array([0, 3, 18])), 19)
     assert np.flatnonzero(~keep).tolist() == [0, 3, 18]
