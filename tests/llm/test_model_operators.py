@@ -46,6 +46,31 @@ def test_quality_log_probability_equals_brute_force(spark):
             assert r.perplexity is None and r.kept
 
 
+def test_quality_limits_equal_brute_force_by_halves(spark):
+    docs = [(r.doc_id, r.text, r.lang) for r in table(spark, "documents").collect()]
+    df = spark.createDataFrame(docs, "doc_id long, text string, lang string").repartition(3)
+    labels = spark.createDataFrame([(k, int(k % 4 > 0)) for k in range(150)], "doc_id long, quality int")
+    ids = [k for k in range(150) if k % 4]
+    half = {r.k: r.half for r in spark.createDataFrame([(k,) for k in ids], "k long").selectExpr(
+        "k", "pmod(xxhash64(1, k), 2) AS half").collect()}
+    models = [brute.kneser_ney([t for k, t, _ in docs if half.get(k) == h]) for h in (0, 1)]
+    whole = brute.kneser_ney([t for k, t, _ in docs if k in half])
+    e = [(y, -models[1 - half[k]](t) / len(t)) for k, t, y in docs if k in half and t]
+    limits = {}
+    for y in {y for *_, y in docs}:
+        mine = [x for z, x in e if z == y]
+        mine = mine if len(mine) >= 20 else [x for _, x in e]
+        mid, high = np.quantile(mine, [0.5, 0.99])
+        limits[y] = mid, mid + (high - mid) * 2
+    out = {r.doc: r for r in quality.classify(df, labels, min_trusted=20).collect()}
+    for k, t, y in docs:
+        mid, top = limits[y]
+        assert out[k].top == pytest.approx(top, rel=1e-9)
+        entropy = (20 * mid - whole(t)) / (len(t) + 20)
+        assert out[k].entropy == pytest.approx(entropy, rel=1e-9) and out[k].kept == (entropy <= top)
+    assert len({t for _, t in limits.values()}) > 1
+
+
 def test_quality_separates_labelled_junk(spark):
     d = "/root/testdata/sf0.01"
     docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
@@ -351,6 +376,81 @@ def test_template_of_a_section_of_a_large_host(spark):
     assert got == {k: f"Story {k}." + (f"\nSaid twice {k // 2}" if k % 300 < 2 else "") for k in range(3000)}
 
 
+def test_layout_and_names_lose_no_text():
+    read = lambda s: htmltext.read(s).text()
+    body = "<h1>Title</h1><p>A long paragraph of the page's own text, all of it.</p>"
+    text = "Title\nA long paragraph of the page's own text, all of it."
+    for open_, close in (("<form id='aspnetForm'>", "</form>"), ("<div class='page has-sidebar'>", "</div>"),
+                         ("<div class='no-comments'>", "</div>"), ("<div class='content-sidebar-wrap'>", "</div>"),
+                         ("<div id='mainBanner'>", "</div>"), ("<fieldset><form>", "</form></fieldset>")):
+        assert read(f"<body>{open_}{body}{close}<div class='site-footer'>Imprint</div></body>") == text
+    assert read("<div class='overlay'><p>All there is</p></div>") == "All there is"  # names never take all
+    assert read("<nav><p>Only a menu</p></nav>") == ""
+    assert read("<article><p class='notice-period'>Three months.</p><div class='alert'>Mind this.</div></article>") == \
+        "Three months.\nMind this."
+    assert read("<article class='ad-free'><p>one</p></article><article><p>two</p></article>") == "one\ntwo"
+    assert read("<article><p>x</p><div id='siteComments'>c</div><div class='ad-slot left'>b</div></article>") == "x"
+    assert read("<p>x</p><div class='cookie-notice'>c</div><div class='alert'>b</div><form>f</form>") == "x"
+
+
+def test_headings_cells_and_items_are_no_template(spark):
+    rows = [(k, "http://t.example/", f"<body><h2>Introduction</h2><p>Own text {k}.</p><table><tr><td>Status<td>"
+             f"{'Yes' if k % 2 else 'No'}<td>{k}</table><ul><li>same<li>{k}</ul></body>") for k in range(12)]
+    # A paragraph on 3 of a hundred pages among paragraphs of their own stays, and a long page comes back whole.
+    rows += [(100 + k, "http://u.example/", f"<body><p>{'Once more.' if k < 3 else f'Line {k}.'}</p><p>End {k}.</p></body>")
+             for k in range(100)]
+    rows.append((999, "http://v.example/", "<p>" + "word " * 400_000 + "</p>"))
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    got = {r.page_id: r.text for r in htmltext.extract(df).collect()}
+    for k in range(12):
+        assert got[k] == f"Introduction\nOwn text {k}.\nStatus\n{'Yes' if k % 2 else 'No'}\n{k}\nsame\n{k}"
+    assert [got[100 + k] for k in range(100)] == [f"{'Once more.' if k < 3 else f'Line {k}.'}\nEnd {k}." for k in range(100)]
+    assert got[999] == ("word " * 400_000).strip()
+
+
+def brute_template(rows, min_pages=3, min_share=0.5, min_pure=0.5):
+    """{host: {(hash, place)}} by counting in plain Python."""
+    mains, any_, at = {}, {}, {}
+    for _, host, h, place, main in rows:
+        mains.setdefault(host, set()).add(main)
+        any_.setdefault((host, h), set()).add(main)
+        at.setdefault((host, place), {}).setdefault(h, set()).add(main)
+    out = {}
+    for (host, place), hs in at.items():
+        total, again = sum(map(len, hs.values())), sum(len(x) for x in hs.values() if len(x) > 1)
+        for h, x in hs.items():
+            n = len(any_[host, h])
+            if len(x) >= min_pages and again >= total * min_pure or n >= min_pages and n >= min_share * len(mains[host]):
+                out.setdefault(host, set()).add((h, place))
+    return out
+
+
+def test_site_template_equals_brute_force(spark):
+    rng = random.Random(8)
+    rows = []
+    for k in range(200):
+        site = rng.choice(["a", "b", "c"])
+        parts = [f"<div class='m{rng.randrange(9)}'><p>menu {rng.randrange(4)}</p></div>", f"<p>own {k}</p>",
+                 rng.choice(["<p>shared</p>", f"<p>pair {k // 2}</p>", "<section><p>box</p><h2>x</h2></section>"]),
+                 f"<div><ul><li>{rng.randrange(3)}</ul></div>"]
+        rng.shuffle(parts)
+        page = "".join(parts)
+        rows.append((k, f"http://{site}.example/{k}", f"<article>{page}</article>" if rng.random() < 0.3 else page))
+    df = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    found = [tuple(r) for r in htmltext.subtree_rows(df).collect()]
+    want = brute_template(found)
+    got = {}
+    for r in htmltext.site_template(spark.createDataFrame(found, "page long, host long, hash long, place long, main long"),
+                                    3, 0.5, 0.5).collect():
+        got.setdefault(r.host, set()).add((r.hash, r.place))
+    assert got == want and sum(map(len, want.values())) > 20
+    key = {r.page_id: (r.h, r.page) for r in df.select(
+        "page_id", htmltext._key().alias("page"), htmltext.F.xxhash64(htmltext.host(htmltext.F.col("url"))).alias("h")).collect()}
+    texts = {r.page_id: r.text for r in htmltext.extract(df).collect()}
+    for k, _, source in rows:
+        assert texts[k] == htmltext.read(source).text(frozenset(want.get(key[k][0], ())))
+
+
 def test_given_pages(spark):
     out = htmltext.extract(table(spark, "pages")).join(table(spark, "pages").select("page_id", "html"), "page_id")
     for r in out.collect():
