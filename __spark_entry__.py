@@ -209,6 +209,19 @@ def _q() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "source_file", "row_idx", "actual_value", "deviation"))
     q["csv_missing_suite"] = lambda s, d: _checks(V.run_checks(*blanks(s, d), materialize=True))
 
+    q["csv_quoted"] = lambda s, d: _r(_parsed(P.parse_csv(feeds.csv_lines_quoted(s, d))).select(
+        "source_file", "timestamp", "position", "actual_value", "deviation",
+        F.element_at("extras", F.lit("note")).alias("note")))
+
+    def short_files(s, d):
+        b = P.parse_csv(feeds.csv_lines_short(s, d))
+        return TR.transform(b.rows.withColumnRenamed("path", "source_file"),
+                            b.files.withColumnRenamed("path", "source_file"))
+
+    q["csv_required_columns"] = lambda s, d: V.check_required_columns(*short_files(s, d), VCFG).select(
+        "source_file", "status", "n_flagged", F.when(F.col("n_flagged") > 0, F.regexp_replace(
+            F.regexp_extract("details", r"\[(.*)\]", 1), "[' ]", "")).otherwise("").alias("missing"))
+
     def no_equipment(s, d, **kw):
         b = P.parse_log(feeds.log_lines_without_equipment(s, d))
         return TR.transform(b.rows.withColumnRenamed("path", "source_file"),

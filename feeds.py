@@ -94,3 +94,57 @@ def log_lines_without_equipment(spark: SparkSession, sf_dir: str) -> DataFrame:
                            F.col("value").cast("string"), F.col("event_type"))
     return e.select(_run_file(".txt").alias("path"), F.lit(0).cast("long").alias("row_block"),
                     F.col("event_id").alias("row_idx"), line.alias("line"))
+
+
+def _note():
+    """A note by event id: comma, quotes, a line break, a stray quote, text after quotes, nothing, plain."""
+    k, i = F.col("event_id") % 7, F.col("event_id").cast("string")
+    forms = [('"at ', ', late"'), ('"the ""', '"" one"'), ('"first\n', '"'), ('tube 5" ', ""), ('"no" ', ""), None,
+             ("note ", "")]
+    out = F.lit("")
+    for n, f in enumerate(forms):
+        if f:
+            out = F.when(k == n, F.concat(F.lit(f[0]), i, F.lit(f[1]))).otherwise(out)
+    return out
+
+
+#: Lines of a split of the quoted feed: odd, so that splits begin inside records too.
+QUOTED_SPLIT = 4999
+
+
+def csv_lines_quoted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """path, row_block, row_idx, line - as ``csv_lines`` with a note that is
+    quoted in every way; one event in seven runs over two lines, and every
+    ``QUOTED_SPLIT`` lines a new split begins."""
+    e = read_table(spark, sf_dir, "events")
+    record = F.concat_ws(",", F.date_format("ts", TS_TEXT_FULL), F.concat(F.lit("pos_"), "event_type"),
+                         F.col("value").cast("string"), F.lit("50.0"), _note())
+    data = e.select(_run_file(".csv").alias("path"), (F.col("event_id") * 2).alias("at"),
+                    F.posexplode(F.split(record, "\n")).alias("k", "line"))
+    data = data.select("path", (F.col("at") + F.col("k")).alias("row_idx"), "line")
+    heads = data.select("path").distinct().select(
+        "path", F.lit(-1).cast("long").alias("row_idx"), F.lit("Time,Location,Reading,Nominal,Note").alias("line"))
+    return heads.unionByName(data).select(
+        "path", F.floor(F.col("row_idx") / QUOTED_SPLIT).alias("row_block"), "row_idx", "line")
+
+
+# Which columns the files of a run write, by run id.
+SHORT_HEADERS = ["Time,Location,Reading,Nominal", "Time,Reading,Nominal", "Time,Location", "Location,Reading", "Comment"]
+
+
+def csv_lines_short(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """path, row_block, row_idx, line - files that lack columns, by run id."""
+    run = F.dayofmonth("ts").cast("long") * 10 + F.col("user_id") % 10
+    cell = {"Time": F.date_format("ts", TS_TEXT_FULL), "Location": F.concat(F.lit("pos_"), "event_type"),
+            "Reading": F.col("value").cast("string"), "Nominal": F.lit("50.0"), "Comment": F.lit("ok")}
+    head, line = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for k, names in enumerate(SHORT_HEADERS):
+        mine = run % len(SHORT_HEADERS) == k
+        head = F.when(mine, F.lit(names)).otherwise(head)
+        line = F.when(mine, F.concat_ws(",", *[cell[c] for c in names.split(",")])).otherwise(line)
+    data = read_table(spark, sf_dir, "events").select(
+        _run_file(".csv").alias("path"), F.lit(0).cast("long").alias("row_block"), F.col("event_id").alias("row_idx"),
+        line.alias("line"), head.alias("head"))
+    heads = data.groupBy("path").agg(F.first("head").alias("line")).select(
+        "path", F.lit(0).cast("long").alias("row_block"), F.lit(-1).cast("long").alias("row_idx"), "line")
+    return heads.unionByName(data.drop("head"))

@@ -17,15 +17,21 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import JSON_RECORD_KEYS
 from ..functions.columns import null_if_token, strip
 from ..functions.maps import fit_to, last_wins_policy, map_last_wins
 from ..operators.transforms import clean_keys
+from ..session import ensure_checkpoint_dir
+from .csv_records import field_count, fields, leaves_open, whole_records
 from .files import literal_path, plain_path
 
+#: Header rows (one a file) up to this many are broadcast.
+MAX_BROADCAST_FILES = 50_000
+#: Columns of the widest header up to which each has its own expression.
+MAX_EXPRESSIONS = 100
 RAW_ROW_SCHEMA = "path string, row_block long, row_idx long, fields map<string,string>"
 
 
@@ -65,17 +71,6 @@ def _keys_per_file(rows: DataFrame) -> DataFrame:
 # S1 CSV
 # ---------------------------------------------------------------------------
 
-# Fixed value: split on commas outside double quotes.
-CSV_SPLIT = r',(?=(?:[^"]*"[^"]*")*[^"]*$)'
-
-
-def _csv_fields(line: Column) -> Column:
-    parts = F.split(line, CSV_SPLIT, -1)
-    return F.transform(parts, lambda v: F.when(
-        v.rlike(r'^".*"$'), F.regexp_replace(F.regexp_extract(v, r'^"(.*)"$', 1), '""', '"')
-    ).otherwise(v))
-
-
 def _mangle_duplicates(names: Column) -> Column:
     """Repeated header names get ``.1``, ``.2`` ... (first one unchanged)."""
     def seen(x, i):
@@ -84,76 +79,64 @@ def _mangle_duplicates(names: Column) -> Column:
         (i == 0) | (seen(x, i) == 0), x).otherwise(F.concat(x, F.lit("."), seen(x, i).cast("string"))))
 
 
-def _whole_records(lines: DataFrame) -> DataFrame:
-    """Join the lines of records with a line break inside quotes.
-
-    Only files that hold a line with an odd number of quotes are touched:
-    their lines are put in order and each record's lines are joined; other
-    files keep one record a line and need no order."""
-    odd = (F.size(F.split("line", '"')) % 2 == 0)
-    torn = lines.filter(odd).select("path").distinct()
-    if not torn.take(1):
-        return lines
-    w = Window.partitionBy("path").orderBy("row_block", "row_idx")
-    part = lines.join(torn, "path", "left_semi")
-    part = part.withColumn("_open", F.coalesce(F.sum(odd.cast("int")).over(
-        w.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) % 2)
-    part = part.withColumn("_rec", F.sum((F.col("_open") == 0).cast("int")).over(
-        w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    at = F.struct("row_block", "row_idx")
-    joined = part.groupBy("path", "_rec").agg(
-        F.min(at).alias("_at"), F.array_sort(F.collect_list(F.struct("row_block", "row_idx", "line"))).alias("_ls"))
-    joined = joined.select("path", "_at.row_block", "_at.row_idx",
-                           F.array_join(F.transform("_ls", lambda x: x["line"]), "\n").alias("line"))
-    return lines.join(torn, "path", "left_anti").select("path", "row_block", "row_idx", "line").unionByName(joined)
+def _csv_files(lines: DataFrame) -> DataFrame:
+    """path, _h (first line that is not blank), _hkey, _most (fields of the widest record), _torn."""
+    order = F.struct("row_block", "row_idx")
+    return (lines.filter(strip("line") != "").groupBy("path")
+            .agg(F.min_by("line", order).alias("_h"), F.min(order).alias("_hkey"),
+                 F.max(field_count()).alias("_most"), F.max(leaves_open()).alias("_torn")))
 
 
 def parse_csv(lines: DataFrame) -> RawBatch:
     """Header = first non-blank line of each file; later lines bind to their
     own file's header by name (files with different layouts mix freely).
-    pandas' default null tokens read as null; blank lines are skipped; a line
-    break inside quotes belongs to its field. A file with a record wider than
-    its header is an error.
-
-    Data lines go through Spark's CSV parser (``from_csv``, RFC 4180 quotes)
-    with a schema one wider than the widest header (one number read from the
-    small per-file header table); no per-element lambdas, so the projection
-    stays in whole-stage codegen.
+    pandas' default null tokens read as null; blank lines are skipped; quotes
+    are read as pandas reads them (a quote inside an unquoted field is a
+    character, a line break inside quotes belongs to its field). A file with a
+    record wider than its header, or one that ends inside quotes, is an error.
+
+    One aggregation gives every file's header, its widest record and whether a
+    line of it ends inside quotes; only lines of such files are put together
+    (``csv_records``). All other lines are read in one projection with as many
+    columns as the widest header has (one number read from the file table).
     """
     spark = lines.sparkSession
-    nb = _whole_records(lines).filter(strip("line") != "")
-    order = F.struct("row_block", "row_idx")
-    head = (nb.groupBy("path")
-              .agg(F.min_by("line", order).alias("_h"), F.min(order).alias("_hkey"))
-              .select("path", "_hkey", _csv_fields(F.col("_h")).alias("_raw"))
-              .select("path", "_hkey", _mangle_duplicates(F.col("_raw")).alias("_raw"))
-              .select("path", "_hkey", F.transform("_raw", lambda c: F.regexp_replace(
-                  F.lower(strip(c)), r"\s+", "_")).alias("_cols"))).persist()
-    width = int(head.agg(F.max(F.size("_cols"))).first()[0] or 0)
+    ensure_checkpoint_dir(spark)
+    # One row a file; checkpointed, as its numbers steer the plan.
+    info = _csv_files(lines).checkpoint()
+    torn = info.filter("_torn").select("path")
+    unclosed, nb = torn.limit(0), lines
+    if info.agg(F.max("_torn")).first()[0]:
+        records, unclosed = whole_records(lines.join(torn, "path", "left_semi"))
+        nb = lines.join(torn, "path", "left_anti").select("path", "row_block", "row_idx", "line").unionByName(records)
+        info = info.filter("not _torn").unionByName(_csv_files(records)).checkpoint()
+    nb = nb.filter(strip("line") != "")
+    head = (info.select("path", "_hkey", "_most", fields("_h").alias("_raw"))
+            .select("path", "_hkey", "_most", _mangle_duplicates(F.col("_raw")).alias("_raw"))
+            .select("path", "_hkey", "_most", F.transform("_raw", lambda c: F.regexp_replace(
+                F.lower(strip(c)), r"\s+", "_")).alias("_cols")))
+    wide = F.col("_most") > F.size("_cols")
+    errors = (nb.join(head.filter(wide), "path").filter(field_count() > F.size("_cols"))
+              .groupBy("path").agg(F.count(F.lit(1)).alias("_n"))
+              .select("path", F.format_string("Error tokenizing data: %d row(s) with more fields than the header",
+                                              F.col("_n")).alias("message"))
+              .unionByName(unclosed.select("path", F.lit("Error tokenizing data: end of file inside quotes").alias("message"))))
+    head = head.filter(~wide)
+    files = head.select("path", F.array_distinct("_cols").alias("raw_cols"))
+    got = head.agg(F.max(F.size("_cols")), F.count(F.lit(1))).first()
+    width, n_files = int(got[0] or 0), got[1]
     if width == 0:
-        head.unpersist()
-        return RawBatch(spark.createDataFrame([], RAW_ROW_SCHEMA),
-                        head.select("path", F.col("_cols").alias("raw_cols")),
-                        spark.createDataFrame([], "path string, message string"))
-    schema = ", ".join(f"c{i} string" for i in range(width + 1))
-    parsed = F.from_csv(F.col("line"), schema, {"escape": '"', "mode": "PERMISSIVE", "multiLine": "true",
-                                                "maxCharsPerColumn": "-1"})
-    # One header row per file: AQE broadcasts it when its measured size allows.
-    data = (nb.join(head, "path").filter(F.struct("row_block", "row_idx") != F.col("_hkey"))
-              .select("path", "row_block", "row_idx", "_cols", parsed.alias("_p")))
-    vals = F.array(*[null_if_token(F.col("_p").getField(f"c{i}")) for i in range(width)])
-    lw = last_wins_policy(spark)
-    # The field after the file's own last column must be absent.
-    over = F.get(F.array(*[F.col("_p").getField(f"c{i}") for i in range(width + 1)]), F.size("_cols")).isNotNull()
-    wide = data.filter(over).groupBy("path").agg(F.count(F.lit(1)).alias("_n"))
-    errors = wide.select("path", F.format_string("Error tokenizing data: %d row(s) with more fields than the header",
-                                                 F.col("_n")).alias("message"))
-    bad = wide.select("path")
-    if wide.take(1):
-        data, head = data.join(bad, "path", "left_anti"), head.join(bad, "path", "left_anti")
+        return RawBatch(spark.createDataFrame([], RAW_ROW_SCHEMA), files, errors)
+    small = head.select("path", "_hkey", "_cols")
+    # One header row a file: broadcast up to a counted number of files, else AQE chooses.
+    data = (nb.join(F.broadcast(small) if n_files <= MAX_BROADCAST_FILES else small, "path")
+              .filter(F.struct("row_block", "row_idx") != F.col("_hkey"))
+              .select("path", "row_block", "row_idx", "_cols", fields().alias("_f")))
+    # An expression a column is faster than a lambda, as long as the generated code stays small.
+    vals = (F.array(*[null_if_token(F.get("_f", F.lit(i))) for i in range(width)]) if width <= MAX_EXPRESSIONS
+            else F.transform("_f", null_if_token))
     rows = data.select("path", "row_block", "row_idx",
-                       map_last_wins(F.col("_cols"), fit_to(vals, F.size("_cols")), lw).alias("fields"))
-    files = head.select("path", F.array_distinct("_cols").alias("raw_cols"))
+                       map_last_wins(F.col("_cols"), fit_to(vals, F.size("_cols")), last_wins_policy(spark)).alias("fields"))
     return RawBatch(rows, files, errors)
 
 

@@ -388,6 +388,22 @@ def oracle_sql() -> dict[str, str]:
     q["log_suite"] = _suite([M, flog], "flog", VCFG, False)
 
     # ---- missing-value strategies and metadata defaults ----------------------
+    q["csv_quoted"] = _with(M) + """
+      SELECT 'run_' || CAST(run_id AS VARCHAR) || '.csv' AS source_file, "timestamp", position,
+             round(actual_value, 6) + 0.0 AS actual_value, round(deviation, 6) + 0.0 AS deviation,
+             CASE measurement_id % 7 WHEN 0 THEN 'at ' || measurement_id || ', late'
+                  WHEN 1 THEN 'the "' || measurement_id || '" one' WHEN 2 THEN 'first' || chr(10) || measurement_id
+                  WHEN 3 THEN 'tube 5" ' || measurement_id WHEN 4 THEN 'no ' || measurement_id WHEN 5 THEN NULL
+                  ELSE 'note ' || measurement_id END AS note
+      FROM m"""
+    q["csv_required_columns"] = _with(M) + """
+      , f AS (SELECT DISTINCT run_id, CASE run_id % 5 WHEN 0 THEN [] WHEN 1 THEN ['position']
+                     WHEN 2 THEN ['actual_value', 'deviation', 'expected_value'] WHEN 3 THEN ['deviation', 'expected_value']
+                     ELSE ['actual_value', 'deviation', 'expected_value', 'position'] END AS missing FROM m)
+      SELECT 'run_' || CAST(run_id AS VARCHAR) || '.csv' AS source_file,
+             CASE WHEN len(missing) > 0 THEN 'fail' ELSE 'pass' END AS status, len(missing) AS n_flagged,
+             array_to_string(missing, ',') AS missing
+      FROM f"""
     blank = """b AS (SELECT 'run_' || CAST(run_id AS VARCHAR) || '.csv' AS source_file, measurement_id AS row_idx,
                       "timestamp", position, CASE WHEN actual_value < 1.0 THEN NULL ELSE actual_value END AS actual_value,
                       expected_value FROM m),
