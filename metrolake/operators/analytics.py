@@ -17,12 +17,12 @@ from __future__ import annotations
 import datetime as _dt
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import AnalysisConfig
 from ..functions.buckets import bucket, bucket_from, multiple
-from .ordered import ordered_index
+from .ordered import ordered_index, segments
 from .quantiles import group_quantiles
 
 MEASUREMENT_FRAME_COLUMNS = [
@@ -96,13 +96,27 @@ def drift_slope(m: DataFrame, buckets: int | None = None) -> DataFrame:
 
     x = 0..n-1 in (timestamp asc nulls last, measurement_id) order per run.
     n < 2 gives a null slope and ``insufficient data``.
+
+    The regression sums are taken per run and range partition with the place
+    in the partition as x, then shifted by the run's offset there and merged
+    (means and centred sums, so nothing large is subtracted).
     """
-    x = ordered_index(
-        m.select("run_id", "measurement_id", "timestamp", "deviation"),
-        ["run_id"], ["timestamp", "measurement_id"], name="x", buckets=buckets)
-    agg = (x.groupBy("run_id")
-             .agg(F.count(F.lit(1)).alias("n_measurements"),
-                  F.regr_slope(F.col("deviation"), F.col("x").cast("double")).alias("slope")))
+    y, k = F.col("deviation"), F.col("__place").cast("double")
+    seg = segments(
+        m.select("run_id", "measurement_id", "timestamp", "deviation"), ["run_id"], ["timestamp", "measurement_id"],
+        [F.regr_count(y, k).alias("c"), F.regr_avgx(y, k).alias("mx"), F.regr_avgy(y, k).alias("my"),
+         F.regr_sxx(y, k).alias("sxx"), F.regr_sxy(y, k).alias("sxy")], partitions=buckets)
+    seg = seg.withColumn("mx", F.col("mx") - F.col("_k0") + F.col("_off"))
+    # One row per run and partition it has rows in.
+    run = Window.partitionBy("run_id")
+    c = F.col("c").cast("double")
+    seg = seg.withColumn("ax", F.sum(c * F.col("mx")).over(run) / F.sum(c).over(run)).withColumn(
+        "ay", F.sum(c * F.col("my")).over(run) / F.sum(c).over(run))
+    dx, dy = F.col("mx") - F.col("ax"), F.col("my") - F.col("ay")
+    agg = seg.groupBy("run_id").agg(
+        F.sum("_n").alias("n_measurements"), F.sum(F.col("sxx") + c * dx * dx).alias("xx"),
+        F.sum(F.col("sxy") + c * dx * dy).alias("xy")).withColumn(
+        "slope", F.when(F.col("xx") > 0, F.col("xy") / F.col("xx")))
     slope = F.when(F.col("n_measurements") >= 2, F.col("slope"))
     direction = (F.when(F.col("n_measurements") < 2, F.lit("insufficient data"))
                   .when(slope > 0, F.lit("positive"))

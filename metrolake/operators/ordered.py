@@ -6,13 +6,16 @@ means, first N rows in file order). A window ``row_number() OVER (PARTITION
 BY g ORDER BY o)`` does it, but puts each group in one task, which breaks
 down when a single group holds a large share of all rows.
 
-``ordered_index`` therefore cuts the rows into order buckets by value: the
-cut points are rows of a sample in (group, order), known as literals, so a
-row's bucket depends on the row alone and is the same wherever it is
-computed. A window ranks only inside (group, bucket); bucket counts (one row
-per group and bucket) give the offsets. The number of buckets follows the
-input's size and changes the work, never the positions; with one bucket the
-offsets vanish from the plan.
+Here the positions come from Spark's range partitioner itself: rows are
+range-partitioned and sorted by (group, order), a row's place in its
+partition is counted as it streams by, and the number of a group's rows in
+earlier partitions (one row per group and partition it has rows in, a prefix
+sum) is added. A group of any size is spread over as many partitions as its
+share asks for; nothing is sized by an estimate.
+
+The partitioner samples, and another evaluation may cut elsewhere, so a
+sorted frame is either used once (``segments``: everything is aggregated in
+the pass that counts) or written once (``ordered_index``: a checkpoint).
 
 The order must be total (end it with a unique key) so that a recomputed
 task reproduces the same positions. Nulls come last.
@@ -25,95 +28,64 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-BUCKET_BYTES_CONF = "metrolake.ordered.bucketBytes"
-DEFAULT_BUCKET_BYTES = 64 * 1024 * 1024
-MAX_BUCKETS = 256
-SAMPLES_PER_BUCKET = 50
-
-
-def plan_size_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of the optimized plan (no job runs).
-
-    An estimate: compressed sources hold more. It only chooses how finely
-    work is cut, never what is computed."""
-    try:
-        v = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-        return v if isinstance(v, int) else int(v.toString())
-    except Exception:  # noqa: BLE001 - no estimate: treat as large
-        return 1 << 62
-
-
-def bucket_count(df: DataFrame) -> int:
-    size = int(df.sparkSession.conf.get(BUCKET_BYTES_CONF, str(DEFAULT_BUCKET_BYTES)))
-    return max(1, min(MAX_BUCKETS, -(-plan_size_bytes(df) // size)))
-
-
-def _key(cols: Sequence[str]) -> Column:
-    """Comparable in the order of ``cols`` ascending, nulls last."""
-    return F.struct(*[x.alias(f"k{2 * i + j}") for i, c in enumerate(cols)
-                      for j, x in enumerate((F.col(c).isNull(), F.col(c)))])
-
-
-def cut_points(df: DataFrame, cols: Sequence[str], buckets: int) -> list[Column]:
-    """Up to ``buckets`` - 1 rows' keys, ascending, as literals (a bounded sample comes to the driver)."""
-    want = buckets * SAMPLES_PER_BUCKET
-    share = min(1.0, 1.2 * want / max(1, df.count()))
-    got = df.select(_key(cols).alias("k")).sample(share, seed=11).orderBy("k").limit(2 * want).collect()
-    picked = got[len(got) // buckets::max(1, len(got) // buckets)] if got else []
-    types = [f.dataType for c in cols for f in [df.schema[c]]]
-    out, last = [], None
-    for r in picked[:buckets - 1]:
-        vals = list(r["k"])
-        if vals == last:
-            continue
-        last = vals
-        parts = []
-        for i, t in enumerate(types):
-            null, v = vals[2 * i], vals[2 * i + 1]
-            parts += [F.lit(null).alias(f"k{2 * i}"),
-                      (F.lit(None) if null else F.lit(str(v))).cast(t).alias(f"k{2 * i + 1}")]
-        out.append(F.struct(*parts))
-    return out
-
-
-def _bucket(key: Column, cuts: list[Column], lo: int = 0) -> Column:
-    """Number of cut points at or below ``key``: a balanced tree of comparisons."""
-    if not cuts:
-        return F.lit(lo)
-    m = len(cuts) // 2
-    return F.when(key < cuts[m], _bucket(key, cuts[:m], lo)).otherwise(_bucket(key, cuts[m + 1:], lo + m + 1))
+from ..session import ensure_checkpoint_dir
+
+#: ``monotonically_increasing_id``: partition number above these bits, place in the partition below.
+PLACE_BITS = 33
+
+
+def _range_sorted(df: DataFrame, cols: Sequence[str], partitions: int | None) -> DataFrame:
+    """``df`` range-partitioned and sorted by ``cols``, with ``__part`` and ``__place``: partition and place in it."""
+    keys = [F.col(c).asc_nulls_last() for c in cols]
+    d = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
+    at = F.monotonically_increasing_id()
+    return (d.sortWithinPartitions(*keys).withColumn("_at", at)
+            .withColumn("__part", F.shiftright("_at", PLACE_BITS))
+            .withColumn("__place", F.col("_at").bitwiseAND(F.lit((1 << PLACE_BITS) - 1))).drop("_at"))
+
+
+def _offsets(seg: DataFrame, by: Sequence[str]) -> DataFrame:
+    """``seg(by, __part, _n, ...)`` plus ``_off``: the group's rows in earlier partitions."""
+    before = Window.partitionBy(*by).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    return seg.withColumn("_off", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+
+
+def segments(df: DataFrame, by: Sequence[str], order: Sequence[str], aggs: Sequence[Column],
+             partitions: int | None = None) -> DataFrame:
+    """One row per group and range partition: ``by``, ``_off``, ``_n``, ``_k0`` and ``aggs``.
+
+    ``aggs`` aggregate over the columns of ``df`` and ``__place``; the position of
+    a row in its group is ``_off + __place - _k0``. One evaluation of ``df``'s
+    sorted rows; groups and partitions bound the result.
+    """
+    by = list(by)
+    seg = _range_sorted(df, [*by, *order], partitions).groupBy(*by, "__part").agg(
+        F.count(F.lit(1)).alias("_n"), F.min("__place").alias("_k0"), *aggs)
+    return _offsets(seg, by).drop("__part")
 
 
 def ordered_index(df: DataFrame, by: Sequence[str], order: Sequence[str], name: str = "_ix",
                   buckets: int | None = None) -> DataFrame:
     """Add ``name``: the 0-based position of each row inside its ``by`` group,
-    by the columns ``order`` ascending, nulls last."""
+    by the columns ``order`` ascending, nulls last.
+
+    ``buckets``: how many range partitions (None: as the session shuffles; 1: a plain window).
+    """
     by, order = list(by), list(order)
-    buckets = bucket_count(df) if buckets is None else buckets
-    cuts = cut_points(df, [*by, *order], buckets) if buckets > 1 else []
-    asc = [F.col(c).asc_nulls_last() for c in order]
-    if not cuts:
-        w = Window.partitionBy(*by).orderBy(*asc)
+    if buckets == 1:
+        w = Window.partitionBy(*by).orderBy(*[F.col(c).asc_nulls_last() for c in order])
         return df.withColumn(name, (F.row_number().over(w) - 1).cast("long"))
-    d = df.withColumn("_ob", _bucket(_key([*by, *order]), cuts))
-    seg = d.groupBy(*by, "_ob").agg(F.count(F.lit(1)).alias("_on"))
-    before = Window.partitionBy(*by).orderBy("_ob").rowsBetween(Window.unboundedPreceding, -1)
-    # One row per group and bucket it has rows in: at most groups + buckets.
-    seg = seg.select(F.col("_ob").alias("_sb"), *[F.col(b).alias(f"_s{i}") for i, b in enumerate(by)],
-                     F.coalesce(F.sum("_on").over(before), F.lit(0)).alias("_off"))
-    cond = [F.col("_ob") == F.col("_sb")] + [F.col(b).eqNullSafe(F.col(f"_s{i}")) for i, b in enumerate(by)]
-    w = Window.partitionBy(*by, "_ob").orderBy(*asc)
-    out = d.withColumn("_in", F.row_number().over(w) - 1).join(seg, cond, "inner").withColumn(
-        name, (F.col("_off") + F.col("_in")).cast("long"))
-    return out.drop("_ob", "_sb", "_in", "_off", *[f"_s{i}" for i in range(len(by))])
+    ensure_checkpoint_dir(df.sparkSession)
+    d = _range_sorted(df, [*by, *order], buckets).checkpoint()
+    seg = _offsets(d.groupBy(*by, "__part").agg(F.count(F.lit(1)).alias("_n"), F.min("__place").alias("_k0")), by)
+    seg = seg.select(F.col("__part").alias("_sp"), *[F.col(b).alias(f"_s{i}") for i, b in enumerate(by)],
+                     (F.col("_off") - F.col("_k0")).alias("_shift"))
+    cond = [F.col("__part") == F.col("_sp")] + [F.col(b).eqNullSafe(F.col(f"_s{i}")) for i, b in enumerate(by)]
+    out = d.join(seg, cond).withColumn(name, (F.col("__place") + F.col("_shift")).cast("long"))
+    return out.drop("__part", "__place", "_sp", "_shift", *[f"_s{i}" for i in range(len(by))])
 
 
 def largest_group(df: DataFrame, by: Sequence[str]) -> int:
     """Row count of the biggest group (partial aggregation, one number back)."""
     row = df.groupBy(*by).count().agg(F.max("count").alias("m")).first()
     return int(row["m"] or 0) if row else 0
-
-
-def is_small_input(df: DataFrame) -> bool:
-    """True when the estimated input fits one bucket."""
-    return bucket_count(df) == 1

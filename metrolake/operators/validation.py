@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from ..config import (CHECK_ORDER, DUPLICATE_KEY_COLUMNS, MEASUREMENT_COLUMNS,
                       REQUIRED_COLUMNS, ValidationConfig)
-from .ordered import is_small_input, largest_group, ordered_index
+from .ordered import largest_group, ordered_index
 from ..session import ensure_checkpoint_dir
 from .quantiles import DEFAULT_MAX_MAP_ROWS, MAX_MAP_ROWS_CONF, group_quantiles
 
@@ -91,7 +91,7 @@ def file_profile(rows: DataFrame, files: DataFrame, cfg: ValidationConfig = Vali
     dev = F.col("deviation")
     if quantiles == "auto":
         limit = int(rows.sparkSession.conf.get(MAX_MAP_ROWS_CONF, str(DEFAULT_MAX_MAP_ROWS)))
-        quantiles = ("map" if is_small_input(rows) or largest_group(rows, ["source_file"]) <= limit
+        quantiles = ("map" if largest_group(rows, ["source_file"]) <= limit
                      else "ranked")
     in_pass = []
     if quantiles in ("map", "approx"):
