@@ -293,47 +293,90 @@ def duplicate_rows(rows: DataFrame, files: DataFrame) -> DataFrame:
                     .cast("long").alias("n_dupes")))
 
 
+HOUR_US = 3600 * 1_000_000
+#: Hours of a block of the running total: about a month.
+BLOCK_HOURS = 720
+
+
+def _micros(c: str) -> Column:
+    return F.unix_micros(F.col(c).cast("timestamp"))
+
+
+def hour_counts(stored: DataFrame) -> DataFrame:
+    """(h, c): measurements per hour since 1970; rows without a timestamp have none."""
+    return (stored.filter(F.col("timestamp").isNotNull())
+            .groupBy(F.floor(_micros("timestamp") / HOUR_US).alias("h")).agg(F.count(F.lit(1)).alias("c")))
+
+
+def _blocks(hours: DataFrame) -> DataFrame:
+    """(b, before): measurements before each block of hours that has any. A row a month, so one task orders them."""
+    per = hours.groupBy(F.floor(F.col("h") / BLOCK_HOURS).alias("b")).agg(F.sum("c").alias("n"))
+    w = Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)
+    return per.select("b", F.coalesce(F.sum("n").over(w), F.lit(0)).alias("before"), "n")
+
+
+def running_hours(hours: DataFrame) -> DataFrame:
+    """``hours(h, c)`` plus ``cum``, the total up to the hour's end: inside blocks, plus what lies before the block."""
+    w = Window.partitionBy("b").orderBy("h").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    d = hours.withColumn("b", F.floor(F.col("h") / BLOCK_HOURS))
+    return d.join(_blocks(hours), "b").select("h", "c", (F.col("before") + F.sum("c").over(w)).alias("cum"))
+
+
+def hour_index(stored: DataFrame) -> DataFrame:
+    """(h, c, cum) of a frame of measurements, as a store keeps it."""
+    return running_hours(hour_counts(stored))
+
+
+def _total_until(q: DataFrame, index: DataFrame) -> DataFrame:
+    """``q(_q, ...)`` plus ``_cum``: all measurements of hours <= ``_q`` (the last indexed hour's total)."""
+    hours = q.select(F.col("_q").alias("h")).distinct().select("h", F.lit(None).cast("long").alias("cum"), F.lit(True).alias("_is_q"))
+    u = hours.unionByName(index.select("h", "cum", F.lit(False).alias("_is_q"))).withColumn(
+        "b", F.floor(F.col("h") / BLOCK_HOURS))
+    w = Window.partitionBy("b").orderBy("h", "_is_q").rowsBetween(Window.unboundedPreceding, 0)
+    filled = u.select("h", "b", "_is_q", F.last("cum", ignorenulls=True).over(w).alias("_in")).filter("_is_q")
+    # A block whose own hours all come later takes the total of the last block before it: a row a month.
+    ends = index.groupBy(F.floor(F.col("h") / BLOCK_HOURS).alias("b")).agg(F.max("cum").alias("end"))
+    both = ends.select("b", "end", F.lit(False).alias("_is_q")).unionByName(
+        filled.select("b", F.lit(None).cast("long").alias("end"), F.lit(True).alias("_is_q")).distinct())
+    months = both.select("b", "_is_q", F.last("end", ignorenulls=True).over(
+        Window.orderBy("b", F.desc("_is_q")).rowsBetween(Window.unboundedPreceding, 0)).alias("_until")).filter("_is_q")
+    filled = filled.join(months.select("b", "_until"), "b").select(
+        F.col("h").alias("_q"), F.coalesce("_in", "_until", F.lit(0)).alias("_cum"))
+    return q.join(filled, "_q")
+
+
 def store_overlap(rows: DataFrame | None, stored: DataFrame, window_hours: float,
-                  ranges: DataFrame | None = None) -> DataFrame:
+                  ranges: DataFrame | None = None, index: DataFrame | None = None) -> DataFrame:
     """Per file, count of stored measurements with timestamp in
     [min(ts) - w, max(ts) + w] (inclusive).
 
     Exact range count with equi-joins only (no nested loop, no file x row
     pairs). With hour buckets h_lo / h_hi of the range ends:
 
-    * hours strictly between them: running total of the store's hourly
-      counts (a table bounded by the store's time span);
-    * the two edge hours: how many stored rows of that hour lie before an
-      edge is a rank lookup. The edges are ranked together with the stored
-      rows of the same hour (``ordered_index``, which
-      cuts a hot hour into buckets) and the rank among edges alone is
-      subtracted.
+    * hours strictly between them: the running totals of ``index``, the
+      store's hour index (``Store.hour_index``; made from ``stored`` if none is given);
+    * the two edge hours: only their stored rows are read (and only the dates
+      they lie on, if ``stored`` has its ``ts_date`` partitions). How many of
+      them lie before an edge is a rank lookup: the edges are ranked together
+      with the rows of the same hour (``ordered_index``, which spreads a hot
+      hour over tasks) and the rank among edges alone is subtracted.
 
     ``ranges`` (source_file, ts_min, ts_max) can come from a file profile
     instead of ``rows``.
     """
     w_us = int(round(window_hours * 3600 * 1_000_000))
-    hour_us = 3600 * 1_000_000
-    us = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    index = index if index is not None else hour_index(stored)
     if ranges is None:
         ranges = rows.groupBy("source_file").agg(F.min("timestamp").alias("ts_min"),
                                                  F.max("timestamp").alias("ts_max"))
     rng = (ranges.filter(F.col("ts_min").isNotNull())
-                 .select("source_file", (us("ts_min") - w_us).alias("lo"), (us("ts_max") + w_us).alias("hi"))
-                 .select("source_file", "lo", "hi", F.floor(F.col("lo") / hour_us).alias("h_lo"),
-                         F.floor(F.col("hi") / hour_us).alias("h_hi")))
-    st = (stored.filter(F.col("timestamp").isNotNull())
-                .select(us("timestamp").alias("t"))
-                .select(F.floor(F.col("t") / hour_us).alias("h"), "t"))
-    hourly = st.groupBy("h").agg(F.count(F.lit(1)).alias("c"))
-    # Running total over hours: one row per non-empty hour of the store, a
-    # table bounded by its time span (not its rows); the window is one task.
-    cum = hourly.select("h", F.sum("c").over(Window.orderBy("h")).alias("cum"))
-    # Interior = cum(h_hi - 1) - cum(h_lo), cum(h) = total of all hours <= h,
-    # found by an as-of lookup (last non-empty hour <= h).
+                 .select("source_file", (_micros("ts_min") - w_us).alias("lo"), (_micros("ts_max") + w_us).alias("hi"))
+                 .select("source_file", "lo", "hi", F.floor(F.col("lo") / HOUR_US).alias("h_lo"),
+                         F.floor(F.col("hi") / HOUR_US).alias("h_hi")))
+    # Interior = total up to h_hi - 1, less the total up to h_lo.
     q = (rng.select("source_file", (F.col("h_hi") - 1).alias("_q"), F.lit(1).alias("_sgn"))
             .unionByName(rng.select("source_file", F.col("h_lo").alias("_q"), F.lit(-1).alias("_sgn"))))
-    interior = _asof_cumulative(q, cum).groupBy("source_file").agg(
+    interior = _total_until(q, index).groupBy("source_file").agg(
         F.sum(F.col("_sgn") * F.col("_cum")).alias("interior"))
     # Edge points: the lower end counts stored rows strictly before it (kind
     # 0 sorts before an equal stored time), the upper end rows up to and
@@ -341,6 +384,13 @@ def store_overlap(rows: DataFrame | None, stored: DataFrame, window_hours: float
     edges = (rng.select("source_file", F.col("h_lo").alias("h"), F.col("lo").alias("t"), F.lit(0).alias("kind"))
                 .unionByName(rng.select("source_file", F.col("h_hi").alias("h"), F.col("hi").alias("t"),
                                         F.lit(2).alias("kind"))))
+    hours = edges.select("h").distinct()
+    st = stored.filter(F.col("timestamp").isNotNull())
+    if "ts_date" in stored.columns:
+        days = hours.select(F.to_date(F.timestamp_seconds(F.col("h") * 3600)).alias("ts_date")).distinct()
+        st = st.join(days, "ts_date", "left_semi")
+    st = (st.select(_micros("timestamp").alias("t")).select(F.floor(F.col("t") / HOUR_US).alias("h"), "t")
+          .join(hours, "h", "left_semi"))
     pts = (st.select("h", "t", F.lit(1).alias("kind"), F.lit(None).cast("string").alias("source_file"))
              .unionByName(edges.select("h", "t", "kind", "source_file")))
     order = ["t", "kind", "source_file"]
@@ -353,7 +403,7 @@ def store_overlap(rows: DataFrame | None, stored: DataFrame, window_hours: float
         F.max(F.when(F.col("kind") == 0, F.col("_before"))).alias("_lo_before"),
         F.max(F.when(F.col("kind") == 2, F.col("_before"))).alias("_hi_upto"))
     j = (rng.join(interior, "source_file", "left").join(b, "source_file", "left")
-            .join(hourly.select(F.col("h").alias("h_lo"), F.col("c").alias("_c_lo")), "h_lo", "left"))
+            .join(index.select(F.col("h").alias("h_lo"), F.col("c").alias("_c_lo")), "h_lo", "left"))
     same = F.col("h_hi") == F.col("h_lo")
     inner = F.when(F.col("h_hi") > F.col("h_lo") + 1, F.coalesce("interior", F.lit(0))).otherwise(0)
     edge = F.when(same, F.col("_hi_upto") - F.col("_lo_before")).otherwise(
@@ -361,28 +411,13 @@ def store_overlap(rows: DataFrame | None, stored: DataFrame, window_hours: float
     return j.select("source_file", (inner + edge).cast("long").alias("n_stored_in_range"))
 
 
-def _asof_cumulative(q: DataFrame, cum: DataFrame) -> DataFrame:
-    """For query hours ``_q``: running total of all hours <= ``_q``.
-
-    The distinct query hours and the store's hours are merged in one
-    ordered pass (a window over their union, bounded by the number of
-    distinct hours), then joined back on the exact hour.
-    """
-    qh = q.select(F.col("_q").alias("h")).distinct().select(
-        "h", F.lit(None).cast("long").alias("cum"), F.lit(True).alias("_is_q"))
-    u = qh.unionByName(cum.select("h", "cum", F.lit(False).alias("_is_q")))
-    w = Window.orderBy("h", "_is_q").rowsBetween(Window.unboundedPreceding, 0)
-    filled = (u.select("h", "_is_q", F.coalesce(F.last("cum", ignorenulls=True).over(w), F.lit(0)).alias("_cum"))
-               .filter(F.col("_is_q")).select(F.col("h").alias("_q"), "_cum"))
-    return q.join(filled, "_q")
-
-
 def check_duplicates(rows: DataFrame, files: DataFrame, cfg: ValidationConfig = ValidationConfig(),
-                     stored: DataFrame | None = None, profile: DataFrame | None = None) -> DataFrame:
+                     stored: DataFrame | None = None, profile: DataFrame | None = None,
+                     index: DataFrame | None = None) -> DataFrame:
     d = duplicate_rows(rows, files)
     if stored is not None:
         ranges = profile.select("source_file", "ts_min", "ts_max") if profile is not None else None
-        ov = store_overlap(rows, stored, cfg.duplicate_window_hours, ranges=ranges)
+        ov = store_overlap(rows, stored, cfg.duplicate_window_hours, ranges=ranges, index=index)
         d = d.join(ov, "source_file", "left")
         can = _has("timestamp") & _has("position")
         n_st = F.when(can, F.coalesce("n_stored_in_range", F.lit(0))).otherwise(0).cast("long")
@@ -516,7 +551,8 @@ CHECKS: dict[str, Callable[..., DataFrame]] = {
 
 def run_checks(rows: DataFrame, files: DataFrame, cfg: ValidationConfig = ValidationConfig(),
                checks: Sequence[str] = tuple(CHECK_ORDER), stored: DataFrame | None = None,
-               quantiles: str = "auto", materialize: bool = False) -> DataFrame:
+               quantiles: str = "auto", materialize: bool = False,
+               stored_index: DataFrame | None = None) -> DataFrame:
     """The chosen checks (default: all seven, in suite order).
 
     The per-file profile is computed and checkpointed once (one row a file)
@@ -542,7 +578,7 @@ def run_checks(rows: DataFrame, files: DataFrame, cfg: ValidationConfig = Valida
     for name in checks:
         fn = CHECKS[name]
         if name == "duplicate_detection":
-            parts.append(fn(rows, files, cfg, stored=stored, profile=profile))
+            parts.append(fn(rows, files, cfg, stored=stored, profile=profile, index=stored_index))
         else:
             parts.append(fn(rows, files, cfg, profile=profile))
     out = parts[0]

@@ -2,7 +2,7 @@
 
 All files of a listing are processed by one set of Spark jobs (no per-file
 loop): read per format, transform, validate, gate, then append to the
-store in the order measurements, runs, validation results, ledger (S8-S17).
+store and commit (S8-S17).
 
 * Hash skip (S12): a file whose SHA-256 already has a ``success`` ledger row
   is skipped unless ``force``; of equal files in one listing the oldest is
@@ -10,13 +10,16 @@ store in the order measurements, runs, validation results, ledger (S8-S17).
 * Gate (V10, S13): a file with a failed check is not loaded unless
   ``force``; a file that can not be stored (missing required column, a null
   measurement value after the missing-value strategy) fails even with
-  ``force``.
+  ``force``; one whose columns can't be mapped is a ``transform_error``.
+* Commit (S13): a load works on one version of the store and writes under its
+  own load id; creating the next version file makes all of it visible at
+  once. If another load has taken that version, this one starts again from it
+  (its hashes, ids and hour index), up to ``attempts`` times.
 * Ids are deterministic (run ids follow file mtime/path order after the
-  largest id that any table holds, so rows that an interrupted load left
-  behind never share an id with a later one and stay invisible; measurement ids pack run id and row position),
-  so a recomputed task writes the same rows.
+  largest id committed; measurement ids pack run id and row position), so a
+  recomputed task writes the same rows.
 * The transformed rows are checkpointed once (reliable checkpoint in the
-  session's ``spark.checkpoint.dir``) so the checks and the four writes do
+  session's ``spark.checkpoint.dir``) so the checks and the writes do
   not re-read and re-parse the files, and lost executors recompute from the
   checkpoint, not from the sources.
 """
@@ -25,18 +28,19 @@ from __future__ import annotations
 
 import datetime as _dt
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import MEASUREMENT_COLUMNS, REQUIRED_COLUMNS, ValidationConfig
+from ..config import MEASUREMENT_COLUMNS, ValidationConfig
 from ..operators.ordered import ordered_index
 from ..operators.transforms import transform
-from ..operators.validation import load_gate, run_checks
+from ..operators.validation import run_checks
 from ..session import ensure_checkpoint_dir
 from ..sources.files import MAX_BYTES, describe_listing, file_hashes, list_files
 from ..sources.reader import read_raw
+from .outcomes import dry_run_rows, file_outcomes, ledger_rows, summary_rows, validation_rows
 from .runs import build_runs
-from .store import Store
+from .store import Conflict, Store
 
 ROW_BITS = 32  # measurement_id = run_id << 32 | row position in the file
 
@@ -57,9 +61,10 @@ def split_known(files: DataFrame, done: DataFrame, force: bool = False) -> DataF
         return files.withColumns({"_first": F.col("path"), "_action": F.lit("process")})
     known = done.select(F.col("file_hash").alias("_done")).distinct()
     f = files.join(known, F.col("file_hash") == F.col("_done"), "left")
-    # One row a file here; files without a hash stand alone.
-    same = Window.partitionBy(F.coalesce("file_hash", "path")).orderBy("modificationTime", "path")
-    f = f.withColumn("_first", F.first("path").over(same))
+    # The oldest file of each content, aggregated map-side; files without a hash stand alone.
+    key = F.coalesce("file_hash", F.concat(F.lit("path:"), F.col("path")))
+    first = f.groupBy(key.alias("_key")).agg(F.min(F.struct("modificationTime", "path")).alias("_m"))
+    f = f.join(first.select("_key", F.col("_m.path").alias("_first")), key == F.col("_key")).drop("_key")
     action = (F.when(F.col("_done").isNotNull(), "skip").when(F.col("_first") != F.col("path"), "twin")
                .otherwise("process"))
     return f.withColumn("_action", action).drop("_done")
@@ -93,7 +98,7 @@ def ingest_listing(spark: SparkSession, listing: DataFrame, store_root: str,
                    cfg: ValidationConfig = ValidationConfig(), force: bool = False,
                    dry_run: bool = False, missing_strategy: str = "flag",
                    fill_value: float | None = None, equipment_id: str | None = None,
-                   operator: str | None = None, as_of: str | None = None) -> DataFrame:
+                   operator: str | None = None, as_of: str | None = None, attempts: int = 5) -> DataFrame:
     """Process a listing (``path, modificationTime, length``) into the store.
 
     Returns the per-file summary (S16): file, path, status, rows, run_id,
@@ -102,8 +107,19 @@ def ingest_listing(spark: SparkSession, listing: DataFrame, store_root: str,
     if missing_strategy == "fill" and fill_value is None:
         raise ValueError("fill_value must be provided when strategy='fill'.")
     ensure_checkpoint_dir(spark)
-    store = Store(spark, store_root)
-    now = _now_lit(as_of)
+    for left in range(attempts - 1, -1, -1):
+        try:
+            return _load(Store(spark, store_root).pinned(), listing, cfg, force, dry_run, missing_strategy,
+                         fill_value, equipment_id, operator, as_of)
+        except Conflict:
+            if not left:
+                raise
+
+
+def _load(store: Store, listing: DataFrame, cfg: ValidationConfig, force: bool, dry_run: bool, missing_strategy: str,
+          fill_value: float | None, equipment_id: str | None, operator: str | None, as_of: str | None) -> DataFrame:
+    """One attempt, on one version of the store."""
+    spark, now = store.spark, _now_lit(as_of)
     lst = describe_listing(listing).withColumn(
         "format", F.when(F.col("length") < MAX_BYTES, F.col("format"))).persist()
 
@@ -130,30 +146,9 @@ def ingest_listing(spark: SparkSession, listing: DataFrame, store_root: str,
     tfiles = tfiles.checkpoint()
 
     # ---- V8/V10: checks and gate ------------------------------------------------
-    stored = store.measurements().select("timestamp")
-    results = run_checks(rows, tfiles, cfg, stored=stored).checkpoint()
-    gate = load_gate(results, force)
-    # A file can not be stored with a missing required column or a null value
-    # in a NOT NULL measurement column (even when forced).
-    nulls = rows.groupBy("source_file").agg(
-        F.count(F.lit(1)).alias("n_rows"),
-        F.count_if(F.col("actual_value").isNull() | F.col("expected_value").isNull()
-                   | F.col("deviation").isNull()).alias("n_null"))
-    req_missing = F.array_except(F.array(*[F.lit(c) for c in REQUIRED_COLUMNS]), F.col("present_cols"))
-    fstate = (tfiles.select("source_file", req_missing.alias("_req_missing"))
-                    .join(nulls, "source_file", "left").join(gate, "source_file", "left"))
-    load_err = (F.when(F.size("_req_missing") > 0,
-                       F.concat(F.lit("DataFrame missing required columns: "),
-                                F.array_join(F.array_sort("_req_missing"), ", ")))
-                 .when(F.coalesce("n_null", F.lit(0)) > 0,
-                       F.format_string("NOT NULL constraint failed: %d row(s) with a null measurement value",
-                                       F.col("n_null"))))
-    blocked = F.coalesce(~F.col("accepted"), F.lit(False))
-    fstate = fstate.select(
-        "source_file", F.coalesce("n_rows", F.lit(0).cast("long")).alias("n_rows"),
-        F.when(blocked, "failed").when(load_err.isNotNull(), "failed").otherwise("success").alias("_status"),
-        F.when(blocked, F.format_string("%d validation failure(s) prevented load.", F.col("n_fail")))
-         .otherwise(load_err).alias("_message"))
+    stored = store.measurements().select("timestamp", "ts_date")
+    results = run_checks(rows, tfiles, cfg, stored=stored, stored_index=store.hour_index()).checkpoint()
+    fstate = file_outcomes(rows, tfiles, results, force)
 
     meta = todo.select("path", "file_name", "file_hash", "modificationTime", "length")
     summary_new = (meta.drop("length").join(fstate, F.col("path") == F.col("source_file"), "inner").drop("source_file"))
@@ -183,23 +178,14 @@ def ingest_listing(spark: SparkSession, listing: DataFrame, store_root: str,
                                F.lit(None).cast("string").alias("_message")).unionByName(twin_rows)
 
     if dry_run:
-        out = summary_new.select(
-            F.col("file_name").alias("file"), "path",
-            F.when(F.col("_status") == "extract_error", "extract_error").otherwise("dry_run").alias("status"),
-            F.when(F.col("_status") == "extract_error", 0).otherwise(F.col("n_rows")).cast("long").alias("rows"),
-            F.lit(None).cast("long").alias("run_id"), F.col("_message").alias("message"),
-            (F.col("_status") == "success").alias("accepted"))
-        res = out.unionByName(_summary(skip_rows, None))
-        return _finish(res, [lst, files])
+        return _finish(dry_run_rows(summary_new).unionByName(summary_rows(skip_rows)), [lst, files])
 
     # ---- ids ------------------------------------------------------------------------
     ok_files = summary_new.filter(F.col("_status") == "success")
-    # An interrupted load may have left measurements without their run.
-    run_base = max(store.max_id("runs", "run_id"), store.max_id("measurements", "run_id"))
-    run_ids = assign_run_ids(ok_files, run_base).checkpoint()
+    run_ids = assign_run_ids(ok_files, store.max_id("runs", "run_id")).checkpoint()
     ok_rows = measurement_rows(rows, run_ids)
 
-    # ---- S9 measurements, S8 runs, S10 validation rows, S11 ledger (last) --------
+    # ---- S9 measurements, S8 runs, S10 validation rows, S11 ledger, hour index, commit --------
     meas = stored_measurements(ok_rows)
     store.append("measurements", meas)
 
@@ -210,34 +196,15 @@ def ingest_listing(spark: SparkSession, listing: DataFrame, store_root: str,
                         now.alias("created_at"), "file_hash"))
     store.append("runs", runs)
 
-    file_base = max(store.max_id("file_imports", "file_id"), store.max_id("validation_results", "validation_id") // 16)
     all_files = summary_new.unionByName(skip_rows).join(run_ids, "path", "left")
     all_files = ordered_index(all_files, [], ["modificationTime", "path"], "_k")
+    file_base = store.max_id("file_imports", "file_id")
     all_files = all_files.withColumn("file_id", (F.lit(file_base + 1) + F.col("_k")).cast("long")).drop("_k").checkpoint()
-    vrows = (results.join(all_files.select(F.col("path").alias("source_file"), "file_id", "run_id",
-                                           "file_name", "file_hash"), "source_file")
-                    .select((F.col("file_id") * 16 + F.col("check_order")).alias("validation_id"),
-                            "run_id", "check_type", "status", "details", now.alias("created_at"),
-                            F.col("file_name").alias("source_file"), "file_hash", "check_order", "n_flagged"))
-    store.append("validation_results", vrows)
-
-    ledger = all_files.select(
-        "file_id", F.col("file_name").alias("filename"), "file_hash", now.alias("import_timestamp"),
-        F.col("_status").alias("status"),
-        F.when(F.col("_status") == "success", F.col("n_rows")).otherwise(0).cast("long").alias("rows_imported"),
-        F.col("_message").alias("error_message"), "run_id", "path")
-    store.append("file_imports", ledger)
-
-    res = _summary(all_files.drop("file_id"), "run_id")
-    return _finish(res, [lst, files])
-
-
-def _summary(df: DataFrame, run_col: str | None) -> DataFrame:
-    return df.select(
-        F.col("file_name").alias("file"), "path", F.col("_status").alias("status"),
-        F.when(F.col("_status") == "success", F.col("n_rows")).otherwise(0).cast("long").alias("rows"),
-        (F.col(run_col) if run_col else F.lit(None)).cast("long").alias("run_id"),
-        F.col("_message").alias("message"), (F.col("_status") == "success").alias("accepted"))
+    store.append("validation_results", validation_rows(results, all_files, now))
+    store.append("file_imports", ledger_rows(all_files, now))
+    store.append_hours(ok_rows.select("timestamp"))
+    store.commit()
+    return _finish(summary_rows(all_files), [lst, files])
 
 
 def _finish(summary: DataFrame, cached: list[DataFrame]) -> DataFrame:

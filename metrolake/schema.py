@@ -20,6 +20,7 @@ RUNS = StructType([
     StructField("notes", StringType(), True),
     StructField("created_at", TimestampNTZType(), True),
     StructField("file_hash", StringType(), True),          # superset
+    StructField("load_id", StringType(), True),              # partition column
 ])
 
 MEASUREMENTS = StructType([
@@ -32,6 +33,7 @@ MEASUREMENTS = StructType([
     StructField("timestamp", TimestampNTZType(), True),
     StructField("axis", StringType(), True),
     StructField("unit", StringType(), True),
+    StructField("load_id", StringType(), True),              # partition column
     StructField("ts_date", DateType(), True),                # partition column
 ])
 
@@ -45,6 +47,7 @@ FILE_IMPORTS = StructType([
     StructField("error_message", StringType(), True),
     StructField("run_id", LongType(), True),                 # superset
     StructField("path", StringType(), True),                 # superset
+    StructField("load_id", StringType(), True),              # partition column
 ])
 
 VALIDATION_RESULTS = StructType([
@@ -58,6 +61,14 @@ VALIDATION_RESULTS = StructType([
     StructField("file_hash", StringType(), True),            # superset
     StructField("check_order", IntegerType(), True),         # superset
     StructField("n_flagged", LongType(), True),              # superset
+    StructField("load_id", StringType(), True),              # partition column
+])
+
+HOUR_INDEX = StructType([
+    StructField("h", LongType(), False),                     # hours since 1970
+    StructField("c", LongType(), False),                     # measurements in that hour
+    StructField("cum", LongType(), False),                   # and up to its end
+    StructField("load_id", StringType(), True),              # partition column
 ])
 
 INGEST_SUMMARY = StructType([
@@ -75,4 +86,5 @@ TABLES = {
     "measurements": MEASUREMENTS,
     "file_imports": FILE_IMPORTS,
     "validation_results": VALIDATION_RESULTS,
+    "hour_index": HOUR_INDEX,
 }

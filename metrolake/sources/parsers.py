@@ -122,7 +122,7 @@ def parse_csv(lines: DataFrame) -> RawBatch:
                                               F.col("_n")).alias("message"))
               .unionByName(unclosed.select("path", F.lit("Error tokenizing data: end of file inside quotes").alias("message"))))
     head = head.filter(~wide)
-    files = head.select("path", F.array_distinct("_cols").alias("raw_cols"))
+    files = head.select("path", F.col("_cols").alias("raw_cols"))  # repeats show (``outcomes.transform_errors``)
     got = head.agg(F.max(F.size("_cols")), F.count(F.lit(1))).first()
     width, n_files = int(got[0] or 0), got[1]
     if width == 0:

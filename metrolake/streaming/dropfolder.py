@@ -13,10 +13,10 @@ row (``processed_files``); nothing is moved on disk.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..plans.ingest import ingest_listing
+from ..plans.outcomes import processed
 from ..plans.store import Store
 
 # The fixed schema of Spark's binaryFile source (streaming sources need it).
@@ -55,6 +55,4 @@ def run_drop_folder_once(spark: SparkSession, folder: str, store_root: str, chec
 
 def processed_files(spark: SparkSession, store_root: str) -> DataFrame:
     """Files that were loaded successfully (the archive mark), latest first."""
-    return (Store(spark, store_root).ledger().filter(F.col("status") == "success")
-            .select("path", "filename", "file_hash", "run_id", "import_timestamp")
-            .orderBy(F.desc("import_timestamp"), F.desc("run_id")))
+    return processed(Store(spark, store_root).ledger())
