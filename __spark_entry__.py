@@ -26,7 +26,7 @@ from metrolake.config import STRICT_VALIDATION, AnalysisConfig, ValidationConfig
 from metrolake.operators import analytics as A
 from metrolake.operators import transforms as TR
 from metrolake.operators import validation as V
-from metrolake.plans import ingest
+from metrolake.plans import ingest, outcomes
 from metrolake.plans.runs import build_runs
 from metrolake.session import apply_conf
 from metrolake.sources import parsers as P
@@ -169,6 +169,39 @@ def _q() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
     q["stored_measurements"] = lambda s, d: _r(stored(s, d))
 
+    # ---- outcome frames of a load (S10, S11, S13, S15, S16, S17): orders play files, runs the strict profile --
+    STAMP = F.lit(AS_OF).cast("timestamp_ntz")
+
+    def loaded(s, d):
+        """(results, file frame as the load numbers it, outcomes) of checked files; no hash."""
+        rows, files = _ev_files(s, d)
+        results = V.run_checks(rows, files, STRICT_VALIDATION, checks=("row_count", "timestamp_consistency",
+                                                                       "outlier_detection"))
+        state = outcomes.file_outcomes(rows, files, results)
+        run = F.regexp_extract("source_file", "([0-9]+)$", 1).cast("long")
+        return results, state.select(
+            F.col("source_file").alias("path"), F.concat("source_file", F.lit(".csv")).alias("file_name"),
+            F.lit(None).cast("string").alias("file_hash"), run.alias("file_id"),
+            F.when(F.col("_status") == "success", run + 1000).alias("run_id"), "n_rows", "_status", "_message")
+
+    q["load_ledger"] = lambda s, d: outcomes.ledger_rows(loaded(s, d)[1], STAMP)
+    q["load_validation_rows"] = lambda s, d: outcomes.validation_rows(*loaded(s, d), STAMP).drop("details")
+    q["load_summary"] = lambda s, d: outcomes.summary_rows(loaded(s, d)[1])
+    q["load_dry_run"] = lambda s, d: outcomes.dry_run_rows(loaded(s, d)[1])
+    q["load_processed"] = lambda s, d: outcomes.processed(outcomes.ledger_rows(loaded(s, d)[1], STAMP))
+    q["load_counts"] = lambda s, d: ingest.outcome_counts(outcomes.summary_rows(loaded(s, d)[1]))
+
+    def clashing(s, d):
+        b = P.parse_csv(feeds.csv_lines_clashing(s, d))
+        rows, files = TR.transform(b.rows.withColumnRenamed("path", "source_file"),
+                                   b.files.withColumnRenamed("path", "source_file"))
+        return outcomes.file_outcomes(rows, files, V.check_row_count(rows, files, VCFG)).select(
+            "source_file", "n_rows", F.col("_status").alias("status"), F.col("_message").alias("message"))
+
+    q["transform_errors"] = clashing
+    q["hour_index"] = lambda s, d: V.hour_index(_m(s, d))
+    q["hour_index_bulk"] = lambda s, d: V.hour_index(_ml(s, d))
+
     # ---- per-file quality checks (V1-V11); a run plays one file ---------
     q["v_required_columns"] = lambda s, d: _checks(V.check_required_columns(*_ev_files(s, d), VCFG))
     q["v_row_count"] = lambda s, d: _checks(V.check_row_count(*_ev_files(s, d), VCFG))

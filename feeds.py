@@ -148,3 +148,27 @@ def csv_lines_short(spark: SparkSession, sf_dir: str) -> DataFrame:
     heads = data.groupBy("path").agg(F.first("head").alias("line")).select(
         "path", F.lit(0).cast("long").alias("row_block"), F.lit(-1).cast("long").alias("row_idx"), "line")
     return heads.unionByName(data.drop("head"))
+
+
+# Headers by run id; the first two name a column twice once they are cleaned, the third one a column
+# that is not mapped.
+CLASHING_HEADERS = ["Time,Location, location,Reading,Nominal", "Time,Location,Reading,READING,nominal,Nominal",
+                    "Time,Location,Reading,Nominal,Note, note", "Time,Location,Reading,Nominal"]
+
+
+def csv_lines_clashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """path, row_block, row_idx, line - files some of whose headers name a column twice, by run id."""
+    run = F.dayofmonth("ts").cast("long") * 10 + F.col("user_id") % 10
+    cell = {"time": F.date_format("ts", TS_TEXT_FULL), "location": F.concat(F.lit("pos_"), "event_type"),
+            "reading": F.col("value").cast("string"), "nominal": F.lit("50.0"), "note": F.lit("ok")}
+    head, line = F.lit(None).cast("string"), F.lit(None).cast("string")
+    for k, names in enumerate(CLASHING_HEADERS):
+        mine = run % len(CLASHING_HEADERS) == k
+        head = F.when(mine, F.lit(names)).otherwise(head)
+        line = F.when(mine, F.concat_ws(",", *[cell[c.strip().lower()] for c in names.split(",")])).otherwise(line)
+    data = read_table(spark, sf_dir, "events").select(
+        _run_file(".csv").alias("path"), F.lit(0).cast("long").alias("row_block"), F.col("event_id").alias("row_idx"),
+        line.alias("line"), head.alias("head"))
+    heads = data.groupBy("path").agg(F.first("head").alias("line")).select(
+        "path", F.lit(0).cast("long").alias("row_block"), F.lit(-1).cast("long").alias("row_idx"), "line")
+    return heads.unionByName(data.drop("head"))

@@ -433,4 +433,52 @@ def oracle_sql() -> dict[str, str]:
         "'UNKNOWN' AS equipment_id FROM t")
     q["log_metadata_given"] = _with(M, txt) + (
         "SELECT source_file, \"timestamp\", 'TOOL_LAB' AS equipment_id, operator FROM t")
+    # ---- outcome frames of a load ------------------------------------------------
+    some = ["row_count", "timestamp_consistency", "outlier_detection"]
+    fate = """
+      , s AS (SELECT source_file, count(*) FILTER (WHERE status = 'fail') AS n_fail FROM suite GROUP BY source_file),
+        z AS (SELECT f.source_file, count(*) AS n_rows,
+                     count(*) FILTER (WHERE actual_value IS NULL OR expected_value IS NULL OR deviation IS NULL) AS n_null
+              FROM fev f GROUP BY f.source_file),
+        x AS (SELECT z.source_file, CAST(regexp_extract(z.source_file, '([0-9]+)$', 1) AS BIGINT) AS run, n_rows,
+                     CASE WHEN n_fail > 0 OR n_null > 0 THEN 'failed' ELSE 'success' END AS status,
+                     CASE WHEN n_fail > 0 THEN n_fail || ' validation failure(s) prevented load.'
+                          WHEN n_null > 0 THEN 'NOT NULL constraint failed: ' || n_null
+                               || ' row(s) with a null measurement value' END AS message
+              FROM z JOIN s USING (source_file)),
+        y AS (SELECT *, CASE WHEN status = 'success' THEN run + 1000 END AS run_id,
+                     CASE WHEN status = 'success' THEN n_rows ELSE 0 END AS loaded FROM x)"""
+    stamp = "TIMESTAMP '2024-01-31 00:00:00'"
+    load = lambda sql: _suite([M, FEV], "fev", STRICT_VALIDATION, False, some, outer=fate + sql)
+    q["load_ledger"] = load(f"""
+      SELECT run AS file_id, source_file || '.csv' AS filename, CAST(NULL AS VARCHAR) AS file_hash,
+             {stamp} AS import_timestamp, status, loaded AS rows_imported, message AS error_message, run_id,
+             source_file AS path FROM y""")
+    q["load_validation_rows"] = load(f"""
+      SELECT run * 16 + check_order AS validation_id, run_id, check_type, suite.status, {stamp} AS created_at,
+             source_file || '.csv' AS source_file, CAST(NULL AS VARCHAR) AS file_hash, check_order, n_flagged
+      FROM suite JOIN y USING (source_file)""")
+    q["load_summary"] = load("""
+      SELECT source_file || '.csv' AS file, source_file AS path, status, loaded AS rows, run_id, message,
+             status = 'success' AS accepted FROM y""")
+    q["load_dry_run"] = load("""
+      SELECT source_file || '.csv' AS file, source_file AS path, 'dry_run' AS status, n_rows AS rows,
+             CAST(NULL AS BIGINT) AS run_id, message, status = 'success' AS accepted FROM y""")
+    q["load_processed"] = load(f"""
+      SELECT source_file AS path, source_file || '.csv' AS filename, CAST(NULL AS VARCHAR) AS file_hash, run_id,
+             {stamp} AS import_timestamp FROM y WHERE status = 'success'""")
+    q["load_counts"] = load("SELECT status, count(*) AS files, sum(loaded)::BIGINT AS rows FROM y GROUP BY status")
+    q["transform_errors"] = _with(M) + """
+      , f AS (SELECT run_id, count(*) AS n, run_id % 4 AS k FROM m GROUP BY run_id)
+      SELECT 'run_' || CAST(run_id AS VARCHAR) || '.csv' AS source_file, CASE WHEN k IN (0, 1) THEN 0 ELSE n END AS n_rows,
+             CASE WHEN k IN (0, 1) THEN 'transform_error' WHEN n < 5 THEN 'failed' ELSE 'success' END AS status,
+             CASE k WHEN 0 THEN 'Columns that occur more than once: location'
+                    WHEN 1 THEN 'Columns that occur more than once: nominal, reading'
+                    ELSE CASE WHEN n < 5 THEN '1 validation failure(s) prevented load.' END END AS message
+      FROM f"""
+    for key, cte, view in (("hour_index", M, "m"), ("hour_index_bulk", ML, "ml")):
+        q[key] = _with(cte) + f"""
+          , h AS (SELECT CAST(floor(epoch_us("timestamp") / 3600000000) AS BIGINT) AS h, count(*) AS c FROM {view}
+                  WHERE "timestamp" IS NOT NULL GROUP BY 1)
+          SELECT h, c, CAST(sum(c) OVER (ORDER BY h) AS BIGINT) AS cum FROM h"""
     return q
