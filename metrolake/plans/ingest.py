@@ -36,7 +36,7 @@ from ..operators.ordered import ordered_index
 from ..operators.transforms import transform
 from ..operators.validation import run_checks
 from ..session import ensure_checkpoint_dir
-from ..sources.files import MAX_BYTES, describe_listing, file_hashes, list_files
+from ..sources.files import MAX_BYTES, WHOLE_FORMATS, describe_listing, file_hashes, list_files
 from ..sources.reader import read_raw
 from .outcomes import dry_run_rows, file_outcomes, ledger_rows, summary_rows, validation_rows
 from .runs import build_runs
@@ -120,12 +120,14 @@ def _load(store: Store, listing: DataFrame, cfg: ValidationConfig, force: bool,
           fill_value: float | None, equipment_id: str | None, operator: str | None, as_of: str | None) -> DataFrame:
     """One attempt, on one version of the store."""
     spark, now = store.spark, _now_lit(as_of)
-    lst = describe_listing(listing).withColumn(
-        "format", F.when(F.col("length") < MAX_BYTES, F.col("format"))).persist()
+    lst = describe_listing(listing).persist()
 
     # ---- S6/S12: hashes and the already-imported skip ------------------------
-    supported = [r["path"] for r in lst.filter(F.col("format").isNotNull()).select("path").toLocalIterator()]
-    hashes = file_hashes(spark, supported)
+    # CSV and log files are read in splits, so they may have any size; a document must fit one row.
+    too_large = F.col("format").isin(list(WHOLE_FORMATS)) & (F.col("length") >= MAX_BYTES)
+    supported = lst.filter(F.col("format").isNotNull() & ~too_large)
+    hashes = file_hashes(spark, [r["path"] for r in supported.filter(F.col("length") < MAX_BYTES).select("path").toLocalIterator()],
+                         supported.filter(F.col("length") >= MAX_BYTES))
     files = lst.join(hashes, "path", "left")
     done = store.ledger().filter(F.col("status") == "success").select("file_hash").distinct()
     files = split_known(files, done, force).persist()
@@ -134,7 +136,7 @@ def _load(store: Store, listing: DataFrame, cfg: ValidationConfig, force: bool,
     todo = files.filter("_action = 'process'").drop("_first", "_action")
 
     groups: dict = {}
-    for r in todo.select("path", "format").toLocalIterator():
+    for r in todo.select("path", F.when(~too_large, F.col("format")).alias("format")).toLocalIterator():
         groups.setdefault(r["format"], []).append(r["path"])
     raw = read_raw(spark, todo, groups)
 
@@ -150,13 +152,13 @@ def _load(store: Store, listing: DataFrame, cfg: ValidationConfig, force: bool,
     results = run_checks(rows, tfiles, cfg, stored=stored, stored_index=store.hour_index()).checkpoint()
     fstate = file_outcomes(rows, tfiles, results, force)
 
-    meta = todo.select("path", "file_name", "file_hash", "modificationTime", "length")
-    summary_new = (meta.drop("length").join(fstate, F.col("path") == F.col("source_file"), "inner").drop("source_file"))
+    meta = todo.select("path", "file_name", "file_hash", "modificationTime", too_large.alias("too_large"), "length")
+    summary_new = (meta.drop("length", "too_large").join(fstate, F.col("path") == F.col("source_file"), "inner").drop("source_file"))
     errors = (raw.errors.join(meta, "path")
                  .select("path", "file_name", "file_hash", "modificationTime", F.lit(0).cast("long").alias("n_rows"),
                          F.lit("extract_error").alias("_status"),
-                         F.when(F.col("length") >= MAX_BYTES, F.format_string(
-                             "File of %d bytes is too large to hash (limit 2 GB)", F.col("length")))
+                         F.when(F.col("too_large"), F.format_string(
+                             "File of %d bytes is too large for a document (limit 2 GB)", F.col("length")))
                           .otherwise(F.col("message")).alias("_message")))
     # A supported file that yielded neither columns nor a reader error (an
     # empty file) has nothing to parse.

@@ -8,16 +8,24 @@ metadata columns does not read file contents; hashing reads each file once
 
 from __future__ import annotations
 
+import hashlib
 import re
+from collections.abc import Iterator
 
+import pandas as pd
+from pyarrow import fs as arrow_fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..config import SUPPORTED_SUFFIXES
 
 
-#: The ``binaryFile`` source, which hashes files, reads none of this size or more.
+#: The ``binaryFile`` source and the whole-document readers read no file of this size or more.
 MAX_BYTES = (1 << 31) - 1
+#: Formats that are read a document at a time, not in splits.
+WHOLE_FORMATS = ("json", "excel")
+#: Larger files are hashed in chunks of this size.
+CHUNK = 8 << 20
 
 
 def literal_path(path: str) -> str:
@@ -80,12 +88,38 @@ def content_hash(content: Column) -> Column:
     return F.sha2(content, 256)
 
 
-def file_hashes(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """``path, file_hash`` (SHA-256 hex of the file bytes).
+def _open(path: str):
+    """A byte stream of a file by URI or plain path."""
+    if "://" not in path and not path.startswith("file:"):
+        return arrow_fs.LocalFileSystem().open_input_stream(path)
+    if path.startswith("file:"):
+        return arrow_fs.LocalFileSystem().open_input_stream(re.sub("^file:/*", "/", path))
+    where, inner = arrow_fs.FileSystem.from_uri(path)
+    return where.open_input_stream(inner)
 
-    One row per file; ``binaryFile`` caps a single file at 2 GB.
+
+def streamed_hashes(paths: DataFrame, chunk: int = CHUNK) -> DataFrame:
+    """``path, file_hash`` of files of any size: a task reads its file's bytes in order, one chunk in memory."""
+    def run(parts: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for p in parts:
+            for path in p["path"]:
+                h = hashlib.sha256()
+                with _open(path) as f:
+                    while block := f.read(chunk):
+                        h.update(block)
+                yield pd.DataFrame({"path": [path], "file_hash": [h.hexdigest()]})
+    # A file a task, as far as the session's partitions go.
+    return paths.select("path").repartition("path").mapInPandas(run, "path string, file_hash string")
+
+
+def file_hashes(spark: SparkSession, paths: list[str], large: DataFrame | None = None) -> DataFrame:
+    """``path, file_hash`` (SHA-256 hex of the file bytes), one row per file.
+
+    ``paths`` go through the ``binaryFile`` source, which takes files below
+    ``MAX_BYTES``; ``large(path)`` are streamed in chunks.
     """
-    if not paths:
-        return spark.createDataFrame([], "path string, file_hash string")
-    return (spark.read.format("binaryFile").load([literal_path(p) for p in paths])
-            .select("path", content_hash(F.col("content")).alias("file_hash")))
+    out = spark.createDataFrame([], "path string, file_hash string")
+    if paths:
+        out = (spark.read.format("binaryFile").load([literal_path(p) for p in paths])
+               .select("path", content_hash(F.col("content")).alias("file_hash")))
+    return out if large is None else out.unionByName(streamed_hashes(large))

@@ -1,6 +1,7 @@
 """Versioned commits of the store, the hour index, and files that can't be transformed."""
 
 import datetime as dt
+import hashlib
 import random
 
 import pytest
@@ -10,6 +11,7 @@ from metrolake.operators.validation import hour_index, store_overlap
 from metrolake.plans import ingest
 from metrolake.plans.ingest import ingest_folder
 from metrolake.plans.store import Conflict, Store
+from metrolake.sources.files import streamed_hashes
 
 from .conftest import write_csv
 
@@ -126,3 +128,21 @@ def test_transform_error_leaves_its_neighbours_alone(spark, tmp_path):
     counts = {r.status: r.files for r in ingest.outcome_counts(ingest_folder(spark, str(src), root, as_of=AS_OF)).collect()}
     assert counts == {"transform_error": 1, "extract_error": 1, "skipped_duplicate": 1}
     assert Store(spark, root).committed_runs().count() == 1
+
+
+def test_large_files_are_hashed_in_chunks_and_documents_refused(spark, tmp_path, monkeypatch):
+    src, root = tmp_path / "in", str(tmp_path / "store")
+    src.mkdir()
+    write_csv(src / "large.csv", devs=list(range(1, 400)))
+    write_csv(src / "small file.csv", devs=[1, 2, 3, 4, 5, 6], day="2024-03-02")
+    (src / "large.json").write_text("[" + ",".join(['{"position": "P"}'] * 400) + "]")
+    monkeypatch.setattr(ingest, "MAX_BYTES", 2000)
+    got = {r.file: (r.status, r.rows) for r in ingest_folder(spark, str(src), root, as_of=AS_OF, force=True).collect()}
+    assert got == {"large.csv": ("success", 399), "small file.csv": ("success", 6), "large.json": ("extract_error", 0)}
+    ledger = {r.filename: (r.file_hash, r.error_message) for r in Store(spark, root).ledger().collect()}
+    for name in ("large.csv", "small file.csv"):
+        assert ledger[name][0] == hashlib.sha256((src / name).read_bytes()).hexdigest()
+    assert "too large for a document" in ledger["large.json"][1]
+    paths = spark.createDataFrame([(f"file:{src}/large.csv",), (f"{src}/small file.csv",)], "path string")
+    assert {r.path: r.file_hash for r in streamed_hashes(paths, chunk=7).collect()} == {
+        f"file:{src}/large.csv": ledger["large.csv"][0], f"{src}/small file.csv": ledger["small file.csv"][0]}
