@@ -169,6 +169,16 @@ def _q() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
     q["stored_measurements"] = lambda s, d: _r(stored(s, d))
 
+    # ---- bundles (A9, A12): one scan, split into sections ------------------
+    q["summary_groups"] = lambda s, d: _r(A.summary_groups(_m(s, d)))
+    q["summary_report"] = lambda s, d: _r(A.report_frame(A.summary_report(_m(s, d), CFG)))
+
+    def trend_sections(s, d):
+        r = A.trend_report(_m(s, d), _runs(s, d), AS_OF, CFG)
+        return A.report_frame({k: r[k] for k in (*A.SECTIONS, "alerts")})
+
+    q["trend_report"] = lambda s, d: _r(trend_sections(s, d))
+
     # ---- outcome frames of a load (S10, S11, S13, S15, S16, S17): orders play files, runs the strict profile --
     STAMP = F.lit(AS_OF).cast("timestamp_ntz")
 

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from ..config import AnalysisConfig
 from ..functions.buckets import bucket, bucket_from, multiple
+from ..session import ensure_checkpoint_dir
 from .ordered import ordered_index, segments
 from .quantiles import group_quantiles
 
@@ -360,16 +361,59 @@ def deviation_over_time(m: DataFrame) -> DataFrame:
 # bundles
 # ---------------------------------------------------------------------------
 
+#: Sections of the summary, the column that each is grouped by, and what ``grouping_id`` says of it.
+SECTIONS = {"worst_positions": ("position", 0b0111), "equipment_summary": ("equipment_id", 0b1011),
+            "operator_summary": ("operator", 0b1101), "daily_trend": ("day", 0b1110)}
+
+
+def summary_groups(m: DataFrame) -> DataFrame:
+    """A9 in one scan: grouping sets over position, equipment, operator and day.
+
+    Columns: section, the four keys (null but for the section's own), n (rows), n_measurements (deviations),
+    mean_dev, std_dev, mean_abs_dev. Each task aggregates its rows before anything is shuffled; the result has a row
+    for each distinct key.
+    """
+    keys = [k for k, _ in SECTIONS.values()]
+    d = m.select("position", "equipment_id", "operator", bucket("timestamp", "D").alias("day"), "deviation")
+    g = d.groupingSets([[F.col(k)] for k in keys], *[F.col(k) for k in keys]).agg(
+        F.grouping_id().alias("_g"), F.count(F.lit(1)).alias("n"), F.count("deviation").alias("n_measurements"),
+        F.avg("deviation").alias("mean_dev"), F.stddev_samp("deviation").alias("std_dev"),
+        F.avg(F.abs("deviation")).alias("mean_abs_dev"))
+    section = F.coalesce(*[F.when(F.col("_g") == bits, F.lit(name)) for name, (_, bits) in SECTIONS.items()])
+    # The trend drops null times and days without a deviation, the operators' section null operators.
+    keep = (F.when(section == "daily_trend", F.col("day").isNotNull() & F.col("mean_dev").isNotNull())
+             .when(section == "operator_summary", F.col("operator").isNotNull()).otherwise(True))
+    return g.filter(keep).select(section.alias("section"), *keys, "n", "n_measurements", "mean_dev", "std_dev", "mean_abs_dev")
+
+
 def summary_report(m: DataFrame, cfg: AnalysisConfig = AnalysisConfig()) -> dict[str, DataFrame]:
-    """The four summary sections over one shared scan."""
+    """The four summary sections, split from one scan (written once: a row for each distinct key)."""
+    ensure_checkpoint_dir(m.sparkSession)
+    g = summary_groups(m).checkpoint()
+    part = lambda name: g.filter(F.col("section") == name)
+    stats = ["mean_dev", "std_dev", "n_measurements"]
     return {
-        "worst_positions": worst_positions(m, cfg.worst_top_n),
-        "equipment_summary": equipment_comparison(m),
-        "operator_summary": operator_performance(m),
-        "daily_trend": time_trends(m, "D"),
+        "worst_positions": part("worst_positions").select("position", "mean_abs_dev", "n")
+        .orderBy(F.desc("mean_abs_dev"), "position").limit(cfg.worst_top_n),
+        "equipment_summary": part("equipment_summary").select("equipment_id", *stats)
+        .orderBy(F.abs("mean_dev").desc(), "equipment_id"),
+        "operator_summary": part("operator_summary").select("operator", *stats)
+        .orderBy(F.desc_nulls_last("std_dev"), "operator"),
+        "daily_trend": part("daily_trend").select(F.col("day").alias("timestamp"), *stats).orderBy("timestamp"),
     }
 
 
+def report_frame(sections: dict[str, DataFrame]) -> DataFrame:
+    """Sections as one frame: section, key (text), and the statistics that a section has."""
+    out = None
+    for name, df in sections.items():
+        stats = [F.col(c) if c in df.columns else F.lit(None).cast(t).alias(c) for c, t in (
+            ("mean_dev", "double"), ("std_dev", "double"), ("mean_abs_dev", "double"), ("n_measurements", "long"), ("n", "long"))]
+        part = df.select(F.lit(name).alias("section"), F.col(df.columns[0]).cast("string").alias("key"), *stats)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
 def trend_report(m: DataFrame, runs: DataFrame, as_of, cfg: AnalysisConfig = AnalysisConfig(),
                  equipment: str | None = None, position: str | None = None,
                  lookback_days: int | None = None, row_cap: int = 20,
@@ -381,8 +425,8 @@ def trend_report(m: DataFrame, runs: DataFrame, as_of, cfg: AnalysisConfig = Ana
     """
     if lookback_days is not None:
         cfg = cfg.with_(lookback_days=lookback_days)
-    out = {k: v.limit(daily_cap if k == "daily_trend" else row_cap)
-           for k, v in summary_report(m, cfg).items()}
+    whole = summary_report(m, cfg)  # one scan for five sections
+    out = {k: v.limit(daily_cap if k == "daily_trend" else row_cap) for k, v in whole.items()}
     if equipment is not None:
         out["stability"] = stability(m, as_of, cfg, equipment=[equipment])
         out["stability_series"] = control_chart_points(
@@ -392,5 +436,6 @@ def trend_report(m: DataFrame, runs: DataFrame, as_of, cfg: AnalysisConfig = Ana
         out["run_variation_series"] = run_variation_series(
             m, as_of, cfg.lookback_days, positions=[position]).limit(row_cap)
     out["recent_run_drift"] = recent_run_drift(m, runs, cfg.recent_runs)
-    out["alerts"] = drift_alerts(m, cfg.alert_threshold).limit(row_cap)
+    out["alerts"] = (whole["equipment_summary"].filter(F.abs("mean_dev") > cfg.alert_threshold)
+                     .orderBy(F.abs("mean_dev").desc(), "equipment_id").limit(row_cap))
     return out

@@ -481,4 +481,40 @@ def oracle_sql() -> dict[str, str]:
           , h AS (SELECT CAST(floor(epoch_us("timestamp") / 3600000000) AS BIGINT) AS h, count(*) AS c FROM {view}
                   WHERE "timestamp" IS NOT NULL GROUP BY 1)
           SELECT h, c, CAST(sum(c) OVER (ORDER BY h) AS BIGINT) AS cum FROM h"""
+    # ---- bundles ------------------------------------------------------------------
+    def stats(key: str, view: str, where: str = "TRUE") -> str:
+        return (f"SELECT {key} AS k, count(*) AS n, count(deviation) AS n_measurements, avg(deviation) AS mean_dev, "
+                f"stddev_samp(deviation) AS std_dev, avg(abs(deviation)) AS mean_abs_dev FROM {view} WHERE {where} GROUP BY 1")
+
+    def sections(view: str) -> str:
+        return f"""
+          , p AS ({stats("position", view)}), e AS ({stats("equipment_id", view)}),
+            o AS ({stats("operator", view, "operator IS NOT NULL")}),
+            t AS (SELECT * FROM ({stats("date_trunc('day', \"timestamp\")", view, '"timestamp" IS NOT NULL')})
+                  WHERE mean_dev IS NOT NULL)"""
+
+    def block(name: str, source: str, key: str = "k", worst: bool = False) -> str:
+        own = ("CAST(NULL AS DOUBLE) AS mean_dev, CAST(NULL AS DOUBLE) AS std_dev, round(mean_abs_dev, 6) + 0.0 AS "
+               "mean_abs_dev, CAST(NULL AS BIGINT) AS n_measurements, n" if worst else
+               "round(mean_dev, 6) + 0.0 AS mean_dev, round(std_dev, 6) + 0.0 AS std_dev, CAST(NULL AS DOUBLE) AS "
+               "mean_abs_dev, n_measurements, CAST(NULL AS BIGINT) AS n")
+        return f"SELECT '{name}' AS section, {key} AS key, {own} FROM ({source})"
+    day = "strftime(k, '%Y-%m-%d %H:%M:%S')"
+    worst = block("worst_positions", "SELECT * FROM p ORDER BY mean_abs_dev DESC, k LIMIT 10", worst=True)
+    q["summary_report"] = _with(M) + sections("m") + " UNION ALL ".join([
+        worst, block("equipment_summary", "FROM e"), block("operator_summary", "FROM o"), block("daily_trend", "FROM t", day)])
+    q["trend_report"] = _with(M) + sections("m") + " UNION ALL ".join([
+        worst, block("equipment_summary", "SELECT * FROM e ORDER BY abs(mean_dev) DESC, k LIMIT 20"),
+        block("operator_summary", "SELECT * FROM o ORDER BY std_dev DESC NULLS LAST, k LIMIT 20"),
+        block("daily_trend", "SELECT * FROM t ORDER BY k LIMIT 30", day),
+        block("alerts", "SELECT * FROM e WHERE abs(mean_dev) > 0.5 ORDER BY abs(mean_dev) DESC, k LIMIT 20")])
+    rest = ("n, n_measurements, round(mean_dev, 6) + 0.0 AS mean_dev, round(std_dev, 6) + 0.0 AS std_dev, "
+            "round(mean_abs_dev, 6) + 0.0 AS mean_abs_dev")
+    none = {c: f"CAST(NULL AS {'TIMESTAMP' if c == 'day' else 'VARCHAR'}) AS {c}" for c in
+            ("position", "equipment_id", "operator", "day")}
+    q["summary_groups"] = _with(M) + sections("m") + " UNION ALL ".join(
+        "SELECT '" + name + "' AS section, " + ", ".join(f"k AS {c}" if c == own else x for c, x in none.items())
+        + f", {rest} FROM {source}" for name, own, source in (
+            ("worst_positions", "position", "p"), ("equipment_summary", "equipment_id", "e"),
+            ("operator_summary", "operator", "o"), ("daily_trend", "day", "t")))
     return q
