@@ -35,3 +35,18 @@ def test_summary_is_one_scan(spark, tmp_path):
     assert plan.count("FileScan") == 1 and plan.count("Expand") == 1
     for df in A.summary_report(m).values():
         assert "FileScan" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_quantiles_by_refinement_equal_percentile_to_the_last_bit(spark):
+    from metrolake.operators.quantiles import group_quantiles
+    rng, rows = random.Random(11), []
+    for k in range(4000):
+        rows.append(("hot", rng.choice([rng.gauss(0, 1e6), rng.gauss(0, 1e-6), 0.5, -0.0, 0.0])))
+    rows += [("wide", rng.choice([1.7e308, -1.7e308, 5e-324, 0.0, rng.random()])) for _ in range(51)]
+    rows += [("one", 3.25), ("same", 7.0), ("same", 7.0), ("two", 1.0), ("two", 2.0), (None, 4.0), (None, 9.0),
+             ("none", None)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(5)
+    probs, names = [0.0, 0.1, 0.25, 0.5, 0.75, 0.99, 1.0], list("abcdefg")
+    a, b = ({r.g: tuple(r)[1:] for r in group_quantiles(df, ["g"], "v", probs, names, strategy=s).collect()}
+            for s in ("map", "ranked"))
+    assert a == b and set(a) == {"hot", "wide", "one", "same", "two", None}
