@@ -110,26 +110,24 @@ class Pieces:
 def group_sizes(ea: np.ndarray, eb: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Tokens of A and of B in each group; ``ea``, ``eb``: their ends, ascending, with one last end."""
     ea, eb = ea.astype("<i8"), eb.astype("<i8")
-    a, b, la, lb = ea.tobytes(), eb.tobytes(), ea.tolist(), eb.tolist()
+    # Behind the last end no comparison holds.
+    a, b, la, lb = ea.tobytes() + b"\xff" * 8, eb.tobytes() + b"\xfe" * 8, ea.tolist(), eb.tolist()
     n, m, i, j = len(la), len(lb), 0, 0
     stretch, pa_, qb = [], [], []  # one-to-one groups before each irregular one, and its tokens
     while i < n and j < m:
-        first, room = i, min(n - i, m - j)
-        step = 1
-        x, y, end = 8 * i, 8 * j, 8 * (i + room)
-        while x < end:  # probe: 1, 2, 4 ... ends at the present shift
-            w = min(8 * step, end - x)
-            if a[x:x + w] != b[y:y + w]:
-                break
-            x, y, step = x + w, y + w, 2 * step
-        if x < end:  # the stretch ends within the last step
-            while step > 1:
-                step //= 2
-                w = min(8 * step, end - x)
-                if a[x:x + w] == b[y:y + w]:
-                    x, y = x + w, y + w
+        x, y, w = 8 * i, 8 * j, 8
+        while a[x:x + w] == b[y:y + w]:  # probe: 1, 2, 4 ... ends at the present shift
+            x += w
+            y += w
+            w += w
+        w >>= 1
+        while w >= 8:  # the stretch ends within the last step
+            if a[x:x + w] == b[y:y + w]:
+                x += w
+                y += w
+            w >>= 1
+        stretch.append(x // 8 - i)
         i, j = x // 8, y // 8
-        stretch.append(i - first)
         if i == n or j == m:
             break
         u, v = i, j
@@ -201,19 +199,22 @@ class Block:
         ids[at_a], ids[at_b] = self.a, self.b
         if n:
             sign[at_a[na - 1]], sign[at_b[nb - 1]] = ord("|"), ord(";")
-        digits = np.ones(n, np.int64)
-        for k in range(1, 8):
-            digits += ids >= 10 ** k
-        end = np.cumsum(digits + 1)
-        out = np.empty(int(end[-1]) if n else 0, np.uint8)
-        out[end - 1] = sign
-        place, rest, left = end - 2, ids, np.arange(n)
-        while len(left):
-            out[place[left]] = 48 + rest % 10
-            place[left] -= 1
-            rest = rest // 10
-            go = rest > 0
-            left, rest = left[go], rest[go]
+        # A row an element: its digits, the sign behind them, and what is cut off.
+        most = int(ids.max(initial=0)) + 1
+        width = len(str(most))
+        table_ = np.zeros((most, width + 1), np.uint8)
+        digits = np.ones(most, np.int64)
+        for k in range(1, width):
+            digits += np.arange(most) >= 10 ** k
+        rest = np.arange(most)
+        for k in range(width):
+            go = np.flatnonzero(digits > k)
+            table_[go, digits[go] - 1 - k] = 48 + rest[go] % 10
+            rest //= 10
+        cells, size = table_[ids], digits[ids]
+        cells[np.arange(n), size] = sign
+        out = cells[np.arange(width + 1) <= size[:, None]]
+        end = np.cumsum(size + 1)
         # A text ends without the last semicolon.
         stop = np.concatenate([[0], end])[np.cumsum(self.n_a + self.n_b)]
         start, raw = np.concatenate([[0], stop[:-1]]), memoryview(out)

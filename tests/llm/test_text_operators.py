@@ -229,3 +229,30 @@ def test_bpe_query_digests(spark, reference_encoding):
         ids = reference_encoding.encode_ordinary(text[r.doc_id])
         assert (r.n_tokens, r.ids_sha256, r.decoded_sha256) == (
             len(ids), brute.sha(",".join(map(str, ids)).encode()), brute.sha(text[r.doc_id].encode()))
+
+
+# ---- decontamination over many blocks ------------------------------------------
+
+def test_decontamination_by_segments_groups_and_id_types(spark, monkeypatch):
+    # Items of many segments, many blocks, several groups of them, string ids with ties of the text.
+    monkeypatch.setattr(decontaminate, "SEGMENT", 7)
+    monkeypatch.setattr(decontaminate, "GROUP", 2)
+    docs, items = leaks()
+    named = [(None if i is None else f"item-{i}", t) for i, t in items]
+    it = spark.createDataFrame(named, "item_id string, text string")
+    out = decontaminate.annotate(frame(spark, docs), it, block_bytes=400)
+    got = [(r.doc_id, r.n_words, {p for s in r.spans for p in range(s.start, s.end)}, set(r["items"]))
+           for r in out.collect()]
+    assert sorted(got, key=str) == sorted(brute.contamination(docs, named), key=str)
+    assert any(x[3] for x in got)
+
+
+def test_automaton_is_small_and_bounded():
+    rng = random.Random(4)
+    texts = [(k, " ".join(f"w{rng.randrange(3000)}" for _ in range(200)).encode()) for k in range(500)]
+    packed = decontaminate.build_automaton(texts, 10)
+    size = sum(len(t) + 1 for _, t in texts)
+    auto = decontaminate.Automaton(packed, list(range(500)))
+    assert len(auto.length) <= size and len(packed) < 14 * size
+    n, spans, items = auto.match(texts[7][1] + b" unseen " + texts[3][1][:60])
+    assert spans[0] == [0, 200] and 7 in items and n > 200
