@@ -256,6 +256,13 @@ def _q() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "source_file", "timestamp", "position", "actual_value", "deviation",
         F.element_at("extras", F.lit("note")).alias("note")))
 
+    def blank_rows(s, d):
+        b = P.parse_csv(feeds.csv_lines_with_empty_rows(s, d))
+        return TR.transform(b.rows.withColumnRenamed("path", "source_file"),
+                            b.files.withColumnRenamed("path", "source_file"), drop_blank=True)[0]
+
+    q["csv_blank_rows"] = lambda s, d: _r(blank_rows(s, d).select("source_file", "row_idx", "position", "actual_value"))
+
     def short_files(s, d):
         b = P.parse_csv(feeds.csv_lines_short(s, d))
         return TR.transform(b.rows.withColumnRenamed("path", "source_file"),

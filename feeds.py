@@ -172,3 +172,10 @@ def csv_lines_clashing(spark: SparkSession, sf_dir: str) -> DataFrame:
     heads = data.groupBy("path").agg(F.first("head").alias("line")).select(
         "path", F.lit(0).cast("long").alias("row_block"), F.lit(-1).cast("long").alias("row_idx"), "line")
     return heads.unionByName(data.drop("head"))
+
+
+def csv_lines_with_empty_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``csv_lines``, but one event in eleven writes a row of commas alone."""
+    empty = F.lit("," * CSV_HEADER.count(","))
+    return csv_lines(spark, sf_dir).withColumn(
+        "line", F.when((F.col("row_idx") >= 0) & (F.col("row_idx") % 11 == 0), empty).otherwise(F.col("line")))

@@ -396,6 +396,10 @@ def oracle_sql() -> dict[str, str]:
                   WHEN 3 THEN 'tube 5" ' || measurement_id WHEN 4 THEN 'no ' || measurement_id WHEN 5 THEN NULL
                   ELSE 'note ' || measurement_id END AS note
       FROM m"""
+    q["csv_blank_rows"] = _with(M) + """
+      SELECT 'run_' || CAST(run_id AS VARCHAR) || '.csv' AS source_file, measurement_id AS row_idx, position,
+             round(actual_value, 6) + 0.0 AS actual_value
+      FROM m WHERE measurement_id % 11 <> 0"""
     q["csv_required_columns"] = _with(M) + """
       , f AS (SELECT DISTINCT run_id, CASE run_id % 5 WHEN 0 THEN [] WHEN 1 THEN ['position']
                      WHEN 2 THEN ['actual_value', 'deviation', 'expected_value'] WHEN 3 THEN ['deviation', 'expected_value']
