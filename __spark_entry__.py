@@ -180,7 +180,7 @@ def _q() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     q["trend_report"] = lambda s, d: _r(trend_sections(s, d))
 
     # ---- outcome frames of a load (S10, S11, S13, S15, S16, S17): orders play files, runs the strict profile --
-    STAMP = F.lit(AS_OF).cast("timestamp_ntz")
+    stamp = lambda: F.lit(AS_OF).cast("timestamp_ntz")  # noqa: E731 - needs a session
 
     def loaded(s, d):
         """(results, file frame as the load numbers it, outcomes) of checked files; no hash."""
@@ -194,11 +194,11 @@ def _q() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             F.lit(None).cast("string").alias("file_hash"), run.alias("file_id"),
             F.when(F.col("_status") == "success", run + 1000).alias("run_id"), "n_rows", "_status", "_message")
 
-    q["load_ledger"] = lambda s, d: outcomes.ledger_rows(loaded(s, d)[1], STAMP)
-    q["load_validation_rows"] = lambda s, d: outcomes.validation_rows(*loaded(s, d), STAMP).drop("details")
+    q["load_ledger"] = lambda s, d: outcomes.ledger_rows(loaded(s, d)[1], stamp())
+    q["load_validation_rows"] = lambda s, d: outcomes.validation_rows(*loaded(s, d), stamp()).drop("details")
     q["load_summary"] = lambda s, d: outcomes.summary_rows(loaded(s, d)[1])
     q["load_dry_run"] = lambda s, d: outcomes.dry_run_rows(loaded(s, d)[1])
-    q["load_processed"] = lambda s, d: outcomes.processed(outcomes.ledger_rows(loaded(s, d)[1], STAMP))
+    q["load_processed"] = lambda s, d: outcomes.processed(outcomes.ledger_rows(loaded(s, d)[1], stamp()))
     q["load_counts"] = lambda s, d: ingest.outcome_counts(outcomes.summary_rows(loaded(s, d)[1]))
 
     def clashing(s, d):
