@@ -137,6 +137,29 @@ def calibrate(z: np.ndarray, y: np.ndarray, reject: float) -> tuple[float, float
     return t, float(np.quantile(right, reject)) if len(right) else 0.0
 
 
+def _least_hashed(own: DataFrame, k: int) -> DataFrame:
+    """(si): ids of the ``k`` rows of least id hash in each language.
+
+    A language's share of hashes that holds some 4 k of its rows is known from its row count, so what is ranked is
+    bounded, however many rows or tasks a language has; should the share hold fewer than k, a larger one is taken.
+    """
+    sizes = cut(own.groupBy("y").agg(F.count(F.lit(1)).alias("all")))
+    hashed = own.select("i", "y", F.xxhash64("i").alias("h"))
+    place = F.col("h").cast("double") / F.lit(2.0 ** 64) + 0.5
+    w = Window.partitionBy("y").orderBy("h", "i")
+    for wide in (4, 64, None):
+        some = hashed
+        if wide:
+            share = sizes.select(F.col("y").alias("ys"), (F.lit(float(wide * k)) / F.col("all")).alias("share"))
+            # A row a language, max_train at most.
+            some = hashed.join(F.broadcast(share), F.col("y") == F.col("ys")).filter(place < F.col("share"))
+        got = cut(some.withColumn("k", F.row_number().over(w)).filter(F.col("k") <= k).select("i", "y"))
+        short = sizes.join(got.groupBy("y").agg(F.count(F.lit(1)).alias("n")), "y", "left").filter(
+            F.coalesce("n", F.lit(0)) < F.least(F.col("all"), F.lit(k)))
+        if not wide or not short.take(1):
+            return got.select(F.col("i").alias("si")).distinct()
+
+
 def fit(docs: DataFrame, id_col: str, text_col: str, lang_col: str, max_train: int = 2000,
         reject: float = 0.005) -> dict:
     """Model from labelled ``docs``: per-bucket class scores, bias, temperature, limit, languages."""
@@ -148,10 +171,7 @@ def fit(docs: DataFrame, id_col: str, text_col: str, lang_col: str, max_train: i
         return {"langs": []}
     if len(langs) > max_train:
         raise ValueError("more languages than max_train rows")
-    # Spark keeps the first rows of each language in every task before it shuffles them.
-    w = Window.partitionBy("y").orderBy(F.xxhash64("i"), "i")
-    ids = (own.select("i", "y").withColumn("k", F.row_number().over(w)).filter(F.col("k") <= max_train // len(langs))
-           .select(F.col("i").alias("si")).distinct())
+    ids = _least_hashed(own, max_train // len(langs))
     ids = F.broadcast(cut(ids))  # max_train longs at most
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

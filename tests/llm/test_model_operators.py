@@ -175,6 +175,17 @@ def test_langid_held_out_accuracy_and_rejection(spark):
     assert sum(r.lang_pred == r.y for r in sure) / len(sure) >= len(right) / len(got)
 
 
+@pytest.mark.parametrize("k", [1, 7, 50])
+def test_langid_sample_is_the_least_hashed_rows(spark, k):
+    rows = [(i, "en") for i in range(3000)] + [(i, "de") for i in range(5000, 5040)] + [(9999, "fr")] * 30
+    df = spark.createDataFrame(rows, "i long, y string").repartition(5)
+    h = {r.i: r.h for r in df.selectExpr("i", "xxhash64(i) AS h").distinct().collect()}
+    want = set()
+    for lang in ("en", "de", "fr"):
+        want.update(sorted((i for i, y in rows if y == lang), key=lambda i: (h[i], i))[:k])
+    assert {r.si for r in langid._least_hashed(df, k).collect()} == want
+
+
 def test_langid_cases(spark, monkeypatch):
     docs = [(k, f"the cat {k} and the dog", "en") for k in range(40)] + [
         (100 + k, f"der Hund {k} und die Katze", "de") for k in range(40)] + [(300, None, "en"), (None, "xx", "en")]
