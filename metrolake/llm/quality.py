@@ -10,19 +10,22 @@ weights. Every text gets a perplexity; a text goes if its cross-entropy is
 above its language's limit, taken from quantiles of the trusted texts of that
 language. A model knows the texts it was trained on, the more so the more
 characters a script has; so for the limits each half of the trusted texts is
-scored by a model of the other half. All three models (all texts, and either
+scored by a model of the other half. (An id's half is a hash of it.) All three models (all texts, and either
 half) come from the same counts in the same two passes over the shards.
 
 Scoring is a sharded join too. Each task packs the distinct trigrams of a
 block of texts by shard; a shard looks each distinct trigram up once and
-returns partial sums per text, for a trusted text by its half's model as well.
-No text is shuffled or written.
-
-Bounds: trusted ids are a sample of at most ``max_trusted`` labelled rows, of
-least hash, and only their ids are broadcast, which bounds a shard's tables as
-well; the alphabet is every character of the trusted text, with as many bits a
-character as it needs (9 at least, 21 for all of Unicode); characters that no
-trusted text has are one unknown character.
+returns partial sums per text, by the model of the other half as well. No text
+is shuffled or written; which rows are trusted is joined to the scores.
+
+Bounds: every text of a trusted id is trained on and gives limits. Up to
+``MAX_PACKED`` trusted ids go to the counting tasks as compressed differences (a
+byte or two an id); more are joined to the texts by a shuffle. There are as many
+shards as the distinct trigrams ask for (``SHARD_GRAMS`` each, ``SHARDS`` at
+least); the quantiles are exact at any number of trusted texts. The alphabet is every
+character of the trusted text, with as many bits a character as it needs (9 at
+least, 21 for all of Unicode); characters that no trusted text has are one
+unknown character.
 
 Cases: null or empty text has no perplexity and is kept (nothing speaks against
 it); a null language, or one with fewer than ``min_trusted`` trusted texts,
@@ -39,15 +42,21 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from metrolake.llm.common import cut, deal, pack_counts, table, unpack_counts
+from metrolake.operators.quantiles import group_quantiles
 
 #: Codes: 0 before the text, 1 unknown, 2 and up the alphabet; they have this many bits at least.
 MIN_BITS = 9
+#: Model shards at least, and the distinct trigrams for which there is one more: tables of some 100 MB.
 SHARDS = 8
+SHARD_GRAMS = 1 << 20
+#: Trusted ids that a counting task holds at most (8 bytes each).
+MAX_PACKED = 1 << 23
 BLOCK_CHARS = 1 << 19
 #: Code points of the raw counts are packed in 21 bits each; 0x110000 stands before the text.
 START = 0x110000
@@ -79,10 +88,40 @@ def _blocks(texts: list[str | None]) -> Iterator[slice]:
         yield slice(a, len(texts))
 
 
-def trigram_counts(docs: DataFrame, text_col: str, half_col: str) -> DataFrame:
-    """(g, n0, n1): counts of raw trigrams (21 bits a code point) in the texts of half 0 and of half 1."""
+def pack_ids(ids: DataFrame) -> list[bytes]:
+    """The distinct longs of the one column of ``ids``: a task's as compressed differences."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = np.sort(np.concatenate([np.zeros(0, np.int64), *(b.column(0).to_numpy() for b in batches)]))
+        if len(own):
+            blob = zstandard.ZstdCompressor(level=3).compress(np.diff(own, prepend=0).view(np.uint8).reshape(-1, 8).T.tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array([blob], pa.binary())], names=["ids"])
+    return [bytes(r["ids"]) for r in ids.mapInArrow(run, "ids binary").collect()]
+
+
+def unpack_ids(blobs: list[bytes]) -> np.ndarray:
+    """All ids of ``pack_ids``, ascending."""
+    parts = [np.frombuffer(zstandard.ZstdDecompressor().decompress(x), np.uint8).reshape(8, -1) for x in blobs]
+    return np.sort(np.concatenate([np.zeros(0, np.int64), *(
+        np.cumsum(np.ascontiguousarray(p.T).view(np.int64).ravel()) for p in parts)]))
+
+
+def trigram_counts(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str, half_col: str) -> DataFrame:
+    """(g, n0, n1): counts of raw trigrams (21 bits a code point) in the texts of half 0 and of half 1.
+
+    Of the texts whose id is among ``ids(tid)``, a materialised frame of distinct ids.
+    """
+    spark, packed = docs.sparkSession, None
+    if ids.count() <= MAX_PACKED:
+        packed = spark.sparkContext.broadcast(pack_ids(ids))
+    else:
+        docs = docs.join(ids, F.col(id_col) == F.col("tid"), "left_semi")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = unpack_ids(packed.value) if packed else None
         for b in batches:
+            if known is not None:
+                at = np.minimum(np.searchsorted(known, b.column(2).to_numpy()), len(known) - 1)
+                b = b.filter(pa.array(known[at] == b.column(2).to_numpy())) if len(known) else b.slice(0, 0)
             texts, halves = b.column(0).to_pylist(), b.column(1).to_numpy()
             for s in _blocks(texts):
                 cp, row, own = _code_points(texts[s])
@@ -93,7 +132,8 @@ def trigram_counts(docs: DataFrame, text_col: str, half_col: str) -> DataFrame:
                     cols = [n, np.zeros_like(n)] if k == 0 else [np.zeros_like(n), n]
                     yield pa.RecordBatch.from_arrays([pa.array(g), *(pa.array(c.astype(np.int64)) for c in cols)],
                                                      names=["g", "n0", "n1"])
-    return (docs.select(F.col(text_col).cast("string").alias("t"), F.col(half_col).cast("int").alias("half"))
+    return (docs.filter(F.col(id_col).isNotNull())
+            .select(F.col(text_col).cast("string").alias("t"), F.col(half_col).cast("int").alias("half"), F.col(id_col).alias("id"))
             .mapInArrow(run, "g long, n0 long, n1 long").groupBy("g").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1")))
 
 
@@ -122,13 +162,15 @@ def _level(n: np.ndarray, ctx: np.ndarray, d: np.ndarray, low) -> tuple[np.ndarr
     return np.maximum(n - cut_, 0) / np.repeat(tot, size) + np.repeat(back, size) * low, ctx[first], back
 
 
-def train(trusted: DataFrame, text_col: str, half_col: str) -> tuple[np.ndarray, int, DataFrame, list[int]]:
-    """(code of each code point, bits of a code, model shards, trigrams of each model).
+def train(docs: DataFrame, ids: DataFrame, id_col: str, text_col: str,
+          half_col: str) -> tuple[np.ndarray, int, int, DataFrame, list[int]]:
+    """(code of each code point, bits of a code, number of shards, model shards, trigrams of each model).
 
     Shard rows: (shard, model) with the tables of all three models.
     """
-    spark = trusted.sparkSession
-    raw = cut(trigram_counts(trusted, text_col, half_col))
+    spark = docs.sparkSession
+    raw = cut(trigram_counts(docs, ids, id_col, text_col, half_col))
+    shards = max(SHARDS, -(-raw.count() // SHARD_GRAMS))
     m21 = F.lit((1 << 21) - 1)
     top = raw.groupBy(F.col("g").bitwiseAND(m21).alias("c")).agg(F.sum(F.col("n0") + F.col("n1")).alias("k")).orderBy(
         F.desc("k"), "c")
@@ -144,10 +186,10 @@ def train(trusted: DataFrame, text_col: str, half_col: str) -> tuple[np.ndarray,
     recode = F.pandas_udf(recode, "long")
     coded = raw.select(recode("g").alias("g"), "n0", "n1")
     # An empty row makes every shard be there: any of them may be asked.
-    none = spark.range(SHARDS).select((F.col("id") * (1 << bits)).alias("g"), F.lit(0).cast("long").alias("n0"),
+    none = spark.range(shards).select((F.col("id") * (1 << bits)).alias("g"), F.lit(0).cast("long").alias("n0"),
                                       F.lit(0).cast("long").alias("n1"))
     by_shard = coded.unionByName(none).withColumn(
-        "shard", (F.shiftright("g", bits).bitwiseAND(F.lit(low1)) % SHARDS).cast("int")).groupBy("shard")
+        "shard", (F.shiftright("g", bits).bitwiseAND(F.lit(low1)) % shards).cast("int")).groupBy("shard")
 
     def each(p: pd.DataFrame):
         g, n0, n1 = (p[c].to_numpy(np.int64) for c in ("g", "n0", "n1"))
@@ -198,7 +240,7 @@ def train(trusted: DataFrame, text_col: str, half_col: str) -> tuple[np.ndarray,
                 blob += [key.astype(np.int64).tobytes(), v.astype(np.float64).tobytes()]
         return pd.DataFrame({"shard": [int(p["shard"].iloc[0])], "model": [blob]})
     model = cut(by_shard.applyInPandas(pack, "shard int, model array<binary>"))
-    return code, bits, model, [found[k, -3].get(0, 0) for k in range(len(MODELS))]
+    return code, bits, shards, model, [found[k, -3].get(0, 0) for k in range(len(MODELS))]
 
 
 def _find(tab: tuple[np.ndarray, np.ndarray], g: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -223,11 +265,11 @@ def log_prob(model: list[bytes], g: np.ndarray, bits: int) -> np.ndarray:
     return np.log(np.where(ok, v, np.where(known, back, 1.0) * p))
 
 
-def cross_entropy(docs: DataFrame, code: np.ndarray, bits: int, model: DataFrame, id_col: str, text_col: str,
-                  lang_col: str, half_col: str) -> DataFrame:
+def cross_entropy(docs: DataFrame, code: np.ndarray, bits: int, shards: int, model: DataFrame, id_col: str,
+                  text_col: str, lang_col: str, half_col: str) -> DataFrame:
     """(doc, h, lang, half, lp, lp_half, n) per distinct row: log probability (natural) and characters of the text.
 
-    ``lp_half``: by the model of the other half of the trusted texts, for texts of half 0 and 1.
+    ``lp_half``: by the model of the other half of the trusted texts.
     """
     shared = docs.sparkSession.sparkContext.broadcast(code)  # one entry a code point
 
@@ -241,16 +283,16 @@ def cross_entropy(docs: DataFrame, code: np.ndarray, bits: int, model: DataFrame
                 i = np.flatnonzero(own)
                 # Distinct trigrams by shard, and their numbers in that order: a number and a row fit in 64 bits.
                 g, at = np.unique((c[i - 2] << 2 * bits) | (c[i - 1] << bits) | c[i], return_inverse=True)
-                shard = (g >> bits & (1 << bits) - 1) % SHARDS
+                shard = (g >> bits & (1 << bits) - 1) % shards
                 order = np.argsort(shard, kind="stable")
                 rank = np.empty(len(g), np.int64)
                 rank[order] = np.arange(len(g))
                 key, n = np.unique(rank[at] << 16 | row[i], return_counts=True)
-                edge = np.searchsorted(key, np.searchsorted(shard[order], np.arange(SHARDS + 1)) << 16)
+                edge = np.searchsorted(key, np.searchsorted(shard[order], np.arange(shards + 1)) << 16)
                 g = g[order]
                 cols = [b.column(k)[s.start:s.stop] for k in range(4)]
                 ids = [pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x) for x in cols]
-                for k in range(SHARDS):
+                for k in range(shards):
                     a, z = edge[k], edge[k + 1]
                     if a == z and k:  # shard 0 lists every text
                         continue
@@ -301,20 +343,18 @@ def _hash(text_col: str) -> Column:
 
 
 def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
-             lang_col: str = "lang", max_trusted: int = 20_000, quantile: float = 0.99, slack: float = 2.0,
+             lang_col: str = "lang", quantile: float = 0.99, slack: float = 2.0,
              prior_chars: int = 20, min_trusted: int = 30) -> DataFrame:
     """(doc, h, lang, n_chars, log_prob, perplexity, entropy, top, kept) per distinct (id, text, language).
 
     ``top``, the limit on the cross-entropy, is the language's trusted median
     plus ``slack`` times what its ``quantile`` lies above the median.
     """
-    ids = (labels.filter("quality = 1 and doc_id is not null").select(F.col("doc_id").cast("long").alias("tid"))
-           .distinct().orderBy(F.xxhash64("tid")).limit(max_trusted))
-    ids = F.broadcast(cut(ids.withColumn("half", F.pmod(F.xxhash64(F.lit(1), "tid"), F.lit(2)))))  # max_trusted rows at most
-    own = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_t"),
-                      F.col(lang_col).alias("_l")).join(ids, F.col("_id") == F.col("tid"), "left").select(
-        "_id", "_t", "_l", F.coalesce("half", F.lit(-1)).alias("_half"))
-    code, bits, model, sizes = train(own.filter("_half >= 0"), "_t", "_half")
+    ids = labels.filter("quality = 1 and doc_id is not null").select(F.col("doc_id").cast("long").alias("tid")).distinct()
+    ids = cut(ids)
+    own = docs.select(F.col(id_col).cast("long").alias("_id"), F.col(text_col).alias("_t"), F.col(lang_col).alias("_l"),
+                      F.pmod(F.xxhash64(F.lit(1), F.col(id_col).cast("long")), F.lit(2)).alias("_half"))
+    code, bits, shards, model, sizes = train(own, ids, "_id", "_t", "_half")
     if not sizes[0]:
         null = F.lit(None).cast("double")
         return docs.select(
@@ -323,18 +363,17 @@ def classify(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
             F.coalesce(F.length(F.col(text_col).cast("string")), F.lit(0)).cast("long").alias("n_chars"),
             null.alias("log_prob"), null.alias("perplexity"), null.alias("entropy"), null.alias("top"),
             F.lit(True).alias("kept")).distinct()
-    s = cut(cross_entropy(own, code, bits, model, "_id", "_t", "_l", "_half")).withColumn(
+    s = cut(cross_entropy(own, code, bits, shards, model, "_id", "_t", "_l", "_half")).withColumn(
         "e", F.when(F.col("n") > 0, -F.col("lp") / F.col("n")))
     # Too few texts for two halves: the model's own.
     seen = F.col("lp_half") if sizes[1] and sizes[2] else F.col("lp")
-    trusted = s.filter("half >= 0 and n > 0").withColumn("e", -seen / F.col("n"))
-    two = [F.percentile("e", F.lit(q)).alias(c) for c, q in (("mid", 0.5), ("high", quantile))]
-    by_lang = trusted.filter("lang is not null").groupBy("lang").agg(
-        *two, F.count(F.lit(1)).alias("k")).filter(F.col("k") >= min_trusted).select(
-        F.col("lang").alias("tl"), "mid", "high")
-    by_lang = F.broadcast(by_lang)  # a row for min_trusted trusted texts: max_trusted / min_trusted rows at most
-    every = trusted.agg(*[F.percentile("e", F.lit(q)).alias(c) for c, q in (("mid0", 0.5), ("high0", quantile))])
-    mid0, high0 = every.first()
+    trusted = cut(s.filter("n > 0").join(ids, F.col("doc") == F.col("tid"), "left_semi").select(
+        "lang", (-seen / F.col("n")).alias("e")))
+    enough = trusted.filter("lang is not null").groupBy("lang").count().filter(F.col("count") >= min_trusted)
+    by_lang = group_quantiles(trusted.join(F.broadcast(enough), "lang", "left_semi"), ["lang"], "e", [0.5, quantile], ["mid", "high"])
+    by_lang = F.broadcast(by_lang.withColumnRenamed("lang", "tl"))  # a row a language, as ``enough``
+    every = group_quantiles(trusted.withColumn("_all", F.lit(0)), ["_all"], "e", [0.5, quantile], ["mid0", "high0"])
+    mid0, high0 = every.select("mid0", "high0").first() or (None, None)
     j = s.join(by_lang, F.col("lang") == F.col("tl"), "left").select(
         "doc", "h", "lang", "lp", "n", "e", F.coalesce("mid", F.lit(mid0).cast("double")).alias("mid"),
         F.coalesce("high", F.lit(high0).cast("double")).alias("high"))

@@ -71,6 +71,30 @@ def test_quality_limits_equal_brute_force_by_halves(spark):
     assert len({t for _, t in limits.values()}) > 1
 
 
+@pytest.mark.parametrize("grams, packed", [(quality.SHARD_GRAMS, quality.MAX_PACKED), (50, 100)])
+def test_quality_learns_from_all_trusted_texts(spark, monkeypatch, grams, packed):
+    # More labelled texts than any sample held; also with more shards than the least number, and ids joined by shuffle.
+    monkeypatch.setattr(quality, "SHARD_GRAMS", grams)
+    monkeypatch.setattr(quality, "MAX_PACKED", packed)
+    rng = random.Random(5)
+    docs = [(k * 10**14 - 10**18, "".join(rng.choices("abcdefghij", k=3)), "en") for k in range(20_500)]
+    labels = spark.createDataFrame([(k, 1) for k, *_ in docs], "doc_id long, quality int")
+    out = {r.doc: r for r in quality.classify(spark.createDataFrame(docs, "doc_id long, text string, lang string"),
+                                              labels).collect()}
+    model = brute.kneser_ney([t for _, t, _ in docs])
+    assert len(out) == len(docs)
+    for k, t, _ in docs[::100]:
+        assert out[k].log_prob == pytest.approx(model(t), rel=1e-9)
+    own = [-model(t) / len(t) for _, t, _ in docs]
+    half = {r.k: r.half for r in spark.createDataFrame([d[:1] for d in docs], "k long").selectExpr(
+        "k", "pmod(xxhash64(1, k), 2) half").collect()}
+    models = [brute.kneser_ney([t for k, t, _ in docs if half[k] == h]) for h in (0, 1)]
+    mid, high = np.quantile([-models[1 - half[k]](t) / len(t) for k, t, _ in docs], [0.5, 0.99])
+    assert out[docs[0][0]].top == pytest.approx(mid + (high - mid) * 2, rel=1e-9)
+    assert [out[k].kept for k, *_ in docs] == [
+        (e * len(t) + 20 * mid) / (len(t) + 20) <= mid + (high - mid) * 2 for (_, t, _), e in zip(docs, own, strict=True)]
+
+
 def test_quality_separates_labelled_junk(spark):
     d = "/root/testdata/sf0.01"
     docs, labels = spark.read.parquet(f"{d}/documents.parquet"), spark.read.parquet(f"{d}/labels.parquet")
