@@ -24,9 +24,12 @@ from pyspark.sql import functions as F
 
 from ..config import COLUMN_ALIASES, MEASUREMENT_COLUMNS
 from ..functions.columns import normalize_position, strip, to_number, to_timestamp_any
+from ..session import ensure_checkpoint_dir
 
 CANONICAL = list(COLUMN_ALIASES)
 MISSING_STRATEGIES = ("flag", "drop", "fill")
+#: Per-file frames (one row a file) up to this many rows are stored and broadcast.
+MAX_BROADCAST_FILES = 50_000
 
 
 def clean_keys(fields: Column, json_style: bool = False) -> Column:
@@ -185,12 +188,25 @@ def transform(raw: DataFrame, raw_files: DataFrame, missing_strategy: str = "fla
     metadata defaults need per-file non-null counts (one partial
     aggregation) and a second join. The step functions above give the same
     results one at a time.
+
+    Spark sizes the rows by the (compressed) files below them and might
+    broadcast them to the per-file frames. So up to ``MAX_BROADCAST_FILES``
+    files, counted, the two per-file frames are checkpointed and broadcast and
+    no row is moved; with more files both sides are joined by a sorted shuffle.
     """
     if missing_strategy not in MISSING_STRATEGIES:
         raise ValueError(f"missing strategy must be one of {MISSING_STRATEGIES}, got {missing_strategy!r}")
     if missing_strategy == "fill" and fill_value is None:
         raise ValueError("fill_value must be provided when strategy='fill'.")
+    ensure_checkpoint_dir(raw.sparkSession)
     choice = alias_choice(raw_files)
+    few = choice.limit(MAX_BROADCAST_FILES + 1).checkpoint()
+    is_small = few.count() <= MAX_BROADCAST_FILES
+    choice = few if is_small else choice
+
+    def per_file(df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if is_small else df.hint("merge")
+
     has_raw = lambda c: F.array_contains(F.col("raw_cols"), F.lit(c))
     present = F.array_compact(F.array(
         *[F.when(F.col(f"src_{c}").isNotNull(), F.lit(c)) for c in CANONICAL],
@@ -205,8 +221,7 @@ def transform(raw: DataFrame, raw_files: DataFrame, missing_strategy: str = "fla
     files = choice.select("source_file", "raw_cols").join(
         dec.select("source_file", F.col("_pc").alias("present_cols")), "source_file")
 
-    # One row per file: AQE broadcasts it when its measured size allows.
-    j = raw.join(dec, "source_file")
+    j = raw.join(per_file(dec), "source_file")
     r = j.select("source_file", "row_block", "row_idx", "_pc", "_derive",
                  *[F.element_at(F.col("fields"), F.col(f"src_{c}")).alias(c) for c in CANONICAL],
                  F.element_at(F.col("fields"), F.lit("deviation")).alias("deviation"),
@@ -238,8 +253,10 @@ def transform(raw: DataFrame, raw_files: DataFrame, missing_strategy: str = "fla
     stats = r.groupBy("source_file").agg(
         F.count("equipment_id").alias("_n_eq"), F.count("operator").alias("_n_op"),
         *[F.count_if(F.col(f"_cast_fail_{c}")).cast("long").alias(f"cast_fail_{c}") for c in MEASUREMENT_COLUMNS])
+    if is_small:
+        stats = stats.checkpoint()  # one pass over the rows for both frames returned
     r = r.drop(*[f"_cast_fail_{c}" for c in MEASUREMENT_COLUMNS], "_pc", "_derive")
-    r = (r.join(stats.select("source_file", "_n_eq", "_n_op"), "source_file")
+    r = (r.join(per_file(stats.select("source_file", "_n_eq", "_n_op")), "source_file")
           .withColumn("equipment_id", F.when(F.col("_n_eq") == 0, F.lit(equipment_id or "UNKNOWN"))
                       .otherwise(F.col("equipment_id")))
           .withColumn("operator", F.when(F.col("_n_op") == 0, F.lit(operator or "UNKNOWN"))

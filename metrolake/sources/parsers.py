@@ -179,8 +179,10 @@ def parse_log(lines: DataFrame) -> RawBatch:
     ts_map = F.when(F.col("_ts").isNotNull() & ~F.array_contains(F.map_keys("_kv"), F.lit("timestamp")),
                     F.create_map(F.lit("timestamp"), F.col("_ts"))).otherwise(
         F.create_map().cast("map<string,string>"))
-    rows = (staged.select("path", "row_block", "row_idx", F.map_concat(ts_map, F.col("_kv")).alias("fields"))
-                  .filter(F.size("fields") >= 2))
+    staged = staged.select("path", "row_block", "row_idx", F.map_concat(ts_map, F.col("_kv")).alias("fields"))
+    # Not a filter on the size: it would be pushed below the projections and run every pattern there again.
+    rows = staged.select("path", "row_block", "row_idx", F.explode(
+        F.when(F.size("fields") >= 2, F.array("fields"))).alias("fields"))
     files = _keys_per_file(rows)
     listed = lines.select("path").distinct()
     errors = (listed.join(files.select("path"), "path", "left_anti")

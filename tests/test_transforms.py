@@ -1,5 +1,7 @@
 import pytest
+from metrolake.operators import transforms as TR
 from metrolake.operators.transforms import threshold_breaches, transform
+from metrolake.sources import parsers as P
 
 
 def _raw(spark, rows, file="f1"):
@@ -123,3 +125,35 @@ def test_step_functions_equal_fused_chain(spark):
     cols = ["row_idx", "timestamp", "position", "actual_value", "expected_value", "deviation", "operator",
             "equipment_id"]
     assert r.select(*cols).orderBy("row_idx").collect() == fused.select(*cols).orderBy("row_idx").collect()
+
+
+def _log_lines(spark, n_files=5):
+    return spark.createDataFrame(
+        [(f"f{k % n_files}.log", 0, k, f"2024-03-01 08:{k:02d}:00 pos=a{k} reading={k} nominal=1 tech=t") for k in range(40)]
+        + [("f0.log", 0, 90, "just=one"), ("f0.log", 0, 91, "# no=record at=all")],
+        "path string, row_block long, row_idx long, line string")
+
+
+def _plan(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_log_patterns_run_once_a_line(spark):
+    rows = P.parse_log(_log_lines(spark)).rows
+    assert rows.count() == 40  # the record with one field is dropped
+    # A filter on the fields was pushed below them with all their patterns.
+    assert _plan(rows).count("regexp_extract_all") == 2
+
+
+def test_rows_are_never_broadcast_to_the_file_frames(spark, monkeypatch, tmp_path):
+    _log_lines(spark).write.parquet(str(tmp_path / "lines"))
+    b = P.parse_log(spark.read.parquet(str(tmp_path / "lines")))
+    raw, files = b.rows.withColumnRenamed("path", "source_file"), b.files.withColumnRenamed("path", "source_file")
+    few, few_files = TR.transform(raw, files)
+    assert "BuildRight" in _plan(few) and "BuildLeft" not in _plan(few) and "SortMergeJoin" not in _plan(few)
+    monkeypatch.setattr(TR, "MAX_BROADCAST_FILES", 4)  # five files
+    many, many_files = TR.transform(raw, files)
+    assert "SortMergeJoin" in _plan(many) and "BroadcastHashJoin" not in _plan(many)
+    got = [sorted(map(str, x.collect())) for x in (few, many, few_files, many_files)]
+    assert got[0] == got[1] and got[2] == got[3] and len(got[0]) == 40 and len(got[2]) == 5
+    assert {(r.equipment_id, r.operator) for r in few.collect()} == {("UNKNOWN", "t")}
