@@ -38,6 +38,8 @@ from .ordered import largest_group, ordered_index
 from ..session import ensure_checkpoint_dir
 from .quantiles import DEFAULT_MAX_MAP_ROWS, MAX_MAP_ROWS_CONF, group_quantiles
 
+CHECKED_COLUMNS = list(dict.fromkeys(["source_file", "row_block", "row_idx", "timestamp", "position",
+                                      *MEASUREMENT_COLUMNS, "deviation", *DUPLICATE_KEY_COLUMNS]))
 RESULT_COLUMNS = ["source_file", "check_order", "check_type", "status", "n_flagged", "details"]
 
 
@@ -569,6 +571,7 @@ def run_checks(rows: DataFrame, files: DataFrame, cfg: ValidationConfig = Valida
         raise ValueError(f"unknown checks {unknown}; choose from {list(CHECKS)}")
     if materialize:
         ensure_checkpoint_dir(rows.sparkSession)
+        rows = rows.select(*[c for c in CHECKED_COLUMNS if c in rows.columns])  # the checks read no others
         rows, files = rows.checkpoint(), files.checkpoint()
     # One row a file. Left lazy, each check would prune other columns from it and the rows would be
     # aggregated once a check.

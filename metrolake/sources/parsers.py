@@ -160,9 +160,11 @@ def parse_log(lines: DataFrame) -> RawBatch:
     ``timestamp=`` beats the found one); records with fewer than two fields
     are dropped. A file without records is an error."""
     spark = lines.sparkSession
-    t = strip("line")
-    kept = lines.filter((t != "") & ~t.startswith("#")).select(
-        "path", "row_block", "row_idx", t.alias("line"))
+    # Lines and records are chosen by ``explode``: a filter would be pushed below the projections and run all that
+    # makes a line, and every pattern, there again.
+    t = F.col("line")
+    kept = lines.select("path", "row_block", "row_idx", strip("line").alias("line")).select(
+        "path", "row_block", "row_idx", F.explode(F.when((t != "") & ~t.startswith("#"), F.array(t))).alias("line"))
     # First shape that occurs: coalesce stops at the first match, so each
     # pattern runs at most once per line.
     ts = F.coalesce(*[F.nullif(F.regexp_extract("line", "(?U)" + pat, 0), F.lit(""))
@@ -180,7 +182,6 @@ def parse_log(lines: DataFrame) -> RawBatch:
                     F.create_map(F.lit("timestamp"), F.col("_ts"))).otherwise(
         F.create_map().cast("map<string,string>"))
     staged = staged.select("path", "row_block", "row_idx", F.map_concat(ts_map, F.col("_kv")).alias("fields"))
-    # Not a filter on the size: it would be pushed below the projections and run every pattern there again.
     rows = staged.select("path", "row_block", "row_idx", F.explode(
         F.when(F.size("fields") >= 2, F.array("fields"))).alias("fields"))
     files = _keys_per_file(rows)

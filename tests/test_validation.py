@@ -193,3 +193,16 @@ def test_store_overlap_equals_brute_force(spark):
     df = spark.createDataFrame(rows, COLS)
     got = {r["source_file"]: r["n_stored_in_range"] for r in V.store_overlap(df, st, 1.0).collect()}
     assert got == truth
+
+
+def test_stored_rows_hold_only_what_the_checks_read(spark, monkeypatch):
+    rows = spark.createDataFrame([("f", 0, k, f"p{k}", float(k), 1.0, k - 1.0, {"note": "x"}) for k in range(9)],
+                                 "source_file string, row_block long, row_idx long, position string, actual_value double,"
+                                 "expected_value double, deviation double, extras map<string,string>").withColumn(
+        "timestamp", F.lit("2024-01-01 00:00:00").cast("timestamp_ntz"))
+    kept, store = [], type(rows).checkpoint
+    monkeypatch.setattr(type(rows), "checkpoint", lambda self, *a, **k: (kept.append(self.columns), store(self, *a, **k))[1])
+    out = V.run_checks(rows, V.files_of(rows), materialize=True)
+    assert "extras" not in kept[0] and set(kept[0]) == set(V.CHECKED_COLUMNS)
+    want = V.run_checks(rows, V.files_of(rows))
+    assert sorted(map(str, out.collect())) == sorted(map(str, want.collect()))
