@@ -89,3 +89,18 @@ def largest_group(df: DataFrame, by: Sequence[str]) -> int:
     """Row count of the biggest group (partial aggregation, one number back)."""
     row = df.groupBy(*by).count().agg(F.max("count").alias("m")).first()
     return int(row["m"] or 0) if row else 0
+
+
+#: Hash buckets of ``groups_within``.
+GROUP_BUCKETS = 1 << 16
+
+
+def groups_within(df: DataFrame, by: Sequence[str], limit: int) -> bool:
+    """True: no group has more than ``limit`` rows. False: one may have.
+
+    Rows are counted by a hash of the group, so however many groups there are, a task sends at most
+    ``GROUP_BUCKETS`` counts; a bucket holds whole groups, so its count bounds theirs.
+    """
+    bucket = F.pmod(F.xxhash64(*by), F.lit(GROUP_BUCKETS))
+    row = df.groupBy(bucket.alias("_g")).count().agg(F.max("count").alias("m")).first()
+    return int(row["m"] or 0) <= limit if row else True

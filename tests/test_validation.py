@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from metrolake.config import STRICT_VALIDATION, ValidationConfig
 from metrolake.operators import validation as V
+from metrolake.operators.ordered import groups_within
 
 COLS = "source_file string, row_block long, row_idx long, timestamp timestamp_ntz, position string, " \
        "actual_value double, expected_value double, deviation double"
@@ -206,3 +207,57 @@ def test_stored_rows_hold_only_what_the_checks_read(spark, monkeypatch):
     assert "extras" not in kept[0] and set(kept[0]) == set(V.CHECKED_COLUMNS)
     want = V.run_checks(rows, V.files_of(rows))
     assert sorted(map(str, out.collect())) == sorted(map(str, want.collect()))
+
+
+def _odd_files(spark):
+    """Files with nulls, equal rows, gaps, disorder, breaches and outliers; one without a name, one without rows."""
+    rnd = random.Random(5)
+    rows = []
+    for f in [f"f{k}" for k in range(40)] + [None]:
+        for i in range(rnd.choice([1, 2, 3, 5, 8, 30])):
+            t = T0 + dt.timedelta(hours=rnd.choice([0, 1, 2, 30, 70, 200, 300]))
+            dev = rnd.choice([None, 0.0, 0.1, -0.1, 0.2, 0.7, -9.0, float("nan")] if rnd.random() < 0.2 else [0.0, 0.1, 0.6])
+            rows.append((f, i // 4, i, t if rnd.random() > 0.2 else None, rnd.choice(["P1", "P2", None]),
+                         rnd.choice([1.0, 2.0, 0.0, -0.0, None]), rnd.choice([1.0, None]), dev))
+    df = spark.createDataFrame(rows, COLS)
+    files = V.files_of(df).unionByName(V.files_of(df.limit(1), present=["position"]).withColumn("source_file", F.lit("empty")))
+    return df, files.withColumn("present_cols", F.when(F.col("source_file") == "f3", F.array(F.lit("deviation"))).otherwise(
+        F.col("present_cols")))
+
+
+@pytest.mark.parametrize("store", [False, True])
+def test_one_shuffle_equals_the_passes(spark, store):
+    rows, files = _odd_files(spark)
+    stored = spark.createDataFrame([(T0 + dt.timedelta(minutes=7 * i),) for i in range(900)], "timestamp timestamp_ntz")
+    kw = {"stored": stored if store else None}
+    told = [tuple(r) for r in V.run_checks(rows, files, **kw).collect()]
+    spark.conf.set(V.MAX_FILE_ROWS_CONF, "0")
+    try:
+        want = V.run_checks(rows, files, **kw)
+        assert V.run_checks(rows, files).schema.simpleString() == want.schema.simpleString()
+        want = [tuple(r) for r in want.collect()]
+    finally:
+        spark.conf.unset(V.MAX_FILE_ROWS_CONF)
+    assert len(told) == 42 * 7 and sorted(map(str, told)) == sorted(map(str, want))
+    by_check = V.run_checks(rows, files, checks=["deviation_range", "row_count"], **kw).collect()
+    assert sorted(map(str, map(tuple, by_check))) == sorted(
+        str(r) for r in told if r[2] in ("deviation_range", "row_count"))
+
+
+def _scans(df):
+    return df._jdf.queryExecution().optimizedPlan().toString().count("parquet")
+
+
+def test_small_files_are_read_once_for_all_checks(spark, tmp_path):
+    rows, _ = frame(spark)
+    rows.write.parquet(str(tmp_path / "rows"))
+    rows = spark.read.parquet(str(tmp_path / "rows"))
+    out = V.run_checks(rows, V.files_of(rows))
+    assert _scans(out) == 2  # the checks and the list of files
+    assert _scans(V.rollup(out)) == 2
+
+
+def test_group_sizes_are_bounded_by_hash_buckets(spark):
+    df = spark.range(100).select((F.col("id") % 10).alias("g"))
+    assert not groups_within(df, ["g"], 9) and groups_within(df, ["g"], 100)
+    assert groups_within(df.filter("g < 0"), ["g"], 0)
